@@ -1,9 +1,11 @@
 """Outcome metrics: what happened to changes after they landed.
 
-Inputs are commit frames with at least ``repo, sha, at, message`` (``at`` is the push or
-commit time) and pull-request frames as produced by the panel. Repository names are compared
-without case. Where one side may repeat a key without bound, it is aggregated or looked up
-N:1 first; no operator pairs up the members of a group.
+Everything starts from :func:`changes`, a narrow table with one row per commit in which the
+message has already been read: verdict, what the commit undoes, its PR number, whether it is
+a fix. Messages are never shuffled. Repository names are compared without case.
+
+Where a key may repeat without bound it is aggregated before it is joined, or looked up N:1;
+no operator pairs up the members of a group.
 """
 
 from __future__ import annotations
@@ -31,17 +33,49 @@ PERCENT_DIGITS = 6
 
 # --- row preparation -------------------------------------------------------------------
 
+CHANGE_COLUMNS = (
+    "event_id agent_id pr_number is_fix is_undo is_reapply target_sha target_pr"
+).split()
+
+
+def changes(judged: DataFrame) -> DataFrame:
+    """Narrow, de-duplicated change table from attributed commits.
+
+    Needs ``repo, sha, at, message, event_id, agent_id`` (and keeps ``pr_number`` if the
+    source knows it, else reads it from the subject). The message is parsed and dropped
+    before the first shuffle. Worth staging: every outcome reads it several times.
+    """
+    message = F.col("message")
+    known = F.col("pr_number") if "pr_number" in judged.columns else pr_number(message)
+    parsed = judged.select(
+        "repo",
+        F.lower("repo").alias("repo_key"),
+        F.lower("sha").alias("sha"),
+        "at",
+        "event_id",
+        "agent_id",
+        known.alias("pr_number"),
+        is_fix(message).alias("is_fix"),
+        text.revert(message).alias("_r"),
+    )
+    flat = parsed.select(
+        *[c for c in parsed.columns if c != "_r"],
+        F.col("_r").isNotNull().alias("is_undo"),
+        F.col("_r.is_reapply").alias("is_reapply"),
+        F.col("_r.reverted_sha").alias("target_sha"),
+        F.col("_r.original_pr_number").alias("target_pr"),
+    )
+    return dedupe_commits(flat, ["at", *CHANGE_COLUMNS])
+
 
-def dedupe_commits(commits: DataFrame) -> DataFrame:
-    """One row per (repo, sha) without case: the earliest push of each commit.
+def dedupe_commits(commits: DataFrame, order: Sequence[str] = ("at", "event_id")) -> DataFrame:
+    """One row per (repo, sha) without case: the first in ``order``, i.e. the earliest push.
 
     The rank filter runs before the shuffle as well (a map task passes on one row per key),
-    so copies of one commit never pile up in a task.
+    so copies of one commit never pile up in a task. ``order`` should decide every tie.
     """
-    ties = [c for c in commits.columns if c not in ("repo", "sha", "at")]
-    orderable = [c for c in ties if "map" not in dict(commits.dtypes)[c]]
-    earliest = Window.partitionBy(F.lower("repo"), F.lower("sha")).orderBy("at", "repo", *orderable)
-    return commits.withColumn("_n", F.row_number().over(earliest)).where("_n = 1").drop("_n")
+    first = Window.partitionBy(F.lower("repo"), F.lower("sha")).orderBy(*order, "repo")
+    return commits.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
 def latest_pulls(pulls: DataFrame) -> DataFrame:
@@ -68,153 +102,137 @@ def push_coverage(commits: DataFrame) -> DataFrame:
 # --- revert linkage --------------------------------------------------------------------
 
 
-def undo_events(commits: DataFrame) -> DataFrame:
-    """Reverts and reapplies with what they name, from (deduplicated) commits.
-
-    Columns: ``repo_key, undo_sha, undo_at, is_reapply, target_sha, target_pr``.
-    """
-    parsed = commits.select(
-        F.lower("repo").alias("repo_key"),
-        F.lower("sha").alias("undo_sha"),
-        F.col("at").alias("undo_at"),
-        text.revert(F.col("message")).alias("r"),
-    ).where(F.col("r").isNotNull())
-    return parsed.select(
-        "repo_key",
-        "undo_sha",
-        "undo_at",
-        F.col("r.is_reapply").alias("is_reapply"),
-        F.col("r.reverted_sha").alias("target_sha"),
-        F.col("r.original_pr_number").alias("target_pr"),
-    )
+def pr_number(message: Column) -> Column:
+    """Number in the trailing ``(#n)`` of a squash-merge subject, or NULL."""
+    found = F.regexp_extract(text.subject(message), r"\(#(\d+)\)\z", 1)
+    return F.nullif(found, F.lit("")).try_cast("bigint")
 
 
-def resolve_targets(undos: DataFrame, commits: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Undo events that name a SHA, joined to the one commit they mean.
+def resolve_names(changed: DataFrame) -> DataFrame:
+    """SHA names used by undo commits -> the one commit each means, per repository.
 
-    The equi-join is on (repository, first seven digits); the rest of the name is a residual
-    prefix test. ``commits`` must be deduplicated, so an undo meets a handful of commits at
-    most. A name that fits several commits is ambiguous and resolves to none of them.
+    Names are made distinct first, so a commit undone a million times is one row. The
+    equi-join is on (repository, first seven digits), nearly unique on both sides; the rest
+    of the name is a residual prefix test. A name that fits several commits resolves to none.
     """
-    named = undos.where(F.length("target_sha") >= SHORT_SHA).withColumn(
-        "key7", F.substring("target_sha", 1, SHORT_SHA)
+    names = (
+        changed.where(F.length("target_sha") >= SHORT_SHA)
+        .select("repo_key", "target_sha")
+        .distinct()
+        .withColumn("key7", F.substring("target_sha", 1, SHORT_SHA))
     )
-    targets = commits.select(
-        F.lower("repo").alias("repo_key"),
-        F.lower("sha").alias("sha"),
+    commits = changed.select(
+        "repo_key",
+        "sha",
         F.col("at").alias("committed_at"),
-        F.substring(F.lower("sha"), 1, SHORT_SHA).alias("key7"),
+        F.substring("sha", 1, SHORT_SHA).alias("key7"),
     )
-    fits = F.startswith("sha", "target_sha") & (F.col("sha") != F.col("undo_sha"))
-    pairs = lookup_join(named, targets, ["repo_key", "key7"], "inner", hot_rows).where(fits)
+    pairs = names.join(commits, ["repo_key", "key7"]).where(F.startswith("sha", "target_sha"))
     return (
-        pairs.groupBy("repo_key", "undo_sha", "undo_at", "is_reapply", "target_sha")
+        pairs.groupBy("repo_key", "target_sha")
         .agg(
-            F.count("*").alias("candidates"),
+            F.count("*").alias("fits"),
             F.min("sha").alias("sha"),
             F.min("committed_at").alias("committed_at"),
         )
-        .where("candidates = 1")
-        .drop("candidates", "target_sha")
+        .where("fits = 1")
+        .drop("fits")
     )
 
 
-def pr_number(message: Column) -> Column:
-    """Number in the trailing ``(#n)`` of a squash-merge subject, or NULL."""
-    found = F.regexp_extract(text.subject(message), r"\(#(\d+)\)\z", 1)
-    return F.nullif(found, F.lit("")).try_cast("bigint")
+def net_reapplies(changed: DataFrame, names: DataFrame) -> DataFrame:
+    """Every revert with ``reapplied_at`` and ``netted``: was it itself undone afterwards.
+
+    A reapply (or a revert of the revert) that names the revert's SHA nets it, so the change
+    it undid stands after all. Undo events are folded per name before they are joined, and
+    reverts are unique per SHA, so neither join can skew.
+    """
+    undone = (
+        changed.where(F.length("target_sha") >= SHORT_SHA)
+        .groupBy("repo_key", "target_sha")
+        .agg(F.max("at").alias("undone_at"))
+        .join(names.select("repo_key", "target_sha", "sha"), ["repo_key", "target_sha"])
+        .groupBy("repo_key", "sha")
+        .agg(F.max("undone_at").alias("undone_at"))
+    )
+    reverts = changed.where("is_undo and not is_reapply").select(
+        "repo_key", "sha", F.col("at").alias("reverted_at"), "target_sha", "target_pr"
+    )
+    joined = reverts.join(undone, ["repo_key", "sha"], "left")
+    later = F.when(F.col("undone_at") >= F.col("reverted_at"), F.col("undone_at"))
+    return joined.select(
+        "repo_key",
+        F.col("sha").alias("revert_sha"),
+        "reverted_at",
+        "target_sha",
+        "target_pr",
+        later.alias("reapplied_at"),
+        later.isNotNull().alias("netted"),
+    )
 
 
-def revert_links(commits: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per reverted commit: the first revert at or after it, by SHA or PR number.
+def revert_links(changed: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per commit whose revert stands: the first such revert, by SHA or PR number.
 
-    ``commits`` is deduplicated and may carry ``pr_number`` (else it is read from the
-    subject). Reapplies are not reverts; see :func:`net_reapplies`. A PR number links to the
-    first revert that names the PR, which is found before anything is joined.
+    Reverts are folded to the earliest per name and per (repository, PR) before they meet
+    the commits. An undo older than the commit it names is not a link.
     """
-    base = commits if "pr_number" in commits.columns else _with_pr_number(commits)
-    undos = undo_events(base)
-    reverts = undos.where(~F.col("is_reapply"))
-    link = ["repo_key", "sha", "committed_at", "undo_sha", "undo_at"]
-    by_sha = resolve_targets(reverts, base, hot_rows).select(*link, F.lit("sha").alias("linked_by"))
-    first_per_pr = (
-        reverts.where(F.col("target_pr").isNotNull())
+    names = resolve_names(changed)
+    standing = net_reapplies(changed, names).where(~F.col("netted"))
+    first = F.min(F.struct("reverted_at", "revert_sha")).alias("u")
+    link = ["repo_key", "sha", "committed_at", "u.revert_sha", "u.reverted_at"]
+    by_sha = (
+        standing.where("target_sha is not null")
+        .groupBy("repo_key", "target_sha")
+        .agg(first)
+        .join(names, ["repo_key", "target_sha"])
+        .select(*link, F.lit(0).alias("w"))
+    )
+    per_pr = (
+        standing.where("target_pr is not null")
         .groupBy("repo_key", F.col("target_pr").alias("pr_number"))
-        .agg(F.min(F.struct("undo_at", "undo_sha")).alias("u"))
+        .agg(first)
     )
-    with_pr = base.where(F.col("pr_number").isNotNull()).select(
-        F.lower("repo").alias("repo_key"),
-        F.lower("sha").alias("sha"),
-        F.col("at").alias("committed_at"),
-        "pr_number",
+    with_pr = changed.where("pr_number is not null").select(
+        "repo_key", "sha", F.col("at").alias("committed_at"), "pr_number"
     )
-    by_pr = (
-        lookup_join(with_pr, first_per_pr, ["repo_key", "pr_number"], "inner", hot_rows)
-        .select("repo_key", "sha", "committed_at", "u.undo_sha", "u.undo_at")
-        .where(F.col("sha") != F.col("undo_sha"))
-        .withColumn("linked_by", F.lit("pr"))
+    by_pr = lookup_join(with_pr, per_pr, ["repo_key", "pr_number"], "inner", hot_rows).select(
+        *link, F.lit(1).alias("w")
     )
-    later = by_sha.unionByName(by_pr).where(F.col("undo_at") >= F.col("committed_at"))
-    best = later.groupBy("repo_key", "sha", "committed_at").agg(
-        F.min(F.struct("undo_at", "undo_sha", F.expr("if(linked_by = 'sha', 0, 1) AS w"))).alias("b")
+    later = by_sha.unionByName(by_pr).where(
+        (F.col("reverted_at") >= F.col("committed_at")) & (F.col("revert_sha") != F.col("sha"))
+    )
+    best = later.groupBy("repo_key", "sha").agg(
+        F.min(F.struct("reverted_at", "revert_sha", "w", "committed_at")).alias("b")
     )
     return best.select(
         "repo_key",
         "sha",
-        "committed_at",
-        F.col("b.undo_sha").alias("revert_sha"),
-        F.col("b.undo_at").alias("reverted_at"),
+        "b.committed_at",
+        "b.revert_sha",
+        "b.reverted_at",
         F.when(F.col("b.w") == 0, "sha").otherwise("pr").alias("linked_by"),
     )
 
 
-def _with_pr_number(commits: DataFrame) -> DataFrame:
-    return commits.withColumn("pr_number", pr_number(F.col("message")))
-
-
-def net_reapplies(links: DataFrame, commits: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``netted``: the revert was itself undone later, so the change stands after all.
-
-    Only undo events whose target is a revert are looked up, once, by the SHA they name.
-    """
-    undone = (
-        resolve_targets(undo_events(commits), commits, hot_rows)
-        .where(F.col("undo_at") >= F.col("committed_at"))
-        .groupBy("repo_key", F.col("sha").alias("revert_sha"))
-        .agg(F.max("undo_at").alias("reapplied_at"))
-    )
-    joined = lookup_join(links, undone, ["repo_key", "revert_sha"], "left", hot_rows)
-    return joined.withColumn("netted", F.col("reapplied_at").isNotNull())
-
-
 def commit_outcomes(
-    commits: DataFrame,
-    links: DataFrame,
-    *,
-    data_end: Column,
-    window_days: int = 30,
+    changed: DataFrame, links: DataFrame, *, data_end: Column, window_days: int = 30
 ) -> DataFrame:
-    """Per commit: was it reverted within the window, and was the window fully observed.
+    """Per change: was it reverted within the window, and was the window fully observed.
 
-    ``commits`` (deduplicated, attributed) minus reverts themselves. ``links`` come from
-    :func:`net_reapplies`; a netted revert does not count. Both sides are unique per
-    (repository, sha), so this join cannot skew.
+    Reverts and reapplies are not changes of their own and are left out. Both sides are
+    unique per (repository, sha), so the join cannot skew.
     """
-    undone = links.where(~F.col("netted")).select("repo_key", "sha", "reverted_at")
-    rows = (
-        commits.where(text.revert(F.col("message")).isNull())
-        .withColumns({"repo_key": F.lower("repo"), "sha": F.lower("sha")})
-        .join(undone, ["repo_key", "sha"], "left")
-    )
+    undone = links.select("repo_key", "sha", "reverted_at")
+    rows = changed.where("not is_undo").join(undone, ["repo_key", "sha"], "left")
     window = F.make_dt_interval(F.lit(window_days))
+    soon = F.col("reverted_at") <= F.col("at") + window
     return rows.withColumns(
         {
-            "reverted": F.coalesce(
-                F.col("reverted_at") <= F.col("at") + window, F.lit(False)
-            ),
+            "reverted": F.coalesce(soon, F.lit(False)),
             "followed_up": F.col("at") + window <= data_end,
         }
-    ).drop("repo_key")
+    )
 
 
 # --- rates -----------------------------------------------------------------------------
@@ -638,6 +656,7 @@ def link_commits_to_pulls(
     rows = commits.select(
         F.lower("repo").alias("repo_key"), F.lower("sha").alias("sha"), "pr_number"
     )
+    # Merge commits are unique on both sides; only numbers may repeat.
     by_merge = (
         pulls.where(F.col("merge_commit_sha").isNotNull())
         .groupBy(F.lower("repo").alias("repo_key"), F.lower("merge_commit_sha").alias("sha"))
@@ -648,7 +667,7 @@ def link_commits_to_pulls(
         F.col("number").alias("pr_number"),
         F.col("number").alias("number_pull"),
     )
-    merged = lookup_join(rows, by_merge, ["repo_key", "sha"], "left", hot_rows)
+    merged = rows.join(by_merge, ["repo_key", "sha"], "left")
     linked = lookup_join(merged, numbers, ["repo_key", "pr_number"], "left", hot_rows)
     how = F.when(F.col("merge_pull").isNotNull(), "merge_commit").when(
         F.col("number_pull").isNotNull(), "number"

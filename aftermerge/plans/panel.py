@@ -86,10 +86,11 @@ def run_panel(
     drawn = members.groupBy("panel_version", "created_on", "treated_rate", "control_rate").agg(
         F.count("*").alias("members_total")
     )
+    # Ledger and panel header are one row each, keyed like the manifest.
     manifest = (
         A.panel_manifest(snapshots, commits, pulls)
-        .crossJoin(F.broadcast(ledger))  # one row
-        .crossJoin(F.broadcast(drawn))  # one row per panel version, i.e. one
+        .join(ledger.withColumn("fetched_on", F.lit(fetched_on)), "fetched_on")
+        .join(drawn.withColumn("fetched_on", F.lit(fetched_on)), "fetched_on")
         .withColumns(
             {
                 "since": F.lit(since),
