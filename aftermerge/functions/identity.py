@@ -1,11 +1,14 @@
-"""Identity hashing, sampling keys and format checks as Column expressions."""
+"""Identity hashing, sampling keys and format checks as Column expressions.
+
+Arguments are the SQL text of a string expression, usually a column name.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aftermerge.functions.text import strip
+from aftermerge.functions.text import quote, strip_sql
 
 SAMPLE_SPACE = 10_000
 """Sampling keys lie in ``[0, SAMPLE_SPACE)``."""
@@ -15,36 +18,44 @@ SHA = r"^[0-9a-fA-F]{40}\z"
 REPO = r"^[A-Za-z0-9][A-Za-z0-9-]*/[A-Za-z0-9._-]+\z"
 
 
-def hash_identity(value: Column) -> Column:
+def _digest(value: str) -> str:
+    return f"sha2(CAST(lower({strip_sql(value)}) AS BINARY), 256)"
+
+
+def hash_identity_sql(value: str) -> str:
     """16 hex digits of SHA-256 over the trimmed, lower-cased value; NULL and '' give NULL."""
-    digest = F.substring(F.sha2(F.lower(strip(value)).cast("binary"), 256), 1, 16)
-    return F.when(F.length(value) > 0, digest)
+    return f"CASE WHEN length({value}) > 0 THEN substring({_digest(value)}, 1, 16) END"
+
+
+def hash_identity(value: str) -> Column:
+    """Column form of :func:`hash_identity_sql`."""
+    return F.expr(hash_identity_sql(value))
 
 
-def is_bot_login(login: Column) -> Column:
+def is_bot_login(login: str) -> Column:
     """True when the login ends in ``[bot]``; NULL counts as no."""
-    return F.coalesce(F.endswith(login, F.lit("[bot]")), F.lit(False))
+    return F.expr(f"coalesce(endswith({login}, '[bot]'), false)")
 
 
-def valid_sha(sha: Column) -> Column:
+def valid_sha(sha: str) -> Column:
     """Exactly 40 hex digits, either case."""
-    return F.coalesce(sha.rlike(SHA), F.lit(False))
+    return F.expr(f"coalesce({sha} RLIKE {quote(SHA)}, false)")
 
 
-def valid_repo(repo: Column) -> Column:
+def valid_repo(repo: str) -> Column:
     """``owner/name`` with the characters the hosting site allows."""
-    return F.coalesce(repo.rlike(REPO), F.lit(False))
+    return F.expr(f"coalesce({repo} RLIKE {quote(REPO)}, false)")
 
 
-def sample_key(repo: Column) -> Column:
+def sample_key(repo: str) -> Column:
     """Stable INT in ``[0, SAMPLE_SPACE)``: the first 64 bits of SHA-256 of the lower-cased name.
 
     The 64-bit value is reduced half by half, so it never leaves signed BIGINT range.
     """
-    digest = F.sha2(F.lower(strip(repo)).cast("binary"), 256)
-    high = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    low = F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint")
-    return ((high % SAMPLE_SPACE * _TWO_POW_32_MOD + low) % SAMPLE_SPACE).cast("int")
+    high = f"CAST(conv(substring({_digest(repo)}, 1, 8), 16, 10) AS BIGINT)"
+    low = f"CAST(conv(substring({_digest(repo)}, 9, 8), 16, 10) AS BIGINT)"
+    whole = f"{high} % {SAMPLE_SPACE} * {_TWO_POW_32_MOD} + {low}"
+    return F.expr(f"CAST(({whole}) % {SAMPLE_SPACE} AS INT)")
 
 
 def sample_threshold(rate: float) -> int:
@@ -54,6 +65,6 @@ def sample_threshold(rate: float) -> int:
     return round(rate * SAMPLE_SPACE)
 
 
-def in_sample(repo: Column, rate: float) -> Column:
+def in_sample(repo: str, rate: float) -> Column:
     """True when the repository falls in a sample of the given rate."""
-    return sample_key(repo) < F.lit(sample_threshold(rate))
+    return sample_key(repo) < sample_threshold(rate)

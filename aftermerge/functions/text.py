@@ -1,149 +1,175 @@
-"""Commit-message text as Column expressions: subjects, trailers, people and reverts.
+"""Commit-message text as SQL expressions: subjects, trailers, people and reverts.
 
-All of it stays in the JVM. Multi-step parses bind intermediate values with :func:`let`, so
-each step is evaluated once per row and the expression stays linear in size however often a
-value is used. Every pattern is linear on ordinary text and nothing is cut: whole messages
-are parsed.
+Functions take the SQL text of a string expression (usually a column name) and come in two
+forms: ``trailers("message")`` gives a Column, ``trailers_sql("message")`` the expression
+text, for use inside a larger one. Expression text is used because these parses nest deeply:
+the parser builds them in one step where chained Column calls would each cross to the JVM.
+
+All of it stays in the JVM. Intermediate values are bound with :func:`let`, so each step is
+evaluated once per row and an expression stays linear in size however often a value is used.
+Nothing is cut: whole messages are parsed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aftermerge.functions.patterns import WS, WS_CHARS, own
 
 TRAILER_TYPE = "array<struct<key:string,value:string>>"
-PERSON_TYPE = "struct<name:string,email:string>"
-REVERT_TYPE = (
-    "struct<is_reapply:boolean,original_subject:string,reverted_sha:string,"
-    "original_pr_number:bigint,revert_pr_number:bigint>"
-)
 
 _BLANK_LINE = own(rf"\n[{WS}]*\n")
 _KEY = r"[A-Za-z0-9][A-Za-z0-9-]*"
 _CHERRY_PICK = own(r"^\(cherry picked from commit [0-9a-fA-F]{7,64}\)$")
+_NOT_FOLDED = own(rf"^[^{WS}]")
 _BLOCK_LINE = own(rf"^(?:[{WS}]|{_KEY}[{WS}]*:)")
-_FOLDED = own(rf"(?<![{WS}])[{WS}]*\n[{WS}]+")
+_FOLD = own(rf"(?<![{WS}])[{WS}]*\n[{WS}]+")
 _TRAILER = own(rf"^({_KEY})[{WS}]*:[{WS}]*(.*)$")
 _PERSON = own(rf"^[{WS}]*(.*?)[{WS}]*<([^<>]+)>[{WS}]*$")
-_REVERT_SUBJECT = own(rf'^(Revert|Reapply)[{WS}]+"((?s:.*))"(?:[{WS}]+\(#(\d+)\))?[{WS}]*$')
-_REVERTED_SHA = own(r"This reverts commit ([0-9a-fA-F]{7,40})\b")
-_REVERTED_PR = own(rf"(?m)^Reverts[{WS}]+(?:[\w.-]+/[\w.-]+)?#(\d+)[{WS}]*$")
-_SUBJECT_PR = own(rf"\(#(\d+)\)[{WS}]*$")
-COARSE_REVERT = r'^(?:Revert|Reapply) "'
+_UNDO = own(rf'^(Revert|Reapply)[{WS}]+"((?s:.*))"(?:[{WS}]+\(#(\d+)\))?[{WS}]*$')
+_UNDO_PREFIX = r"^Re(?:vert|apply)"
+_UNDONE_SHA = own(r"This reverts commit ([0-9a-fA-F]{7,40})\b")
+_UNDONE_PR = own(rf"(?m)^Reverts[{WS}]+(?:[\w.-]+/[\w.-]+)?#(\d+)[{WS}]*$")
+_TRAILING_PR = own(rf"\(#(\d+)\)[{WS}]*$")
+_COARSE_UNDO = r'^(?:Revert|Reapply) "'
+
+
+def quote(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, whatever the number of uses."""
-    return F.get(F.transform(F.array(value), lambda bound: body(bound)), F.lit(0))
+def let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, evaluated once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def strip(text: Column) -> Column:
+_SPACE = quote(WS_CHARS)
+_NO_TRAILERS = f"CAST(array() AS {TRAILER_TYPE})"
+
+
+def strip_sql(text: str) -> str:
     """Python's ``str.strip``: all Unicode white space, both ends."""
-    return F.trim(text, F.lit(WS_CHARS))
+    return f"trim(BOTH {_SPACE} FROM {text})"
 
 
-def normalise(message: Column) -> Column:
+def normalise_sql(message: str) -> str:
     """``\\r\\n`` and lone ``\\r`` become ``\\n``; trailing white space goes."""
-    unix = F.replace(F.replace(message, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return F.rtrim(unix, F.lit(WS_CHARS))
+    unix = f"replace(replace({message}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    return f"trim(TRAILING {_SPACE} FROM {unix})"
+
+
+def _stripped_left(message: str) -> str:
+    return f"trim(LEADING {_SPACE} FROM {normalise_sql(message)})"
 
 
-def subject(message: Column) -> Column:
+def subject_sql(message: str) -> str:
     """First line of the message, stripped; '' for a blank message, NULL for NULL."""
-    text = F.ltrim(normalise(message), F.lit(WS_CHARS))
-    return strip(F.substring_index(text, "\n", 1))
+    return strip_sql(f"substring_index({_stripped_left(message)}, chr(10), 1)")
 
 
-def trailers(message: Column) -> Column:
+def trailers_sql(message: str) -> str:
     """Trailer block of the message as ``array<struct<key,value>>``, in order.
 
     Only a last paragraph made wholly of ``Key: value`` lines, their folded continuations and
     cherry-pick notes counts. Anything else, or a one-paragraph message, gives an empty array.
     """
-    none = F.array().cast(TRAILER_TYPE)
+    unfolded = f"split(regexp_replace(array_join(ls, chr(10)), {quote(_FOLD)}, ' '), chr(10), -1)"
+    value = strip_sql(f"regexp_extract(l, {quote(_TRAILER)}, 2)")
+    parsed = (
+        f"transform({unfolded}, l -> struct(regexp_extract(l, {quote(_TRAILER)}, 1) AS key,"
+        f" {value} AS value))"
+    )
+    is_block = (
+        f"size(ls) > 0 AND get(ls, 0) RLIKE {quote(_NOT_FOLDED)}"
+        f" AND forall(ls, l -> l RLIKE {quote(_BLOCK_LINE)})"
+    )
+    lines = f"filter(split(element_at(ps, -1), chr(10), -1), l -> NOT l RLIKE {quote(_CHERRY_PICK)})"
+    block = let(lines, "ls", f"CASE WHEN {is_block} THEN {parsed} ELSE {_NO_TRAILERS} END")
+    last = f"CASE WHEN size(ps) > 1 THEN {block} ELSE {_NO_TRAILERS} END"
+    paragraphs = let(f"split(t, {quote(_BLANK_LINE)}, -1)", "ps", last)
+    # A single line cannot hold a second paragraph: most messages skip the split.
+    body = f"CASE WHEN contains(t, chr(10)) THEN {paragraphs} ELSE {_NO_TRAILERS} END"
+    return f"CASE WHEN {message} IS NOT NULL THEN {let(normalise_sql(message), 't', body)} END"
 
-    def from_paragraphs(parts: Column) -> Column:
-        return F.when(F.size(parts) > 1, _trailer_block(F.element_at(parts, -1))).otherwise(none)
 
-    def from_text(text: Column) -> Column:
-        # A single line cannot hold a second paragraph: skip the split for most messages.
-        split = let(F.split(text, _BLANK_LINE, -1), from_paragraphs)
-        return F.when(F.contains(text, F.lit("\n")), split).otherwise(none)
+def trailer_values_sql(message: str, key: str) -> str:
+    """Values of every trailer with that key (any case), in order."""
+    wanted = f"filter({trailers_sql(message)}, f -> lower(f.key) = {quote(key.lower())})"
+    return f"transform({wanted}, f -> f.value)"
 
-    return F.when(message.isNotNull(), let(normalise(message), from_text))
 
+def person_sql(value: str) -> str:
+    """``Name <email>`` as ``struct<name,email>``; NULL when the shape does not fit."""
+    email = strip_sql(f"regexp_extract({value}, {quote(_PERSON)}, 2)")
+    parts = f"struct(regexp_extract({value}, {quote(_PERSON)}, 1) AS name, {email} AS email)"
+    return f"CASE WHEN {value} RLIKE {quote(_PERSON)} THEN {parts} END"
 
-def _trailer_block(block: Column) -> Column:
-    def unfold(lines: Column) -> Column:
-        return F.split(F.regexp_replace(F.array_join(lines, "\n"), _FOLDED, " "), "\n", -1)
 
-    def parse(line: Column) -> Column:
-        return F.struct(
-            F.regexp_extract(line, _TRAILER, 1).alias("key"),
-            strip(F.regexp_extract(line, _TRAILER, 2)).alias("value"),
-        )
+def coarse_revert_sql(message: str) -> str:
+    """The scan-level revert test: the raw message starts ``Revert "`` or ``Reapply "``."""
+    return f"coalesce({message} RLIKE {quote(_COARSE_UNDO)}, false)"
 
-    def from_lines(lines: Column) -> Column:
-        starts_with_key = F.get(lines, F.lit(0)).rlike(own(rf"^[^{WS}]"))
-        all_fit = F.forall(lines, lambda line: line.rlike(_BLOCK_LINE))
-        return F.when(
-            (F.size(lines) > 0) & starts_with_key & all_fit,
-            F.transform(unfold(lines), parse),
-        ).otherwise(F.array().cast(TRAILER_TYPE))
 
-    kept = F.filter(F.split(block, "\n", -1), lambda line: ~line.rlike(_CHERRY_PICK))
-    return let(kept, from_lines)
+def revert_sql(message: str) -> str:
+    """What a revert or reapply commit says it undoes, as a struct; NULL for other messages."""
 
+    def found(pattern: str, text: str, group: int = 1) -> str:
+        return f"nullif(regexp_extract({text}, {quote(pattern)}, {group}), '')"
 
-def trailer_values(message: Column, key: str) -> Column:
-    """Values of every trailer with that key (any case), in order."""
-    wanted = F.filter(trailers(message), lambda t: F.lower(t["key"]) == key.lower())
-    return F.transform(wanted, lambda t: t["value"])
+    quoted = strip_sql(f"regexp_extract(h, {quote(_UNDO)}, 2)")
+    number = f"coalesce({found(_UNDONE_PR, 'b')}, {found(_TRAILING_PR, quoted)})"
+    fields = (
+        f"struct(regexp_extract(h, {quote(_UNDO)}, 1) = 'Reapply' AS is_reapply,"
+        f" {quoted} AS original_subject, lower({found(_UNDONE_SHA, 'b')}) AS reverted_sha,"
+        f" try_cast({number} AS BIGINT) AS original_pr_number,"
+        f" try_cast({found(_UNDO, 'h', 3)} AS BIGINT) AS revert_pr_number)"
+    )
+    undo = f"CASE WHEN h RLIKE {quote(_UNDO)} THEN {fields} END"
+    head = strip_sql("replace(get(ps, 0), chr(10), ' ')")
+    with_body = let("coalesce(get(ps, 1), '')", "b", undo)
+    parsed = let(f"split(t, {quote(_BLANK_LINE)}, 2)", "ps", let(head, "h", with_body))
+    # Almost no commit is a revert: a literal prefix test spares the rest the parse.
+    guarded = f"CASE WHEN t RLIKE {quote(_UNDO_PREFIX)} THEN {parsed} END"
+    return let(_stripped_left(message), "t", guarded)
 
 
-def person(value: Column) -> Column:
-    """``Name <email>`` as ``struct<name,email>``; NULL when the shape does not fit."""
-    return F.when(
-        value.rlike(_PERSON),
-        F.struct(
-            F.regexp_extract(value, _PERSON, 1).alias("name"),
-            strip(F.regexp_extract(value, _PERSON, 2)).alias("email"),
-        ),
-    )
+def strip(text: str) -> Column:
+    """Column form of :func:`strip_sql`."""
+    return F.expr(strip_sql(text))
 
 
-def is_coarse_revert(message: Column) -> Column:
-    """The scan-level revert test: the raw message starts ``Revert "`` or ``Reapply "``."""
-    return message.rlike(COARSE_REVERT)
-
-
-def revert(message: Column) -> Column:
-    """What a revert or reapply commit says it undoes, or NULL for any other message."""
-
-    def found(pattern: str, text: Column) -> Column:
-        return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-
-    def parse(parts: Column) -> Column:
-        head = strip(F.replace(F.get(parts, F.lit(0)), F.lit("\n"), F.lit(" ")))
-        body = F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
-        quoted = strip(F.regexp_extract(head, _REVERT_SUBJECT, 2))
-        own_pr = F.nullif(F.regexp_extract(head, _REVERT_SUBJECT, 3), F.lit(""))
-        fields = F.struct(
-            (F.regexp_extract(head, _REVERT_SUBJECT, 1) == "Reapply").alias("is_reapply"),
-            quoted.alias("original_subject"),
-            F.lower(found(_REVERTED_SHA, body)).alias("reverted_sha"),
-            F.coalesce(found(_REVERTED_PR, body), found(_SUBJECT_PR, quoted))
-            .try_cast("bigint")
-            .alias("original_pr_number"),
-            own_pr.try_cast("bigint").alias("revert_pr_number"),
-        )
-        return F.when(head.rlike(_REVERT_SUBJECT), fields)
-
-    text = F.ltrim(normalise(message), F.lit(WS_CHARS))
-    # Almost no commit is a revert: a literal prefix test spares the rest the parse.
-    looks_like = text.rlike(r"^Re(?:vert|apply)")
-    return F.when(looks_like, let(F.split(text, _BLANK_LINE, 2), parse))
+def normalise(message: str) -> Column:
+    """Column form of :func:`normalise_sql`."""
+    return F.expr(normalise_sql(message))
+
+
+def subject(message: str) -> Column:
+    """Column form of :func:`subject_sql`."""
+    return F.expr(subject_sql(message))
+
+
+def trailers(message: str) -> Column:
+    """Column form of :func:`trailers_sql`."""
+    return F.expr(trailers_sql(message))
+
+
+def trailer_values(message: str, key: str) -> Column:
+    """Column form of :func:`trailer_values_sql`."""
+    return F.expr(trailer_values_sql(message, key))
+
+
+def person(value: str) -> Column:
+    """Column form of :func:`person_sql`."""
+    return F.expr(person_sql(value))
+
+
+def is_coarse_revert(message: str) -> Column:
+    """Column form of :func:`coarse_revert_sql`."""
+    return F.expr(coarse_revert_sql(message))
+
+
+def revert(message: str) -> Column:
+    """Column form of :func:`revert_sql`."""
+    return F.expr(revert_sql(message))

@@ -33,54 +33,32 @@ COMMIT = """struct<sha:string,committed_at:timestamp,subject:string,message:stri
     associated_pr_number:bigint>"""
 
 
-def _or_zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0)).cast("int")
-
-
-def _or_empty(value: Column) -> Column:
-    return F.coalesce(value, F.lit(""))
-
-
-def _commit(node: Column) -> Column:
-    author = node["author"]
-    user = author["user"]
-    return F.struct(
-        node["oid"].alias("sha"),
-        F.try_to_timestamp(node["committedDate"]).alias("committed_at"),
-        _or_empty(node["messageHeadline"]).alias("subject"),
-        _or_empty(node["message"]).alias("message"),
-        author["name"].alias("author_name"),
-        author["email"].alias("author_email"),
-        user["login"].alias("author_login"),
-        F.coalesce(user["__typename"] == "Bot", F.lit(False)).alias("author_is_bot"),
-        F.get(node["associatedPullRequests"]["nodes"], F.lit(0))["number"].alias(
-            "associated_pr_number"
-        ),
-    )
-
-
-def _pull(node: Column) -> Column:
-    author = node["author"]
-    return F.struct(
-        node["number"].alias("number"),
-        _or_empty(node["title"]).alias("title"),
-        _or_empty(node["body"]).alias("body"),
-        _or_empty(node["state"]).alias("state"),
-        F.try_to_timestamp(node["createdAt"]).alias("created_at"),
-        F.try_to_timestamp(node["updatedAt"]).alias("updated_at"),
-        F.try_to_timestamp(node["closedAt"]).alias("closed_at"),
-        F.try_to_timestamp(node["mergedAt"]).alias("merged_at"),
-        F.coalesce(node["merged"], F.lit(False)).alias("merged"),
-        author["login"].alias("author_login"),
-        F.coalesce(author["__typename"] == "Bot", F.lit(False)).alias("author_is_bot"),
-        node["additions"].alias("additions"),
-        node["deletions"].alias("deletions"),
-        node["changedFiles"].alias("changed_files"),
-        _or_zero(node["reviews"]["totalCount"]).alias("review_count"),
-        _or_zero(node["comments"]["totalCount"]).alias("comment_count"),
-        _or_zero(node["reviewThreads"]["totalCount"]).alias("review_thread_count"),
-        node["mergeCommit"]["oid"].alias("merge_commit_sha"),
-    )
+# One API node `n` as a typed struct. Missing text is '', missing counts are 0, optional
+# times stay NULL; times are ISO 8601 with a zone.
+_COMMIT = """struct(
+    n.oid AS sha, try_to_timestamp(n.committedDate) AS committed_at,
+    coalesce(n.messageHeadline, '') AS subject, coalesce(n.message, '') AS message,
+    n.author.name AS author_name, n.author.email AS author_email,
+    n.author.user.login AS author_login,
+    coalesce(n.author.user.__typename = 'Bot', false) AS author_is_bot,
+    get(n.associatedPullRequests.nodes, 0).number AS associated_pr_number)"""
+
+_PULL = """struct(
+    n.number AS number, coalesce(n.title, '') AS title, coalesce(n.body, '') AS body,
+    coalesce(n.state, '') AS state, try_to_timestamp(n.createdAt) AS created_at,
+    try_to_timestamp(n.updatedAt) AS updated_at, try_to_timestamp(n.closedAt) AS closed_at,
+    try_to_timestamp(n.mergedAt) AS merged_at, coalesce(n.merged, false) AS merged,
+    n.author.login AS author_login, coalesce(n.author.__typename = 'Bot', false) AS author_is_bot,
+    n.additions AS additions, n.deletions AS deletions, n.changedFiles AS changed_files,
+    CAST(coalesce(n.reviews.totalCount, 0) AS INT) AS review_count,
+    CAST(coalesce(n.comments.totalCount, 0) AS INT) AS comment_count,
+    CAST(coalesce(n.reviewThreads.totalCount, 0) AS INT) AS review_thread_count,
+    n.mergeCommit.oid AS merge_commit_sha)"""
+
+
+def _commits(nodes: str) -> Column:
+    listed = f"transform({nodes}, n -> {_COMMIT})"
+    return F.expr(f"coalesce({listed}, CAST(array() AS array<{COMMIT}>))").alias("commits")
 
 
 def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int = 50) -> DataFrame:
@@ -132,10 +110,8 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
         branch["name"].alias("default_branch"),
         history["totalCount"].alias("commits_total"),
         F.coalesce(history["pageInfo"]["hasNextPage"], F.lit(False)).alias("commits_truncated"),
-        F.coalesce(F.transform(history["nodes"], _commit), F.array().cast(f"array<{COMMIT}>")).alias(
-            "commits"
-        ),
-        F.transform(F.col("n.pullRequests.nodes"), _pull).alias("all_pulls"),
+        _commits("n.defaultBranchRef.target.history.nodes"),
+        F.expr(f"transform(n.pullRequests.nodes, n -> {_PULL})").alias("all_pulls"),
     )
     recent = F.filter("all_pulls", lambda p: p["updated_at"] >= F.lit(since))
     page = F.coalesce(F.size("all_pulls"), F.lit(0))
@@ -161,9 +137,7 @@ def history_pages(responses: DataFrame) -> DataFrame:
         "repo",
         "page_no",
         F.coalesce(more, F.lit(False)).alias("has_next"),
-        F.coalesce(F.transform(F.col("h.nodes"), _commit), F.array().cast(f"array<{COMMIT}>")).alias(
-            "commits"
-        ),
+        _commits("h.nodes"),
     )
 
 
@@ -214,7 +188,7 @@ def repo_snapshots(activity: DataFrame, members: DataFrame, fetched_on: dt.date)
 
 
 def _judged(df: DataFrame, body: str) -> DataFrame:
-    revert = df.withColumn("_revert", text.revert(F.col(body)))
+    revert = df.withColumn("_revert", text.revert(body))
     names = ("is_reapply", "reverted_sha", "original_pr_number", "revert_pr_number")
     return revert.withColumns(
         {
@@ -222,7 +196,7 @@ def _judged(df: DataFrame, body: str) -> DataFrame:
             **{name: F.col(f"_revert.{name}") for name in names},
             "original_subject": F.col("_revert.original_subject"),
             "evidence_json": evidence_json(F.col("evidence"), F.col("agent_id")),
-            "author_is_bot": F.col("author_is_bot") | identity.is_bot_login(F.col("author_login")),
+            "author_is_bot": F.col("author_is_bot") | identity.is_bot_login("author_login"),
         }
     )
 
@@ -236,7 +210,7 @@ def panel_commits(
     registry_version: int,
 ) -> DataFrame:
     """Attributed commits of the members; rows with an invalid SHA are left out."""
-    rows = stitched.where(identity.valid_sha(F.col("sha"))).withColumns(
+    rows = stitched.where(identity.valid_sha("sha")).withColumns(
         {"sha": F.lower("sha"), "subject": F.left(F.col("subject"), F.lit(500))}
     )
     judged = _judged(attribute(rows.join(_membership(members), "repo"), rules, COMMIT_INPUTS), "message")

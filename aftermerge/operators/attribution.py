@@ -7,12 +7,11 @@ comes out already ordered because the rules are. No shuffle, no join, no Python
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.functions.text import let, person, trailers
+from aftermerge.functions.text import let, person_sql, quote, trailers_sql
 from aftermerge.operators.rules import TRAILER_TYPES, Rule
 from aftermerge.schemas import EVIDENCE
 
@@ -37,78 +36,64 @@ _TRAILER_FIELD = {
 }
 
 
-def evidence_column(rules: Sequence[Rule], inputs: Mapping[str, str]) -> Column:
-    """Matching signals of one row as ``array<struct>``, strongest first; empty if none."""
+def _evidence_sql(rules: Sequence[Rule], inputs: Mapping[str, str]) -> str:
     keys = sorted({r.trailer_key.lower() for r in rules if r.type in TRAILER_TYPES and r.trailer_key})
-    usable = [r for r in rules if r.type in TRAILER_TYPES or r.type in inputs]
-
-    def gather(people: Column | None) -> Column:
-        entries = [let(_match(r, people, inputs), partial(_entry, r)) for r in usable]
-        return F.array_compact(F.array(*entries)) if entries else F.array().cast(EVIDENCE)
+    usable = [r for r in rules if r.type in inputs or (r.type in TRAILER_TYPES and "message" in inputs)]
+    entries = ", ".join(let(_match_sql(r, inputs), "m", _entry_sql(r)) for r in usable)
+    found = f"CAST(array_compact(array({entries})) AS {EVIDENCE})"
+    if any(r.type in TRAILER_TYPES for r in usable):
+        return let(_people_sql(inputs["message"], keys), "people", found)
+    return found
 
-    if not keys or "message" not in inputs:
-        return gather(None).cast(EVIDENCE)
-    return let(_people(F.col(inputs["message"]), keys), gather).cast(EVIDENCE)
 
-
-def _people(message: Column, keys: list[str]) -> Column:
+def _people_sql(message: str, keys: list[str]) -> str:
     """Trailers some rule asks for, each with its name and e-mail part."""
-    wanted = F.filter(trailers(message), lambda t: F.lower(t["key"]).isin(*keys))
-
-    def split(trailer: Column) -> Column:
-        def parts(found: Column) -> Column:
-            # A value without <email> counts as a bare name.
-            return F.struct(
-                F.lower(trailer["key"]).alias("key"),
-                trailer["value"].alias("value"),
-                F.coalesce(found["name"], trailer["value"]).alias("name"),
-                found["email"].alias("email"),
-            )
-
-        return let(person(trailer["value"]), parts)
-
-    return F.transform(wanted, split)
+    listed = ", ".join(quote(k) for k in keys)
+    wanted = f"filter({trailers_sql(message)}, w -> lower(w.key) IN ({listed}))"
+    # A value without <email> counts as a bare name.
+    parts = (
+        "struct(lower(w.key) AS key, w.value AS value,"
+        " coalesce(who.name, w.value) AS name, who.email AS email)"
+    )
+    return f"transform({wanted}, w -> {let(person_sql('w.value'), 'who', parts)})"
 
 
-def _match(rule: Rule, people: Column | None, inputs: Mapping[str, str]) -> Column:
+def _match_sql(rule: Rule, inputs: Mapping[str, str]) -> str:
     """The text a rule matched on, or NULL."""
+    pattern = quote(rule.java)
     if rule.type in TRAILER_TYPES:
-        if people is None:
-            return F.lit(None).cast("string")
         part = _TRAILER_FIELD[rule.type]
-        key = (rule.trailer_key or "").lower()
-        hits = F.filter(people, lambda p: (p["key"] == key) & p[part].rlike(rule.java))
-        return F.get(hits, F.lit(0))[part]
-    field = F.col(inputs[rule.type])
-    return F.when(
-        (F.length(field) > 0) & field.rlike(rule.java), F.regexp_extract(field, rule.java, 0)
+        key = quote((rule.trailer_key or "").lower())
+        return f"get(filter(people, p -> p.key = {key} AND p.{part} RLIKE {pattern}), 0).{part}"
+    field = inputs[rule.type]
+    return (
+        f"CASE WHEN length({field}) > 0 AND {field} RLIKE {pattern}"
+        f" THEN regexp_extract({field}, {pattern}, 0) END"
     )
 
 
-def _entry(rule: Rule, matched: Column) -> Column:
-    found = F.struct(
-        F.lit(rule.agent_id).alias("agent_id"),
-        F.lit(rule.signal_id).alias("signal_id"),
-        F.lit(rule.type).alias("signal_type"),
-        F.lit(rule.confidence).alias("confidence"),
-        matched.alias("matched"),
+def _entry_sql(rule: Rule) -> str:
+    return (
+        f"CASE WHEN m IS NOT NULL THEN struct({quote(rule.agent_id)} AS agent_id,"
+        f" {quote(rule.signal_id)} AS signal_id, {quote(rule.type)} AS signal_type,"
+        f" {quote(rule.confidence)} AS confidence, m AS matched) END"
     )
-    return F.when(matched.isNotNull(), found)
 
 
-def verdict_column(rules: Sequence[Rule], inputs: Mapping[str, str]) -> Column:
-    """``struct<agent_id, confidence, evidence>``; agent NULL when the best evidence is low."""
+def evidence_column(rules: Sequence[Rule], inputs: Mapping[str, str]) -> Column:
+    """Matching signals of one row as ``array<struct>``, strongest first; empty if none."""
+    return F.expr(_evidence_sql(rules, inputs))
 
-    def decide(evidence: Column) -> Column:
-        best = F.get(evidence, F.lit(0))
-        strong = best["confidence"] != "low"
-        return F.struct(
-            F.when(strong, best["agent_id"]).alias("agent_id"),
-            F.when(strong, best["confidence"]).alias("confidence"),
-            evidence.alias("evidence"),
-        )
 
-    return let(evidence_column(rules, inputs), decide)
+def verdict_column(rules: Sequence[Rule], inputs: Mapping[str, str]) -> Column:
+    """``struct<agent_id, confidence, evidence>``; agent NULL when the best evidence is low."""
+    best = "get(ev, 0)"
+    strong = f"{best}.confidence <> 'low'"
+    fields = (
+        f"struct(CASE WHEN {strong} THEN {best}.agent_id END AS agent_id,"
+        f" CASE WHEN {strong} THEN {best}.confidence END AS confidence, ev AS evidence)"
+    )
+    return F.expr(let(_evidence_sql(rules, inputs), "ev", fields))
 
 
 def evaluate_signals(
@@ -137,7 +122,7 @@ def attribute(
 
 def agent_ids(evidence: Column) -> Column:
     """Distinct agents in evidence order."""
-    return F.array_distinct(F.transform(evidence, lambda e: e["agent_id"]))
+    return F.array_distinct(evidence["agent_id"])
 
 
 def evidence_json(evidence: Column, agent_id: Column) -> Column:

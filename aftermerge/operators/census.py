@@ -92,8 +92,8 @@ def _boolean(value: Column) -> Column:
 
 def reject_reason(sha: str = "sha", repo: str = "repo") -> Column:
     """Why a commit row is malformed, or NULL when it is fine."""
-    return F.when(~identity.valid_sha(F.col(sha)), "bad_sha").when(
-        ~identity.valid_repo(F.col(repo)), "bad_repo"
+    return F.when(~identity.valid_sha(sha), "bad_sha").when(
+        ~identity.valid_repo(repo), "bad_repo"
     )
 
 
@@ -147,7 +147,7 @@ def select_observations(
     """
     rows = flagged
     if not strict_reference:
-        rows = rows.withColumn("revert_hit", text.revert(F.col("message")).isNotNull())
+        rows = rows.withColumn("revert_hit", text.revert("message").isNotNull())
     totals = repo_day_totals(rows).where("has_candidate or has_revert")
     hot = totals.where(F.col("commits_in_repo_day") >= hot_rows).select(
         "day",
@@ -172,19 +172,19 @@ def judge_commits(selected: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Attribute, parse reverts and validate, keeping malformed rows marked for the counts."""
     judged = attribute(validate_commits(selected), rules, PUSH_INPUTS)
     return judged.withColumns(
-        {"revert": text.revert(F.col("message")), "matched_prefilter": any_hit()}
+        {"revert": text.revert("message"), "matched_prefilter": any_hit()}
     )
 
 
 def hash_identities(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Replace each raw identity column ``x`` by ``x_hash``; the raw values are dropped."""
-    hashed = {f"{name}_hash": identity.hash_identity(F.col(name)) for name in names}
+    hashed = {f"{name}_hash": identity.hash_identity(name) for name in names}
     return df.withColumns(hashed).drop(*names)
 
 
 def flatten_observation(judged: DataFrame, registry_version: int) -> DataFrame:
     """The 25 stored columns of the census, in order, from judged rows."""
-    bot = judged.withColumn("pusher_is_bot", identity.is_bot_login(F.col("pusher_login")))
+    bot = judged.withColumn("pusher_is_bot", identity.is_bot_login("pusher_login"))
     hashed = hash_identities(bot, ["author_email", "author_name", "pusher_login"])
     full = hashed.withColumns(
         {
@@ -192,7 +192,7 @@ def flatten_observation(judged: DataFrame, registry_version: int) -> DataFrame:
             "registry_version": F.lit(registry_version),
             "push_size": F.col("push_size").try_cast("int"),
             "commits_in_repo_day": F.col("commits_in_repo_day").cast("int"),
-            "subject": F.left(text.subject(F.col("message")), F.lit(500)),
+            "subject": F.left(text.subject("message"), F.lit(500)),
             "is_revert": F.col("revert").isNotNull(),
             "evidence_json": evidence_json(F.col("evidence"), F.col("agent_id")),
             **{
@@ -251,20 +251,13 @@ def redact_person_emails(df: DataFrame, column: str = "message") -> DataFrame:
 
     Optional: stored messages otherwise keep the addresses people put in their trailers.
     """
-    pattern = r"<([^<>\s@]+@[^<>\s@]+)>"
-    parts = F.split(F.col(column), pattern, -1)
-    found = F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(1))
-    rebuilt = F.zip_with(
-        parts,
-        found,
-        lambda before, address: F.concat(
-            before,
-            F.when(
-                address.isNotNull(), F.concat(F.lit("<"), identity.hash_identity(address), F.lit(">"))
-            ).otherwise(F.lit("")),
-        ),
+    pattern = text.quote(r"<([^<>\s@]+@[^<>\s@]+)>")
+    marked = f"'<' || {identity.hash_identity_sql('address')} || '>'"
+    rebuilt = (
+        f"array_join(zip_with(split({column}, {pattern}, -1), regexp_extract_all({column}, {pattern}, 1),"
+        f" (before, address) -> before || coalesce({marked}, '')), '')"
     )
-    return df.withColumn(column, F.array_join(rebuilt, ""))
+    return df.withColumn(column, F.expr(rebuilt))
 
 
 def pii_leak_audit(stored: DataFrame, hash_columns: Sequence[str]) -> DataFrame:

@@ -45,8 +45,7 @@ def changes(judged: DataFrame) -> DataFrame:
     source knows it, else reads it from the subject). The message is parsed and dropped
     before the first shuffle. Worth staging: every outcome reads it several times.
     """
-    message = F.col("message")
-    known = F.col("pr_number") if "pr_number" in judged.columns else pr_number(message)
+    known = F.col("pr_number") if "pr_number" in judged.columns else pr_number("message")
     parsed = judged.select(
         "repo",
         F.lower("repo").alias("repo_key"),
@@ -55,8 +54,8 @@ def changes(judged: DataFrame) -> DataFrame:
         "event_id",
         "agent_id",
         known.alias("pr_number"),
-        is_fix(message).alias("is_fix"),
-        text.revert(message).alias("_r"),
+        is_fix("message").alias("is_fix"),
+        text.revert("message").alias("_r"),
     )
     flat = parsed.select(
         *[c for c in parsed.columns if c != "_r"],
@@ -102,7 +101,7 @@ def push_coverage(commits: DataFrame) -> DataFrame:
 # --- revert linkage --------------------------------------------------------------------
 
 
-def pr_number(message: Column) -> Column:
+def pr_number(message: str) -> Column:
     """Number in the trailing ``(#n)`` of a squash-merge subject, or NULL."""
     found = F.regexp_extract(text.subject(message), r"\(#(\d+)\)\z", 1)
     return F.nullif(found, F.lit("")).try_cast("bigint")
@@ -390,7 +389,7 @@ def review_burden(pulls: DataFrame, by: Sequence[str] = ("agent_id",)) -> DataFr
     return found.select(*by, "measure", F.col("n").alias("pulls"), "median")
 
 
-def is_fix(message: Column) -> Column:
+def is_fix(message: str) -> Column:
     """True for a message whose subject reads like a fix."""
     return F.coalesce(text.subject(message).rlike(own(FIX_MESSAGE)), F.lit(False))
 

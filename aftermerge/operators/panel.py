@@ -45,7 +45,7 @@ def build_panel(
         raise ValueError(f"a panel version is at least 1, got {version}")
 
     def sampled(candidates: DataFrame, rate: float) -> DataFrame:
-        return dedupe_spellings(candidates.where(in_sample(F.col("repo"), rate)))
+        return dedupe_spellings(candidates.where(in_sample("repo", rate)))
 
     def members(repos: DataFrame, cohort: str, source: str) -> DataFrame:
         return repos.select(
@@ -57,7 +57,7 @@ def build_panel(
             F.lit(cohort).alias("cohort"),
             F.lit(created_on).alias("added_on"),
             F.lit(source).alias("source"),
-            sample_key(F.col("repo")).alias("sample_key"),
+            sample_key("repo").alias("sample_key"),
         )
 
     chosen = sampled(treated, treated_rate)
@@ -93,7 +93,7 @@ def panel_problems(members: DataFrame) -> DataFrame:
     checks = {
         "version below 1": F.col("panel_version") < 1,
         "unknown cohort": ~F.col("cohort").isin("treated", "control"),
-        "invalid repository name": ~is_valid_repo(F.col("repo")),
+        "invalid repository name": ~is_valid_repo("repo"),
         "sample key out of range": ~F.col("sample_key").between(0, 9_999),
         "rate out of range": ~(
             F.col("treated_rate").between(0, 1) & F.col("control_rate").between(0, 1)

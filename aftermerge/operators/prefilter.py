@@ -81,7 +81,7 @@ def prefilter_flags(commits: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             "author_email_hit": hit("author_email", found.author_email),
             "author_name_hit": hit("author_name", found.author_name),
             "pusher_login_hit": hit("pusher_login", found.pusher_login),
-            "revert_hit": F.coalesce(is_coarse_revert(F.col("message")), F.lit(False)),
+            "revert_hit": is_coarse_revert("message"),
         }
     )
 

@@ -71,27 +71,26 @@ def attributed_by_agent_day(spark: SparkSession, sf: str) -> DataFrame:
     rows = attribute(C.valid_commits(V.commits(spark, sf)), compiled())
     counted = rows.groupBy("day", "agent_id").agg(
         F.count("*").alias("commits"),
-        F.count_if(text.revert(F.col("message")).isNotNull()).alias("reverts"),
+        F.count_if(text.revert("message").isNotNull()).alias("reverts"),
     )
     return counted.where("agent_id is not null")
 
 
 @query
 def subjects(spark: SparkSession, sf: str) -> DataFrame:
-    subject = F.left(text.subject(F.col("message")), F.lit(500))
+    subject = F.left(text.subject("message"), F.lit(500))
     return V.commits(spark, sf).select("event_id", "sha", subject.alias("subject"))
 
 
 @query
 def document_subjects(spark: SparkSession, sf: str) -> DataFrame:
     """Text functions over whole documents: first line, revert test and trailer count."""
-    body = F.col("text")
     return V.table(spark, sf, "documents").select(
         "doc_id",
-        text.subject(body).alias("subject"),
-        F.length(text.normalise(body)).alias("chars"),
-        F.size(text.trailers(body)).alias("trailers"),
-        text.revert(body).isNotNull().alias("is_revert"),
+        text.subject("text").alias("subject"),
+        F.length(text.normalise("text")).alias("chars"),
+        F.size(text.trailers("text")).alias("trailers"),
+        text.revert("text").isNotNull().alias("is_revert"),
     )
 
 
@@ -105,15 +104,15 @@ def conversation_trailers(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("Signed-Off-By: "), F.col("role"), F.lit(" <"), F.col("role"), F.lit("@x.example>")),
     )
     rows = V.table(spark, sf, "conversations").select("conv_id", "turn", message.alias("m"))
-    found = rows.select("conv_id", "turn", F.posexplode(text.trailers(F.col("m"))).alias("pos", "t"))
-    return found.select("conv_id", "turn", "pos", "t.key", "t.value", text.person(F.col("t.value"))["email"].alias("email"))
+    found = rows.select("conv_id", "turn", F.posexplode(text.trailers("m")).alias("pos", "t"))
+    return found.select("conv_id", "turn", "pos", "t.key", "t.value", text.person("t.value")["email"].alias("email"))
 
 
 def _trailers(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.commits(spark, sf).select(
-        "repo", "sha", "event_id", F.posexplode(text.trailers(F.col("message"))).alias("pos", "t")
+        "repo", "sha", "event_id", F.posexplode(text.trailers("message")).alias("pos", "t")
     )
-    person = text.person(F.col("value"))
+    person = text.person("value")
     return rows.select("repo", "sha", "event_id", "pos", "t.key", "t.value").withColumns(
         {"person_name": person["name"], "person_email": person["email"]}
     )
@@ -135,7 +134,7 @@ def trailer_key_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def trailer_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """All values of one key, any case, in order."""
-    values = text.trailer_values(F.col("message"), "CO-AUTHORED-BY")
+    values = text.trailer_values("message", "CO-AUTHORED-BY")
     rows = V.commits(spark, sf).select("event_id", "sha", F.array_join(values, "|").alias("signers"))
     return rows.where("signers <> ''")
 
@@ -168,7 +167,7 @@ def agent_status_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def reverts_parsed(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.commits(spark, sf).select(
-        "repo", "sha", "event_id", text.revert(F.col("message")).alias("r")
+        "repo", "sha", "event_id", text.revert("message").alias("r")
     )
     return rows.where("r is not null").select("repo", "sha", "event_id", "r.*")
 
@@ -235,7 +234,7 @@ def hashed_identities(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def bot_flags(spark: SparkSession, sf: str) -> DataFrame:
-    rows = V.commits(spark, sf).withColumn("is_bot", identity.is_bot_login(F.col("pusher_login")))
+    rows = V.commits(spark, sf).withColumn("is_bot", identity.is_bot_login("pusher_login"))
     return rows.groupBy("is_bot").agg(F.count("*").alias("commits"))
 
 
@@ -335,8 +334,8 @@ def treated_candidates(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def sample_keys(spark: SparkSession, sf: str) -> DataFrame:
     repos = V.commits(spark, sf).select("repo").distinct()
-    keyed = repos.withColumn("sample_key", identity.sample_key(F.col("repo")))
-    return keyed.withColumn("in_sample", identity.in_sample(F.col("repo"), 0.25))
+    keyed = repos.withColumn("sample_key", identity.sample_key("repo"))
+    return keyed.withColumn("in_sample", identity.in_sample("repo", 0.25))
 
 
 @query
@@ -364,7 +363,7 @@ def panel_problems(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0.3).alias("control_rate"),
         "repo",
         F.when(F.col("repo").endswith("0"), "other").otherwise("treated").alias("cohort"),
-        (identity.sample_key(F.col("repo")) + 100).alias("sample_key"),
+        (identity.sample_key("repo") + 100).alias("sample_key"),
     )
     return P.panel_problems(members)
 
@@ -594,7 +593,7 @@ def review_burden(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def followup_fix_rate(spark: SparkSession, sf: str) -> DataFrame:
     rows = C.valid_commits(V.commit_files(spark, sf)).withColumnRenamed("pushed_at", "at")
-    files = rows.select("repo", "sha", "at", "path", O.is_fix(F.col("message")).alias("is_fix"))
+    files = rows.select("repo", "sha", "at", "path", O.is_fix("message").alias("is_fix"))
     commits = _changes(spark, sf).select("repo", "sha", "agent_id")
     return O.followup_fix_rate(commits, O.followed_by_fix(files))
 
@@ -640,7 +639,7 @@ def cube_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _snapshot_history(spark: SparkSession, sf: str) -> DataFrame:
     """Three fetches of the derived panel in which members disappear one after another."""
-    members = _members(spark, sf).withColumn("k", identity.sample_key(F.col("repo")))
+    members = _members(spark, sf).withColumn("k", identity.sample_key("repo"))
     fetch = F.explode(F.array(*[F.lit(d) for d in (0, 1, 2)]))
     rows = members.withColumn("f", fetch).withColumn(
         "fetched_on", F.date_add(F.lit(FETCHED_ON), F.col("f") * 30)
