@@ -20,9 +20,13 @@ from aftermerge.functions.patterns import WS, WS_CHARS, own
 TRAILER_TYPE = "array<struct<key:string,value:string>>"
 
 _BLANK_LINE = own(rf"\n[{WS}]*\n")
+# Greedy from the end: what follows the last blank line. Empty when there is none.
+_LAST_PARAGRAPH = own(rf"(?s)^.*\n[{WS}]*\n(.*)$")
 _KEY = r"[A-Za-z0-9][A-Za-z0-9-]*"
 _CHERRY_PICK = own(r"^\(cherry picked from commit [0-9a-fA-F]{7,64}\)$")
+_BLOCK_START = own(rf"^(?:{_KEY}[{WS}]*:|\(cherry picked from commit )")
 _NOT_FOLDED = own(rf"^[^{WS}]")
+_HAS_FOLD = own(rf"\n[{WS}]")
 _BLOCK_LINE = own(rf"^(?:[{WS}]|{_KEY}[{WS}]*:)")
 _FOLD = own(rf"(?<![{WS}])[{WS}]*\n[{WS}]+")
 _TRAILER = own(rf"^({_KEY})[{WS}]*:[{WS}]*(.*)$")
@@ -75,22 +79,24 @@ def trailers_sql(message: str) -> str:
     Only a last paragraph made wholly of ``Key: value`` lines, their folded continuations and
     cherry-pick notes counts. Anything else, or a one-paragraph message, gives an empty array.
     """
-    unfolded = f"split(regexp_replace(array_join(ls, chr(10)), {quote(_FOLD)}, ' '), chr(10), -1)"
+    joined = f"CASE WHEN j RLIKE {quote(_HAS_FOLD)} THEN regexp_replace(j, {quote(_FOLD)}, ' ') ELSE j END"
     value = strip_sql(f"regexp_extract(l, {quote(_TRAILER)}, 2)")
-    parsed = (
-        f"transform({unfolded}, l -> struct(regexp_extract(l, {quote(_TRAILER)}, 1) AS key,"
-        f" {value} AS value))"
-    )
+    pair = f"struct(regexp_extract(l, {quote(_TRAILER)}, 1) AS key, {value} AS value)"
+    parsed = let("array_join(ls, chr(10))", "j", f"transform(split({joined}, chr(10), -1), l -> {pair})")
     is_block = (
         f"size(ls) > 0 AND get(ls, 0) RLIKE {quote(_NOT_FOLDED)}"
         f" AND forall(ls, l -> l RLIKE {quote(_BLOCK_LINE)})"
     )
-    lines = f"filter(split(element_at(ps, -1), chr(10), -1), l -> NOT l RLIKE {quote(_CHERRY_PICK)})"
+    lines = f"filter(split(b, chr(10), -1), l -> NOT l RLIKE {quote(_CHERRY_PICK)})"
     block = let(lines, "ls", f"CASE WHEN {is_block} THEN {parsed} ELSE {_NO_TRAILERS} END")
-    last = f"CASE WHEN size(ps) > 1 THEN {block} ELSE {_NO_TRAILERS} END"
-    paragraphs = let(f"split(t, {quote(_BLANK_LINE)}, -1)", "ps", last)
-    # A single line cannot hold a second paragraph: most messages skip the split.
-    body = f"CASE WHEN contains(t, chr(10)) THEN {paragraphs} ELSE {_NO_TRAILERS} END"
+    # Prose is told by its first line, before it is cut into lines.
+    last = let(
+        f"regexp_extract(t, {quote(_LAST_PARAGRAPH)}, 1)",
+        "b",
+        f"CASE WHEN b RLIKE {quote(_BLOCK_START)} THEN {block} ELSE {_NO_TRAILERS} END",
+    )
+    # A single line cannot hold a second paragraph: most messages end here.
+    body = f"CASE WHEN contains(t, chr(10)) THEN {last} ELSE {_NO_TRAILERS} END"
     return f"CASE WHEN {message} IS NOT NULL THEN {let(normalise_sql(message), 't', body)} END"
 
 

@@ -85,7 +85,8 @@ def subjects(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def document_subjects(spark: SparkSession, sf: str) -> DataFrame:
     """Text functions over whole documents: first line, revert test and trailer count."""
-    return V.table(spark, sf, "documents").select(
+    documents = V.table(spark, sf, "documents").select("doc_id", "text")
+    return V.wide_enough(spark, documents).select(
         "doc_id",
         text.subject("text").alias("subject"),
         F.length(text.normalise("text")).alias("chars"),
@@ -103,7 +104,8 @@ def conversation_trailers(spark: SparkSession, sf: str) -> DataFrame:
         "text",
         F.concat(F.lit("Signed-Off-By: "), F.col("role"), F.lit(" <"), F.col("role"), F.lit("@x.example>")),
     )
-    rows = V.table(spark, sf, "conversations").select("conv_id", "turn", message.alias("m"))
+    turns = V.table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = V.wide_enough(spark, turns).select("conv_id", "turn", message.alias("m"))
     found = rows.select("conv_id", "turn", F.posexplode(text.trailers("m")).alias("pos", "t"))
     return found.select("conv_id", "turn", "pos", "t.key", "t.value", text.person("t.value")["email"].alias("email"))
 

@@ -87,7 +87,10 @@ def _select(exprs: dict[str, str], d: dict[str, str]) -> list[str]:
 def commits_from_lines(lineitem: DataFrame, *, with_path: bool = False) -> DataFrame:
     """One commit per line; works on static and streaming frames alike."""
     columns = [*COMMIT_COLUMNS, *(["path"] if with_path else [])]
-    derived = lineitem.selectExpr(*_select(_KEYS, SPARK)).selectExpr(*_select(COMMITS, SPARK))
+    keys = lineitem.selectExpr(*_select(_KEYS, SPARK))
+    if not lineitem.isStreaming:
+        keys = wide_enough(lineitem.sparkSession, keys)
+    derived = keys.selectExpr(*_select(COMMITS, SPARK))
     return derived.select(F.col("pushed_at").cast("date").alias("day"), *columns)
 
 
@@ -96,6 +99,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def wide_enough(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """Spread a scan of a small table over the cores; a large one is split by its files.
+
+    The small test tables are one row group, i.e. one task. A table with at least one
+    file split per core is passed through untouched, so at scale there is no extra shuffle.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    split = 128 * 1024 * 1024
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return scan if int(size) >= cores * split else scan.repartition(cores)
+
+
 def commits(spark: SparkSession, sf: str) -> DataFrame:
     """Pushed commits as the scan would list them, malformed ones included."""
     return commits_from_lines(table(spark, sf, "lineitem"))
@@ -147,7 +162,7 @@ _ORDER_KEYS = {
 def pulls(spark: SparkSession, sf: str) -> DataFrame:
     """One pull request per order."""
     orders = table(spark, sf, "orders").selectExpr(*_select(_ORDER_KEYS, SPARK))
-    return orders.selectExpr(*_select(PULLS, SPARK))
+    return wide_enough(spark, orders).selectExpr(*_select(PULLS, SPARK))
 
 
 def duck_pulls() -> str:
@@ -277,7 +292,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
             'pageInfo', named_struct('hasNextPage', ok % 10 = 0, 'endCursor', if(ok % 10 = 0, 'c2', NULL)),
             'nodes', transform(sequence(1 + ok % 3, 3 + ok % 3), i -> {commit})))))))"""
     limit = "to_json(named_struct('cost', 1 + ok % 3, 'remaining', 5000 - ok % 1000, 'resetAt', '2026-09-05T13:00:00Z'))"
-    orders = table(spark, sf, "orders").selectExpr(*_select(_ORDER_KEYS, SPARK))
+    orders = wide_enough(spark, table(spark, sf, "orders").selectExpr(*_select(_ORDER_KEYS, SPARK)))
     repo, other = _dialect(API_REPO, SPARK), _dialect(API_OTHER, SPARK)
     errors = """CASE ok % 12 WHEN 0 THEN ',"errors":[{"type":"NOT_FOUND","path":["r0"],"message":"gone"},{"type":"NOT_FOUND","path":["r1"]}]'
         WHEN 1 THEN ',"errors":[{"message":"timeout","path":["r0",3]},{"type":"NOT_FOUND","path":["r0"]},{"type":"NOT_FOUND","path":["r1"]}]'
