@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from aftermerge import PANEL_METHOD
 from aftermerge.functions import identity, text
 from aftermerge.operators.attribution import COMMIT_INPUTS, PULL_INPUTS, attribute, evidence_json
+from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.census import count_map, hash_identities
 from aftermerge.operators.rules import Rule
 from aftermerge.schemas import (
@@ -86,7 +87,9 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
         "request_id",
         "repo",
         error.alias("error_type"),
-        F.from_json(F.try_element_at(F.col("b.data"), alias), REPOSITORY_NODE).alias("n"),
+        F.explode(
+            F.array(F.from_json(F.try_element_at(F.col("b.data"), alias), REPOSITORY_NODE))
+        ).alias("n"),
     )
     missing = F.col("n").isNull()
     branch = F.col("n.defaultBranchRef")
@@ -188,7 +191,7 @@ def repo_snapshots(activity: DataFrame, members: DataFrame, fetched_on: dt.date)
 
 
 def _judged(df: DataFrame, body: str) -> DataFrame:
-    revert = df.withColumn("_revert", text.revert(body))
+    revert = with_struct(df, F.struct(text.revert(body)), ["_revert"])
     names = ("is_reapply", "reverted_sha", "original_pr_number", "revert_pr_number")
     return revert.withColumns(
         {

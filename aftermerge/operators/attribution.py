@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aftermerge.functions.text import let, person_sql, quote, trailers_sql
+from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.rules import TRAILER_TYPES, Rule
 from aftermerge.schemas import EVIDENCE
 
@@ -100,24 +101,15 @@ def evaluate_signals(
     df: DataFrame, rules: Sequence[Rule], inputs: Mapping[str, str] = PUSH_INPUTS
 ) -> DataFrame:
     """Add ``evidence``: every matching signal, low-confidence ones included."""
-    return df.withColumn("evidence", evidence_column(rules, inputs))
+    return with_struct(df, F.struct(evidence_column(rules, inputs)), ["evidence"])
 
 
 def attribute(
     df: DataFrame, rules: Sequence[Rule], inputs: Mapping[str, str] = PUSH_INPUTS
 ) -> DataFrame:
     """Add ``agent_id``, ``attribution_confidence`` and ``evidence``."""
-    return (
-        df.withColumn("_verdict", verdict_column(rules, inputs))
-        .withColumns(
-            {
-                "agent_id": F.col("_verdict.agent_id"),
-                "attribution_confidence": F.col("_verdict.confidence"),
-                "evidence": F.col("_verdict.evidence"),
-            }
-        )
-        .drop("_verdict")
-    )
+    names = ["agent_id", "attribution_confidence", "evidence"]
+    return with_struct(df, verdict_column(rules, inputs), names)
 
 
 def agent_ids(evidence: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from aftermerge import CENSUS_METHOD
 from aftermerge.functions import identity, text
 from aftermerge.operators.attribution import PUSH_INPUTS, attribute, evidence_json
+from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.joins import HOT_ROWS
 from aftermerge.operators.prefilter import any_hit
 from aftermerge.operators.rules import Rule
@@ -53,7 +54,7 @@ def commits_from_pushes(pushes: DataFrame) -> DataFrame:
         F.col("repo.name").alias("repo"),
         F.col("actor.login").alias("pusher_login"),
         F.col("created_at").alias("pushed_at"),
-        F.from_json("payload", PUSH_PAYLOAD).alias("p"),
+        F.explode(F.array(F.from_json("payload", PUSH_PAYLOAD))).alias("p"),
     )
     listed = parsed.select(
         "day",
@@ -171,9 +172,8 @@ def select_observations(
 def judge_commits(selected: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Attribute, parse reverts and validate, keeping malformed rows marked for the counts."""
     judged = attribute(validate_commits(selected), rules, PUSH_INPUTS)
-    return judged.withColumns(
-        {"revert": text.revert("message"), "matched_prefilter": any_hit()}
-    )
+    parsed = with_struct(judged, F.struct(text.revert("message")), ["revert"])
+    return parsed.withColumn("matched_prefilter", any_hit())
 
 
 def hash_identities(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from aftermerge.functions import text
 from aftermerge.functions.patterns import own
+from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.joins import HOT_ROWS, lookup_join
 
 SHORT_SHA = 7
@@ -55,14 +56,16 @@ def changes(judged: DataFrame) -> DataFrame:
         "agent_id",
         known.alias("pr_number"),
         is_fix("message").alias("is_fix"),
-        text.revert("message").alias("_r"),
-    )
-    flat = parsed.select(
-        *[c for c in parsed.columns if c != "_r"],
-        F.col("_r").isNotNull().alias("is_undo"),
-        F.col("_r.is_reapply").alias("is_reapply"),
-        F.col("_r.reverted_sha").alias("target_sha"),
-        F.col("_r.original_pr_number").alias("target_pr"),
+        F.struct(text.revert("message")).alias("_r"),
+    )
+    names = [c for c in parsed.columns if c != "_r"]
+    undo = with_struct(parsed, F.col("_r"), ["_u"])
+    flat = undo.select(
+        *names,
+        F.col("_u").isNotNull().alias("is_undo"),
+        F.col("_u.is_reapply").alias("is_reapply"),
+        F.col("_u.reverted_sha").alias("target_sha"),
+        F.col("_u.original_pr_number").alias("target_pr"),
     )
     return dedupe_commits(flat, ["at", *CHANGE_COLUMNS])
 

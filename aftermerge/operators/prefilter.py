@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from aftermerge.functions.patterns import NEVER, jvm_pattern
 from aftermerge.functions.text import is_coarse_revert
-from aftermerge.operators.attribution import PUSH_INPUTS, verdict_column
+from aftermerge.operators.attribution import PUSH_INPUTS, attribute
 from aftermerge.operators.rules import TRAILER_TYPES, Rule, RuleError, pattern_problem
 
 HIT_COLUMNS = ("message_hit", "author_email_hit", "author_name_hit", "pusher_login_hit")
@@ -94,13 +94,11 @@ def any_hit() -> Column:
 
 def prefilter_audit(commits: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Per deciding signal: commits attributed, and how many of them the flags would miss."""
-    judged = prefilter_flags(commits, rules).select(
-        any_hit().alias("flagged"), verdict_column(rules, PUSH_INPUTS).alias("v")
-    )
+    judged = attribute(prefilter_flags(commits, rules), rules, PUSH_INPUTS)
     best = judged.select(
-        "flagged",
-        F.col("v.agent_id").alias("agent_id"),
-        F.get(F.col("v.evidence.signal_id"), F.lit(0)).alias("signal_id"),
+        any_hit().alias("flagged"),
+        "agent_id",
+        F.get(F.col("evidence.signal_id"), F.lit(0)).alias("signal_id"),
     )
     counted = best.groupBy("agent_id", "signal_id").agg(
         F.count("*").alias("attributed"), F.count_if(~F.col("flagged")).alias("missed")

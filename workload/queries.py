@@ -25,6 +25,7 @@ from aftermerge.operators.attribution import (
     evaluate_signals,
     evidence_table,
 )
+from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.prefilter import any_hit, prefilter_audit, prefilter_flags
 from aftermerge.plans.census import judged_commits
 from aftermerge.schemas import CENSUS_NULLABLE
@@ -168,9 +169,8 @@ def agent_status_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def reverts_parsed(spark: SparkSession, sf: str) -> DataFrame:
-    rows = V.commits(spark, sf).select(
-        "repo", "sha", "event_id", text.revert("message").alias("r")
-    )
+    commits = V.commits(spark, sf)
+    rows = with_struct(commits, F.struct(text.revert("message")), ["r"])
     return rows.where("r is not null").select("repo", "sha", "event_id", "r.*")
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aftermerge.operators.barrier import with_struct
+
 # Dialect differences, filled into the shared expressions.
 SPARK = {"SHA": "sha2(%s, 256)", "TS": "TIMESTAMP_NTZ", "STR": "STRING", "DIV": "div"}
 DUCK = {"SHA": "sha256(%s)", "TS": "TIMESTAMP", "STR": "VARCHAR", "DIV": "//"}
@@ -90,7 +92,8 @@ def commits_from_lines(lineitem: DataFrame, *, with_path: bool = False) -> DataF
     keys = lineitem.selectExpr(*_select(_KEYS, SPARK))
     if not lineitem.isStreaming:
         keys = wide_enough(lineitem.sparkSession, keys)
-    derived = keys.selectExpr(*_select(COMMITS, SPARK))
+    # Through a generator, so that no filter downstream repeats these derivations.
+    derived = with_struct(keys, F.struct(*map(F.expr, _select(COMMITS, SPARK))), list(COMMITS))
     return derived.select(F.col("pushed_at").cast("date").alias("day"), *columns)
 
 
