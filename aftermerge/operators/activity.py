@@ -149,11 +149,12 @@ def stitch_history(activity: DataFrame, pages: DataFrame) -> DataFrame:
 
     Pages stay rows: nothing is collected per repository. A commit seen on two pages keeps
     its first place; the rank filter is applied before the shuffle as well as after it.
+    Further pages exist only for repositories whose first page announced one, so they need
+    no status check of their own.
     """
     ok = activity.where(F.col("status") == "ok")
     first = ok.select("repo", F.lit(0).alias("page_no"), F.posexplode("commits").alias("pos", "c"))
-    followed = pages.join(ok.select("repo"), "repo", "left_semi")
-    rest = followed.select("repo", "page_no", F.posexplode("commits").alias("pos", "c"))
+    rest = pages.select("repo", "page_no", F.posexplode("commits").alias("pos", "c"))
     rows = first.unionByName(rest).select("repo", "page_no", "pos", "c.*")
     keep_first = Window.partitionBy("repo", "sha").orderBy("page_no", "pos", "message")
     return rows.withColumn("_n", F.row_number().over(keep_first)).where("_n = 1").drop("_n")

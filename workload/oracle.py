@@ -201,7 +201,7 @@ CTE["activity"] = (
     CASE WHEN seen AND ok % 8 <> 0 THEN ['Go', 'Python', 'Rust'][1 + ok % 3] END AS primary_language,
     CASE WHEN seen THEN ok % 6 = 0 END AS is_fork, CASE WHEN seen THEN price % 20000 END AS stargazers,
     CASE WHEN status = 'ok' THEN 'main' END AS default_branch, CASE WHEN status = 'ok' THEN 1 + ok % 3 END AS commits_total_since,
-    coalesce(CASE WHEN ok % 5 = 0 AND r.repo NOT LIKE 'away/%' THEN ok % 10 = 0 END, false) AS commits_truncated, r.error,
+    status = 'ok' AND ok % 10 = 0 AS commits_truncated, r.error,
     CASE WHEN seen THEN CASE WHEN ok % 20 = 7 THEN 'moved/app' || CAST(ok AS VARCHAR) ELSE r.repo END END AS name_with_owner,
     seen AND ok % 2 = 1 AND (ok * 7 + 31) % 60 >= 30 AND (ok * 7 + 62) % 60 >= 30 AS pulls_truncated
   FROM (SELECT *, status IN ('ok', 'empty') AS seen FROM api_repos) r JOIN members m USING (repo)),
@@ -461,7 +461,7 @@ UNION ALL SELECT 'control', (SELECT count(*) FROM p1 WHERE cohort = 'control'),
         "SELECT repo, 'moved/app' || CAST(ok AS VARCHAR) AS name_with_owner, ok AS repo_id FROM api_repos WHERE status IN ('ok', 'empty') AND ok % 20 = 7",
     ),
     "api_cost": """SELECT 'batch' AS kind, count(*) AS requests, CAST(sum(1 + o_orderkey % 3) AS BIGINT) AS points_spent, arg_max(5000 - o_orderkey % 1000, o_orderkey) AS last_remaining FROM orders
-UNION ALL SELECT 'history', count(*), count(*), 4000 FROM orders WHERE o_orderkey % 5 = 0""",
+UNION ALL SELECT 'history', count(*), count(*), 4000 FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 12 > 2""",
     "next_watermarks": _with(
         "api",
         f"SELECT repo, max(seen) AS since FROM (SELECT repo, {_EP} + INTERVAL '1' DAY * updated_days AS seen FROM api_pulls WHERE updated_days >= 30 UNION ALL SELECT repo, committed_at FROM ({_API_DEDUP})) GROUP BY repo",

@@ -464,7 +464,14 @@ def next_watermarks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def panel_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    found = A.panel_manifest(_snapshots(spark, sf), _panel_commits(spark, sf), _panel_pulls(spark, sf))
+    folder = shared_folder(spark)
+    parsed = stage(_activity(spark, sf), folder, "activity")
+    pages = stage(_pages(spark, sf), folder, "pages")
+    members, options = _members(spark, sf), {"fetched_on": FETCHED_ON, "registry_version": 1}
+    snapshots = A.repo_snapshots(A.with_history_flags(parsed, pages), members, FETCHED_ON)
+    commits = A.panel_commits(A.stitch_history(parsed, pages), members, compiled(), **options)
+    pulls = A.panel_pulls(A.activity_pulls(parsed), members, compiled(), **options)
+    found = A.panel_manifest(snapshots, commits, pulls)
     maps = ("repos_by_status", "commits_by_agent", "pulls_by_agent")
     return found.withColumns({m: as_text(m) for m in maps})
 

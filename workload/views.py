@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aftermerge.functions.text import let
 from aftermerge.operators.barrier import with_struct
 
 # Dialect differences, filled into the shared expressions.
@@ -92,11 +93,21 @@ def commits_from_lines(lineitem: DataFrame, *, with_path: bool = False) -> DataF
     keys = lineitem.selectExpr(*_select(_KEYS, SPARK))
     if not lineitem.isStreaming:
         keys = wide_enough(lineitem.sparkSession, keys)
-    # Through a generator, so that no filter downstream repeats these derivations.
-    derived = with_struct(keys, F.struct(*map(F.expr, _select(COMMITS, SPARK))), list(COMMITS))
+    derived = _derive(keys, COMMITS)
     return derived.select(F.col("pushed_at").cast("date").alias("day"), *columns)
 
 
+def _derive(keys: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    """Add derived columns once per row, apart from the code of the operators downstream.
+
+    The generator keeps later filters from repeating them; the lambda keeps these long CASE
+    expressions out of the fused stage code, which the JVM would otherwise find too large to
+    compile.
+    """
+    fields = ", ".join(_select(exprs, SPARK))
+    return with_struct(keys, F.expr(let("ok", "_row", f"struct({fields})")), list(exprs))
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -165,7 +176,7 @@ _ORDER_KEYS = {
 def pulls(spark: SparkSession, sf: str) -> DataFrame:
     """One pull request per order."""
     orders = table(spark, sf, "orders").selectExpr(*_select(_ORDER_KEYS, SPARK))
-    return wide_enough(spark, orders).selectExpr(*_select(PULLS, SPARK))
+    return _derive(wide_enough(spark, orders), PULLS).select(*PULLS)
 
 
 def duck_pulls() -> str:
@@ -308,7 +319,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
         "0 AS page_no",
         f"""concat('{{"data":{{"rateLimit":', {limit}, ',"r0":', if(ok % 12 < 2, 'null', {node}), ',"r1":null}}', {errors}, '}}') AS body""",
     )
-    history = orders.where("ok % 5 = 0").selectExpr(
+    history = orders.where("ok % 5 = 0 AND ok % 12 > 2").selectExpr(
         "concat('h', ok) AS request_id",
         f"{_dialect(API_EPOCH, SPARK)} + INTERVAL '1' SECOND * ok AS fetched_at",
         "'history' AS kind",
