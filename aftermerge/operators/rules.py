@@ -259,10 +259,9 @@ def validate_rules(rules: DataFrame) -> DataFrame:
 
 def _pattern_problems(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
     for batch in batches:
-        found = batch["pattern"].map(pattern_problem)
-        kept = batch[found.notna()].drop(columns="pattern")
-        kind = found[found.notna()].str.partition(":")[0]
-        yield kept.assign(problem=kind)
+        found = [pattern_problem(p) for p in batch["pattern"]]
+        kinds = pd.Series([f and f.partition(":")[0] for f in found], batch.index, dtype=object)
+        yield batch.drop(columns="pattern").assign(problem=kinds)[kinds.notna()]
 
 
 def fingerprint(rules: DataFrame) -> DataFrame:
