@@ -15,6 +15,7 @@ from aftermerge.operators.rules import compile_rules
 from aftermerge.sources.readers import check_members, read_observations, read_push_events
 from aftermerge.sources.sinks import (
     PANEL_PARTITIONS,
+    SNAPSHOT_PARTITIONS,
     shared_folder,
     stage,
     write_json,
@@ -74,10 +75,8 @@ def run_panel(
     options = {"fetched_on": fetched_on, "registry_version": version}
     commits = A.panel_commits(A.stitch_history(parsed, pages), chosen, compiled, **options)
     pulls = A.panel_pulls(A.activity_pulls(parsed), chosen, compiled, **options)
-    tagged = snapshots.withColumns(
-        {"registry_version": F.lit(version), "methodology_version": F.lit(PANEL_METHOD)}
-    )
-    write_partitions(tagged, f"{out}/repos", PANEL_PARTITIONS)
+    # Snapshots do not depend on the rules, so no rule version identifies them.
+    write_partitions(snapshots, f"{out}/repos", SNAPSHOT_PARTITIONS)
     write_partitions(commits, f"{out}/commits", PANEL_PARTITIONS)
     write_partitions(pulls, f"{out}/pulls", PANEL_PARTITIONS)
     ledger = A.api_cost(responses).agg(

@@ -21,6 +21,7 @@ from aftermerge.schemas import (
     PANEL_REPOS,
     PUSH_EVENTS,
     RESPONSES,
+    columns,
 )
 
 try:
@@ -56,13 +57,13 @@ def skipped_days(spark: SparkSession, days: Iterable[dt.date]) -> DataFrame:
 
 def read_observations(spark: SparkSession, root: str) -> DataFrame:
     """All census days under ``root``; an empty sink reads as an empty table."""
-    return spark.read.schema(CENSUS).parquet(root)
+    return spark.read.schema(CENSUS).parquet(root).select(*columns(CENSUS))
 
 
 def read_panel_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One of the panel tables ``repos``, ``commits``, ``pulls`` over all fetches."""
     schema = {"repos": PANEL_REPOS, "commits": PANEL_COMMITS, "pulls": PANEL_PULLS}[table]
-    return spark.read.schema(schema).parquet(f"{root}/{table}")
+    return spark.read.schema(schema).parquet(f"{root}/{table}").select(*columns(schema))
 
 
 def read_responses(spark: SparkSession, path: str, *, file_format: str = "json") -> DataFrame:

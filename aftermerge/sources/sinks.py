@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 CENSUS_PARTITIONS = ("day", "registry_version", "methodology_version")
+SNAPSHOT_PARTITIONS = ("fetched_on", "panel_version")
 PANEL_PARTITIONS = ("fetched_on", "panel_version", "registry_version", "methodology_version")
 
 
