@@ -88,7 +88,8 @@ def test_census_job(spark: SparkSession) -> None:
     # Another rule version is added beside the first; the same version replaces itself.
     run_census(spark, archive, [DAY], rules(spark, RULES_V2), out)
     run_census(spark, archive, [DAY], rules(spark), out)
-    versions = stored.groupBy("registry_version").count().orderBy("registry_version").collect()
+    again = readers.read_observations(spark, f"{out}/observations")
+    versions = again.groupBy("registry_version").count().orderBy("registry_version").collect()
     assert [tuple(r) for r in versions] == [(1, 4), (2, 4)]
     written = spark.read.json(f"{out}/manifests").where("registry_version = 1").first()
     assert written["total"] == 4 and len(written["fingerprint"]) == 16
