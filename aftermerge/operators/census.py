@@ -123,16 +123,31 @@ def repo_day_totals(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("day", "repo").agg(
         F.count("*").alias("commits_in_repo_day"),
         F.max(any_hit()).alias("has_candidate"),
-        F.max(_revert_flag(flagged)).alias("has_revert"),
+        F.max(_is_revert()).alias("has_revert"),
     )
 
 
-def _revert_flag(flagged: DataFrame) -> Column:
+def kept_totals(flagged: DataFrame) -> DataFrame:
+    """Totals of the repository-days from which anything is kept."""
+    return repo_day_totals(flagged).where("has_candidate or has_revert")
+
+
+def _is_revert() -> Column:
     return F.coalesce(F.col("revert_hit"), F.lit(False))
 
 
+def exact_revert_flag(flagged: DataFrame) -> DataFrame:
+    """Replace the coarse revert flag by the verdict of the full parser."""
+    return flagged.withColumn("revert_hit", text.revert("message").isNotNull())
+
+
 def select_observations(
-    flagged: DataFrame, *, strict_reference: bool = True, hot_rows: int = HOT_ROWS
+    flagged: DataFrame,
+    *,
+    strict_reference: bool = True,
+    hot_rows: int = HOT_ROWS,
+    totals: DataFrame | None = None,
+    totals_fit: bool = False,
 ) -> DataFrame:
     """Commits worth keeping, with the size of their repository-day.
 
@@ -145,11 +160,16 @@ def select_observations(
     ``hot_rows`` or more (at most ``rows / hot_rows`` of them, so safe to broadcast) is looked
     up without a shuffle, while the others join on (day, repo). A hot repository-day's rows
     carry a salt into that second join, so they spread instead of meeting in one task.
+
+    A job that has already stored the totals passes them in, and says with ``totals_fit``
+    that it has counted them and all fit a broadcast: then no commit is shuffled at all.
     """
-    rows = flagged
-    if not strict_reference:
-        rows = rows.withColumn("revert_hit", text.revert("message").isNotNull())
-    totals = repo_day_totals(rows).where("has_candidate or has_revert")
+    rows = flagged if strict_reference else exact_revert_flag(flagged)
+    totals = kept_totals(rows) if totals is None else totals
+    if totals_fit:
+        joined = rows.join(F.broadcast(totals.drop("has_revert")), ["day", "repo"])
+        wanted = F.col("has_candidate") | _is_revert()
+        return joined.where(wanted).select(*rows.columns, "commits_in_repo_day")
     hot = totals.where(F.col("commits_in_repo_day") >= hot_rows).select(
         "day",
         "repo",
@@ -165,7 +185,7 @@ def select_observations(
     )
     joined = salted.join(cold, ["day", "repo", "_salt"], "left")
     n = F.coalesce("_hot_n", "commits_in_repo_day")
-    keep = F.coalesce("_hot_candidate", "has_candidate", F.lit(False)) | _revert_flag(rows)
+    keep = F.coalesce("_hot_candidate", "has_candidate", F.lit(False)) | _is_revert()
     return joined.where(keep).select(*rows.columns, n.alias("commits_in_repo_day"))
 
 

@@ -12,8 +12,10 @@ from aftermerge import CENSUS_METHOD, __version__
 from aftermerge.operators.census import (
     census_manifest,
     commits_from_pushes,
+    exact_revert_flag,
     flatten_observation,
     judge_commits,
+    kept_totals,
     redact_person_emails,
     select_observations,
 )
@@ -29,6 +31,10 @@ from aftermerge.sources.sinks import (
 )
 
 
+BROADCAST_ROWS = 1_000_000
+"""Repository-days (some 100 bytes each) that may be broadcast, by count, not by estimate."""
+
+
 class OverBudgetError(RuntimeError):
     """The scan would read more bytes than allowed; nothing was read."""
 
@@ -41,6 +47,22 @@ def judged_commits(
     return judge_commits(select_observations(flagged, strict_reference=strict_reference), rules)
 
 
+def staged_judgement(
+    pushes: DataFrame, rules: Sequence[Rule], folder: str, *, strict_reference: bool = True
+) -> DataFrame:
+    """The same rows by way of two stored tables, for jobs over much data.
+
+    The payload is parsed and flagged once. Totals then read only the flag columns, and are
+    counted before it is decided whether they are broadcast, in which case the commits are
+    filtered and completed without a shuffle, or joined by key.
+    """
+    rows = prefilter_flags(commits_from_pushes(pushes), rules)
+    flagged = stage(rows if strict_reference else exact_revert_flag(rows), folder, "flagged")
+    totals = stage(kept_totals(flagged), folder, "totals")
+    fit = totals.count() <= BROADCAST_ROWS
+    return judge_commits(select_observations(flagged, totals=totals, totals_fit=fit), rules)
+
+
 def run_census(
     spark: SparkSession,
     path: str,
@@ -54,9 +76,8 @@ def run_census(
 ) -> DataFrame:
     """Ingest the days and return the stored manifest rows.
 
-    The payload is parsed and flagged once, into a staged table; repository totals then read
-    only its flag columns, and the kept rows (a few per cent) its wide ones. Judged rows are
-    staged too, so observations and manifest agree and nothing is judged twice.
+    See :func:`staged_judgement`. Judged rows are staged too, so observations and manifest
+    agree and nothing is judged twice.
 
     Raises:
         OverBudgetError: when the files of some day exceed ``max_bytes``; nothing is written.
@@ -74,9 +95,8 @@ def run_census(
     version = compiled[0].registry_version
     folder = shared_folder(spark)
     pushes = read_push_events(spark, path, wanted)
-    flagged = stage(prefilter_flags(commits_from_pushes(pushes), compiled), folder, "flagged")
-    selected = select_observations(flagged, strict_reference=strict_reference)
-    judged = stage(judge_commits(selected, compiled), folder, "judged")
+    rows = staged_judgement(pushes, compiled, folder, strict_reference=strict_reference)
+    judged = stage(rows, folder, "judged")
     stored = flatten_observation(judged.where("reject_reason is null"), version)
     if redact_emails:
         stored = redact_person_emails(stored)

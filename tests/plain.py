@@ -17,36 +17,37 @@ def subject(message: str) -> str:
 
 
 def trailers(message: str) -> list[tuple[str, str]]:
-    chunks = re.split(r"\n\s*\n", unix(message))
-    if len(chunks) == 1:
+    text = unix(message)
+    gaps = list(re.finditer(r"\n\s*\n", text))
+    if not gaps:
         return []
-    found: list[list[str]] = []
-    for line in chunks[-1].split("\n"):
-        if line[:1].isspace():
-            if not found:
-                return []
-            found[-1][1] = (found[-1][1] + " " + line.strip()).strip()
-        elif PICKED.fullmatch(line):
-            pass
-        elif m := KEY_LINE.fullmatch(line):
-            found.append([m[1], m[2].strip()])
-        elif line.strip():
-            return []
-    return [(k, v) for k, v in found]
+    lines = [x for x in text[gaps[-1].end() :].split("\n") if not PICKED.fullmatch(x)]
+    kinds = "".join("f" if x[:1].isspace() else "k" if KEY_LINE.fullmatch(x) else "?" for x in lines)
+    if not re.fullmatch(r"(?:kf*)*", kinds):
+        return []
+    found = []
+    for run in re.finditer(r"kf*", kinds):
+        first, *folds = lines[run.start() : run.end()]
+        key, value = KEY_LINE.fullmatch(first).groups()
+        found.append((key, " ".join(x.strip() for x in [value, *folds]).strip()))
+    return found
 
 
 def undo(message: str) -> tuple[bool, str, str | None, int | None, int | None] | None:
-    head, _, _ = (parts := re.split(r"\n\s*\n", unix(message).lstrip(), maxsplit=1))[0], None, None
-    body = parts[1] if len(parts) > 1 else ""
-    m = re.fullmatch(
-        r'(Revert|Reapply)\s+"(.*)"(?:\s+\(#(\d+)\))?', head.replace("\n", " ").strip(), re.S
-    )
-    if not m:
+    head, *rest = re.split(r"\n\s*\n", unix(message).lstrip(), maxsplit=1)
+    body = "".join(rest)
+    shape = r'(Revert|Reapply)\s+"(.*)"(?:\s+\(#(\d+)\))?'
+    m = re.fullmatch(shape, head.replace("\n", " ").strip(), re.S)
+    if m is None:
         return None
     quoted = m[2].strip()
-    sha = re.search(r"This reverts commit ([0-9a-fA-F]{7,40})\b", body)
-    pr = re.search(r"^Reverts\s+(?:[\w.-]+/[\w.-]+)?#(\d+)\s*$", body, re.M) or re.search(
-        r"\(#(\d+)\)\s*$", quoted
+    shas = re.findall(r"This reverts commit ([0-9a-fA-F]{7,40})\b", body)
+    named = re.findall(r"(?m)^Reverts\s+(?:[\w.-]+/[\w.-]+)?#(\d+)\s*$", body)
+    numbers = named or re.findall(r"\(#(\d+)\)\s*$", quoted)
+    return (
+        m[1] == "Reapply",
+        quoted,
+        shas[0].lower() if shas else None,
+        int(numbers[0]) if numbers else None,
+        int(m[3]) if m[3] else None,
     )
-    number = int(pr[1]) if pr else None
-    return (m[1] == "Reapply", quoted, sha[1].lower() if sha else None, number, int(m[3]) if m[3] else None)

@@ -392,6 +392,7 @@ FROM (SELECT DATE '2010-12-01' + CAST(o_orderkey % 5800 AS INT) AS day FROM orde
     ),
     "bot_flags": _with("commits", "SELECT coalesce(suffix(pusher_login, '[bot]'), false) AS is_bot, count(*) AS commits FROM commits GROUP BY 1"),
     "census_observations": _with("census", "SELECT * FROM obs"),
+    "census_observations_lazy": _with("census", "SELECT * FROM obs"),
     "census_selected_by_parser": _with(
         "flags reverts",
         f"""SELECT day, count(*) AS kept, max(n) AS largest_repo_day FROM (

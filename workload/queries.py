@@ -27,7 +27,7 @@ from aftermerge.operators.attribution import (
 )
 from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.prefilter import any_hit, prefilter_audit, prefilter_flags
-from aftermerge.plans.census import judged_commits
+from aftermerge.plans.census import judged_commits, staged_judgement
 from aftermerge.schemas import CENSUS_NULLABLE
 from aftermerge.sources.readers import scan_budget
 from aftermerge.sources.sinks import shared_folder, stage
@@ -241,13 +241,20 @@ def bot_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
-    return judged_commits(V.push_events(spark, sf), compiled())
+    return staged_judgement(V.push_events(spark, sf), compiled(), shared_folder(spark))
 
 
 def _observations(spark: SparkSession, sf: str) -> DataFrame:
     return C.flatten_observation(_judged(spark, sf).where("reject_reason is null"), 1)
 
 
+@query
+def census_observations_lazy(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as one lazy plan, joined by key with hot repository-days split."""
+    judged = judged_commits(V.push_events(spark, sf), compiled())
+    return C.flatten_observation(judged.where("reject_reason is null"), 1)
+
+
 @query
 def census_observations(spark: SparkSession, sf: str) -> DataFrame:
     """Push events to the 25 stored columns, end to end."""
@@ -603,6 +610,7 @@ def review_burden(spark: SparkSession, sf: str) -> DataFrame:
 def followup_fix_rate(spark: SparkSession, sf: str) -> DataFrame:
     rows = C.valid_commits(V.commit_files(spark, sf)).withColumnRenamed("pushed_at", "at")
     files = rows.select("repo", "sha", "at", "path", O.is_fix("message").alias("is_fix"))
+    files = stage(files, shared_folder(spark), "commit_files")
     commits = _changes(spark, sf).select("repo", "sha", "agent_id")
     return O.followup_fix_rate(commits, O.followed_by_fix(files))
 
@@ -710,8 +718,11 @@ def scan_budget_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The line table as a stream of files, turned into commits by the same projection."""
-    schema = V.table(spark, sf, "lineitem").schema
-    lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
+    static = V.table(spark, sf, "lineitem")
+    files = spark.readStream.schema(static.schema).option("pathGlobFilter", "lineitem.parquet")
+    lines = files.parquet(sf).select(*V.LINE_COLUMNS)
+    if V.is_narrow(spark, static):  # one small file would be one task
+        lines = lines.repartition(spark.sparkContext.defaultParallelism)
     return V.commits_from_lines(lines).withColumn("pushed_at", F.col("pushed_at").cast("timestamp"))
 
 

@@ -83,6 +83,9 @@ COMMITS = {
 COMMIT_COLUMNS = [c for c in COMMITS if c != "path"]
 
 
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+
+
 def _select(exprs: dict[str, str], d: dict[str, str]) -> list[str]:
     return [f"{_dialect(expr, d)} AS {name}" for name, expr in exprs.items()]
 
@@ -119,10 +122,14 @@ def wide_enough(spark: SparkSession, scan: DataFrame) -> DataFrame:
     The small test tables are one row group, i.e. one task. A table with at least one
     file split per core is passed through untouched, so at scale there is no extra shuffle.
     """
-    cores = spark.sparkContext.defaultParallelism
-    split = 128 * 1024 * 1024
+    narrow = is_narrow(spark, scan)
+    return scan.repartition(spark.sparkContext.defaultParallelism) if narrow else scan
+
+
+def is_narrow(spark: SparkSession, scan: DataFrame) -> bool:
+    """Whether a scan has less than one 128 MB split per core."""
     size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return scan if int(size) >= cores * split else scan.repartition(cores)
+    return int(size) < spark.sparkContext.defaultParallelism * 128 * 1024 * 1024
 
 
 def commits(spark: SparkSession, sf: str) -> DataFrame:
