@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aftermerge.llm import packing, quality, sharding, tokens
+from aftermerge.llm import decontaminate, lines, packing, quality, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +27,27 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.length_histogram(table(spark, sf, "documents"), word_tokenizer(), ["lang"])
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every contaminated document with its items and its longest overlap."""
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf, "documents"), 8)
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its text after the removal of repeated lines."""
+    deduped = lines.dedup_lines(table(spark, sf, "documents"))
+    return deduped.select(
+        "doc_id",
+        F.col("__lines").alias("n_lines"),
+        F.col("__removed").alias("n_removed"),
+        F.col("__text").alias("text"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), word_tokenizer())
 
@@ -42,7 +58,9 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
+    "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
+    "op5_line_dedup": op5_line_dedup,
     "op7_packing": op7_packing,
     "op9_quality_rules": op9_quality_rules,
 }
