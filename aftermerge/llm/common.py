@@ -8,14 +8,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of characters outside this class; ``bytes.split()`` cuts at the same bytes.
 SPACES = "[\\x20\\x09-\\x0D]+"
 
-#: Entries a worker keeps in a word cache before it starts the cache anew.
+#: Entries a worker keeps in a cache of words before it starts anew.
 CACHED_WORDS = 400_000
 
 
@@ -51,23 +50,82 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id), F.col(text), F.col(text).isNull())
 
 
-class Codes(dict):
-    """Word (bytes) to 64-bit code, remembered up to ``CACHED_WORDS`` words."""
+#: Multiplier of the word hash and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: list[np.ndarray] = []
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(self.normal(word))
-        return code
 
-    @staticmethod
-    def normal(word: bytes) -> bytes:
-        """The form of a word that is hashed: as it is written."""
-        return word
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the multiplier and of its inverse; kept for up to some millions."""
+    if _POWERS and len(_POWERS[0]) > n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(max(n + 1, 1 << 16), base, np.uint64)
+        steps[0] = 1
+        made.append(np.cumprod(steps))
+    if n < 1 << 22:
+        _POWERS[:] = made
+    return made[0], made[1]
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Codes of ``words`` in order."""
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+def _separators(extra: bytes = b"") -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(b" \t\n\x0b\x0c\r" + extra)] = True
+    return table
+
+
+#: Bytes that end a word: white space; for tokens, ASCII punctuation too.
+WORD_ENDS = _separators()
+TOKEN_ENDS = _separators(b"\"'`.,;:!?()[]{}<>*#$%&|/\\_~^=+-@")
+
+
+def raw_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column in a row, and where each text starts (and the last ends)."""
+    if column.null_count:
+        column = column.fill_null("")
+    wide = pa.types.is_large_string(column.type)
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)
+    offsets = offsets[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    if data is None or not len(column):
+        return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def word_codes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray = WORD_ENDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit code for every word of the texts in a row, and where it begins.
+
+    A word's code is a polynomial of its bytes, read off prefix sums, so that no word becomes a
+    Python object.
+    """
+    if not len(data):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    space = ends[data]
+    edge = starts[:-1][starts[:-1] < starts[1:]]  # where texts that aren't empty start
+    before = np.empty(len(data), bool)
+    before[1:] = space[:-1]
+    before[edge] = True
+    first = np.flatnonzero(~space & before)
+    after = np.empty(len(data), bool)
+    after[:-1] = space[1:]
+    after[np.append(edge[1:] - 1, len(data) - 1)] = True
+    last = np.flatnonzero(~space & after) + 1
+    up, down = _powers(len(data))
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return mix((sums[last] - sums[first]) * down[first]), first
+
+
+def text_codes(column: pa.Array, ends: np.ndarray = WORD_ENDS) -> list[np.ndarray]:
+    """The codes of each text's words."""
+    data, starts = raw_text(column)
+    codes, first = word_codes(data, starts, ends)
+    return np.split(codes, np.searchsorted(first, starts[1:-1])) if len(starts) > 1 else []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -124,18 +182,15 @@ def by_group(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
-def block_tasks(members: DataFrame, key: str, spread: str, block: int) -> DataFrame:
+def block_tasks(sized: DataFrame, key: str, n: str, spread: str, block: int) -> DataFrame:
     """Cut groups into blocks and lay out every pair of blocks as a task of at most two blocks.
 
-    ``members`` has one row per member of group ``key``; ``spread`` is a long that tells members
-    apart. A group of up to ``block`` members is one task; a larger one is dealt by hash into
-    blocks of about that size. Adds ``task`` (long), ``side`` (0 or 1; a task of a block with
-    itself has only 0). Members of groups of one row are left out. No group is gathered: sizes
-    come from a partial aggregation, and only the few groups above ``block`` are joined to.
+    ``sized`` has one row per member of group ``key`` and the group's size in column ``n``;
+    ``spread`` is a long that tells members apart. A group of up to ``block`` members is one task;
+    a larger one is dealt by hash into blocks of about that size. Adds ``task`` (long) and
+    ``side`` (0 or 1; a task of a block with itself has only 0), and drops ``n``.
     """
-    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    sized = members.join(sizes, key)
-    blocks = F.ceil(F.col("_n") / F.lit(block)).cast("int")
+    blocks = F.ceil(F.col(n) / F.lit(block)).cast("int")
     mine = F.pmod(F.xxhash64(F.col(spread), F.lit(7)), F.col("_blocks").cast("long")).cast("int")
     return (
         sized.withColumn("_blocks", blocks)
@@ -146,5 +201,5 @@ def block_tasks(members: DataFrame, key: str, spread: str, block: int) -> DataFr
             "task",
             F.xxhash64(key, F.least("_mine", "_other"), F.greatest("_mine", "_other")),
         )
-        .drop("_n", "_blocks", "_mine", "_other")
+        .drop(n, "_blocks", "_mine", "_other")
     )

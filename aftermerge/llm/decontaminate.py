@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import Codes, as_bytes, mix, row_key, slices
+from aftermerge.llm.common import TOKEN_ENDS, mix, raw_text, row_key, slices, word_codes
 
 #: Seeds of weight 8 in a window of 12: 1 keeps a position, 0 ignores it.
 MASKS = ("111111110000", "110110110011", "101101011011", "000011111111")
@@ -41,16 +41,14 @@ SCHEMA = (
     "doc_id long, __row long, item_id long, doc_start long, item_start long, tokens long, different long"
 )
 
-_EDGE = b"\"'`.,;:!?()[]{}<>*#$%&|-_"
 
-
-class _Tokens(Codes):
-    """Tokens compare without case and without punctuation at their ends."""
-
-    @staticmethod
-    def normal(word: bytes) -> bytes:
-        bare = word.decode("utf-8", "replace").lower().encode()
-        return bare.strip(_EDGE) or bare
+def tokens_of(column: pa.Array) -> list[np.ndarray]:
+    """Codes of each text's tokens: without ASCII punctuation, ASCII letters in lower case."""
+    data, starts = raw_text(column)
+    lower = np.arange(256, dtype=np.uint8)
+    lower[65:91] += 32
+    codes, first = word_codes(lower[data], starts, TOKEN_ENDS)
+    return np.split(codes, np.searchsorted(first, starts[1:-1])) if len(starts) > 1 else []
 
 
 def window_hashes(codes: np.ndarray, mask: str) -> np.ndarray:
@@ -68,9 +66,9 @@ def window_hashes(codes: np.ndarray, mask: str) -> np.ndarray:
 class SeedIndex:
     """The windows of a block of items, by hash, for every mask."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], masks: tuple[str, ...] = MASKS) -> None:
-        codes = _Tokens()
-        tokens = [(i, codes.of((t or b"").split())) for i, t in items]
+    def __init__(self, items: list[tuple[int | None, str]], masks: tuple[str, ...] = MASKS) -> None:
+        names, texts = zip(*items, strict=True)
+        tokens = list(zip(names, tokens_of(pa.array(texts, pa.string())), strict=True))
         span = max(map(len, masks))
         self.items = [x for x in tokens if len(x[1])]
         self.tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -141,19 +139,19 @@ def tolerant_overlap(
     return low + best[0], best[1], best[2]
 
 
-def _blocks(benchmark: DataFrame, block_tokens: int) -> Iterator[list[tuple[int | None, bytes]]]:
+def _blocks(benchmark: DataFrame, block_tokens: int) -> Iterator[list[tuple[int | None, str]]]:
     """The benchmark's items in blocks of bounded size; only one block is held at a time."""
-    block: list[tuple[int | None, bytes]] = []
+    block: list[tuple[int | None, str]] = []
     size = 0
     for row in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
-        words = row["text"].encode().split()
+        words = row["text"].split()
         # An item that is larger than a block is cut, its parts overlapping by the shortest overlap.
         for start in range(0, max(len(words), 1), block_tokens):
             part = words[max(0, start - 2 * LEAST_TOKENS) : start + block_tokens]
             if block and size + len(part) > block_tokens:
                 yield block
                 block, size = [], 0
-            block.append((row["item_id"], b" ".join(part)))
+            block.append((row["item_id"], " ".join(part)))
             size += len(part)
     if block:
         yield block
@@ -174,9 +172,9 @@ def overlaps(
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, words = SeedIndex(shared.value), _Tokens()
+            index = SeedIndex(shared.value)
             for batch in slices(batches, 256):
-                texts = [words.of((t or b"").split()) for t in as_bytes(batch.column(2))]
+                texts = tokens_of(batch.column(2))
                 starts = np.concatenate([[0], np.cumsum([len(c) for c in texts])])
                 codes = np.concatenate(texts) if texts else np.empty(0, np.uint64)
                 best: dict[tuple[int, int | None], tuple[int, int, int, int]] = {}

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import Codes, as_bytes, by_group, mix, row_key, slices, stage
+from aftermerge.llm.common import by_group, mix, raw_text, row_key, slices, stage, word_codes
 
 THRESHOLD = 0.8
 
@@ -44,7 +44,7 @@ PAIRS = 1 << 19
 #: Buckets of the filter that spares most documents the second join.
 WANTED = 1 << 20
 
-_LOW = np.uint64((1 << 47) - 1)
+_LOW = np.uint64((1 << 30) - 1)
 _NO_WORD = "[^\\x20\\x09-\\x0D]"
 
 
@@ -62,6 +62,10 @@ def _buckets(codes: np.ndarray) -> np.ndarray:
     return (codes >> np.uint64(47)).astype(np.int64)
 
 
+def _ranks(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(30)).astype(np.int64)
+
+
 def _table(rows: DataFrame) -> np.ndarray:
     """Columns b and n as an array of ``BUCKETS`` numbers."""
     out = np.zeros(BUCKETS, np.int64)
@@ -79,10 +83,10 @@ def rarity(docs: DataFrame) -> np.ndarray:
     """The place of each bucket of words in the order of rarity over all texts."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts = Codes(), np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for batch in slices(batches, 128):
-            words = b" ".join(t for t in as_bytes(batch.column(0)) if t).split()
-            counts += np.bincount(_buckets(codes.of(words)), minlength=BUCKETS)
+            codes, _ = word_codes(*raw_text(batch.column(0)))
+            counts += np.bincount(_buckets(codes), minlength=BUCKETS)
         yield _bars(counts)
 
     counts = _table(docs.select("text").mapInArrow(count, "b long, n long"))
@@ -94,43 +98,55 @@ def rarity(docs: DataFrame) -> np.ndarray:
 class Lines:
     """The word sets of the lines of some texts: flat arrays, each set rarest word first.
 
-    ``words``: the rarity of a word in the high 17 bits, the rest of its code below. ``row`` and
-    ``line``: where a set is; ``low``/``high``: its part of ``words``; ``s1``, ``s2``: its hash.
+    ``words``: 47 bits each, the rarity of a word in the high 17. ``row`` and ``line``: where a set
+    is; ``low``/``high``: its part of ``words``; ``s1``, ``s2``: its hash.
     """
 
-    def __init__(self, texts: list[bytes | None], codes: Codes, ranks: np.ndarray) -> None:
-        rows, numbers, lists = [], [], []
-        for row, text in enumerate(texts):
-            for number, line in enumerate(text.split(b"\n") if text else ()):
-                found = line.split()
-                if found:
-                    rows.append(row)
-                    numbers.append(number)
-                    lists.append(found)
-        self.row, self.line = np.array(rows, np.int64), np.array(numbers, np.int32)
-        hashes = codes.of([w for found in lists for w in found])
-        words = (ranks[_buckets(hashes)] << np.uint64(47)) | (hashes & _LOW)
-        owner = np.repeat(np.arange(len(rows)), [len(found) for found in lists])
-        by = np.argsort(words)
-        by = by[np.argsort(owner[by], kind="stable")]
-        words, owner = words[by], owner[by]
-        first = np.ones(len(words), bool)
-        first[1:] = (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])
-        self.words, self.owner = words[first], owner[first]
-        self.size = np.bincount(self.owner, minlength=len(rows))
+    def __init__(self, texts: pa.Array, ranks: np.ndarray) -> None:
+        data, starts = raw_text(texts)
+        codes, first = word_codes(data, starts)
+        feeds = np.flatnonzero(data == 10)
+        text = np.searchsorted(starts, first, "right") - 1  # empty texts share their start
+        line = np.searchsorted(feeds, first) + text  # a new text begins a new line
+        new = np.ones(len(line), bool)
+        new[1:] = line[1:] != line[:-1]
+        owner = np.cumsum(new) - 1
+        head = np.flatnonzero(new)
+        self.row = text[head]
+        self.line = (np.searchsorted(feeds, first[head]) - np.searchsorted(feeds, starts[self.row])).astype(np.int32)
+        words = (ranks[_buckets(codes)] << np.uint64(30)) | (codes & _LOW)
+        self.words, self.owner = self._distinct(words, owner)
+        self.size = np.bincount(self.owner, minlength=len(head))
         self.high = np.cumsum(self.size)
         self.low = self.high - self.size
-        if len(rows):
+        if len(head):
             spread = mix(self.words)
             self.s1 = np.add.reduceat(spread, self.low).view(np.int64)
             self.s2 = np.add.reduceat(mix(spread + self.words), self.low).view(np.int64)
         else:
             self.s1 = self.s2 = np.empty(0, np.int64)
 
-    def sketch(self) -> np.ndarray:
-        """64 bits per set: each word flips one."""
-        bits = np.uint64(1) << (mix(self.words) >> np.uint64(58))
-        return np.bitwise_xor.reduceat(bits, self.low).view(np.int64)
+    @staticmethod
+    def _distinct(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each owner's distinct words in order; owners beyond 17 bits go in turns."""
+        out = []
+        for turn in range(0, int(owner[-1]) + 1 if len(owner) else 0, 1 << 17):
+            a, b = np.searchsorted(owner, (turn, turn + (1 << 17)))
+            keyed = np.sort((owner[a:b] - turn).astype(np.uint64) << np.uint64(47) | words[a:b])
+            fresh = np.ones(len(keyed), bool)
+            fresh[1:] = keyed[1:] != keyed[:-1]
+            keyed = keyed[fresh]
+            out.append((keyed & np.uint64((1 << 47) - 1), (keyed >> np.uint64(47)).astype(np.int64) + turn))
+        if not out:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.concatenate([w for w, _ in out]), np.concatenate([o for _, o in out])
+
+    def sketch(self) -> list[np.ndarray]:
+        """Twice 64 bits per set: each word flips one."""
+        bit = mix(self.words) >> np.uint64(57)
+        flip = np.uint64(1) << (bit & np.uint64(63))
+        halves = (np.where(bit < 64, flip, 0), np.where(bit < 64, 0, flip))
+        return [np.bitwise_xor.reduceat(h.astype(np.uint64), self.low).view(np.int64) for h in halves]
 
 
 def _mapped(
@@ -140,9 +156,8 @@ def _mapped(
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in slices(batches, 128):
-            lines = Lines(as_bytes(batch.column(2)), codes, shared.value)
+            lines = Lines(batch.column(2), shared.value)
             if len(lines.row):
                 yield from give(batch, lines)
         yield from give(None, None)
@@ -198,7 +213,7 @@ def _prefixes(x: Lines, fresh: np.ndarray, t: float) -> np.ndarray:
 
 
 def posting_counts(docs: DataFrame, ranks: np.ndarray, t: float) -> np.ndarray:
-    """Postings by bucket of their word."""
+    """Postings by rank of their word."""
 
     def make() -> Callable[..., Iterator[pa.RecordBatch]]:
         state: dict[str, object] = {}
@@ -209,7 +224,7 @@ def posting_counts(docs: DataFrame, ranks: np.ndarray, t: float) -> np.ndarray:
                 yield _bars(counts)
             else:
                 fresh = state.setdefault("f", _Fresh()).of(x)
-                counts += np.bincount(_buckets(x.words[_prefixes(x, fresh, t)]), minlength=BUCKETS)
+                counts += np.bincount(_ranks(x.words[_prefixes(x, fresh, t)]), minlength=BUCKETS)
 
         return give
 
@@ -217,7 +232,7 @@ def posting_counts(docs: DataFrame, ranks: np.ndarray, t: float) -> np.ndarray:
 
 
 def postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, t: float, block: int) -> DataFrame:
-    """A row per set, word of its prefix and pair of blocks: task, s1, sketch, and in ``meta`` the
+    """A row per set, word of its prefix and pair of blocks: task, s1, a sketch, and in ``meta`` the
     set's size, the word's place in it and the side of the task."""
     most = docs.sparkSession.sparkContext.broadcast(np.maximum(1, -(-counts // block)).astype(np.int64))
 
@@ -229,7 +244,7 @@ def postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, t: float, b
                 return
             put = _prefixes(x, state.setdefault("f", _Fresh()).of(x), t)
             word, owner = x.words[put], x.owner[put]
-            blocks = most.value[_buckets(word)]
+            blocks = most.value[_ranks(word)]
             mine = (mix(x.s1[owner].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
             copy = np.repeat(np.arange(len(put)), blocks)
             other = np.arange(len(copy)) - (np.cumsum(blocks) - blocks)[copy]
@@ -239,26 +254,26 @@ def postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, t: float, b
             at = np.minimum(put - x.low[owner], (1 << 30) - 1)
             meta = (x.size[owner] << 31) | (at << 1) | (mine > other)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(task), pa.array(x.s1[owner]), pa.array(x.sketch()[owner]), pa.array(meta)],
-                names=["task", "s1", "sketch", "meta"],
+                [pa.array(task), pa.array(x.s1[owner]), *(pa.array(h[owner]) for h in x.sketch()), pa.array(meta)],
+                names=["task", "s1", "b0", "b1", "meta"],
             )
 
         return give
 
-    return _mapped(docs, ranks, "task long, s1 long, sketch long, meta long", make())
+    return _mapped(docs, ranks, "task long, s1 long, b0 long, b1 long, meta long", make())
 
 
 class Meeting:
     """The postings of whole tasks, a row per set and task, ordered by task and size."""
 
     def __init__(self, table: pa.Table) -> None:
-        names = ["task", "s1", "sketch", "meta"]
-        task, s1, sketch, meta = (table[n].to_numpy() for n in names)
+        task, s1, meta = (table[n].to_numpy() for n in ("task", "s1", "meta"))
         order = np.lexsort((s1, meta >> 31, task))
         new = np.ones(len(order), bool)  # another map task may have posted the same set
         new[1:] = (np.diff(task[order]) != 0) | (np.diff(s1[order]) != 0)
         self.order = order = order[new]
-        self.task, self.s1, self.sketch = task[order], s1[order], sketch[order].view(np.uint64)
+        self.task, self.s1 = task[order], s1[order]
+        self.bits = [table[n].to_numpy()[order].view(np.uint64) for n in ("b0", "b1")]
         meta = meta[order]
         self.size, self.at, self.side = meta >> 31, (meta >> 1) & ((1 << 30) - 1), meta & 1
         self.number = np.cumsum(np.concatenate([[0], np.diff(self.task) != 0]))
@@ -287,12 +302,12 @@ class Meeting:
             low = high
             ok = ~self.mixed[i] | (self.side[i] != self.side[j])
             i, j = i[ok], j[ok]
-            sizes = self.size[i] + self.size[j]
             need = least_overlap(self.size[i], self.size[j], t)
-            ai, aj = self.at[i], self.at[j]
-            ok = np.minimum(ai, aj) + np.minimum(self.size[i] - ai, self.size[j] - aj) >= need
-            apart = np.bitwise_count(self.sketch[i] ^ self.sketch[j]).astype(np.int64)
-            ok &= sizes - apart >= 2 * need
+            # At the first word that two sets share, none of the rarer ones are shared.
+            ok = np.minimum(self.size[i] - self.at[i], self.size[j] - self.at[j]) >= need
+            i, j, need = i[ok], j[ok], need[ok]
+            apart = sum(np.bitwise_count(b[i] ^ b[j]).astype(np.int64) for b in self.bits)
+            ok = self.size[i] + self.size[j] - apart >= 2 * need
             yield i[ok], j[ok]
 
 
@@ -380,9 +395,8 @@ def _with_words(docs: DataFrame, ranks: np.ndarray, alive: DataFrame, firsts: Da
             yield batch.filter(pa.array(shared.value[batch.column(0).to_numpy() % WANTED]))
 
     def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in slices(batches, 128):
-            x = Lines(as_bytes(batch.column(0)), codes, spread.value)
+            x = Lines(batch.column(0), spread.value)
             numbers = [set(v) for v in batch.column(1).to_pylist()]
             at = [k for k, (r, n) in enumerate(zip(x.row.tolist(), x.line.tolist(), strict=True)) if n in numbers[r]]
             raw = x.words.tobytes()
