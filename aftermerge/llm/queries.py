@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aftermerge.llm import decontaminate, lines, packing, quality, sharding, tokens
+from aftermerge.llm import decontaminate, lines, near_duplicates, packing, quality, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.length_histogram(table(spark, sf, "documents"), word_tokenizer(), ["lang"])
 
@@ -57,6 +61,7 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
