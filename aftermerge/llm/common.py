@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -94,38 +94,67 @@ def raw_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_codes(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray = WORD_ENDS
-) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit code for every word of the texts in a row, and where it begins.
-
-    A word's code is a polynomial of its bytes, read off prefix sums, so that no word becomes a
-    Python object.
-    """
-    if not len(data):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+def _word_bounds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of the texts in a row begin and end."""
     space = ends[data]
     edge = starts[:-1][starts[:-1] < starts[1:]]  # where texts that aren't empty start
     before = np.empty(len(data), bool)
     before[1:] = space[:-1]
     before[edge] = True
-    first = np.flatnonzero(~space & before)
     after = np.empty(len(data), bool)
     after[:-1] = space[1:]
     after[np.append(edge[1:] - 1, len(data) - 1)] = True
-    last = np.flatnonzero(~space & after) + 1
+    return np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
+
+
+def word_prefix_codes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, prefixes: Sequence[int] = ()
+) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit codes of every word and of its first bytes, a row each, and where the words begin.
+
+    A word's code is a polynomial of its bytes, read off prefix sums, so that no word becomes a
+    Python object.
+    """
+    if not len(data):
+        return np.empty((1 + len(prefixes), 0), np.uint64), np.empty(0, np.int64)
+    first, last = _word_bounds(data, starts, ends)
     up, down = _powers(len(data))
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix((sums[last] - sums[first]) * down[first]), first
+    stops = [last, *(np.minimum(first + k, last) for k in prefixes)]
+    return np.stack([mix((sums[stop] - sums[first]) * down[first]) for stop in stops]), first
+
+
+def word_codes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray = WORD_ENDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit code for every word of the texts in a row, and where it begins."""
+    codes, first = word_prefix_codes(data, starts, ends)
+    return codes[0], first
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    """UTF-8 with its ASCII letters in lower case."""
+    lower = np.arange(256, dtype=np.uint8)
+    lower[65:91] += 32
+    return lower[data]
 
 
-def text_codes(column: pa.Array, ends: np.ndarray = WORD_ENDS) -> list[np.ndarray]:
+def _by_text(codes: np.ndarray, first: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    return np.split(codes, np.searchsorted(first, starts[1:-1])) if len(starts) > 1 else []
+
+
+def text_codes(column: pa.Array) -> list[np.ndarray]:
     """The codes of each text's words."""
     data, starts = raw_text(column)
-    codes, first = word_codes(data, starts, ends)
-    return np.split(codes, np.searchsorted(first, starts[1:-1])) if len(starts) > 1 else []
+    return _by_text(*word_codes(data, starts), starts)
+
+
+def token_codes(column: pa.Array) -> list[np.ndarray]:
+    """Codes of each text's tokens: words without ASCII punctuation, ASCII letters in lower case."""
+    data, starts = raw_text(column)
+    return _by_text(*word_codes(lower_ascii(data), starts, TOKEN_ENDS), starts)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -21,10 +21,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import TOKEN_ENDS, mix, raw_text, row_key, slices, word_codes
+from aftermerge.llm.common import mix, row_key, slices, token_codes
 
 #: Seeds of weight 8 in a window of 12: 1 keeps a position, 0 ignores it.
 MASKS = ("111111110000", "110110110011", "101101011011", "000011111111")
@@ -42,15 +42,6 @@ SCHEMA = (
 )
 
 
-def tokens_of(column: pa.Array) -> list[np.ndarray]:
-    """Codes of each text's tokens: without ASCII punctuation, ASCII letters in lower case."""
-    data, starts = raw_text(column)
-    lower = np.arange(256, dtype=np.uint8)
-    lower[65:91] += 32
-    codes, first = word_codes(lower[data], starts, TOKEN_ENDS)
-    return np.split(codes, np.searchsorted(first, starts[1:-1])) if len(starts) > 1 else []
-
-
 def window_hashes(codes: np.ndarray, mask: str) -> np.ndarray:
     """A hash per window of ``codes``, over the positions that ``mask`` keeps."""
     n = len(codes) - len(mask) + 1
@@ -68,7 +59,7 @@ class SeedIndex:
 
     def __init__(self, items: list[tuple[int | None, str]], masks: tuple[str, ...] = MASKS) -> None:
         names, texts = zip(*items, strict=True)
-        tokens = list(zip(names, tokens_of(pa.array(texts, pa.string())), strict=True))
+        tokens = list(zip(names, token_codes(pa.array(texts, pa.string())), strict=True))
         span = max(map(len, masks))
         self.items = [x for x in tokens if len(x[1])]
         self.tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -174,7 +165,7 @@ def overlaps(
         def search(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = SeedIndex(shared.value)
             for batch in slices(batches, 256):
-                texts = tokens_of(batch.column(2))
+                texts = token_codes(batch.column(2))
                 starts = np.concatenate([[0], np.cumsum([len(c) for c in texts])])
                 codes = np.concatenate(texts) if texts else np.empty(0, np.uint64)
                 best: dict[tuple[int, int | None], tuple[int, int, int, int]] = {}

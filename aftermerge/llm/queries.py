@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aftermerge.llm import decontaminate, lines, near_duplicates, packing, quality, sharding, tokens
+from aftermerge.llm import (
+    decontaminate,
+    licenses,
+    lines,
+    near_duplicates,
+    packing,
+    quality,
+    sharding,
+    tokens,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,22 +63,39 @@ def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), word_tokenizer())
 
 
+def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    """Every license found in a document, with its coverage and place."""
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
     "op5_line_dedup": op5_line_dedup,
+    "op6_url_filters": op6_url_filters,
     "op7_packing": op7_packing,
+    "op8_license_scans": op8_license_scans,
     "op9_quality_rules": op9_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
