@@ -1,12 +1,12 @@
 """N-gram Jaccard join: a MinHash LSH forest with exact verification.
 
 A document is the set of its shingles of five words. Every tree of the forest is a trie of
-signatures, sorted by ``DEPTH`` MinHash values; documents meet in a trie node if they share the
-prefix that leads to it. Matching starts with long prefixes. After each round the recall is
-estimated from the exact similarities of the links found (each stands for 1 / P links, P being
-its chance to be found at that depth), and the prefixes are shortened to the next depth that is
-expected to reach the target, at the latest to the depth where even a pair right at the
-threshold reaches it. Every candidate is verified on its shingles.
+signatures of ``DEPTH`` MinHash values; documents meet in a trie node if they share the prefix
+that leads to it. Matching starts with the longest prefix: in the sorted first tree, neighbours
+in a node show how similar the corpus's near copies are (each stands for similarity ** -DEPTH
+pairs). Prefixes are then shortened, value by value, until the recall expected for these
+similarities reaches the target, at the latest where even a pair right at the threshold reaches
+it. At that depth all trees are matched, and every candidate is verified on its shingles.
 
 Equal shingle sets are one set throughout, so copies are never expanded. Nodes with the same
 members are kept once. A large node is dealt into blocks, and every pair of blocks is a task
@@ -33,9 +33,12 @@ from aftermerge.llm.common import block_tasks, by_group, mix, row_key, shingles,
 WIDTH = 5
 THRESHOLD = 0.8
 TREES = 24
-DEPTH = 6
+DEPTH = 5
 RECALL = 0.99999
 
+#: Sets in the sample that shows how similar near copies are.
+SAMPLE = 200_000
+
 #: Sets of a node that meet in one block; candidate pairs looked at together.
 BLOCK = 512
 PAIRS = 1 << 16
@@ -50,16 +53,15 @@ def signature(found: np.ndarray) -> np.ndarray:
     """MinHash values of a set of shingles: a row per tree."""
     least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
     for low in range(0, len(found), 2048):
-        hashed = _SEEDS[:, None] * found[None, low : low + 2048]
-        least = np.minimum(least, (hashed ^ (hashed >> np.uint64(32))).min(1))
-    return least.reshape(TREES, DEPTH)
+        least = np.minimum(least, (_SEEDS[:, None] * found[None, low : low + 2048]).min(1))
+    return (mix(least) >> np.uint64(32)).astype(np.uint32).reshape(TREES, DEPTH)
 
 
 def prefixes(signatures: np.ndarray, depth: int) -> np.ndarray:
     """The trie node of each signature in every tree, at ``depth``: (sets, trees)."""
-    node = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64), signatures.shape[:2])
+    node = np.broadcast_to(np.arange(1, signatures.shape[1] + 1, dtype=np.uint64), signatures.shape[:2])
     for level in range(depth):
-        node = mix(node * np.uint64(31) + signatures[:, :, level])
+        node = mix(node * np.uint64(31) + signatures[:, :, level].astype(np.uint64))
     return node
 
 
@@ -98,14 +100,16 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
 def distinct_sets(found: DataFrame) -> DataFrame:
     """Per distinct set its first document (doc_id, row), signature and number of distinct texts."""
-    first = F.struct(F.col("doc_id").isNull().alias("m"), "doc_id", "row", "sign")
-    return (
+    first = F.struct(F.col("doc_id").isNull().alias("m"), "doc_id", "row")
+    heads = (
         found.groupBy("k1", "k2", "t")
         .agg(F.min(first).alias("f"))
         .groupBy("k1", "k2")
         .agg(F.min("f").alias("f"), F.count(F.lit(1)).alias("texts"))
-        .select("k1", "k2", "texts", "f.doc_id", "f.row", "f.sign")
+        .select("k1", "k2", "texts", "f.doc_id", "f.row")
     )
+    signs = found.select("row", "sign").join(heads.select("row", "k1", "k2", "texts", "doc_id"), "row")
+    return signs.dropDuplicates(["row"])  # repeated rows have equal signatures
 
 
 def _members(sets: DataFrame, depth: int) -> DataFrame:
@@ -113,7 +117,7 @@ def _members(sets: DataFrame, depth: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 512):
-            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
+            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32)
             nodes = prefixes(signs.reshape(-1, TREES, DEPTH), depth)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -130,21 +134,21 @@ def _members(sets: DataFrame, depth: int) -> DataFrame:
 def _meetings(sets: DataFrame, depth: int, block: int) -> DataFrame:
     """The members of nodes with two sets or more as tasks; of equal nodes the first tree's."""
     members = _members(sets, depth)
+    sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    shared = stage(members.join(sizes, "node"), "members")
     spread = F.xxhash64("k1")
     nodes = (
-        members.groupBy("node")
+        shared.groupBy("node", "_n")
         .agg(
-            F.count(F.lit(1)).alias("_n"),
             F.bit_xor(spread).alias("a"),
             F.bit_xor(F.xxhash64(spread, F.lit(1))).alias("b"),
             F.min("tree").alias("tree"),
         )
-        .where("_n > 1")
         .groupBy("_n", "a", "b")
         .agg(F.min(F.struct("tree", "node")).alias("f"))
-        .select("_n", "f.node")
+        .select("f.node")
     )
-    return block_tasks(members.join(nodes, "node"), "node", "_n", "k1", block).drop("node")
+    return block_tasks(shared.join(nodes, "node", "left_semi"), "node", "_n", "k1", block).drop("node")
 
 
 def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -169,12 +173,10 @@ def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
 class _Task:
     """The sets of one task, and which pairs of them are its own to verify."""
 
-    def __init__(self, sets: list[np.ndarray], side: np.ndarray, tree: int, depth: int, done: int) -> None:
+    def __init__(self, sets: list[np.ndarray], side: np.ndarray, tree: int, depth: int) -> None:
         self.sets, self.side, self.tree = sets, side, tree
         self.size = np.array([len(s) for s in sets])
-        signs = np.stack([signature(s) for s in sets])
-        self.node = prefixes(signs, depth)
-        self.before = prefixes(signs, done) if done else None
+        self.node = prefixes(np.stack([signature(s) for s in sets]), depth)
 
     def pairs(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Candidate pairs, at most about ``PAIRS`` at a time."""
@@ -193,8 +195,6 @@ class _Task:
             i, j = i[ok], j[ok]
             same = self.node[i] == self.node[j]
             ok = same.argmax(1) == self.tree
-            if self.before is not None:
-                ok &= ~(self.before[i] == self.before[j]).any(1)
             if ok.any():
                 yield i[ok], j[ok]
 
@@ -235,9 +235,8 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _verified(tasks: DataFrame, depth: int, done: int, threshold: float) -> DataFrame:
-    """Per task and linked set: linked texts, the root of its component there, and for each depth
-    the number of links that those found stand for."""
+def _verified(tasks: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """Per task and linked set: the root of its component there and its number of linked texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_group(batches, "task"):
@@ -249,42 +248,27 @@ def _verified(tasks: DataFrame, depth: int, done: int, threshold: float) -> Data
                 if len(side) < 2 or side.min() == 1:
                     continue
                 found = [shingles(c, WIDTH) for c in text_codes(part["text"].combine_chunks())]
-                group = _Task(found, side, int(part["tree"][0].as_py()), depth, done)
+                group = _Task(found, side, int(part["tree"][0].as_py()), depth)
                 names, texts = part["k1"].to_numpy(), part["texts"].to_numpy()
-                left, right, alike = [], [], []
+                left, right = [], []
                 for i, j in group.pairs(threshold):
                     both = group.shared(i, j)
-                    union = group.size[i] + group.size[j] - both
-                    good = both >= threshold * union - 1e-9
+                    good = both >= threshold * (group.size[i] + group.size[j] - both) - 1e-9
                     left.append(i[good])
                     right.append(j[good])
-                    alike.append(both[good] / union[good])
                 if not sum(map(len, left)):
                     continue
-                i, j, s = (np.concatenate(x) for x in (left, right, alike))
+                i, j = np.concatenate(left), np.concatenate(right)
                 n = len(names)
-                links = np.bincount(i, texts[j], n) + np.bincount(j, texts[i], n)
-                stands = [
-                    np.bincount(i, 0.5 / chance(s, d), n) + np.bincount(j, 0.5 / chance(s, d), n)
-                    for d in range(1, DEPTH + 1)
-                ]
-                own = np.bincount(i, minlength=n) + np.bincount(j, minlength=n)
-                at = np.flatnonzero(own)
+                links = (np.bincount(i, texts[j], n) + np.bincount(j, texts[i], n)).astype(np.int64)
+                at = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names[at]),
-                        pa.array(names[_roots(n, i, j)[at]]),
-                        pa.array(links[at].astype(np.int64)),
-                        pa.array(own[at] / 2),
-                        *(pa.array(x[at]) for x in stands),
-                    ],
-                    names=["k1", "root", "links", "found", *(f"e{d}" for d in range(1, DEPTH + 1))],
+                    [pa.array(names[at]), pa.array(names[_roots(n, i, j)[at]]), pa.array(links[at])],
+                    names=["k1", "root", "links"],
                 )
 
-    schema = "k1 long, root long, links long, found double" + "".join(
-        f", e{d} double" for d in range(1, DEPTH + 1)
-    )
-    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, schema)
+    parts = tasks.repartition("task").sortWithinPartitions("task")
+    return parts.mapInArrow(run, "k1 long, root long, links long")
 
 
 def last_depth(threshold: float, recall: float) -> int:
@@ -293,6 +277,53 @@ def last_depth(threshold: float, recall: float) -> int:
     return max(good, default=1)
 
 
+def similarities(sets: DataFrame, sample: int = SAMPLE) -> np.ndarray:
+    """How many neighbours of the sorted first tree agree in each number of MinHash values.
+
+    Looks at whole nodes, of about ``sample`` sets in all, chosen by hash; a row is compared with
+    the one before it, so no node is gathered.
+    """
+    share = max(1, sets.count() // sample)
+
+    def first_nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 512):
+            signs = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32)
+            node = prefixes(signs.reshape(-1, TREES, DEPTH)[:, :1], DEPTH)[:, 0]
+            keep = pa.array(node % np.uint64(share) == 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node.view(np.int64)).filter(keep), batch.column(0).filter(keep)], names=["node", "sign"]
+            )
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, last = np.zeros(TREES * DEPTH + 1, np.int64), (None, None)
+        for batch in batches:
+            for node, sign in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if node == last[0]:
+                    seen[(np.frombuffer(sign, np.uint32) == np.frombuffer(last[1], np.uint32)).sum()] += 1
+                last = (node, sign)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], names=["agree", "n"])
+
+    nodes = sets.select("sign").mapInArrow(first_nodes, "node long, sign binary")
+    pairs = nodes.repartition("node").sortWithinPartitions("node", "sign").mapInArrow(compare, "agree long, n long")
+    out = np.zeros(TREES * DEPTH + 1)
+    counted = pairs.groupBy("agree").agg(F.sum("n").alias("n")).toArrow()
+    out[counted["agree"].to_numpy()] = counted["n"].to_numpy()
+    return out
+
+
+def matching_depth(agreements: np.ndarray, threshold: float, recall: float) -> int:
+    """The longest prefix expected to find this share of the pairs at the threshold or above."""
+    alike = np.arange(len(agreements)) / (len(agreements) - 1)
+    # Neighbours met because their first DEPTH values agree; the others show their similarity.
+    alike = np.clip((alike * TREES - 1) / (TREES - 1), 1e-3, 1)
+    stands = np.where(alike >= threshold - 0.05, agreements * alike**-DEPTH, 0)
+    alike = np.maximum(alike, threshold)
+    depth, last = DEPTH, last_depth(threshold, recall)
+    while depth > last and not stands.sum() * recall <= (stands * chance(alike, depth)).sum() > 0:
+        depth -= 1
+    return depth
+
+
 def link_sets(
     docs: DataFrame,
     sets: DataFrame,
@@ -301,22 +332,10 @@ def link_sets(
     block: int = BLOCK,
 ) -> DataFrame:
     """Links of the distinct sets, task by task: k1, root and links."""
-    rounds: list[DataFrame] = []
-    depth, done, floor = DEPTH, 0, last_depth(threshold, recall)
-    while True:
-        tasks = stage(_meetings(sets, depth, block), "nodes")
-        texts = _texts(docs, sets, tasks.select("k1").distinct())
-        rounds.append(stage(_verified(tasks.join(texts, "k1"), depth, done, threshold), "links"))
-        everything = rounds[0]
-        for other in rounds[1:]:
-            everything = everything.unionByName(other)
-        sums = everything.agg(
-            F.sum("found").alias("found"), *(F.sum(f"e{d}").alias(f"e{d}") for d in range(1, DEPTH + 1))
-        ).first()
-        reached = [d for d in range(floor, depth + 1) if sums["found"] and sums["found"] >= recall * sums[f"e{d}"]]
-        if depth <= floor or depth in reached:
-            return everything.select("k1", "root", "links")
-        depth, done = max(reached, default=floor), depth
+    depth = matching_depth(similarities(sets), threshold, recall)
+    tasks = stage(_meetings(sets, depth, block), "nodes")
+    texts = _texts(docs, sets, tasks.select("k1").distinct())
+    return _verified(tasks.join(texts, "k1"), depth, threshold)
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -129,6 +129,20 @@ def test_near_duplicates(spark: SparkSession, block: int, recall: float) -> None
         assert any(v[1] > 1 for v in want.values())
 
 
+def test_prefixes_are_shortened_to_the_recall() -> None:
+    near = near_duplicates
+    floor = near.last_depth(0.8, 0.99999)
+    assert near.chance(0.8, floor) >= 0.99999 > near.chance(0.8, floor + 1)
+    full = near.TREES * near.DEPTH
+    seen = np.zeros(full + 1)
+    assert near.matching_depth(seen, 0.8, 0.99999) == floor
+    seen[full] = 100
+    assert near.matching_depth(seen, 0.8, 0.99999) == near.DEPTH
+    seen[int(0.83 * full)] = 100
+    assert near.matching_depth(seen, 0.8, 0.99999) == floor
+    assert near.matching_depth(seen, 0.8, 0.999) > floor
+
+
 def test_near_duplicates_keeps_one(spark: SparkSession) -> None:
     rows = corpus(2)
     got = near_duplicates.keep_one(spark.createDataFrame(rows, COLUMNS)).collect()
