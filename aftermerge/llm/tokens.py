@@ -7,6 +7,7 @@ words' ids in a row; a worker remembers the ids of words it has met (a bounded c
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -20,20 +21,37 @@ from aftermerge.llm.common import CACHED_WORDS, as_bytes, slices
 END = 2
 
 
+#: Words that need no normalising beyond lower case: Latin letters, then a full stop or comma.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+
+
 class WordIds(dict):
-    """Word (UTF-8) to its ids as little-endian unsigned 32-bit integers."""
+    """Word (UTF-8) to its ids as little-endian unsigned 32-bit integers.
+
+    A plain word is one piece for the tokenizer's model, and goes to it directly; any other word
+    takes the whole way.
+    """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = map(chr, range(0xDF, 0x100))
+        self.spelling = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in letters}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        text = word.decode("utf-8", "replace")
+        if plain := _PLAIN.fullmatch(text):
+            pieces = [plain[1].lower().translate(self.spelling), *plain[2]]
+            ids = [token.id for piece in pieces for token in self.model.tokenize(piece)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         packed = self[word] = np.array(ids, "<u4").tobytes()
         return packed
 

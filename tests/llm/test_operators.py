@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 import struct
 import zlib
@@ -29,16 +30,25 @@ ODD = [
 ]
 
 
-def whole_ids(text: str | None) -> list[int]:
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(word_tokenizer()).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(word_tokenizer())
+
+
+def whole_ids(text: str | None) -> list[int]:
+    return tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def test_word_ids_are_those_of_whole_texts(spark: SparkSession) -> None:
     rng = random.Random(4)
     alphabet = "aZé'’1٣ß中 \t\n.,!|<>İΣ\u0301\u00a0\u2028"
     texts = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(150)] + [r[1] for r in ODD]
+    letters = "abcXYZéÀßÿñÜ"
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) + rng.choice(["", ".", ",", "!"]) for _ in range(9)) for _ in range(100)]
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(40).collect()
+    texts += [r["text"] for r in rows]
     ids = tokens.WordIds(word_tokenizer())
     for text in texts:
         raw = None if text is None else text.encode()
