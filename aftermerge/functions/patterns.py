@@ -22,15 +22,36 @@ WS_CHARS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + (
 NEVER = r"[^\s\S]"
 """A pattern that matches nothing, used when a channel has no rules."""
 
-# Constructs outside the portable (linear-time) regex family: lookaround, numbered and
-# named back-references, conditionals.
-_NOT_PORTABLE = re.compile(r"\(\?<?[=!]|\\[1-9]|\(\?P=|\(\?\(")
+# How the groups begin that a linear-time engine lacks: looking around, repeating
+# a named group, and conditions.
+_UNPORTABLE_GROUPS = ("(?=", "(?!", "(?<=", "(?<!", "(?P=", "(?(")
 
 
 def unportable(pattern: str) -> str | None:
-    """The first construct a linear-time regex engine would refuse, or ``None``."""
-    found = _NOT_PORTABLE.search(pattern)
-    return found.group(0) if found else None
+    """The first construct a linear-time regex engine would refuse, or ``None``.
+
+    Reads one element at a time, so an escaped backslash before a digit is not a back-reference
+    and a character class holds nothing but characters.
+    """
+    at, in_class = 0, False
+    while at < len(pattern):
+        if pattern[at] == "\\":
+            if not in_class and pattern[at + 1 : at + 2] in set("123456789"):
+                return pattern[at : at + 2]
+            at += 2
+            continue
+        if in_class:
+            in_class = pattern[at] != "]"
+        elif pattern[at] == "[":
+            in_class = True
+            at += pattern[at + 1 : at + 2] == "^"
+            at += pattern[at + 1 : at + 2] == "]"  # a bracket right at the start is a character
+        else:
+            for group in _UNPORTABLE_GROUPS:
+                if pattern.startswith(group, at):
+                    return group
+        at += 1
+    return None
 
 
 def own(pattern: str) -> str:

@@ -215,7 +215,7 @@ def panel_commits(
 ) -> DataFrame:
     """Attributed commits of the members; rows with an invalid SHA are left out."""
     rows = stitched.where(identity.valid_sha("sha")).withColumns(
-        {"sha": F.lower("sha"), "subject": F.left(F.col("subject"), F.lit(500))}
+        {"sha": F.lower("sha"), "subject": F.col("subject")}
     )
     judged = _judged(attribute(rows.join(_membership(members), "repo"), rules, COMMIT_INPUTS), "message")
     hashed = hash_identities(judged, ["author_login", "author_email", "author_name"])
@@ -242,7 +242,7 @@ def panel_pulls(
     merge_sha = F.when(F.length("merge_commit_sha") == 40, F.lower("merge_commit_sha"))
     judged = _judged(attribute(pulls.join(_membership(members), "repo"), rules, PULL_INPUTS), "title")
     cleaned = judged.withColumns(
-        {"merge_commit_sha": merge_sha, "title": F.left(F.col("title"), F.lit(500))}
+        {"merge_commit_sha": merge_sha, "title": F.col("title")}
     )
     hashed = hash_identities(cleaned, ["author_login"])
     return _stamp(hashed, fetched_on, registry_version).select(

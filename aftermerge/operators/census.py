@@ -12,7 +12,6 @@ from aftermerge import CENSUS_METHOD
 from aftermerge.functions import identity, text
 from aftermerge.operators.attribution import PUSH_INPUTS, attribute, evidence_json
 from aftermerge.operators.barrier import with_struct
-from aftermerge.operators.joins import HOT_ROWS
 from aftermerge.operators.prefilter import any_hit
 from aftermerge.operators.rules import Rule
 from aftermerge.schemas import CENSUS, PUSH_PAYLOAD, columns
@@ -29,7 +28,8 @@ def day_status(day: Column, today: Column | None = None) -> Column:
     """
     today = F.current_date() if today is None else today
     return (
-        F.when(day < F.lit(FIRST_DAY), "before_archive")
+        F.when(day.isNull(), "no_day")
+        .when(day < F.lit(FIRST_DAY), "before_archive")
         .when(day > F.lit(LAST_COMMIT_DAY), "no_commit_content")
         .when(day >= today, "incomplete")
         .otherwise("ok")
@@ -142,12 +142,7 @@ def exact_revert_flag(flagged: DataFrame) -> DataFrame:
 
 
 def select_observations(
-    flagged: DataFrame,
-    *,
-    strict_reference: bool = True,
-    hot_rows: int = HOT_ROWS,
-    totals: DataFrame | None = None,
-    totals_fit: bool = False,
+    flagged: DataFrame, *, strict_reference: bool = True, totals: DataFrame | None = None
 ) -> DataFrame:
     """Commits worth keeping, with the size of their repository-day.
 
@@ -155,38 +150,17 @@ def select_observations(
     baseline) and every revert anywhere. ``strict_reference`` uses the coarse revert flag of
     the scan; otherwise the full revert parser decides.
 
-    The commits themselves are never grouped. Totals are aggregated from the narrow columns;
-    repository-days with nothing to keep are dropped there; and a repository-day of
-    ``hot_rows`` or more (at most ``rows / hot_rows`` of them, so safe to broadcast) is looked
-    up without a shuffle, while the others join on (day, repo). A hot repository-day's rows
-    carry a salt into that second join, so they spread instead of meeting in one task.
-
-    A job that has already stored the totals passes them in, and says with ``totals_fit``
-    that it has counted them and all fit a broadcast: then no commit is shuffled at all.
+    Totals are aggregated from the narrow columns and hold only repository-days from which
+    something is kept, so one inner join at every size finds all rows: Spark broadcasts the
+    totals where their measured size allows it, and otherwise splits a skewed repository-day.
+    A job that has stored the totals passes them in. Rows without a day or repository belong to
+    no repository-day; they are quarantined (``validate_commits``), not kept.
     """
     rows = flagged if strict_reference else exact_revert_flag(flagged)
     totals = kept_totals(rows) if totals is None else totals
-    if totals_fit:
-        joined = rows.join(F.broadcast(totals.drop("has_revert")), ["day", "repo"])
-        wanted = F.col("has_candidate") | _is_revert()
-        return joined.where(wanted).select(*rows.columns, "commits_in_repo_day")
-    hot = totals.where(F.col("commits_in_repo_day") >= hot_rows).select(
-        "day",
-        "repo",
-        F.col("commits_in_repo_day").alias("_hot_n"),
-        F.col("has_candidate").alias("_hot_candidate"),
-    )
-    cold = totals.where(F.col("commits_in_repo_day") < hot_rows).select(
-        "day", "repo", "commits_in_repo_day", "has_candidate", F.lit(0).alias("_salt")
-    )
-    spread = F.pmod(F.xxhash64("event_id", "sha"), F.lit(1 << 20)) + 1
-    salted = rows.join(F.broadcast(hot), ["day", "repo"], "left").withColumn(
-        "_salt", F.when(F.col("_hot_n").isNull(), F.lit(0)).otherwise(spread.cast("int"))
-    )
-    joined = salted.join(cold, ["day", "repo", "_salt"], "left")
-    n = F.coalesce("_hot_n", "commits_in_repo_day")
-    keep = F.coalesce("_hot_candidate", "has_candidate", F.lit(False)) | _is_revert()
-    return joined.where(keep).select(*rows.columns, n.alias("commits_in_repo_day"))
+    joined = rows.join(totals.drop("has_revert"), ["day", "repo"])
+    wanted = F.col("has_candidate") | _is_revert()
+    return joined.where(wanted).select(*rows.columns, "commits_in_repo_day")
 
 
 def judge_commits(selected: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -212,7 +186,7 @@ def flatten_observation(judged: DataFrame, registry_version: int) -> DataFrame:
             "registry_version": F.lit(registry_version),
             "push_size": F.col("push_size").try_cast("int"),
             "commits_in_repo_day": F.col("commits_in_repo_day").cast("int"),
-            "subject": F.left(text.subject("message"), F.lit(500)),
+            "subject": text.subject("message"),
             "is_revert": F.col("revert").isNotNull(),
             "evidence_json": evidence_json(F.col("evidence"), F.col("agent_id")),
             **{

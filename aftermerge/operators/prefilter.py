@@ -1,14 +1,16 @@
-"""The coarse scan filter derived from the rules, and the audit that compares the two.
+"""Cheap flags per commit derived from the rules, and the audit that compares the two.
 
-Attribution is cheap here, so every commit is attributed exactly and the flags below are a
-reported property (and an optional pushdown), not a gate.
+Attribution is cheap here, so every commit is attributed exactly; the flags are a reported
+property (and an optional pushdown), not a gate.
+
+A push event shows four texts of a commit. :func:`channel_patterns` says what each rule looks
+for in which of them; the patterns of a text are folded into one expression.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,78 +20,64 @@ from aftermerge.functions.text import is_coarse_revert
 from aftermerge.operators.attribution import PUSH_INPUTS, attribute
 from aftermerge.operators.rules import TRAILER_TYPES, Rule, RuleError, pattern_problem
 
-HIT_COLUMNS = ("message_hit", "author_email_hit", "author_name_hit", "pusher_login_hit")
-
+#: The column searched for each kind of signal; trailers are lines of the message.
+SEARCHED = {
+    **dict.fromkeys(TRAILER_TYPES, "message"),
+    "message": "message",
+    "author_email": "author_email",
+    "author_name": "author_name",
+    "author_login": "pusher_login",
+}
 
-@dataclass(frozen=True)
-class Prefilter:
-    """One case-insensitive alternation per channel, in portable syntax."""
+#: The searched columns, and the flag for each.
+HITS = {name: f"{name}_hit" for name in dict.fromkeys(SEARCHED.values())}
 
-    message: str
-    author_email: str
-    author_name: str
-    pusher_login: str
 
+def unanchored(pattern: str) -> str:
+    """``pattern`` without a ``^`` at its start and a ``$`` at its end that isn't escaped."""
+    end = len(pattern) - 1
+    escapes = len(pattern[: max(end, 0)]) - len(pattern[: max(end, 0)].rstrip("\\"))
+    closed = pattern.endswith("$") and escapes % 2 == 0
+    return pattern[pattern.startswith("^") : end if closed else None]
 
-def strip_anchors(pattern: str) -> str:
-    """Drop one leading ``^`` and one unescaped trailing ``$``."""
-    inner = pattern.removeprefix("^")
-    return inner[:-1] if re.search(r"(?<!\\)\$\Z", inner) else inner
 
+def channel_patterns(rules: Sequence[Rule]) -> Iterator[tuple[str, str]]:
+    """(searched column, pattern) of each rule that a push can show, in the order of the ids.
 
-def compile_prefilter(rules: Sequence[Rule]) -> Prefilter:
-    """Channel patterns for the active rules; pull-request bodies are not seen in pushes."""
-    channel: dict[str, list[str]] = {
-        "message": [],
-        "author_email": [],
-        "author_name": [],
-        "author_login": [],
-    }
-    # Registry order, so the text of the pattern does not depend on confidence.
+    Raises :class:`RuleError` for a pattern outside the portable family, in any rule.
+    """
     for rule in sorted(rules, key=lambda r: (r.agent_id, r.signal_id)):
-        problem = pattern_problem(rule.pattern)
-        if problem:
+        if problem := pattern_problem(rule.pattern):
             raise RuleError(f"{rule.agent_id}/{rule.signal_id}: {problem}")
-        if rule.type in TRAILER_TYPES:
-            line = rf"^{re.escape(rule.trailer_key or '')}\s*:[^\n]*{strip_anchors(rule.pattern)}"
-            channel["message"].append(line)
-        elif rule.type in channel:
-            channel[rule.type].append(rule.pattern)
-    return Prefilter(
-        message=_any_of(channel["message"]),
-        author_email=_any_of(channel["author_email"]),
-        author_name=_any_of(channel["author_name"]),
-        pusher_login=_any_of(channel["author_login"]),
-    )
-
-
-def _any_of(patterns: list[str]) -> str:
-    return "|".join(f"(?:{p})" for p in patterns) if patterns else NEVER
+        column = SEARCHED.get(rule.type)
+        if column and rule.trailer_key:
+            yield column, f"^{re.escape(rule.trailer_key)}\\s*:[^\\n]*{unanchored(rule.pattern)}"
+        elif column:
+            yield column, rule.pattern
+
+
+def folded(rules: Sequence[Rule]) -> dict[str, str]:
+    """One pattern per searched column that matches where any of its rules' patterns does."""
+    found = list(channel_patterns(rules))
+    return {
+        column: "|".join(f"(?:{p})" for c, p in found if c == column) or NEVER for column in HITS
+    }
 
 
 def prefilter_flags(commits: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the four hit flags and ``revert_hit``; NULL fields count as empty text."""
-    found = compile_prefilter(rules)
-
-    def hit(column: str, pattern: str, *, multiline: bool = False) -> Column:
-        text = F.coalesce(F.col(column), F.lit(""))
-        return text.rlike(jvm_pattern(pattern, multiline=multiline))
-
-    return commits.withColumns(
-        {
-            "message_hit": hit("message", found.message, multiline=True),
-            "author_email_hit": hit("author_email", found.author_email),
-            "author_name_hit": hit("author_name", found.author_name),
-            "pusher_login_hit": hit("pusher_login", found.pusher_login),
-            "revert_hit": is_coarse_revert("message"),
-        }
-    )
+    """Add a flag per searched column and ``revert_hit``; NULL counts as empty text."""
+    flags = {
+        HITS[column]: F.coalesce(F.col(column), F.lit("")).rlike(
+            jvm_pattern(pattern, multiline=column == "message")
+        )
+        for column, pattern in folded(rules).items()
+    }
+    return commits.withColumns({**flags, "revert_hit": is_coarse_revert("message")})
 
 
 def any_hit() -> Column:
-    """OR of the four channel flags, NULL counting as no."""
-    tests = [F.coalesce(F.col(name), F.lit(False)) for name in HIT_COLUMNS]
-    return tests[0] | tests[1] | tests[2] | tests[3]
+    """Whether any searched column was hit, NULL counting as no."""
+    return F.coalesce(F.greatest(*HITS.values()), F.lit(False))
 
 
 def prefilter_audit(commits: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -26,8 +26,8 @@ CONFIDENCE_RANK = {"high": 3, "medium": 2, "low": 1}
 STATUSES = ("verified", "needs_verification", "deprecated")
 SLUG = r"^[a-z0-9]+(?:-[a-z0-9]+)*\z"
 
-MAX_RULES = 5_000
-"""Rules become expressions; a larger table is a mistake, not a workload."""
+MOST_RULES = 5_000
+"""Default bound on the rules of a version: they become expressions of every row's plan."""
 
 
 @dataclass(frozen=True)
@@ -132,21 +132,34 @@ def rules_frame(spark: SparkSession, rows: Iterable[Mapping[str, Any]]) -> DataF
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], RULES)
 
 
-def compile_rules(rules: DataFrame | Iterable[Mapping[str, Any]]) -> tuple[Rule, ...]:
-    """Active rules, strongest first: confidence, then agent order, then signal order.
+def compile_rules(
+    rules: DataFrame | Iterable[Mapping[str, Any]],
+    *,
+    version: int | None = None,
+    most: int = MOST_RULES,
+) -> tuple[Rule, ...]:
+    """Active rules of one version, strongest first: confidence, agent order, signal order.
 
     That order is the evidence order, so evidence never has to be sorted per row. Deprecated
-    agents are left out. A DataFrame is read here in full; it is configuration and its size
-    is checked before it is used.
+    agents are left out, so the result may be empty. ``version`` picks one of several versions;
+    without it the table must hold one only. A DataFrame is read here in full, as far as
+    ``most`` rows; a larger version is refused.
     """
     if isinstance(rules, DataFrame):
-        fetched = rules.limit(MAX_RULES + 1).collect()
-        rows = [r.asDict() for r in fetched]
+        wanted = rules if version is None else rules.where(F.col("registry_version") == version)
+        rows = [r.asDict() for r in wanted.limit(most + 1).collect()]
     else:
-        rows = [dict(r) for r in rules]
-    if len(rows) > MAX_RULES:
-        raise RuleError(f"more than {MAX_RULES} rules; is this the rule table?")
+        rows = [dict(r) for r in rules if version in (None, r["registry_version"])]
+    if len(rows) > most:
+        raise RuleError(f"more than {most} rules; pass a higher bound if that is meant")
+    if version is not None and not rows:
+        raise RuleError(f"no rule has version {version}")
+    versions = {r["registry_version"] for r in rows}
+    if len(versions) > 1:
+        raise RuleError(f"{len(versions)} versions in one table; say which to compile")
     problems = [p for r in rows for p in row_problems(r)]
+    names = [(r["agent_id"], r["signal_id"]) for r in rows]
+    problems += [(f"{a}/{s}", "defined twice") for a, s in sorted(set(names)) if names.count((a, s)) > 1]
     if problems:
         raise RuleError("; ".join(f"{where}: {text}" for where, text in problems))
     active = [r for r in rows if r["status"] != "deprecated"]
@@ -168,6 +181,16 @@ def compile_rules(rules: DataFrame | Iterable[Mapping[str, Any]]) -> tuple[Rule,
     )
 
 
+def rules_version(rules: DataFrame, version: int | None = None) -> int:
+    """The version compiled from a table: the one asked for, or its only one."""
+    if version is not None:
+        return version
+    found = [r[0] for r in rules.select("registry_version").distinct().limit(2).collect()]
+    if len(found) != 1:
+        raise RuleError("a rule table of one version is needed; say which to compile")
+    return found[0]
+
+
 def pattern_problem(pattern: str | None, *, portable: bool = True) -> str | None:
     """Why a pattern cannot be used, or ``None``: it must compile and, if asked, be portable."""
     try:
@@ -180,23 +203,28 @@ def pattern_problem(pattern: str | None, *, portable: bool = True) -> str | None
 
 def row_problems(row: Mapping[str, Any]) -> list[tuple[str, str]]:
     """Problems of one rule row that make it unusable, as (where, what)."""
+    kind, trailer = row.get("type"), bool(row.get("trailer_key"))
+    allowed = {
+        "type": TRAILER_TYPES + FIELD_TYPES,
+        "confidence": tuple(CONFIDENCE_RANK),
+        "status": STATUSES,
+    }
+    found = [f"{name} is none of the known ones: {row.get(name)!r}" for name, known in allowed.items() if row.get(name) not in known]
+    found += [
+        f"{name} is no slug: {row.get(name)!r}"
+        for name in ("agent_id", "signal_id")
+        if not re.match(SLUG.replace("\\z", "\\Z"), row.get(name) or "")
+    ]
+    if (row.get("registry_version") or 0) < 1:
+        found.append("its version is below 1")
+    if kind in TRAILER_TYPES + FIELD_TYPES and trailer != (kind in TRAILER_TYPES):
+        found.append(f"a signal of type {kind} {'has no' if trailer else 'needs a'} trailer_key")
+    if row.get("status") == "verified" and row.get("confidence") == "high" and not (row.get("evidence") or row.get("notes")):
+        found.append("it is verified without evidence or notes")
+    if bad := pattern_problem(row.get("pattern"), portable=False):
+        found.append(bad)
     where = f"{row.get('agent_id')}/{row.get('signal_id')}"
-    out: list[tuple[str, str]] = []
-    kind = row.get("type")
-    if kind not in TRAILER_TYPES + FIELD_TYPES:
-        out.append((where, f"unknown type {kind!r}"))
-    if kind in TRAILER_TYPES and not row.get("trailer_key"):
-        out.append((where, "trailer_key is required for trailer types"))
-    if kind in FIELD_TYPES and row.get("trailer_key"):
-        out.append((where, "trailer_key is only valid for trailer types"))
-    if row.get("confidence") not in CONFIDENCE_RANK:
-        out.append((where, f"unknown confidence {row.get('confidence')!r}"))
-    if row.get("status") not in STATUSES:
-        out.append((where, f"unknown status {row.get('status')!r}"))
-    bad = pattern_problem(row.get("pattern"), portable=False)
-    if bad:
-        out.append((where, bad))
-    return out
+    return [(where, what) for what in found]
 
 
 def validate_rules(rules: DataFrame) -> DataFrame:

@@ -20,25 +20,25 @@ from aftermerge.operators.census import (
     select_observations,
 )
 from aftermerge.operators.prefilter import prefilter_flags
-from aftermerge.operators.rules import Rule, compile_rules, fingerprint
-from aftermerge.sources.readers import read_push_events, scan_budget
+from aftermerge.operators.rules import Rule, compile_rules, fingerprint, rules_version
+from aftermerge.sources.readers import read_push_events, scan_budget, skipped_days
 from aftermerge.sources.sinks import (
     CENSUS_PARTITIONS,
-    shared_folder,
     stage,
+    staging_folder,
     write_json,
     write_partitions,
 )
 
 
-BROADCAST_ROWS = 1_000_000
-"""Repository-days (some 100 bytes each) that may be broadcast, by count, not by estimate."""
-
-
 class OverBudgetError(RuntimeError):
     """The scan would read more bytes than allowed; nothing was read."""
 
 
+class UnreadableDayError(ValueError):
+    """A requested day holds no complete list of commits; nothing was read."""
+
+
 def judged_commits(
     pushes: DataFrame, rules: Sequence[Rule], *, strict_reference: bool = True
 ) -> DataFrame:
@@ -52,15 +52,13 @@ def staged_judgement(
 ) -> DataFrame:
     """The same rows by way of two stored tables, for jobs over much data.
 
-    The payload is parsed and flagged once. Totals then read only the flag columns, and are
-    counted before it is decided whether they are broadcast, in which case the commits are
-    filtered and completed without a shuffle, or joined by key.
+    The payload is parsed and flagged once; totals then read only the flag columns. Both being
+    stored, the join sees their true sizes. The rows are those of :func:`judged_commits`.
     """
     rows = prefilter_flags(commits_from_pushes(pushes), rules)
     flagged = stage(rows if strict_reference else exact_revert_flag(rows), folder, "flagged")
     totals = stage(kept_totals(flagged), folder, "totals")
-    fit = totals.count() <= BROADCAST_ROWS
-    return judge_commits(select_observations(flagged, totals=totals, totals_fit=fit), rules)
+    return judge_commits(select_observations(flagged, totals=totals), rules)
 
 
 def run_census(
@@ -73,6 +71,7 @@ def run_census(
     max_bytes: int | None = None,
     strict_reference: bool = True,
     redact_emails: bool = False,
+    registry_version: int | None = None,
 ) -> DataFrame:
     """Ingest the days and return the stored manifest rows.
 
@@ -81,6 +80,7 @@ def run_census(
 
     Raises:
         OverBudgetError: when the files of some day exceed ``max_bytes``; nothing is written.
+        UnreadableDayError: when a day lies outside the archive's commit-bearing range.
     """
     wanted = sorted(set(days))
     if max_bytes is not None:
@@ -91,9 +91,12 @@ def run_census(
         if over:
             listed = ", ".join(f"{r['day']}: {r['gib']} GiB" for r in over)
             raise OverBudgetError(f"scan exceeds {max_bytes} bytes on {listed}")
-    compiled = compile_rules(rules)
-    version = compiled[0].registry_version
-    folder = shared_folder(spark)
+    unreadable = skipped_days(spark, wanted).orderBy("day").collect()
+    if unreadable:
+        raise UnreadableDayError(", ".join(f"{r['day']}: {r['status']}" for r in unreadable))
+    compiled = compile_rules(rules, version=registry_version)
+    version = rules_version(rules, registry_version)
+    folder = staging_folder(out)
     pushes = read_push_events(spark, path, wanted)
     rows = staged_judgement(pushes, compiled, folder, strict_reference=strict_reference)
     judged = stage(rows, folder, "judged")

@@ -11,13 +11,13 @@ from aftermerge import PANEL_METHOD, __version__
 from aftermerge.operators import activity as A
 from aftermerge.operators.census import active_repos
 from aftermerge.operators.panel import build_panel, first_members, treated_candidates
-from aftermerge.operators.rules import compile_rules
-from aftermerge.sources.readers import check_members, read_observations, read_push_events
+from aftermerge.operators.rules import compile_rules, rules_version
+from aftermerge.sources.readers import check_members, read_events, read_observations
 from aftermerge.sources.sinks import (
     PANEL_PARTITIONS,
     SNAPSHOT_PARTITIONS,
-    shared_folder,
     stage,
+    staging_folder,
     write_json,
     write_partitions,
 )
@@ -38,7 +38,7 @@ def run_build(
     """Draw a panel from stored observations and one archive day, and store it by version."""
     members = build_panel(
         treated_candidates(read_observations(spark, observations)),
-        active_repos(read_push_events(spark, archive, [active_on])),
+        active_repos(read_events(spark, archive, [active_on])),
         version=version,
         created_on=created_on,
         treated_rate=treated_rate,
@@ -66,9 +66,9 @@ def run_panel(
     Response bodies are parsed once, into a staged table the three outputs read from.
     """
     compiled = compile_rules(rules)
-    version = compiled[0].registry_version
+    version = rules_version(rules)
     chosen = check_members(members if limit is None else first_members(members, limit))
-    folder = shared_folder(spark)
+    folder = staging_folder(out)
     parsed = stage(A.parse_activity(responses, since=since, prs_first=prs_first), folder, "activity")
     pages = stage(A.history_pages(responses), folder, "history")
     snapshots = A.repo_snapshots(A.with_history_flags(parsed, pages), chosen, fetched_on)

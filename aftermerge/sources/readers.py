@@ -30,7 +30,7 @@ except ImportError:  # YAML rule files then need converting to JSON first
     yaml = None  # type: ignore[assignment]
 
 
-def read_push_events(
+def read_events(
     spark: SparkSession,
     path: str,
     days: Iterable[dt.date] | None = None,
@@ -39,14 +39,27 @@ def read_push_events(
 ) -> DataFrame:
     """Push events of the given UTC days (all days when ``None``) from a ``day=`` archive.
 
-    The day list prunes partitions and the event type is pushed to the files. Days outside
-    the commit-bearing range of the archive are dropped; see :func:`skipped_days`.
+    The day list prunes partitions and the event type is pushed to the files. Any archive day
+    can be read this way; what a push lists of its commits depends on the day.
     """
     events = spark.read.schema(PUSH_EVENTS).format(file_format).load(path)
     if days is not None:
         events = events.where(F.col("day").isin(sorted(set(days))))
-    readable = events.where(day_status(F.col("day")) == "ok")
-    return readable.where(F.col("type") == "PushEvent")
+    return events.where(F.col("type") == "PushEvent")
+
+
+def read_push_events(
+    spark: SparkSession,
+    path: str,
+    days: Iterable[dt.date] | None = None,
+    *,
+    file_format: str = "parquet",
+) -> DataFrame:
+    """The same for days whose pushes list their commits; others are left out, see
+    :func:`skipped_days`, and so are rows without a day.
+    """
+    events = read_events(spark, path, days, file_format=file_format)
+    return events.where(F.col("day").isNotNull() & (day_status(F.col("day")) == "ok"))
 
 
 def skipped_days(spark: SparkSession, days: Iterable[dt.date]) -> DataFrame:

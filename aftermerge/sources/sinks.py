@@ -7,7 +7,6 @@ same ones replaces exactly its own.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -47,15 +46,16 @@ def write_json(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach, for checkpoints and staged tables.
+    """A fresh folder every executor can reach, below the one named in ``spark.checkpoint.dir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root}/aftermerge-{uuid.uuid4().hex}"
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in a local
-    test, a temporary folder stands in.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    return f"{root or tempfile.mkdtemp(prefix='aftermerge-')}/aftermerge-{uuid.uuid4().hex}"
+
+def staging_folder(out: str) -> str:
+    """A fresh folder for a job's intermediate tables, below its own output root."""
+    return f"{out}/_staging/{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, folder: str, name: str, partitions: Sequence[str] = ()) -> DataFrame:

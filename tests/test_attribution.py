@@ -5,6 +5,7 @@ import copy
 import pytest
 from pyspark.sql import SparkSession
 
+from aftermerge.functions.patterns import unportable
 from aftermerge.operators import rules as R
 from aftermerge.operators.attribution import (
     COMMIT_INPUTS,
@@ -14,10 +15,10 @@ from aftermerge.operators.attribution import (
 )
 from aftermerge.operators.prefilter import (
     any_hit,
-    compile_prefilter,
+    folded,
     prefilter_audit,
     prefilter_flags,
-    strip_anchors,
+    unanchored,
 )
 from aftermerge.sources.readers import parse_rules
 from workload.rules import RULES_V1, compiled
@@ -78,17 +79,17 @@ def test_evidence_rows_are_ranked(spark: SparkSession) -> None:
 
 
 @pytest.mark.parametrize(
-    ("pattern", "inner"), [("^a$", "a"), (r"^a(\s|$)", r"a(\s|$)"), (r"^a\$", r"a\$"), ("a", "a"), ("a$", "a")]
+    ("pattern", "inner"), [("^a$", "a"), (r"^a(\s|$)", r"a(\s|$)"), (r"^a\$", r"a\$"), (r"a\\$", r"a\\"), ("a", "a"), ("a$", "a"), ("", "")]
 )
-def test_strip_anchors(pattern: str, inner: str) -> None:
-    assert strip_anchors(pattern) == inner
+def test_unanchored(pattern: str, inner: str) -> None:
+    assert unanchored(pattern) == inner
 
 
 def test_prefilter(spark: SparkSession) -> None:
-    found = compile_prefilter(compiled())
-    assert "tasks" in found.message and "dodo" not in found.pusher_login
-    none = compile_prefilter([r for r in compiled() if r.type == "author_login"])
-    assert none.message == r"[^\s\S]"
+    found = folded(compiled())
+    assert "tasks" in found["message"] and "dodo" not in found["pusher_login"]
+    none = folded([r for r in compiled() if r.type == "author_login"])
+    assert none["message"] == r"[^\s\S]"
     messages = [SIGNED, "T\n\nCo-Authored-By: Heron\n  <bot@heron.example>", "T\r\rTask-Link: kestrel.example/tasks/", "x"]
     rows = [("o/r", str(i), m, None, None, None) for i, m in enumerate(messages)]
     df = spark.createDataFrame(rows, "repo string, sha string, message string, pusher_login string, author_email string, author_name string")
@@ -104,7 +105,7 @@ def test_unportable_patterns_stop_the_prefilter() -> None:
     document["agents"][0]["signals"][2]["pattern"] = "(?=x)y"
     rules = R.compile_rules(R.rules_from_mapping(document))
     with pytest.raises(R.RuleError, match="not portable"):
-        compile_prefilter(rules)
+        folded(rules)
 
 
 def test_rule_documents_report_every_problem() -> None:
@@ -134,7 +135,7 @@ def test_rule_rows_are_checked(spark: SparkSession) -> None:
         ("heron-name", "duplicate signal id"),
         ("kestrel-login", "unknown confidence"),
     }
-    with pytest.raises(R.RuleError, match="trailer_key is required"):
+    with pytest.raises(R.RuleError, match="needs a trailer_key"):
         R.compile_rules(bad)
 
 
@@ -145,3 +146,31 @@ def test_fingerprint_follows_content(spark: SparkSession) -> None:
     prints = [R.fingerprint(R.rules_frame(spark, x)).first()["fingerprint"] for x in (rows, rows[::-1], changed)]
     assert prints[0] == prints[1] != prints[2]
     assert len(prints[0]) == 16
+
+
+@pytest.mark.parametrize(
+    ("pattern", "bad"),
+    [(r"C:\\1", None), (r"(a)\1", r"\1"), (r"[\1(?=]", None), (r"[]\1]x", None), (r"a(?<!b)", "(?<!"), (r"\(?=", None),
+     (r"(?P<n>a)(?P=n)", "(?P="), (r"(a)?(?(1)b|c)", "(?("), (r"[^]](?!x)", "(?!"), ("\\", None)],
+)
+def test_dialect(pattern: str, bad: str | None) -> None:
+    assert unportable(pattern) == bad
+
+
+def test_one_version_is_compiled_at_a_time() -> None:
+    rows = R.rules_from_mapping(RULES_V1)
+    later = [{**r, "registry_version": r["registry_version"] + 1} for r in rows]
+    with pytest.raises(R.RuleError, match="versions"):
+        R.compile_rules([*rows, *later])
+    assert {r.registry_version for r in R.compile_rules([*rows, *later], version=later[0]["registry_version"])} == {
+        later[0]["registry_version"]
+    }
+    with pytest.raises(R.RuleError, match="no rule"):
+        R.compile_rules(rows, version=99)
+    with pytest.raises(R.RuleError, match="more than 2"):
+        R.compile_rules(rows, most=2)
+    assert R.compile_rules([{**r, "status": "deprecated"} for r in rows]) == ()
+    with pytest.raises(R.RuleError, match="slug"):
+        R.compile_rules([{**r, "agent_id": "Not A Slug"} for r in rows])
+    with pytest.raises(R.RuleError, match="twice"):
+        R.compile_rules([*rows, rows[0]])

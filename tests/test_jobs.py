@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import tempfile
 
 import pytest
@@ -15,8 +16,8 @@ from aftermerge.operators import census as C
 from aftermerge.operators import panel as P
 from aftermerge.operators import rules as R
 from aftermerge.operators.prefilter import prefilter_flags
-from aftermerge.plans.census import OverBudgetError, judged_commits, run_census
-from aftermerge.plans.panel import run_panel
+from aftermerge.plans.census import OverBudgetError, UnreadableDayError, judged_commits, run_census
+from aftermerge.plans.panel import run_build, run_panel
 from aftermerge.schemas import CENSUS, PANEL_MEMBERS, PUSH_EVENTS, RESPONSES, columns
 from aftermerge.sources import readers
 from workload import views as V
@@ -69,7 +70,9 @@ def test_census_job(spark: SparkSession) -> None:
     archive, out = folder() + "/archive", folder() + "/out"
     events(spark).write.partitionBy("day").parquet(archive)
     days = [DAY, dt.date(2025, 10, 7)]
-    manifest = {r["day"]: r for r in run_census(spark, archive, days, rules(spark), out).collect()}
+    with pytest.raises(UnreadableDayError, match="2025-10-07: no_commit_content"):
+        run_census(spark, archive, days, rules(spark), out)
+    manifest = {r["day"]: r for r in run_census(spark, archive, [DAY], rules(spark), out).collect()}
     assert set(manifest) == {DAY}
     m = manifest[DAY]
     counts = (m["total"], m["attributed"], m["reverts"], m["baseline"], m["skipped_invalid"])
@@ -97,6 +100,17 @@ def test_census_job(spark: SparkSession) -> None:
     assert [tuple(r) for r in skipped] == [(dt.date(2025, 10, 7), "no_commit_content")]
 
 
+def test_build_draws_controls_from_any_archive_day(spark: SparkSession) -> None:
+    archive, out = folder() + "/archive", folder()
+    late = dt.date(2026, 8, 31)
+    pushes = [event(i, f"o/r{i}", None, day=late) for i in range(20)] + [event(99, "o/early", None)]
+    spark.createDataFrame(pushes, PUSH_EVENTS).write.partitionBy("day").parquet(archive)
+    spark.createDataFrame([], CENSUS).write.parquet(f"{out}/observations")
+    members = run_build(spark, f"{out}/observations", archive, late, f"{out}/panel", version=3, created_on=late, treated_rate=1.0, control_rate=1.0)
+    assert {(r["repo"], r["cohort"]) for r in members.collect()} == {(f"o/r{i}", "control") for i in range(20)}
+    assert readers.read_members(spark, f"{out}/panel", version=3).count() == 20
+
+
 def test_budget(spark: SparkSession) -> None:
     archive, out = folder() + "/archive", folder() + "/out"
     events(spark).write.partitionBy("day").parquet(archive)
@@ -110,12 +124,15 @@ def test_budget(spark: SparkSession) -> None:
 
 
 @pytest.mark.parametrize("strict", [True, False])
-def test_selection_is_the_same_however_hot_a_repository_is(spark: SparkSession, strict: bool) -> None:
-    flagged = prefilter_flags(V.commits(spark, "/root/testdata/sf0.001"), compiled()).cache()
+def test_selection_is_the_same_with_stored_totals(spark: SparkSession, strict: bool) -> None:
+    commits = V.commits(spark, "/root/testdata/sf0.001")
+    lost = commits.limit(5).withColumns({"day": F.lit(None).cast("date"), "message": F.lit('Revert "x"')})
+    flagged = prefilter_flags(commits.unionByName(lost), compiled()).cache()
     plain = C.select_observations(flagged, strict_reference=strict)
-    split = C.select_observations(flagged, strict_reference=strict, hot_rows=2)
+    rows = flagged if strict else C.exact_revert_flag(flagged)
+    split = C.select_observations(flagged, strict_reference=strict, totals=C.kept_totals(rows).cache())
     assert plain.exceptAll(split).count() == split.exceptAll(plain).count() == 0
-    seen, kept = flagged.collect(), plain.collect()
+    seen, kept = flagged.where("day IS NOT NULL").collect(), plain.collect()
     totals: dict[tuple, int] = {}
     candidates = set()
     for r in seen:
@@ -222,7 +239,7 @@ def test_plans(spark: SparkSession) -> None:
     pushes = readers.read_push_events(spark, archive, [DAY])
     plan = plan_of(judged_commits(pushes, compiled()))
     assert "Python" not in plan and "Window" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert "EqualTo(type,PushEvent)" in plan and "PartitionFilters: [isnotnull(day" in plan
+    assert "EqualTo(type,PushEvent)" in plan and re.search(r"PartitionFilters: \[.*isnotnull\(day", plan)
     attributed = plan_of(judged_commits(pushes, compiled()).where(F.col("agent_id").isNotNull()))
     assert attributed.count("bot@heron") == plan.count("bot@heron")  # a filter repeats no rule
     from aftermerge.operators.outcomes import dedupe_commits

@@ -157,7 +157,7 @@ ejson AS (
     || '","confidence":"' || confidence || '","matched":"' || matched || '"}}', ',' ORDER BY rank) || ']' AS j FROM evid GROUP BY rid),
 obs AS (
   SELECT day, 'census-spark-1' AS methodology_version, 1 AS registry_version, event_id, repo, lower(sha) AS sha, pushed_at, is_distinct,
-    CAST(push_size AS INT) AS push_size, substr({_SUBJ}, 1, 500) AS subject, message, is_revert, is_reapply, reverted_sha,
+    CAST(push_size AS INT) AS push_size, {_SUBJ} AS subject, message, is_revert, is_reapply, reverted_sha,
     original_pr_number, revert_pr_number, {_hash('author_email')} AS author_email_hash, {_hash('author_name')} AS author_name_hash,
     {_hash('pusher_login')} AS pusher_login_hash, coalesce(suffix(pusher_login, '[bot]'), false) AS pusher_is_bot, agent_id,
     confidence AS attribution_confidence, CASE WHEN agent_id IS NOT NULL THEN j END AS evidence_json, {_ANY} AS matched_prefilter,
@@ -332,7 +332,7 @@ ORACLE: dict[str, str] = {
         "valid evidence reverts",
         "SELECT day, agent_id, count(*) AS commits, count(rev.rid) AS reverts FROM valid JOIN verdict USING (rid) LEFT JOIN rev USING (rid) GROUP BY day, agent_id",
     ),
-    "subjects": _with("commits", f"SELECT event_id, sha, substr({_SUBJ}, 1, 500) AS subject FROM commits"),
+    "subjects": _with("commits", f"SELECT event_id, sha, {_SUBJ} AS subject FROM commits"),
     "document_subjects": f"""SELECT doc_id, trim(string_split(ltrim({_DOC_BODY}, ' ' || chr(9) || chr(10)), chr(10))[1]) AS subject, length({_DOC_BODY}) AS chars,
   0 AS trailers, regexp_matches(ltrim({_DOC_BODY}), '^(Revert|Reapply)\\s+"') AS is_revert FROM documents""",
     "conversation_trailers": "SELECT conv_id, turn, 0 AS pos, 'Signed-Off-By' AS key, role || ' <' || role || '@x.example>' AS value, role || '@x.example' AS email FROM conversations",

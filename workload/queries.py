@@ -6,6 +6,7 @@ Results are flat (arrays and maps become text) so they can be compared value by
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +60,13 @@ def utc(column: str) -> Column:
     return F.convert_timezone(None, F.lit("UTC"), F.col(column))
 
 
+def _folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; where none is set, as in a local test, a temporary one is."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="aftermerge-"))
+    return shared_folder(spark)
+
+
 def as_text(column: str) -> Column:
     return F.to_json(F.col(column))
 
@@ -79,8 +87,7 @@ def attributed_by_agent_day(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def subjects(spark: SparkSession, sf: str) -> DataFrame:
-    subject = F.left(text.subject("message"), F.lit(500))
-    return V.commits(spark, sf).select("event_id", "sha", subject.alias("subject"))
+    return V.commits(spark, sf).select("event_id", "sha", text.subject("message").alias("subject"))
 
 
 @query
@@ -241,7 +248,7 @@ def bot_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
-    return staged_judgement(V.push_events(spark, sf), compiled(), shared_folder(spark))
+    return staged_judgement(V.push_events(spark, sf), compiled(), _folder(spark))
 
 
 def _observations(spark: SparkSession, sf: str) -> DataFrame:
@@ -471,7 +478,7 @@ def next_watermarks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def panel_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    folder = shared_folder(spark)
+    folder = _folder(spark)
     parsed = stage(_activity(spark, sf), folder, "activity")
     pages = stage(_pages(spark, sf), folder, "pages")
     members, options = _members(spark, sf), {"fetched_on": FETCHED_ON, "registry_version": 1}
@@ -514,7 +521,7 @@ def validate_rules_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rule_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
-    return R.fingerprint(_derived_rules(spark, sf).where("registry_version = 1"))
+    return R.fingerprint(_derived_rules(spark, sf))
 
 
 # --- outcomes ---------------------------------------------------------------------------
@@ -524,7 +531,7 @@ def _changes(spark: SparkSession, sf: str) -> DataFrame:
     """The narrow change table, staged: the outcome queries read it several times."""
     rows = attribute(C.valid_commits(V.commits(spark, sf)), compiled())
     changed = O.changes(rows.withColumnRenamed("pushed_at", "at"))
-    return stage(changed, shared_folder(spark), "changes")
+    return stage(changed, _folder(spark), "changes")
 
 
 def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
@@ -610,7 +617,7 @@ def review_burden(spark: SparkSession, sf: str) -> DataFrame:
 def followup_fix_rate(spark: SparkSession, sf: str) -> DataFrame:
     rows = C.valid_commits(V.commit_files(spark, sf)).withColumnRenamed("pushed_at", "at")
     files = rows.select("repo", "sha", "at", "path", O.is_fix("message").alias("is_fix"))
-    files = stage(files, shared_folder(spark), "commit_files")
+    files = stage(files, _folder(spark), "commit_files")
     commits = _changes(spark, sf).select("repo", "sha", "agent_id")
     return O.followup_fix_rate(commits, O.followed_by_fix(files))
 
@@ -721,13 +728,13 @@ def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
     static = V.table(spark, sf, "lineitem")
     files = spark.readStream.schema(static.schema).option("pathGlobFilter", "lineitem.parquet")
     lines = files.parquet(sf).select(*V.LINE_COLUMNS)
-    if V.is_narrow(spark, static):  # one small file would be one task
+    if V.spread(spark):  # one small file would be one task
         lines = lines.repartition(spark.sparkContext.defaultParallelism)
     return V.commits_from_lines(lines).withColumn("pushed_at", F.col("pushed_at").cast("timestamp"))
 
 
 def _drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    folder = shared_folder(spark)
+    folder = _folder(spark)
     S.start_file_sink(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 

@@ -116,20 +116,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def wide_enough(spark: SparkSession, scan: DataFrame) -> DataFrame:
-    """Spread a scan of a small table over the cores; a large one is split by its files.
+def spread(spark: SparkSession) -> int:
+    """Partitions that scans are dealt into: the option ``aftermerge.workload.spread``, 0 if unset.
 
-    The small test tables are one row group, i.e. one task. A table with at least one
-    file split per core is passed through untouched, so at scale there is no extra shuffle.
+    The small test tables are one row group, i.e. one task. ``bench.py`` sets the option to its
+    cores; elsewhere a scan is split by its files, whatever its size.
     """
-    narrow = is_narrow(spark, scan)
-    return scan.repartition(spark.sparkContext.defaultParallelism) if narrow else scan
+    return int(spark.conf.get("aftermerge.workload.spread", "0"))
 
 
-def is_narrow(spark: SparkSession, scan: DataFrame) -> bool:
-    """Whether a scan has less than one 128 MB split per core."""
-    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) < spark.sparkContext.defaultParallelism * 128 * 1024 * 1024
+def wide_enough(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """``scan``, dealt out evenly if the option of :func:`spread` says so."""
+    return scan.repartition(spread(spark)) if spread(spark) else scan
 
 
 def commits(spark: SparkSession, sf: str) -> DataFrame:
