@@ -313,7 +313,7 @@ def test_licenses(spark: SparkSession) -> None:
         (1, "MIT"), (2, "Apache-2.0"), (7, "CC-BY-NC-4.0"), (7, "MIT"),
     ]
     one = next(r for r in found if r["doc_id"] == 1)
-    assert one["start"] == 120 and one["template"] == 1 and one["matched"] == len(mit) - 2
+    assert one["start"] == 120 and one["template"] == 1 and one["matched"] == len(" ".join(mit).replace("/", " ").split()) - 2
     assert licenses.scan_licenses(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
