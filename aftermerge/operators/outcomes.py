@@ -279,9 +279,9 @@ def clustered_rate(
     """Share per group with a standard error that treats whole repositories as the sample.
 
     Linearised ratio estimator over per-cluster sums; each cluster is reduced to one row
-    before its group is, so no repository is held in one place.
+    before its group is, so no repository is held in one place. Names compare without case.
     """
-    clusters = outcomes.groupBy(*by, cluster).agg(
+    clusters = outcomes.groupBy(*by, F.lower(cluster).alias("_cluster")).agg(
         F.count("*").alias("n"), F.count_if(F.col(hit)).alias("y")
     )
     sums = clusters.groupBy(*by).agg(
@@ -322,19 +322,23 @@ def pr_acceptance(pulls: DataFrame, by: Sequence[str] = ("agent_id",)) -> DataFr
 MEDIAN_BUCKET = 65_536
 
 
-def exact_median(rows: DataFrame, by: Sequence[str], value: Column) -> DataFrame:
+def exact_median(
+    rows: DataFrame, by: Sequence[str], value: Column, weight: Column | None = None
+) -> DataFrame:
     """Exact median of a whole-number value per group: ``by..., n, median``.
 
+    ``weight``: how many times a row counts (once without it).
+
     Values are reduced to counts; a coarse histogram finds the buckets that hold the two
     middle ranks, and only those are ordered value by value. No task ever sees a group, just
     at most ``MEDIAN_BUCKET`` distinct values of it.
     """
     bucket = F.floor(F.col("_v") / F.lit(MEDIAN_BUCKET)).cast("bigint")
     counts = (
-        rows.select(*by, value.cast("bigint").alias("_v"))
+        rows.select(*by, value.cast("bigint").alias("_v"), (F.lit(1) if weight is None else weight).alias("_w"))
         .where("_v is not null")
         .groupBy(*by, "_v")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
         .withColumn("_b", bucket)
     )
     group = [F.col(name) for name in by] or [F.lit(0)]
@@ -363,12 +367,16 @@ def exact_median(rows: DataFrame, by: Sequence[str], value: Column) -> DataFrame
     return fine.groupBy(*by).agg(F.max("n").alias("n"), ((low + high) / 2).alias("median"))
 
 
-def time_to_merge(pulls: DataFrame, by: Sequence[str] = ("agent_id",)) -> DataFrame:
-    """Exact median hours from opening to merge, over merged pull requests (whole seconds)."""
-    seconds = F.unix_seconds(F.col("merged_at").cast("timestamp")) - F.unix_seconds(
+def seconds_to_merge() -> Column:
+    """Whole seconds from opening to merge."""
+    return F.unix_seconds(F.col("merged_at").cast("timestamp")) - F.unix_seconds(
         F.col("created_at").cast("timestamp")
     )
-    found = exact_median(pulls.where("merged_at is not null"), by, seconds)
+
+
+def time_to_merge(pulls: DataFrame, by: Sequence[str] = ("agent_id",)) -> DataFrame:
+    """Exact median hours from opening to merge, over merged pull requests (whole seconds)."""
+    found = exact_median(pulls.where("merged_at is not null"), by, seconds_to_merge())
     hours = F.round(F.col("median") / 3600, PERCENT_DIGITS).alias("median_hours")
     return found.select(*by, F.col("n").alias("merged"), hours)
 
@@ -410,14 +418,19 @@ def followed_by_fix(
     """
     span = window_days * 86_400_000_000
     micros = F.unix_micros(F.col("at").cast("timestamp"))
-    rows = commit_files.withColumns(
-        {"_t": micros, "_bucket": F.floor(micros / F.lit(span)).cast("bigint")}
+    rows = commit_files.select(
+        F.lower("repo").alias("repo_key"),
+        F.lower("sha").alias("sha"),
+        "path",
+        "is_fix",
+        micros.alias("_t"),
+        F.floor(micros / F.lit(span)).cast("bigint").alias("_bucket"),
     )
-    fixes = rows.where("is_fix").groupBy("repo", "path", "_bucket").agg(
+    fixes = rows.where("is_fix").groupBy("repo_key", "path", "_bucket").agg(
         F.max("_t").alias("last"), F.min("_t").alias("first")
     )
     seen_from = fixes.select(
-        "repo",
+        "repo_key",
         "path",
         F.explode(
             F.array(
@@ -434,13 +447,13 @@ def followed_by_fix(
             )
         ).alias("s"),
     )
-    lookup = seen_from.groupBy("repo", "path", F.col("s.b").alias("_bucket")).agg(
+    lookup = seen_from.groupBy("repo_key", "path", F.col("s.b").alias("_bucket")).agg(
         F.max("s.own_last").alias("own_last"), F.min("s.next_first").alias("next_first")
     )
-    narrow = rows.select("repo", "sha", "path", "_t", "_bucket")
-    joined = lookup_join(narrow, lookup, ["repo", "path", "_bucket"], "left", hot_rows)
+    narrow = rows.drop("is_fix")
+    joined = lookup_join(narrow, lookup, ["repo_key", "path", "_bucket"], "left", hot_rows)
     hit = (F.col("own_last") > F.col("_t")) | (F.col("next_first") <= F.col("_t") + span)
-    return joined.groupBy("repo", "sha").agg(
+    return joined.groupBy("repo_key", "sha").agg(
         F.max(F.coalesce(hit, F.lit(False))).alias("followed_by_fix")
     )
 
@@ -448,8 +461,12 @@ def followed_by_fix(
 def followup_fix_rate(
     commits: DataFrame, flags: DataFrame, by: Sequence[str] = ("agent_id",)
 ) -> DataFrame:
-    """Share of commits (with known files) followed by a fix of the same files."""
-    joined = commits.join(flags, ["repo", "sha"])
+    """Share of commits (with known files) followed by a fix of the same files.
+
+    ``commits`` are changes, ``flags`` come from :func:`followed_by_fix`; both are unique per
+    ``repo_key`` and ``sha``.
+    """
+    joined = commits.join(flags, ["repo_key", "sha"])
     counted = joined.groupBy(*by).agg(
         F.count("*").alias("commits"), F.count_if("followed_by_fix").alias("followed")
     )
@@ -459,31 +476,48 @@ def followup_fix_rate(
 # --- comparison with the same repositories' own baseline --------------------------------
 
 
+def _baseline_rows(baseline: str) -> Column:
+    """Which rows an agent is compared with: see :func:`with_baseline`."""
+    if baseline not in ("unattributed", "unflagged"):
+        raise ValueError(f"unknown baseline {baseline!r}")
+    in_baseline = F.col("agent_id").isNull()
+    if baseline == "unflagged":
+        in_baseline = in_baseline & ~F.col("matched_prefilter") & ~F.col("is_revert")
+    return in_baseline
+
+
+def period_of(at: str, unit: str = "month") -> Column:
+    """First day of the calendar period (``week``, ``month``, ``quarter``, ``year``) of ``at``."""
+    return F.date_trunc(unit, F.col(at)).cast("date")
+
+
 def with_baseline(
-    outcomes: DataFrame, hit: str, baseline: str = "unattributed", repo: str = "repo"
+    outcomes: DataFrame,
+    hit: str,
+    baseline: str = "unattributed",
+    repo: str = "repo",
+    period: Column | None = None,
 ) -> DataFrame:
     """Per agent: its rate, the baseline rate in the same repositories, and the difference.
 
     ``baseline`` is ``unattributed`` (every commit without an agent) or ``unflagged`` (also
     not flagged by the prefilter and not a revert, as the census manifest counts it). Each
-    agent is compared only within repositories that have both its commits and baseline ones;
-    the commit-weighted difference weighs each by the agent's commits there, the
-    repository-weighted one counts each once.
+    agent is compared only within cells that have both its rows and baseline ones: a
+    repository (names compare without case) in a ``period``, or over all time without one.
+    The unit-weighted difference weighs each cell by the agent's rows there, the
+    repository-weighted one counts each cell once; ``repos`` is the number of cells.
     """
-    if baseline not in ("unattributed", "unflagged"):
-        raise ValueError(f"unknown baseline {baseline!r}")
-    in_baseline = F.col("agent_id").isNull()
-    if baseline == "unflagged":
-        in_baseline = in_baseline & ~F.col("matched_prefilter") & ~F.col("is_revert")
-    cells = outcomes.groupBy(F.col(repo).alias("repo"), "agent_id", in_baseline.alias("_base")).agg(
+    where = [F.lower(repo).alias("_repo"), (F.lit(None) if period is None else period).cast("date").alias("_period")]
+    cells = outcomes.groupBy(*where, "agent_id", _baseline_rows(baseline).alias("_base")).agg(
         F.count("*").alias("n"), F.count_if(F.col(hit)).alias("y")
     )
     base = (
         cells.where("_base")
-        .groupBy("repo")
+        .groupBy(F.col("_repo").alias("_b_repo"), F.col("_period").alias("_b_period"))
         .agg(F.sum("n").alias("base_n"), F.sum("y").alias("base_y"))
     )
-    both = cells.where("agent_id is not null").join(base, "repo")
+    same = (F.col("_repo") == F.col("_b_repo")) & F.col("_period").eqNullSafe(F.col("_b_period"))
+    both = cells.where("agent_id is not null").join(base, same)
     p, q = F.col("y") / F.col("n"), F.col("base_y") / F.col("base_n")
     return both.groupBy("agent_id").agg(
         F.count("*").alias("repos"),
@@ -495,6 +529,45 @@ def with_baseline(
     )
 
 
+def median_with_baseline(
+    rows: DataFrame, value: Column, period: Column | None = None, repo: str = "repo"
+) -> DataFrame:
+    """Per agent: the exact median of its rows and of baseline rows in the same cells.
+
+    A cell is a repository (in a period); an agent's baseline are the rows without an agent
+    in the cells where it has some. Those rows are counted per cell and value before they
+    meet the agents' cells, so what is joined is a histogram; each value's weight stays in it.
+    """
+    where = [F.lower(repo).alias("_repo"), (F.lit(None) if period is None else period).cast("date").alias("_period")]
+    counts = (
+        rows.select(*where, "agent_id", value.cast("bigint").alias("_v"))
+        .where("_v is not null")
+        .groupBy("_repo", "_period", "agent_id", "_v")
+        .agg(F.count("*").alias("_n"))
+    )
+    own_rows, base = counts.where("agent_id is not null"), counts.where("agent_id is null").drop("agent_id")
+    own_cells = own_rows.select(
+        F.col("_repo").alias("_a_repo"), F.col("_period").alias("_a_period"), "agent_id"
+    ).distinct()
+    same = (F.col("_repo") == F.col("_a_repo")) & F.col("_period").eqNullSafe(F.col("_a_period"))
+    theirs = own_cells.join(base, same)
+    base_cells = base.select(
+        F.col("_repo").alias("_a_repo"), F.col("_period").alias("_a_period")
+    ).distinct()
+    ours = own_rows.join(base_cells, same, "left_semi")
+    keep = ["agent_id", "_v", "_n"]
+    stacked = ours.select(*keep, F.lit(False).alias("_base")).unionByName(
+        theirs.select(*keep, F.lit(True).alias("_base"))
+    )
+    found = exact_median(stacked, ["agent_id", "_base"], F.col("_v"), weight=F.col("_n"))
+    return found.groupBy("agent_id").agg(
+        F.max(F.when(~F.col("_base"), F.col("n"))).alias("units"),
+        F.max(F.when(~F.col("_base"), F.col("median"))).alias("agent_median"),
+        F.max(F.when(F.col("_base"), F.col("n"))).alias("baseline_units"),
+        F.max(F.when(F.col("_base"), F.col("median"))).alias("baseline_median"),
+    )
+
+
 def size_class(stars: Column) -> Column:
     """Repository size class by stargazers (our definition; bounds are inclusive below)."""
     return (
@@ -579,7 +652,9 @@ def adoption(commits: DataFrame, members: DataFrame) -> DataFrame:
 
 def coverage_by_agent(commits: DataFrame) -> DataFrame:
     """Per agent: commits, repositories and share of all commits (NULL agent = no marker)."""
-    per_repo = commits.groupBy("agent_id", "repo").agg(F.count("*").alias("n"))
+    per_repo = commits.groupBy("agent_id", F.lower("repo").alias("repo_key")).agg(
+        F.count("*").alias("n")
+    )
     per_agent = per_repo.groupBy("agent_id").agg(
         F.sum("n").alias("commits"), F.count("*").alias("repos")
     )
@@ -599,19 +674,18 @@ def union_sources(frames: dict[str, DataFrame], keep: Sequence[str]) -> DataFram
     return stacked
 
 
-def compare_versions(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Per (repo, sha): how the verdict changed between two rule versions.
+def compare_versions(judged: DataFrame) -> DataFrame:
+    """Per commit: how its verdict changed between two rule versions.
 
-    Both runs are stacked and folded by key with map-side combination, which copes with
-    repeated rows and needs no join: ``same``, ``gained``, ``lost`` or ``changed``.
+    ``judged`` carries both verdicts on one row (``old_agent``, ``new_agent``) beside ``repo,
+    sha, at, event_id``, so the source is read once. Copies of a commit are folded to the
+    earliest as :func:`dedupe_commits` does. The change is ``same``, ``gained``, ``lost`` or
+    ``changed``.
     """
-    columns = ["repo", "sha", "agent_id"]
-    stacked = old.select(*columns, F.lit(False).alias("is_new")).unionByName(
-        new.select(*columns, F.lit(True).alias("is_new"))
-    )
-    verdicts = stacked.groupBy("repo", "sha").agg(
-        F.min(F.when(~F.col("is_new"), F.col("agent_id"))).alias("old_agent"),
-        F.min(F.when(F.col("is_new"), F.col("agent_id"))).alias("new_agent"),
+    columns = ["repo", "sha", "at", "event_id", "old_agent", "new_agent"]
+    order = ["at", "event_id", "old_agent", "new_agent"]
+    verdicts = dedupe_commits(judged.select(*columns), order).select(
+        F.lower("repo").alias("repo_key"), F.lower("sha").alias("sha"), "old_agent", "new_agent"
     )
     before, after = F.col("old_agent"), F.col("new_agent")
     change = (

@@ -130,8 +130,69 @@ def test_survival(spark: SparkSession) -> None:
 
 
 def test_compare_versions(spark: SparkSession) -> None:
-    schema = "repo string, sha string, agent_id string"
-    old = spark.createDataFrame([("r", "1", "a"), ("r", "2", None), ("r", "3", "a"), ("r", "4", "a")], schema)
-    new = spark.createDataFrame([("r", "1", "a"), ("r", "2", "b"), ("r", "3", None), ("r", "4", "b")], schema)
-    got = {r["sha"]: r["change"] for r in O.compare_versions(old, new).collect()}
-    assert got == {"1": "same", "2": "gained", "3": "lost", "4": "changed"}
+    schema = "repo string, sha string, at timestamp, event_id string, old_agent string, new_agent string"
+    rows = [
+        ("r", "1", T0, "1", "a", "a"),
+        ("r", "2", T0, "2", None, "b"),
+        ("r", "3", T0, "3", "a", None),
+        ("r", "4", T0, "4", "a", "b"),
+        ("R", "4", T0 + DAY, "5", "a", "a"),  # a later copy under another spelling
+        ("r", "5", T0, "6", None, None),
+    ]
+    found = O.compare_versions(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r["sha"], r["change"]) for r in found) == [
+        ("1", "same"), ("2", "gained"), ("3", "lost"), ("4", "changed"), ("5", "same"),
+    ]
+
+
+def test_repositories_compare_without_case(spark: SparkSession) -> None:
+    """Two spellings are one cluster, one baseline, one set of files and one covered repository."""
+    schema = "repo string, sha string, at timestamp, agent_id string, hit boolean"
+    rows = [("O/R", "1", T0, "a", True), ("o/r", "2", T0, None, False), ("o/R", "3", T0, "a", False)]
+    frame = spark.createDataFrame(rows, schema)
+    base = O.with_baseline(frame, "hit").first()
+    assert (base["repos"], base["units"], base["agent_rate"], base["baseline_rate"]) == (1, 2, 0.5, 0.0)
+    assert {r["agent_id"]: r["clusters"] for r in O.clustered_rate(frame, "hit", ["agent_id"]).collect()} == {"a": 1, None: 1}
+    assert {r["agent_id"]: r["repos"] for r in O.coverage_by_agent(frame).collect()} == {"a": 1, None: 1}
+    files = spark.createDataFrame(
+        [("O/R", "1", T0, "f", False), ("o/r", "2", T0 + DAY, "f", True)],
+        "repo string, sha string, at timestamp, path string, is_fix boolean",
+    )
+    assert {r["sha"]: r["followed_by_fix"] for r in O.followed_by_fix(files).collect()} == {"1": True, "2": False}
+
+
+def test_baselines_stay_within_their_period(spark: SparkSession) -> None:
+    rng = random.Random(4)
+    rows = [
+        (rng.choice(["O/r", "o/R", "o/x", None]), T0 + rng.randint(0, 120) * DAY, rng.choice(["a", "b", None, None]),
+         rng.random() < 0.4, rng.choice([None, *range(9)]))
+        for _ in range(400)
+    ]
+    frame = spark.createDataFrame(rows, "repo string, at timestamp, agent_id string, hit boolean, v bigint")
+    cells: dict[tuple, list] = {}
+    for repo, at, agent, hit, v in rows:
+        if repo is not None:
+            cells.setdefault((repo.lower(), at.month), []).append((agent, hit, v))
+    period = O.period_of("at")
+    got = {r["agent_id"]: r for r in O.with_baseline(frame, "hit", period=period).collect()}
+    medians = {r["agent_id"]: r for r in O.median_with_baseline(frame, F.col("v"), period).collect()}
+    for agent in ("a", "b"):
+        diffs, own, base = [], [], []
+        for members in cells.values():
+            mine = [h for a, h, _ in members if a == agent]
+            theirs = [h for a, h, _ in members if a is None]
+            if mine and theirs:
+                diffs.append((len(mine), sum(mine) / len(mine) - sum(theirs) / len(theirs)))
+            mine = [v for a, _, v in members if a == agent and v is not None]
+            theirs = [v for a, _, v in members if a is None and v is not None]
+            if mine and theirs:
+                own, base = own + mine, base + theirs
+        assert got[agent]["repos"] == len(diffs)
+        assert got[agent]["repo_weighted_diff"] == pytest.approx(sum(d for _, d in diffs) / len(diffs), abs=1e-6)
+        weighted = sum(n * d for n, d in diffs) / sum(n for n, _ in diffs)
+        assert got[agent]["unit_weighted_diff"] == pytest.approx(weighted, abs=1e-6)
+        r = medians[agent]
+        assert (r["units"], r["agent_median"]) == (len(own), statistics.median(own))
+        assert (r["baseline_units"], r["baseline_median"]) == (len(base), statistics.median(base))
+    with pytest.raises(ValueError, match="unknown baseline"):
+        O.with_baseline(frame, "hit", baseline="all")

@@ -316,11 +316,25 @@ def _wilson(sign: str) -> str:
     return f"round(({p} + {z} * {z} / (2 * {n}) {sign} {z} * sqrt({p} * (1 - {p}) / {n} + {z} * {z} / (4 * {n} * {n}))) / (1 + {z} * {z} / {n}), 6)"
 
 
-def _baseline(condition: str) -> str:
+def _baseline(condition: str, src: str = "obsd", cell: str = "lower(repo)", hit: str = "reverted") -> str:
     return f"""SELECT agent_id, count(*) AS repos, CAST(sum(n) AS BIGINT) AS units, round(sum(y) / sum(n), 6) AS agent_rate, round(sum(b_y / bn * n) / sum(n), 6) AS baseline_rate,
   round(sum((y / n - b_y / bn) * n) / sum(n), 6) AS unit_weighted_diff, round(avg(y / n - b_y / bn), 6) AS repo_weighted_diff
-FROM (SELECT repo, agent_id, count(*) AS n, count(*) FILTER (reverted) AS y FROM src WHERE agent_id IS NOT NULL GROUP BY 1, 2)
-JOIN (SELECT repo, count(*) AS bn, count(*) FILTER (reverted) AS b_y FROM src WHERE {condition} GROUP BY 1) USING (repo) GROUP BY agent_id"""
+FROM (SELECT {cell} AS cell, agent_id, count(*) AS n, count(*) FILTER ({hit}) AS y FROM {src} WHERE agent_id IS NOT NULL GROUP BY 1, 2)
+JOIN (SELECT {cell} AS cell, count(*) AS bn, count(*) FILTER ({hit}) AS b_y FROM {src} WHERE {condition} GROUP BY 1) USING (cell) GROUP BY agent_id"""
+
+
+def _in_month(at: str) -> str:
+    return f"lower(repo) || ' in ' || strftime({at}, '%Y-%m')"
+
+
+def _median_baseline(value: str, condition: str) -> str:
+    """Medians of a value of pull requests, within cells that hold both kinds of rows."""
+    rows = f"(SELECT {_in_month('created_at')} AS cell, agent_id, {value} AS v FROM prs WHERE {condition})"
+    return f"""SELECT agent_id, units, agent_median, baseline_units, baseline_median FROM (
+  SELECT agent_id, count(*) AS units, CAST(median(v) AS DOUBLE) AS agent_median FROM {rows} WHERE agent_id IS NOT NULL
+    AND cell IN (SELECT cell FROM {rows} WHERE agent_id IS NULL) GROUP BY 1)
+JOIN (SELECT c.agent_id, count(*) AS baseline_units, CAST(median(b.v) AS DOUBLE) AS baseline_median
+  FROM (SELECT DISTINCT agent_id, cell FROM {rows} WHERE agent_id IS NOT NULL) c JOIN {rows} b ON b.cell = c.cell AND b.agent_id IS NULL GROUP BY 1) USING (agent_id)"""
 
 
 _DOC_BODY = "rtrim(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), ' ' || chr(9) || chr(10))"
@@ -520,7 +534,7 @@ FROM (SELECT day, repo, event_id, count(*) AS listed, max(CASE WHEN push_size %
         "outcomes",
         """SELECT agent_id, count(*) AS clusters, CAST(sum(n) AS BIGINT) AS units, CAST(sum(y) AS BIGINT) AS hits, round(max(p), 6) AS rate,
   round(sqrt(sum((y - p * n) * (y - p * n)) * count(*) / nullif(count(*) - 1, 0)) / sum(n), 6) AS std_error
-FROM (SELECT *, sum(y) OVER w / sum(n) OVER w AS p FROM (SELECT agent_id, repo, count(*) AS n, count(*) FILTER (reverted) AS y FROM obsd GROUP BY 1, 2) WINDOW w AS (PARTITION BY agent_id)) GROUP BY agent_id""",
+FROM (SELECT *, sum(y) OVER w / sum(n) OVER w AS p FROM (SELECT agent_id, lower(repo) AS repo, count(*) AS n, count(*) FILTER (reverted) AS y FROM obsd GROUP BY 1, 2) WINDOW w AS (PARTITION BY agent_id)) GROUP BY agent_id""",
     ),
     "revert_survival": _with(
         "outcomes",
@@ -549,17 +563,28 @@ FROM (SELECT *, sum(y) OVER w / sum(n) OVER w AS p FROM (SELECT agent_id, repo,
     "followup_fix_rate": _with(
         "dedup",
         """SELECT agent_id, count(*) AS commits, count(*) FILTER (hit) AS followed, round(count(*) FILTER (hit) / count(*), 6) AS followup_fix_rate FROM (
-  SELECT d.rid, d.agent_id, bool_or(EXISTS (SELECT 1 FROM fx WHERE fx.repo = f.repo AND fx.path = f.path AND fx.pushed_at > f.pushed_at AND fx.pushed_at <= f.pushed_at + INTERVAL 14 DAY)) AS hit
-  FROM ded d JOIN valid f ON f.repo = d.repo AND f.sha = d.sha GROUP BY d.rid, d.agent_id) GROUP BY 1""",
+  SELECT d.rid, d.agent_id, bool_or(EXISTS (SELECT 1 FROM fx WHERE fx.repo_key = d.repo_key AND fx.path = f.path AND fx.pushed_at > f.pushed_at AND fx.pushed_at <= f.pushed_at + INTERVAL 14 DAY)) AS hit
+  FROM ded d JOIN valid f ON lower(f.repo) = d.repo_key AND f.sha = d.sha GROUP BY d.rid, d.agent_id) GROUP BY 1""",
     ).replace(
         "\nSELECT agent_id, count(*) AS commits",
-        ",\nfx AS (SELECT v.repo, v.path, v.pushed_at FROM valid v JOIN chg USING (rid) WHERE is_fix)\nSELECT agent_id, count(*) AS commits",
+        ",\nfx AS (SELECT lower(v.repo) AS repo_key, v.path, v.pushed_at FROM valid v JOIN chg USING (rid) WHERE is_fix)\nSELECT agent_id, count(*) AS commits",
         1,
     ),
-    "outcomes_with_baseline": _with("outcomes", _baseline("agent_id IS NULL").replace("FROM src", "FROM obsd")),
+    "outcomes_with_baseline": _with("outcomes", _baseline("agent_id IS NULL")),
+    "outcomes_with_period_baseline": _with("outcomes", _baseline("agent_id IS NULL", cell=_in_month("seen"))),
     "outcomes_with_unflagged_baseline": _with(
         "outcomes flags",
-        _baseline("agent_id IS NULL AND (repo, sha) NOT IN (SELECT (v.repo, v.sha) FROM valid v JOIN flags USING (rid) WHERE " + _ANY + ")").replace("FROM src", "FROM obsd"),
+        _baseline("agent_id IS NULL AND (repo_key, sha) NOT IN (SELECT (lower(v.repo), v.sha) FROM valid v JOIN flags USING (rid) WHERE " + _ANY + ")"),
+    ),
+    "pr_outcomes_with_baseline": _with(
+        "prs",
+        _baseline("agent_id IS NULL", "(SELECT * FROM prs WHERE state <> 'OPEN')", _in_month("created_at"), "state = 'MERGED'"),
+    ),
+    "time_to_merge_with_baseline": _with(
+        "prs", _median_baseline("date_diff('second', created_at, merged_at)", "merged_at IS NOT NULL")
+    ),
+    "review_load_with_baseline": _with(
+        "prs", _median_baseline("review_count + comment_count + review_thread_count", "true")
     ),
     "rollup_outcomes": _with(
         "dims",
@@ -587,7 +612,7 @@ FROM (SELECT cohort, repo, count(*) AS n, count(agent_id) AS a FROM crow GROUP B
     ),
     "coverage_by_agent": _with(
         "evidence",
-        """SELECT agent_id, CAST(count(*) AS BIGINT) AS commits, count(DISTINCT repo) AS repos, round(count(*) / (SELECT count(*) FROM commits), 6) AS share FROM commits LEFT JOIN verdict USING (rid) GROUP BY 1""",
+        """SELECT agent_id, CAST(count(*) AS BIGINT) AS commits, count(DISTINCT lower(repo)) AS repos, round(count(*) / (SELECT count(*) FROM commits), 6) AS share FROM commits LEFT JOIN verdict USING (rid) GROUP BY 1""",
     ),
     "sources_unioned": _with(
         "census activity",
@@ -598,8 +623,8 @@ UNION ALL SELECT 'panel', 1, 1, agent_id, count(*) FROM crow GROUP BY agent_id""
         "valid evidence evidence2",
         """SELECT CASE WHEN a.agent_id IS NOT DISTINCT FROM b.agent_id THEN 'same' WHEN a.agent_id IS NULL THEN 'gained' WHEN b.agent_id IS NULL THEN 'lost' ELSE 'changed' END AS change,
   a.agent_id AS old_agent, b.agent_id AS new_agent, count(*) AS commits
-FROM (SELECT repo, sha, min(x.agent_id) AS agent_id FROM valid LEFT JOIN verdict x USING (rid) GROUP BY 1, 2) a
-JOIN (SELECT repo, sha, min(x.agent_id) AS agent_id FROM valid LEFT JOIN verdict2 x USING (rid) GROUP BY 1, 2) b USING (repo, sha) GROUP BY 1, 2, 3""",
+FROM (SELECT v.rid, x.agent_id, row_number() OVER (PARTITION BY lower(v.repo), v.sha ORDER BY v.pushed_at, v.event_id, x.agent_id NULLS FIRST, y.agent_id NULLS FIRST) AS k
+  FROM valid v LEFT JOIN verdict x USING (rid) LEFT JOIN verdict2 y USING (rid)) a LEFT JOIN verdict2 b USING (rid) WHERE k = 1 GROUP BY 1, 2, 3""",
     ),
     "link_commits_to_pulls": _with(
         "links pulls",
@@ -607,14 +632,19 @@ JOIN (SELECT repo, sha, min(x.agent_id) AS agent_id FROM valid LEFT JOIN verdict
 FROM ded c LEFT JOIN pulls m ON lower(m.repo) = c.repo_key AND m.merge_commit_sha = c.sha
 LEFT JOIN pulls n ON lower(n.repo) = c.repo_key AND n.number = c.pr WHERE coalesce(m.number, n.number) IS NOT NULL""",
     ),
-    "stream_attribution": _with("valid", "SELECT repo, count(DISTINCT sha) AS commits FROM valid GROUP BY repo"),
+    "stream_attribution": _with(
+        "dedup",
+        "SELECT agent_id, count(*) AS commits, count(DISTINCT repo_key) AS repos, round(count(*) / (SELECT count(*) FROM ded), 6) AS share FROM ded GROUP BY 1",
+    ),
     "stream_daily_counts": _with(
-        "valid evidence",
-        "SELECT day, agent_id, count(*) AS commits FROM valid LEFT JOIN verdict USING (rid) WHERE day + INTERVAL 1 DAY <= (SELECT max(pushed_at) FROM valid) - INTERVAL 1 DAY GROUP BY 1, 2",
+        "valid evidence", "SELECT day, agent_id, count(*) AS commits FROM valid LEFT JOIN verdict USING (rid) GROUP BY 1, 2"
     ),
     "stream_revert_links": _with(
         "valid reverts",
-        """SELECT c.repo, c.sha, c.pushed_at AS committed_at, r.sha AS revert_sha, r.pushed_at AS reverted_at FROM valid c JOIN (SELECT v.*, rev.reverted_sha FROM valid v JOIN rev USING (rid) WHERE NOT is_reapply AND reverted_sha IS NOT NULL) r
-  ON c.repo = r.repo AND starts_with(c.sha, r.reverted_sha) AND r.pushed_at BETWEEN c.pushed_at AND c.pushed_at + INTERVAL 30 DAY WHERE c.sha <> r.sha""",
+        """SELECT repo_key, sha, committed_at, revert_sha, reverted_at FROM (
+  SELECT lower(c.repo) AS repo_key, c.sha, c.pushed_at AS committed_at, r.sha AS revert_sha, r.pushed_at AS reverted_at,
+    row_number() OVER (PARTITION BY lower(c.repo), c.sha ORDER BY r.pushed_at, r.sha, c.pushed_at) AS k
+  FROM valid c JOIN (SELECT v.*, rev.reverted_sha FROM valid v JOIN rev USING (rid) WHERE NOT is_reapply AND reverted_sha IS NOT NULL) r
+  ON lower(c.repo) = lower(r.repo) AND starts_with(c.sha, r.reverted_sha) AND r.pushed_at BETWEEN c.pushed_at AND c.pushed_at + INTERVAL 30 DAY WHERE c.sha <> r.sha) WHERE k = 1""",
     ),
 }

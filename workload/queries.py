@@ -618,7 +618,7 @@ def followup_fix_rate(spark: SparkSession, sf: str) -> DataFrame:
     rows = C.valid_commits(V.commit_files(spark, sf)).withColumnRenamed("pushed_at", "at")
     files = rows.select("repo", "sha", "at", "path", O.is_fix("message").alias("is_fix"))
     files = stage(files, _folder(spark), "commit_files")
-    commits = _changes(spark, sf).select("repo", "sha", "agent_id")
+    commits = _changes(spark, sf).select("repo_key", "sha", "agent_id")
     return O.followup_fix_rate(commits, O.followed_by_fix(files))
 
 
@@ -627,16 +627,47 @@ def outcomes_with_baseline(spark: SparkSession, sf: str) -> DataFrame:
     return O.with_baseline(_outcomes(spark, sf).where("followed_up"), "reverted")
 
 
+@query
+def outcomes_with_period_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """Against the same repositories in the same month."""
+    rows = _outcomes(spark, sf).where("followed_up")
+    return O.with_baseline(rows, "reverted", period=O.period_of("at"))
+
+
 @query
 def outcomes_with_unflagged_baseline(spark: SparkSession, sf: str) -> DataFrame:
     flagged = prefilter_flags(C.valid_commits(V.commits(spark, sf)), compiled())
-    flags = flagged.groupBy("repo", "sha").agg(F.max(any_hit()).alias("matched_prefilter"))
-    rows = _outcomes(spark, sf).where("followed_up").join(flags, ["repo", "sha"])
+    flags = flagged.groupBy(F.lower("repo").alias("repo_key"), "sha").agg(
+        F.max(any_hit()).alias("matched_prefilter")
+    )
+    rows = _outcomes(spark, sf).where("followed_up").join(flags, ["repo_key", "sha"])
     return O.with_baseline(
         rows.withColumnRenamed("is_undo", "is_revert"), "reverted", baseline="unflagged"
     )
 
 
+@query
+def pr_outcomes_with_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """Merged share of decided pull requests against the same repositories and months."""
+    decided = _attributed_pulls(spark, sf).where("state <> 'OPEN'")
+    rows = decided.withColumn("accepted", F.col("state") == "MERGED")
+    return O.with_baseline(rows, "accepted", period=O.period_of("created_at"))
+
+
+@query
+def time_to_merge_with_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """Median seconds from opening to merge against the same repositories and months."""
+    merged = _attributed_pulls(spark, sf).where("merged_at IS NOT NULL")
+    return O.median_with_baseline(merged, O.seconds_to_merge(), O.period_of("created_at"))
+
+
+@query
+def review_load_with_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """Median reviews, comments and threads together, against the same repositories and months."""
+    load = F.col("review_count") + F.col("comment_count") + F.col("review_thread_count")
+    return O.median_with_baseline(_attributed_pulls(spark, sf), load, O.period_of("created_at"))
+
+
 def _by_dims(spark: SparkSession, sf: str) -> DataFrame:
     """Outcomes with language and size class of their (derived) repository."""
     rows = _outcomes(spark, sf).where("followed_up")
@@ -704,8 +735,11 @@ def sources_unioned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def compare_versions(spark: SparkSession, sf: str) -> DataFrame:
-    commits = C.valid_commits(V.commits(spark, sf))
-    changes = O.compare_versions(attribute(commits, compiled()), attribute(commits, compiled(RULES_V2)))
+    commits = C.valid_commits(V.commits(spark, sf)).withColumnRenamed("pushed_at", "at")
+    old = attribute(commits, compiled()).withColumnRenamed("agent_id", "old_agent")
+    old = old.drop("attribution_confidence", "evidence")
+    both = attribute(old, compiled(RULES_V2)).withColumnRenamed("agent_id", "new_agent")
+    changes = O.compare_versions(both)
     return changes.groupBy("change", "old_agent", "new_agent").agg(F.count("*").alias("commits"))
 
 
@@ -739,19 +773,28 @@ def _drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
+def _drain_updates(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    folder = _folder(spark)
+    S.start_update_sink(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return S.read_updates(spark, f"{folder}/out", stream.schema)
+
+
 @query
 def stream_attribution(spark: SparkSession, sf: str) -> DataFrame:
-    """Unique valid commits by agent, through a stream with watermark de-duplication."""
-    stream = S.attributed_stream(_line_stream(spark, sf), compiled()).select("repo", "sha")
-    return _drain(spark, stream).groupBy("repo").agg(F.count("*").alias("commits"))
+    """Unique valid commits and their repositories by agent, through a stream."""
+    written = _drain_updates(spark, S.attributed_stream(_line_stream(spark, sf), compiled()))
+    return O.coverage_by_agent(S.earliest_copies(written).withColumnRenamed("repo_key", "repo"))
 
 
 @query
 def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _drain(spark, S.daily_counts(_line_stream(spark, sf), compiled()))
+    """All days, those still open at the end of the stream included."""
+    return S.latest_counts(_drain_updates(spark, S.daily_counts(_line_stream(spark, sf), compiled())))
 
 
 @query
 def stream_revert_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Each commit's first revert by SHA, through a join of two streams."""
     pairs = S.revert_pairs(_line_stream(spark, sf), _line_stream(spark, sf))
-    return _drain(spark, pairs).withColumns({c: utc(c) for c in ("committed_at", "reverted_at")})
+    first = S.first_reverts(_drain(spark, pairs))
+    return first.withColumns({c: utc(c) for c in ("committed_at", "reverted_at")})
