@@ -183,11 +183,17 @@ def _membership(members: DataFrame) -> DataFrame:
 
 
 def repo_snapshots(activity: DataFrame, members: DataFrame, fetched_on: dt.date) -> DataFrame:
-    """One row per fetched member, gone ones included: the attrition record."""
+    """One row per fetched member, gone ones included: the attrition record.
+
+    A repository that landed more than once counts once: an answer beats an error, then the
+    last request identifier wins.
+    """
     narrow = activity.withColumnRenamed("commits_total", "commits_total_since").drop(
         "commits", "pulls"
     )
-    joined = narrow.join(_membership(members), "repo").withColumn("fetched_on", F.lit(fetched_on))
+    best = Window.partitionBy("repo").orderBy(F.col("status") == "error", F.desc("request_id"))
+    landed = narrow.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
+    joined = landed.join(_membership(members), "repo").withColumn("fetched_on", F.lit(fetched_on))
     return joined.select(*columns(PANEL_REPOS), "name_with_owner", "pulls_truncated")
 
 
@@ -225,9 +231,11 @@ def panel_commits(
 
 
 def activity_pulls(activity: DataFrame) -> DataFrame:
-    """Pull requests of the ``ok`` repositories, one row each."""
+    """Pull requests of the ``ok`` repositories, one row each: its last update if it landed twice."""
     ok = activity.where(F.col("status") == "ok")
-    return ok.select("repo", F.explode("pulls").alias("p")).select("repo", "p.*")
+    rows = ok.select("repo", "request_id", F.explode("pulls").alias("p")).select("repo", "request_id", "p.*")
+    newest = Window.partitionBy("repo", "number").orderBy(F.desc("updated_at"), F.desc("request_id"))
+    return rows.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n", "request_id")
 
 
 def panel_pulls(
@@ -280,11 +288,13 @@ def renamed_repos(activity: DataFrame) -> DataFrame:
 
 
 def panel_manifest(snapshots: DataFrame, commits: DataFrame, pulls: DataFrame) -> DataFrame:
-    """Per fetch: repositories by status, commit and pull totals, attributed counts by agent."""
+    """Per fetch and panel version: repositories by status, commit and pull totals, attributed
+    counts by agent."""
+    key = ["fetched_on", "panel_version"]
     statuses = (
-        snapshots.groupBy("fetched_on", "status")
+        snapshots.groupBy(*key, "status")
         .agg(F.count("*").alias("n"))
-        .groupBy("fetched_on")
+        .groupBy(*key)
         .agg(
             F.sum("n").alias("repos"),
             count_map(F.col("status"), F.col("n")).alias("repos_by_status"),
@@ -292,19 +302,19 @@ def panel_manifest(snapshots: DataFrame, commits: DataFrame, pulls: DataFrame) -
     )
 
     def by_agent(rows: DataFrame, name: str) -> DataFrame:
-        counted = rows.groupBy("fetched_on", "agent_id").agg(
+        counted = rows.groupBy(*key, "agent_id").agg(
             F.count("*").alias("n"), F.count_if("is_revert").alias("reverts")
         )
         attributed = F.when(F.col("agent_id").isNotNull(), F.col("n")).otherwise(0)
-        return counted.groupBy("fetched_on").agg(
+        return counted.groupBy(*key).agg(
             F.sum("n").alias(name),
             F.sum(attributed).alias(f"{name}_attributed"),
             F.sum("reverts").alias(f"{name}_reverts"),
             count_map(F.col("agent_id"), F.col("n")).alias(f"{name}_by_agent"),
         )
 
-    full = statuses.join(by_agent(commits, "commits"), "fetched_on", "left").join(
-        by_agent(pulls, "pulls"), "fetched_on", "left"
+    full = statuses.join(by_agent(commits, "commits"), key, "left").join(
+        by_agent(pulls, "pulls"), key, "left"
     )
     counts = [c for c in full.columns if c.startswith(("commits", "pulls")) and "_by_" not in c]
     return full.fillna(0, subset=counts)

@@ -85,11 +85,11 @@ def run_panel(
     drawn = members.groupBy("panel_version", "created_on", "treated_rate", "control_rate").agg(
         F.count("*").alias("members_total")
     )
-    # Ledger and panel header are one row each, keyed like the manifest.
+    # The ledger is one row, the panel header one per version, keyed like the manifest.
     manifest = (
         A.panel_manifest(snapshots, commits, pulls)
         .join(ledger.withColumn("fetched_on", F.lit(fetched_on)), "fetched_on")
-        .join(drawn.withColumn("fetched_on", F.lit(fetched_on)), "fetched_on")
+        .join(drawn, "panel_version")
         .withColumns(
             {
                 "since": F.lit(since),

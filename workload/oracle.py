@@ -483,7 +483,7 @@ UNION ALL SELECT 'history', count(*), count(*), 4000 FROM orders WHERE o_orderke
     ),
     "panel_manifest": _with(
         "activity",
-        f"""SELECT DATE '2026-03-02' AS fetched_on, (SELECT count(*) FROM snap) AS repos,
+        f"""SELECT DATE '2026-03-02' AS fetched_on, 1 AS panel_version, (SELECT count(*) FROM snap) AS repos,
   (SELECT {_COUNT_MAP.format(k='status')} FROM (SELECT status, count(*) AS n FROM snap GROUP BY 1)) AS repos_by_status,
   (SELECT count(*) FROM crow) AS commits, (SELECT count(agent_id) FROM crow) AS commits_attributed, (SELECT count(*) FILTER (is_revert) FROM crow) AS commits_reverts,
   (SELECT {_COUNT_MAP.format(k='agent_id')} FROM (SELECT agent_id, count(*) AS n FROM crow GROUP BY 1)) AS commits_by_agent,
