@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import CACHED_WORDS, as_bytes, slices
+from aftermerge.llm.common import CACHED_WORDS, as_bytes, slices, stage
 
 #: The id that ends every document.
 END = 2
@@ -89,15 +89,15 @@ def length_histogram(
     the row of the next shorter length answers: with its ``docs_over``, the truncated total is
     ``total_tokens - tokens_over + L * docs_over``.
 
-    Documents are counted before the only shuffle, so it moves a row per task and length. Sums
-    run within blocks of ``block`` lengths and over the blocks' totals, so no task sees all
+    Documents are counted before they are shuffled, a row per task and length; the histogram is
+    staged, so texts are encoded once. Sums run within blocks of ``block`` lengths and over the blocks' totals, so no task sees all
     lengths. Null texts count as length 0; a null in a column of ``by`` is a group of its own; an
     empty table gives an empty result; repeated rows count each.
     """
     lengths = encoded_lengths(docs, tokenizer, by)
+    counted = lengths.groupBy(*by, F.col("tokens").alias("length")).agg(F.count(F.lit(1)).alias("docs"))
     bars = (
-        lengths.groupBy(*by, F.col("tokens").alias("length"))
-        .agg(F.count(F.lit(1)).alias("docs"))
+        stage(counted, "lengths")
         .withColumn("tokens", F.col("length") * F.col("docs"))
         .withColumn("__block", F.floor(F.col("length") / block))
     )
