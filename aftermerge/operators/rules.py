@@ -295,10 +295,13 @@ def _pattern_problems(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]
 def fingerprint(rules: DataFrame) -> DataFrame:
     """One row per registry version: a 16-digit content hash that changes with any rule.
 
+    A row's text is each value behind its length, or a dash for NULL, so no two rows share it.
     Row digests are added up, so rows combine in any order and no version's rows are gathered
     in one place.
     """
-    row = F.sha2(F.to_json(F.struct(*columns(RULES)), {"ignoreNullFields": "false"}), 256)
+    texts = [F.col(c).cast("string") for c in columns(RULES)]
+    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    row = F.sha2(F.concat(*marked), 256)
     parts = [
         F.sum(F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(38,0)")).cast("string")
         for start in (1, 16, 31, 46)

@@ -24,6 +24,7 @@ from aftermerge.operators.rules import Rule, compile_rules, fingerprint, rules_v
 from aftermerge.sources.readers import read_push_events, scan_budget, skipped_days
 from aftermerge.sources.sinks import (
     CENSUS_PARTITIONS,
+    clear_absent,
     stage,
     staging_folder,
     write_json,
@@ -78,19 +79,22 @@ def run_census(
     See :func:`staged_judgement`. Judged rows are staged too, so observations and manifest
     agree and nothing is judged twice.
 
+    A day without rows gets an empty file and a manifest row of zeros.
+
     Raises:
-        OverBudgetError: when the files of some day exceed ``max_bytes``; nothing is written.
+        OverBudgetError: when the files of some day exceed ``max_bytes`` or a day has no files
+            to price; nothing is written.
         UnreadableDayError: when a day lies outside the archive's commit-bearing range.
     """
     wanted = sorted(set(days))
     if max_bytes is not None:
-        sizes = scan_budget(spark, path, max_bytes).where(
-            F.col("day").isin([d.isoformat() for d in wanted])
-        )
-        over = sizes.where("not within_budget").orderBy("day").limit(20).collect()
+        sizes = scan_budget(spark, path, max_bytes, days=wanted).collect()  # a row per wanted day
+        over = [f"{r['day']}: {r['gib']} GiB" for r in sizes if not r["within_budget"]]
         if over:
-            listed = ", ".join(f"{r['day']}: {r['gib']} GiB" for r in over)
-            raise OverBudgetError(f"scan exceeds {max_bytes} bytes on {listed}")
+            raise OverBudgetError(f"scan exceeds {max_bytes} bytes on {', '.join(sorted(over))}")
+        unpriced = {d.isoformat() for d in wanted} - {r["day"] for r in sizes}
+        if unpriced:
+            raise OverBudgetError(f"no files to price on {', '.join(sorted(unpriced))}")
     unreadable = skipped_days(spark, wanted).orderBy("day").collect()
     if unreadable:
         raise UnreadableDayError(", ".join(f"{r['day']}: {r['status']}" for r in unreadable))
@@ -104,8 +108,14 @@ def run_census(
     if redact_emails:
         stored = redact_person_emails(stored)
     write_partitions(stored, f"{out}/observations", CENSUS_PARTITIONS)
-    manifest = census_manifest(judged).withColumns(
+    keys = [(d, version, CENSUS_METHOD) for d in wanted]
+    clear_absent(stored, f"{out}/observations", CENSUS_PARTITIONS, keys)
+    asked = spark.createDataFrame([(d,) for d in wanted], "day date")
+    counts = ("total", "attributed", "reverts", "baseline", "skipped_invalid")
+    manifest = asked.join(census_manifest(judged), "day", "left").withColumns(
         {
+            **{name: F.coalesce(name, F.lit(0)) for name in counts},
+            "by_agent": F.coalesce("by_agent", F.expr("CAST(map() AS map<string, bigint>)")),
             "registry_version": F.lit(version),
             "methodology_version": F.lit(CENSUS_METHOD),
             "software_version": F.lit(__version__),

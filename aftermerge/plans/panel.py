@@ -16,6 +16,7 @@ from aftermerge.sources.readers import check_members, read_events, read_observat
 from aftermerge.sources.sinks import (
     PANEL_PARTITIONS,
     SNAPSHOT_PARTITIONS,
+    clear_absent,
     stage,
     staging_folder,
     write_json,
@@ -79,6 +80,12 @@ def run_panel(
     write_partitions(snapshots, f"{out}/repos", SNAPSHOT_PARTITIONS)
     write_partitions(commits, f"{out}/commits", PANEL_PARTITIONS)
     write_partitions(pulls, f"{out}/pulls", PANEL_PARTITIONS)
+    # As many versions as panels are fetched together.
+    versions = [r["panel_version"] for r in chosen.select("panel_version").distinct().collect()]
+    keys = [(fetched_on, v, version, PANEL_METHOD) for v in versions]
+    clear_absent(snapshots, f"{out}/repos", SNAPSHOT_PARTITIONS, [k[:2] for k in keys])
+    clear_absent(commits, f"{out}/commits", PANEL_PARTITIONS, keys)
+    clear_absent(pulls, f"{out}/pulls", PANEL_PARTITIONS, keys)
     ledger = A.api_cost(responses).agg(
         F.sum("requests").alias("requests"), F.sum("points_spent").alias("points_spent")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,17 +119,24 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_budget(
-    spark: SparkSession, path: str, ceiling_bytes: int, *, glob: str = "*.parquet"
+    spark: SparkSession,
+    path: str,
+    ceiling_bytes: int,
+    *,
+    days: Sequence[dt.date] = (),
+    glob: str = "*.parquet",
 ) -> DataFrame:
     """Bytes per ``day`` partition and whether a scan of the day stays within the ceiling.
 
-    Only file names and lengths are read. An estimate equal to the ceiling passes.
+    Only file names and lengths are read, with ``days`` those of their folders alone. An estimate
+    equal to the ceiling passes; a day without a folder has no row.
     """
+    folders = f"{path}/day={{{','.join(d.isoformat() for d in days)}}}" if days else path
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
-        .load(path)
+        .load(folders)
         .select("path", "length")
     )
     day = F.nullif(F.regexp_extract("path", r"/day=([^/]+)/", 1), F.lit(""))

@@ -8,7 +8,9 @@ same ones replaces exactly its own.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,21 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> Non
     )
 
 
+def clear_absent(
+    df: DataFrame, path: str, partitions: Sequence[str], requested: Iterable[Sequence[Any]]
+) -> None:
+    """Leave an empty file in each ``requested`` partition that ``df`` has no row for.
+
+    ``requested`` lists partition values, as many as a job was asked for; a dynamic overwrite
+    would keep the old rows there.
+    """
+    present = {tuple(map(str, r)) for r in df.select(*partitions).distinct().collect()}
+    for values in requested:
+        if tuple(map(str, values)) not in present:
+            parts = (f"{k}={quote(str(v))}" for k, v in zip(partitions, values, strict=True))
+            df.limit(0).drop(*partitions).write.mode("overwrite").parquet("/".join([path, *parts]))
+
+
 def write_json(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """Manifests: one small JSON line per partition, replaced like the data."""
     (

@@ -119,10 +119,26 @@ def test_budget(spark: SparkSession) -> None:
     assert within[DAY.isoformat()] is True  # equal to the ceiling passes
     with pytest.raises(OverBudgetError):
         run_census(spark, archive, [DAY], rules(spark), out, max_bytes=size - 1)
+    with pytest.raises(OverBudgetError, match="no files to price on 2025-08-17"):
+        run_census(spark, archive, [DAY, dt.date(2025, 8, 17)], rules(spark), out, max_bytes=size)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         readers.read_observations(spark, f"{out}/observations").count()
 
 
+def test_census_rerun_without_rows_clears_the_day(spark: SparkSession) -> None:
+    archive, bare, out = folder() + "/archive", folder() + "/bare", folder() + "/out"
+    events(spark).write.partitionBy("day").parquet(archive)
+    events(spark).where("type = 'other'").drop("day").write.parquet(f"{bare}/day={DAY}")
+    run_census(spark, archive, [DAY], rules(spark), out)
+    run_census(spark, archive, [DAY], rules(spark, RULES_V2), out)
+    manifest = run_census(spark, bare, [DAY], rules(spark), out).collect()
+    assert [(r["day"], r["total"], r["attributed"], r["by_agent"]) for r in manifest] == [(DAY, 0, 0, {})]
+    kept = readers.read_observations(spark, f"{out}/observations")
+    assert [tuple(r) for r in kept.groupBy("registry_version").count().collect()] == [(2, 4)]
+    written = spark.read.json(f"{out}/manifests").where("registry_version = 1")
+    assert [r["total"] for r in written.collect()] == [0]
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_selection_is_the_same_with_stored_totals(spark: SparkSession, strict: bool) -> None:
     commits = V.commits(spark, "/root/testdata/sf0.001")

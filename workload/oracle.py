@@ -509,6 +509,25 @@ UNION ALL SELECT registry_version, agent_id, signal_id, 'invalid regular express
 UNION ALL SELECT registry_version, agent_id, signal_id, 'not portable' FROM r WHERE pat IN (4, 5)
 UNION ALL SELECT registry_version, agent_id, signal_id, 'duplicate signal id' FROM r GROUP BY 1, 2, 3 HAVING count(*) > 1
 UNION ALL SELECT registry_version, agent_id, NULL, 'duplicate agent id' FROM r GROUP BY 1, 2 HAVING count(DISTINCT agent_order) > 1""",
+    "rule_fingerprints": r"""WITH r AS (
+  SELECT CASE WHEN p_partkey % 97 = 0 THEN '0' ELSE '1' END AS registry_version,
+    CAST(p_partkey // 3 + CASE WHEN p_partkey % 101 = 1 THEN 1 ELSE 0 END AS VARCHAR) AS agent_order,
+    CASE WHEN p_partkey % 89 = 2 THEN 'Bad Id' ELSE 'agent-' || CAST(p_partkey // 3 AS VARCHAR) END AS agent_id,
+    CASE p_partkey % 7 WHEN 0 THEN 'verified' WHEN 1 THEN 'retired' ELSE 'needs_verification' END AS status,
+    CAST(p_partkey % 3 AS VARCHAR) AS signal_order,
+    's' || CAST(CASE WHEN p_partkey % 83 = 3 THEN 0 ELSE p_partkey % 3 END AS VARCHAR) AS signal_id,
+    ['trailer_name', 'message', 'pr_body', 'author_login', 'colour'][p_partkey % 5 + 1] AS type,
+    CASE WHEN p_partkey % 10 IN (0, 1) THEN 'Co-Authored-By' END AS trailer_key,
+    CASE p_partkey % 11 WHEN 3 THEN '(open' WHEN 4 THEN '(?=ahead)x' WHEN 5 THEN '(a)\1' ELSE '^ok$' END AS pattern,
+    CASE WHEN p_partkey % 13 = 0 THEN 'sure' ELSE 'high' END AS confidence,
+    CASE WHEN p_partkey % 14 = 0 THEN 'seen' END AS evidence FROM part),
+marked AS (SELECT registry_version, [registry_version, agent_order, agent_id, 'A', 'V', status, signal_order, signal_id,
+    type, trailer_key, pattern, confidence, 'false', evidence, NULL] AS v FROM r),
+hashed AS (SELECT registry_version, sha256(array_to_string(
+    list_transform(v, lambda x: coalesce(length(x) || ':' || x, '-')), '')) AS h FROM marked),
+sums AS (SELECT registry_version, count(*) || '-' || sum(CAST('0x' || h[1:15] AS BIGINT)) || '-' || sum(CAST('0x' || h[16:30] AS BIGINT))
+    || '-' || sum(CAST('0x' || h[31:45] AS BIGINT)) || '-' || sum(CAST('0x' || h[46:60] AS BIGINT)) AS s FROM hashed GROUP BY 1)
+SELECT CAST(registry_version AS INT) AS registry_version, sha256(s)[1:16] AS fingerprint FROM sums""",
     "dedupe_commits": _with("dedup", "SELECT repo, sha, seen AS \"at\", event_id FROM ded"),
     "latest_pulls": _with(
         "pulls",

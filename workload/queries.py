@@ -30,7 +30,6 @@ from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.prefilter import any_hit, prefilter_audit, prefilter_flags
 from aftermerge.plans.census import judged_commits, staged_judgement
 from aftermerge.schemas import CENSUS_NULLABLE
-from aftermerge.sources.readers import scan_budget
 from aftermerge.sources.sinks import shared_folder, stage
 from aftermerge.streaming import jobs as S
 from workload import views as V
@@ -751,12 +750,6 @@ def link_commits_to_pulls(spark: SparkSession, sf: str) -> DataFrame:
 # --- sources and streams ----------------------------------------------------------------
 
 
-@query
-def scan_budget_query(spark: SparkSession, sf: str) -> DataFrame:
-    """File sizes against a ceiling, from names and lengths alone."""
-    return scan_budget(spark, sf, 25 * 1024**3)
-
-
 def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The line table as a stream of files, turned into commits by the same projection."""
     static = V.table(spark, sf, "lineitem")
