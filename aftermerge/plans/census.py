@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +89,12 @@ def run_census(
     """
     wanted = sorted(set(days))
     if max_bytes is not None:
-        sizes = scan_budget(spark, path, max_bytes, days=wanted).collect()  # a row per wanted day
+        try:
+            sizes = scan_budget(spark, path, max_bytes, days=wanted).collect()  # a row per wanted day
+        except AnalysisException as error:  # none of the days has a folder
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            sizes = []
         over = [f"{r['day']}: {r['gib']} GiB" for r in sizes if not r["within_budget"]]
         if over:
             raise OverBudgetError(f"scan exceeds {max_bytes} bytes on {', '.join(sorted(over))}")

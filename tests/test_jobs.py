@@ -20,6 +20,7 @@ from aftermerge.plans.census import OverBudgetError, UnreadableDayError, judged_
 from aftermerge.plans.panel import run_build, run_panel
 from aftermerge.schemas import CENSUS, PANEL_MEMBERS, PUSH_EVENTS, RESPONSES, columns
 from aftermerge.sources import readers
+from aftermerge.sources.sinks import SNAPSHOT_PARTITIONS, clear_absent, write_partitions
 from workload import views as V
 from workload.rules import RULES_V1, RULES_V2, compiled
 
@@ -119,8 +120,9 @@ def test_budget(spark: SparkSession) -> None:
     assert within[DAY.isoformat()] is True  # equal to the ceiling passes
     with pytest.raises(OverBudgetError):
         run_census(spark, archive, [DAY], rules(spark), out, max_bytes=size - 1)
-    with pytest.raises(OverBudgetError, match="no files to price on 2025-08-17"):
-        run_census(spark, archive, [DAY, dt.date(2025, 8, 17)], rules(spark), out, max_bytes=size)
+    for days in ([DAY, dt.date(2025, 8, 17)], [dt.date(2025, 8, 17)]):
+        with pytest.raises(OverBudgetError, match="no files to price on 2025-08-17"):
+            run_census(spark, archive, days, rules(spark), out, max_bytes=size)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         readers.read_observations(spark, f"{out}/observations").count()
 
@@ -139,6 +141,18 @@ def test_census_rerun_without_rows_clears_the_day(spark: SparkSession) -> None:
     assert [r["total"] for r in written.collect()] == [0]
 
 
+def test_clear_absent_touches_only_requested_partitions(spark: SparkSession) -> None:
+    path = folder()
+    schema = "name string, fetched_on date, panel_version int"
+    keys = [(DAY, v) for v in (1, 2, 3)]
+    rows = spark.createDataFrame([(f"o/r{v}", *k) for k in keys for v in k[1:]], schema)
+    write_partitions(rows, path, SNAPSHOT_PARTITIONS)
+    fewer = rows.where("panel_version = 1")
+    write_partitions(fewer, path, SNAPSHOT_PARTITIONS)
+    clear_absent(fewer, path, SNAPSHOT_PARTITIONS, keys[:2])
+    assert {r["name"] for r in spark.read.schema(schema).parquet(path).collect()} == {"o/r1", "o/r3"}
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_selection_is_the_same_with_stored_totals(spark: SparkSession, strict: bool) -> None:
     commits = V.commits(spark, "/root/testdata/sf0.001")
