@@ -26,14 +26,16 @@ from pyspark.sql import functions as F
 
 from aftermerge.llm.common import mix, row_key, slices, token_codes
 
-#: Seeds of weight 8 in a window of 12: 1 keeps a position, 0 ignores it.
-MASKS = ("111111110000", "110110110011", "101101011011", "000011111111")
-
 #: An overlap counts from this many tokens (or the whole item if it is shorter) ...
 LEAST_TOKENS = 13
 #: ... of which at most this share differs.
 MOST_DIFFERENT = 0.2
 
+#: Seeds of weight 7 in at most 13 tokens: 1 keeps a position, 0 ignores it. Wherever a fifth of 13
+#: to 25 tokens is substituted, one of them lies on kept tokens only (tested for every pattern); a
+#: longer stretch can be cut into such ones, of which one differs in a fifth at most.
+MASKS = ("1111111", "11110111", "110011111", "11101001011", "1110100010011", "1001001010111")
+
 #: Tokens of the benchmark that one pass over the documents holds.
 BLOCK_TOKENS = 1_000_000
 
@@ -50,16 +52,32 @@ def window_hashes(codes: np.ndarray, mask: str) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     for i, kept in enumerate(mask):
         if kept == "1":
-            out = mix(out * np.uint64(3) + codes[i : i + n])
-    return out
+            out += codes[i : i + n] * mix(np.uint64([2 * i + 1]))
+    return mix(out)
+
+
+def run_mask(n: int, share: float) -> str:
+    """Tokens in a row that are equal wherever at most ``share`` of ``n`` tokens differs."""
+    wrong = int(share * n + 1e-9)
+    return "1" * max(1, -(-(n - wrong) // (wrong + 1)))
+
+
+def seeds(least: int, share: float) -> tuple[str, ...]:
+    """Masks that miss no stretch of ``least`` tokens or more of which ``share`` differs."""
+    if (least, share) == (LEAST_TOKENS, MOST_DIFFERENT):
+        return MASKS
+    return (min((run_mask(n, share) for n in range(least, 2 * least)), key=len),)
 
 
 class SeedIndex:
     """The windows of a block of items, by hash, for every mask."""
 
-    def __init__(self, items: list[tuple[int | None, str]], masks: tuple[str, ...] = MASKS) -> None:
+    def __init__(
+        self, items: list[tuple[int | None, str]], least: int = LEAST_TOKENS, share: float = MOST_DIFFERENT
+    ) -> None:
         names, texts = zip(*items, strict=True)
         tokens = list(zip(names, token_codes(pa.array(texts, pa.string())), strict=True))
+        masks = seeds(least, share)
         span = max(map(len, masks))
         self.items = [x for x in tokens if len(x[1])]
         self.tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -163,7 +181,7 @@ def overlaps(
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = SeedIndex(shared.value)
+            index = SeedIndex(shared.value, least_tokens, most_different)
             for batch in slices(batches, 256):
                 texts = token_codes(batch.column(2))
                 starts = np.concatenate([[0], np.cumsum([len(c) for c in texts])])

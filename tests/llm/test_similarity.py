@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -175,6 +176,31 @@ def test_tolerant_overlap() -> None:
         assert best == overlap_by_hand(doc, item), (doc, item)
 
 
+def missed(masks: tuple[str, ...], n: int, different: int) -> list[tuple[int, ...]]:
+    """Substitution places among ``n`` tokens that leave no place for any of the masks."""
+    kept = [{o + i for i, c in enumerate(m) if c == "1"} for m in masks for o in range(n - len(m) + 1)]
+    return [p for p in itertools.combinations(range(n), different) if all(k & set(p) for k in kept)]
+
+
+def test_seeds_miss_no_pattern() -> None:
+    # A longer stretch is cut into stretches of 13 to 25 tokens; fewer tokens lie in more of the same.
+    for n, different in [(13, 2), (15, 3), (20, 4), (25, 5)]:
+        assert not missed(decontaminate.MASKS, n, different), n
+    for least, share in [(5, 0.2), (6, 0.34), (8, 0.1)]:
+        for n in range(least, 2 * least):
+            assert not missed(decontaminate.seeds(least, share), n, int(share * n)), (least, share, n)
+
+
+def test_every_substitution_is_found() -> None:
+    for n, different in [(13, 2), (15, 3), (16, 3)]:
+        item = [f"w{i}" for i in range(n)]
+        index = decontaminate.SeedIndex([(1, " ".join(item))])
+        code = dict(zip(item, index.items[0][1], strict=True))
+        for places in itertools.combinations(range(1, n - 1), different):
+            doc = np.array([1, 2, *(3 if i in places else code[w] for i, w in enumerate(item)), 4], np.uint64)
+            assert (0, 0, 2) in index.hits(doc, np.array([0, len(doc)])), places
+
+
 def test_decontamination(spark: SparkSession) -> None:
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
