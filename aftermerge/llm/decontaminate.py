@@ -8,8 +8,8 @@ in place, without gaps, and the longest stretch that tolerates few substitutions
 The benchmark is taken in blocks of at most ``BLOCK_TOKENS`` tokens, one pass over the documents
 each, so what a task holds is bounded whatever the benchmark's size. Documents are not shuffled.
 
-Defined cases: null and empty texts and items match nothing; an item shorter than the mask is
-compared whole (all its tokens in a row); repeated rows give a row each; an empty table on
+Defined cases: null and empty texts and items match nothing; an item shorter than the shortest
+overlap is compared whole, its first and last tokens too may differ; repeated rows give a row each; an empty table on
 either side gives an empty result; items are told apart by item_id, and equal item_ids are one
 item's parts; other columns are not read.
 """
@@ -43,6 +43,18 @@ SCHEMA = (
     "doc_id long, __row long, item_id long, doc_start long, item_start long, tokens long, different long"
 )
 
+#: The same for whole items of fewer tokens, by their number; below five none may differ.
+SHORT_MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("111111", "1111011", "1101111"),
+    9: ("1111111", "11111011", "11101111", "11011111"),
+    10: ("1111011", "11001111", "110110011", "11110101", "10101111"),
+    11: ("11101111", "110111011", "111110101", "1110100111", "11011010011", "1100011111", "1111111"),
+    12: ("11110111", "1100101111", "11011001011", "1111111", "11111101"),
+}
+
 
 def window_hashes(codes: np.ndarray, mask: str) -> np.ndarray:
     """A hash per window of ``codes``, over the positions that ``mask`` keeps."""
@@ -69,6 +81,13 @@ def seeds(least: int, share: float) -> tuple[str, ...]:
     return (min((run_mask(n, share) for n in range(least, 2 * least)), key=len),)
 
 
+def short_seeds(n: int, share: float) -> tuple[str, ...]:
+    """Masks that miss no whole item of ``n`` tokens of which ``share`` differs."""
+    if share == MOST_DIFFERENT and n in SHORT_MASKS:
+        return SHORT_MASKS[n]
+    return (run_mask(n, share),)
+
+
 class SeedIndex:
     """The windows of a block of items, by hash, for every mask."""
 
@@ -77,19 +96,14 @@ class SeedIndex:
     ) -> None:
         names, texts = zip(*items, strict=True)
         tokens = list(zip(names, token_codes(pa.array(texts, pa.string())), strict=True))
-        masks = seeds(least, share)
-        span = max(map(len, masks))
         self.items = [x for x in tokens if len(x[1])]
         self.tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
-        shorter = {len(c) for _, c in self.items if len(c) < span}
-        for mask in [*masks, *("1" * n for n in sorted(shorter))]:
-            parts = [
-                (window_hashes(c, mask), k)
-                for k, (_, c) in enumerate(self.items)
-                if (len(c) >= span) == (mask in masks) and (mask in masks or len(c) == len(mask))
-            ]
-            if not parts:
-                continue
+        alike = defaultdict(list)
+        for k, (_, c) in enumerate(self.items):
+            for mask in seeds(least, share) if len(c) >= least else short_seeds(len(c), share):
+                alike[mask].append(k)
+        for mask, members in alike.items():
+            parts = [(window_hashes(self.items[k][1], mask), k) for k in members]
             hashes = np.concatenate([h for h, _ in parts])
             owner = np.concatenate([np.full(len(h), k, np.int64) for h, k in parts])
             place = np.concatenate([np.arange(len(h)) for h, _ in parts])
@@ -148,6 +162,14 @@ def tolerant_overlap(
     return low + best[0], best[1], best[2]
 
 
+def whole_overlap(doc: np.ndarray, item: np.ndarray, shift: int, share: float = MOST_DIFFERENT) -> tuple[int, int, int]:
+    """The whole item, moved by ``shift``, if it lies in the document and at most ``share`` differs."""
+    if shift < 0 or shift + len(item) > len(doc):
+        return 0, 0, 0
+    wrong = int((doc[shift : shift + len(item)] != item).sum())
+    return (0, len(item), wrong) if wrong <= share * len(item) + 1e-9 else (0, 0, 0)
+
+
 def _blocks(benchmark: DataFrame, block_tokens: int) -> Iterator[list[tuple[int | None, str]]]:
     """The benchmark's items in blocks of bounded size; only one block is held at a time."""
     block: list[tuple[int | None, str]] = []
@@ -193,7 +215,8 @@ def overlaps(
                 for d, hits in by_doc.items():
                     for k, shift in hits:
                         item_id, item = index.items[k]
-                        at, length, wrong = tolerant_overlap(texts[d], item, shift, most_different)
+                        compare = tolerant_overlap if len(item) >= least_tokens else whole_overlap
+                        at, length, wrong = compare(texts[d], item, shift, most_different)
                         old = best.get((d, item_id), (0, 0, 0, 0))
                         if length >= min(least_tokens, len(item)) and length > old[2]:
                             best[d, item_id] = (at + shift, at, length, wrong)

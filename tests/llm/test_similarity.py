@@ -201,6 +201,26 @@ def test_every_substitution_is_found() -> None:
             assert (0, 0, 2) in index.hits(doc, np.array([0, len(doc)])), places
 
 
+def test_short_items_with_substitutions(spark: SparkSession) -> None:
+    for n in range(1, 13):
+        assert not missed(decontaminate.short_seeds(n, 0.2), n, n // 5), n
+        assert not missed(decontaminate.short_seeds(n, 0.34), n, int(0.34 * n)), n
+    items, rows, want = [], [], set()
+    for n in range(1, 13):
+        item = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        for different in (n // 5, n // 5 + 1):
+            for places in itertools.combinations(range(n), different):
+                doc = ["a", *("other" if i in places else w for i, w in enumerate(item)), "b"]
+                if different <= n // 5:
+                    want.add((len(rows), n, 1, different))
+                rows.append((len(rows), " ".join(doc), "", 1, ""))
+    rows.append((len(rows), " ".join(items[-1][1].split()[1:]), "", 1, ""))  # not whole
+    docs = spark.createDataFrame(rows, COLUMNS)
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["tokens"], r["doc_start"], r["different"]) for r in got.collect()} == want
+
+
 def test_decontamination(spark: SparkSession) -> None:
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
