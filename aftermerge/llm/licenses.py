@@ -6,7 +6,9 @@ way, down to equal words at their ends. Coverage is the share of a template's wo
 
 A text is looked at in overlapping stretches of three templates' length, and only in those that
 hold enough of the template's words for the least coverage: a bound, so nothing is missed that
-lies within twice the template's length.
+lies within twice the template's length. Short forms are looked for around their name instead, and
+their name and version must match whole. Where places of several licenses overlap, the one whose
+matched words outnumber its missing ones most wins.
 
 Defined cases: null and empty texts match nothing; repeated rows give a row each; of several
 places in one text the one with the highest coverage counts, the first of equals; an empty table
@@ -18,49 +20,20 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from aftermerge.llm.common import slices, token_codes
+from aftermerge.llm.license_forms import NAME_WORDS, TEMPLATES
 
 #: A license counts as found from this share of its template's words.
 LEAST_COVERAGE = 0.8
 
-#: Texts and notices of common licenses, as their authors word them.
-TEMPLATES: dict[str, tuple[str, ...]] = {
-    "MIT": (
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
-        " and associated documentation files (the Software), to deal in the Software without"
-        " restriction, including without limitation the rights to use, copy, modify, merge, publish,"
-        " distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
-        " Software is furnished to do so, subject to the following conditions: The above copyright"
-        " notice and this permission notice shall be included in all copies or substantial portions of"
-        " the Software.",
-    ),
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except"
-        " in compliance with the License. You may obtain a copy of the License at",
-    ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the"
-        " GNU General Public License as published by the Free Software Foundation, either version 3 of"
-        " the License, or (at your option) any later version.",
-    ),
-    "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International"
-        " License.",
-    ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted"
-        " provided that the following conditions are met",
-    ),
-}
+#: In forms of up to this many words, those that name the license or its version must all match.
+SHORT = 60
 
 
 def increasing(values: Sequence[int]) -> list[int]:
@@ -123,24 +96,89 @@ def densest(pairs: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
     return pairs[best[0] : best[1]]
 
 
-def find(text: np.ndarray, template: np.ndarray, least: float) -> tuple[float, int, int, int] | None:
-    """Coverage, start, length in the text and matched words of the best place of a template."""
-    n = len(template)
+@dataclass(frozen=True)
+class Form:
+    """A template in numbers of words; ``named``: places of the words that must match."""
+
+    license: str
+    number: int
+    words: np.ndarray
+    named: frozenset[int]
+    anchor: int | None
+
+
+class Forms:
+    """All templates over one vocabulary."""
+
+    def __init__(self, templates: Mapping[str, Sequence[str]]) -> None:
+        listed = [(name, k, form) for name, texts in templates.items() for k, form in enumerate(texts)]
+        codes = token_codes(pa.array([f for _, _, f in listed], pa.string()))
+        self.codes = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.uint64)
+        names = np.concatenate(token_codes(pa.array([" ".join(sorted(NAME_WORDS))], pa.string())))
+        numbers = np.concatenate(token_codes(pa.array([" ".join(map(str, range(10)))], pa.string())))
+        versioned = [f"{g}v{n}" for g in ("", "gpl", "lgpl", "agpl") for n in range(10)]
+        names = np.concatenate([names, *token_codes(pa.array(versioned, pa.string()))])
+        by, cc = (token_codes(pa.array([w], pa.string()))[0][0] for w in ("by", "cc"))
+        self.forms: list[Form] = []
+        self.counts = np.zeros((len(listed), len(self.codes)), np.float32)
+        for row, ((name, k, _), c) in enumerate(zip(listed, codes, strict=True)):
+            named: list[int] = []
+            anchor = None
+            if len(c) <= SHORT:
+                word = np.isin(c, names)
+                named = np.flatnonzero(word | np.isin(c, numbers)).tolist()
+                named += [i for i in range(1, len(c)) if c[i] == by and c[i - 1] == cc]
+                anchor = int(np.flatnonzero(word)[0]) if word.any() else None
+            words = np.searchsorted(self.codes, c)
+            self.forms.append(Form(name, k, words, frozenset(named), anchor))
+            np.add.at(self.counts[row], words, 1)
+        self.needs = np.array([len(f.words) for f in self.forms])
+
+    def numbered(self, text: np.ndarray) -> np.ndarray:
+        """Words as numbers in the vocabulary; -1 is none of it."""
+        if not len(self.codes):
+            return np.full(len(text), -1)
+        at = np.minimum(np.searchsorted(self.codes, text), len(self.codes) - 1)
+        return np.where(self.codes[at] == text, at, -1)
+
+    def possible(self, texts: Sequence[np.ndarray], least: float) -> np.ndarray:
+        """Per text and form whether the text has enough of the form's words."""
+        there = np.zeros((len(texts), len(self.codes) + 1), np.float32)
+        for i, text in enumerate(texts):
+            there[i, text] = 1
+        return (there[:, :-1] @ self.counts.T >= least * self.needs - 1e-6) & (self.needs > 0)
+
+
+def find(text: np.ndarray, form: Form, least: float) -> list[tuple[float, int, int, int]]:
+    """Coverage, start, length in the text and matched words of the places of a form."""
+    n = len(form.words)
     need = int(np.ceil(least * n - 1e-9))
-    known = np.isin(text, template)
-    if not n or known.sum() < need:
-        return None
-    sums = np.concatenate([[0], np.cumsum(known)])
-    best: tuple[float, int, int, int] | None = None
-    wanted = template.tolist()
-    for low in range(0, max(1, len(text) - n), n):
-        high = min(len(text), low + 3 * n)
+    sums = np.concatenate([[0], np.cumsum(np.isin(text, form.words))])
+    if form.anchor is None:
+        looks = [(low, min(len(text), low + 3 * n)) for low in range(0, max(1, len(text) - n), n)]
+    else:
+        at = np.flatnonzero(text == form.words[form.anchor]).tolist()
+        looks = [(max(0, i - n), min(len(text), i + n)) for i in at]
+    wanted = form.words.tolist()
+    places = set()
+    for low, high in looks:
         if sums[high] - sums[low] < need:
             continue
         pairs = densest(align(text[low:high].tolist(), wanted), 2 * n)
-        if len(pairs) >= need and (best is None or len(pairs) / n > best[0]):
-            best = (len(pairs) / n, low + pairs[0][0], pairs[-1][0] + 1 - pairs[0][0], len(pairs))
-    return best
+        if len(pairs) >= need and form.named <= {j for _, j in pairs}:
+            places.add((len(pairs) / n, low + pairs[0][0], pairs[-1][0] + 1 - pairs[0][0], len(pairs)))
+    return sorted(places, key=lambda p: p[1])
+
+
+def winners(places: list[tuple[Form, tuple[float, int, int, int]]]) -> list[tuple[Form, tuple[float, int, int, int]]]:
+    """The places that no better one of another license overlaps."""
+    order = sorted(places, key=lambda p: (len(p[0].words) - 2 * p[1][3], p[1][1]))
+    kept: list[tuple[Form, tuple[float, int, int, int]]] = []
+    for form, place in order:
+        low, high = place[1], place[1] + place[2]
+        if all(f.license == form.license or high <= p[1] or p[1] + p[2] <= low for f, p in kept):
+            kept.append((form, place))
+    return kept
 
 
 def scan_licenses(
@@ -150,23 +188,23 @@ def scan_licenses(
 ) -> DataFrame:
     """A row per document and license found: doc_id, license, the template's number, its coverage,
     and the start, length and matched words of the place, counted in tokens of the text."""
-    forms = [(name, k, form) for name, texts in templates.items() for k, form in enumerate(texts)]
+    shared = docs.sparkSession.sparkContext.broadcast({k: tuple(v) for k, v in templates.items()})
     schema = "doc_id long, license string, template int, coverage double, start long, length long, matched long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = token_codes(pa.array([f for _, _, f in forms], pa.string()))
-        every = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.uint64)
+        forms = Forms(shared.value)
         for batch in slices(batches, 256):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), token_codes(batch.column(1)), strict=True):
-                present = every[np.isin(every, text)]
+            codes = token_codes(batch.column(1))
+            ends = np.cumsum([len(c) for c in codes])[:-1]
+            texts = np.split(forms.numbered(np.concatenate(codes)), ends) if codes else []
+            possible = forms.possible(texts, least)
+            for doc_id, text, able in zip(batch.column(0).to_pylist(), texts, possible, strict=True):
+                tried = [forms.forms[k] for k in np.flatnonzero(able)]
+                places = winners([(f, place) for f in tried for place in find(text, f, least)])
                 best: dict[str, tuple] = {}
-                for (name, k, _), template in zip(forms, codes, strict=True):
-                    if np.isin(template, present).sum() < least * len(template) - 1e-9:
-                        continue
-                    place = find(text, template, least)
-                    if place and (name not in best or place[0] > best[name][3]):
-                        best[name] = (doc_id, name, k, *place)
+                for f, place in sorted(places, key=lambda p: (-p[1][0], -p[1][3], p[1][1])):
+                    best.setdefault(f.license, (doc_id, f.license, f.number, *place))
                 rows += best.values()
             columns = list(zip(*rows, strict=True)) if rows else [()] * 7
             kinds = [pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]

@@ -317,6 +317,34 @@ def test_licenses(spark: SparkSession) -> None:
     assert licenses.scan_licenses(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
+def test_licenses_by_their_own_names(spark: SparkSession) -> None:
+    forms = licenses.TEMPLATES
+    texts = {
+        (name, k): f"Some words before. {form} And some after."
+        for name, many in forms.items()
+        for k, form in enumerate(many)
+    }
+    want = [{name} for name, _ in texts]
+    cases = {
+        "Released under the BSD License.": {"BSD"},
+        "Released under the proprietary License.": set(),
+        "Licensed under the Apache License, Version 1.1.": set(),
+        "Licensed under CC BY-NC-ND 4.0.": {"CC-BY-NC-ND-4.0"},
+        "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.": {"CC-BY-4.0", "CC-BY-NC-4.0"},
+        "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL-3.0"},
+        "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0"},
+        forms["BSD-3-Clause"][1].replace("binary", "other") + " x" * 9 + forms["BSD-2-Clause"][1]: {
+            "BSD-2-Clause", "BSD-3-Clause",
+        },
+    }
+    rows = [(i, text, "", 1, "") for i, text in enumerate([*texts.values(), *cases])]
+    got = [set() for _ in rows]
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, COLUMNS)).collect():
+        got[r["doc_id"]].add(r["license"])
+    names = [*texts, *(text[:60] for text in cases)]
+    assert [(n, g) for n, g in zip(names, got, strict=True)] == list(zip(names, [*want, *cases.values()], strict=True))
+
+
 def test_toxicity_on_held_out_rows(spark: SparkSession) -> None:
     """Words mark toxic texts, some met only by their first letters; accuracy on unseen rows."""
     rng = random.Random(6)
