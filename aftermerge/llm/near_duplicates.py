@@ -2,11 +2,9 @@
 
 A document is the set of its shingles of five words. Every tree of the forest is a trie of
 signatures of ``DEPTH`` MinHash values; documents meet in a trie node if they share the prefix
-that leads to it. Matching starts with the longest prefix: in the sorted first tree, neighbours
-in a node show how similar the corpus's near copies are (each stands for similarity ** -DEPTH
-pairs). Prefixes are then shortened, value by value, until the recall expected for these
-similarities reaches the target, at the latest where even a pair right at the threshold reaches
-it. At that depth all trees are matched, and every candidate is verified on its shingles.
+that leads to it. All trees are matched at the longest prefix with which even a pair right at the
+threshold is met with the wanted chance, whatever the corpus, and every candidate is verified on
+its shingles.
 
 Equal shingle sets are one set throughout, so copies are never expanded. Nodes with the same
 members are kept once. A large node is dealt into blocks, and every pair of blocks is a task
@@ -36,9 +34,6 @@ TREES = 24
 DEPTH = 5
 RECALL = 0.99999
 
-#: Sets in the sample that shows how similar near copies are.
-SAMPLE = 200_000
-
 #: Sets of a node that meet in one block; candidate pairs looked at together.
 BLOCK = 512
 PAIRS = 1 << 16
@@ -277,42 +272,12 @@ def last_depth(threshold: float, recall: float) -> int:
     return max(good, default=1)
 
 
-def similarities(sets: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """How many neighbours of the sorted first tree agree in each number of MinHash values.
+def matching_depth(agreements: np.ndarray, threshold: float, recall: float) -> int:
+    """The longest prefix expected to find this share of the pairs at the threshold or above.
 
-    Looks at whole nodes, of about ``sample`` sets in all, chosen by hash; a row is compared with
-    the one before it, so no node is gathered.
+    ``agreements``: how many neighbours agree in each number of values. An estimate that ``link_sets``
+    does not rest on, as neighbours favour very similar families.
     """
-    share = max(1, sets.count() // sample)
-
-    def first_nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 512):
-            signs = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32)
-            node = prefixes(signs.reshape(-1, TREES, DEPTH)[:, :1], DEPTH)[:, 0]
-            keep = pa.array(node % np.uint64(share) == 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node.view(np.int64)).filter(keep), batch.column(0).filter(keep)], names=["node", "sign"]
-            )
-
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, last = np.zeros(TREES * DEPTH + 1, np.int64), (None, None)
-        for batch in batches:
-            for node, sign in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if node == last[0]:
-                    seen[(np.frombuffer(sign, np.uint32) == np.frombuffer(last[1], np.uint32)).sum()] += 1
-                last = (node, sign)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], names=["agree", "n"])
-
-    nodes = sets.select("sign").mapInArrow(first_nodes, "node long, sign binary")
-    pairs = nodes.repartition("node").sortWithinPartitions("node", "sign").mapInArrow(compare, "agree long, n long")
-    out = np.zeros(TREES * DEPTH + 1)
-    counted = pairs.groupBy("agree").agg(F.sum("n").alias("n")).toArrow()
-    out[counted["agree"].to_numpy()] = counted["n"].to_numpy()
-    return out
-
-
-def matching_depth(agreements: np.ndarray, threshold: float, recall: float) -> int:
-    """The longest prefix expected to find this share of the pairs at the threshold or above."""
     alike = np.arange(len(agreements)) / (len(agreements) - 1)
     # Neighbours met because their first DEPTH values agree; the others show their similarity.
     alike = np.clip((alike * TREES - 1) / (TREES - 1), 1e-3, 1)
@@ -332,7 +297,7 @@ def link_sets(
     block: int = BLOCK,
 ) -> DataFrame:
     """Links of the distinct sets, task by task: k1, root and links."""
-    depth = matching_depth(similarities(sets), threshold, recall)
+    depth = last_depth(threshold, recall)
     tasks = stage(_meetings(sets, depth, block), "nodes")
     texts = _texts(docs, sets, tasks.select("k1").distinct())
     return _verified(tasks.join(texts, "k1"), depth, threshold)

@@ -153,6 +153,19 @@ def test_near_duplicates_keeps_one(spark: SparkSession) -> None:
     assert near_duplicates.near_duplicates(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
+def test_depth_does_not_follow_the_corpus(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    near = near_duplicates
+    used = []
+    meet = near._meetings
+    monkeypatch.setattr(near, "_meetings", lambda sets, depth, block: used.append(depth) or meet(sets, depth, block))
+    # Families that are all but equal say nothing about pairs at the threshold.
+    rows = [(i, " ".join(f"w{i // 4}x{j}" for j in range(400)) + f" end{i}", "", 1, "") for i in range(24)]
+    got = near.near_duplicates(spark.createDataFrame(rows, COLUMNS)).collect()
+    assert {(r["doc_id"], r["class_id"]) for r in got} == {(i, i // 4 * 4) for i in range(24)}
+    assert used == [near.last_depth(near.THRESHOLD, near.RECALL)]
+    assert near.chance(near.THRESHOLD, used[0]) >= near.RECALL
+
+
 def overlap_by_hand(doc: list[int], item: list[int]) -> int:
     """The longest stretch without gaps that starts and ends equal and differs in a fifth at most."""
     best = 0
