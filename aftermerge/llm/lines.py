@@ -190,15 +190,16 @@ def first_lines(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
 class _Fresh:
     """Which sets of a task's input are new to it, as far as a bounded memory tells."""
 
-    def __init__(self) -> None:
+    def __init__(self, t: float) -> None:
         self.seen: set[int] = set()
+        # Sets of n words that differ are similar by n / (n + 1) at most.
+        self.least = np.ceil(t / (1 - t) - 1e-9) if t < 1 else np.inf
 
     def of(self, x: Lines) -> np.ndarray:
         if len(self.seen) > 500_000:
             self.seen = set()
         out = np.zeros(len(x.s1), bool)
-        # Below four words, sets that differ are never similar enough.
-        for i in np.flatnonzero(x.size >= 4).tolist():
+        for i in np.flatnonzero(x.size >= self.least).tolist():
             name = int(x.s1[i])
             if name not in self.seen:
                 self.seen.add(name)
@@ -223,7 +224,7 @@ def posting_counts(docs: DataFrame, ranks: np.ndarray, t: float) -> np.ndarray:
             if batch is None:
                 yield _bars(counts)
             else:
-                fresh = state.setdefault("f", _Fresh()).of(x)
+                fresh = state.setdefault("f", _Fresh(t)).of(x)
                 counts += np.bincount(_ranks(x.words[_prefixes(x, fresh, t)]), minlength=BUCKETS)
 
         return give
@@ -242,7 +243,7 @@ def postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, t: float, b
         def give(batch: pa.RecordBatch | None, x: Lines | None) -> Iterator[pa.RecordBatch]:
             if batch is None:
                 return
-            put = _prefixes(x, state.setdefault("f", _Fresh()).of(x), t)
+            put = _prefixes(x, state.setdefault("f", _Fresh(t)).of(x), t)
             word, owner = x.words[put], x.owner[put]
             blocks = most.value[_ranks(word)]
             mine = (mix(x.s1[owner].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)

@@ -153,6 +153,13 @@ def test_near_duplicates_keeps_one(spark: SparkSession) -> None:
     assert near_duplicates.near_duplicates(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
+def test_lines_of_few_words_at_lower_thresholds(spark: SparkSession) -> None:
+    docs = spark.createDataFrame([(1, "ab cd ef", "", 1, ""), (2, "ab cd ef gh\nij kl", "", 1, "")], COLUMNS)
+    for threshold, left in [(0.7, "ij kl"), (0.8, "ab cd ef gh\nij kl")]:
+        got = {r["doc_id"]: r["__text"] for r in lines.dedup_lines(docs, threshold=threshold).collect()}
+        assert got == {1: "ab cd ef", 2: left}, threshold
+
+
 def test_depth_does_not_follow_the_corpus(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
     near = near_duplicates
     used = []
