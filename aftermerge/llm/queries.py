@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aftermerge.llm import (
+    alignment,
     decontaminate,
     licenses,
     lines,
@@ -15,9 +16,11 @@ from aftermerge.llm import (
     packing,
     quality,
     sharding,
+    spelling,
     tokens,
     toxicity,
     urls,
+    vector_graph,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,11 +30,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def word_tokenizer() -> str:
-    """The tokenizer's file; every executor needs it at the same place."""
+def public_tokenizer(name: str) -> str:
+    """A tokenizer's file; every executor needs it at the same place."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_tokenizer() -> str:
+    return public_tokenizer("word_bpe_49k.json")
 
 
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,6 +92,23 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align_tokenizers(
+        table(spark, sf, "documents"),
+        public_tokenizer("byte_bpe_50k.json"),
+        public_tokenizer("piece_bpe_32k.model"),
+    )
+
+
+def op12_spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf, "documents"), slip=spelling.SLIP)
+    return spelling.spelling_groups(words)
+
+
+def op13_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_graph.link_vectors(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
@@ -96,6 +120,9 @@ QUERIES: dict[str, Query] = {
     "op8_license_scans": op8_license_scans,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_spelling_groups": op12_spelling_groups,
+    "op13_vector_dedup": op13_vector_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -133,4 +160,29 @@ ORACLE: dict[str, str] = {
                 OR 10 * n_exclaims > 3 * n_words) AS kept
         FROM m
     """,
+    "op13_vector_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+        ),
+        reached AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT r.a, l.b FROM reached AS r JOIN links AS l ON r.b = l.a
+        ),
+        least AS (SELECT a, min(b) AS b FROM reached GROUP BY a),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links,
+            least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+            vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
+        FROM embeddings
+        LEFT JOIN counted ON counted.a = vec_id LEFT JOIN least ON least.a = vec_id
+    """,
 }
