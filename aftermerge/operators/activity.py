@@ -72,10 +72,11 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
         raise ValueError("since must carry a time zone")
     if not 1 <= prs_first <= 100:
         raise ValueError("page sizes lie between 1 and 100")
+    request = ["request_id", *(c for c in ("fetched_at",) if c in responses.columns)]
     bodies = responses.where(F.col("kind") == "batch").select(
-        "request_id", "repos", F.from_json("body", RESPONSE_BODY).alias("b")
+        *request, "repos", F.from_json("body", RESPONSE_BODY).alias("b")
     )
-    asked = bodies.select("request_id", "b", F.posexplode("repos").alias("pos", "repo"))
+    asked = bodies.select(*request, "b", F.posexplode("repos").alias("pos", "repo"))
     alias = F.concat(F.lit("r"), F.col("pos").cast("string"))
     own_errors = F.filter(F.col("b.errors"), lambda e: F.get(e["path"], F.lit(0)) == alias)
     first = F.get(own_errors, F.lit(0))
@@ -84,7 +85,7 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
         F.coalesce(F.nullif(first["type"], F.lit("")), F.nullif(first["message"], F.lit("")), F.lit("ERROR")),
     )
     nodes = asked.select(
-        "request_id",
+        *request,
         "repo",
         error.alias("error_type"),
         F.explode(
@@ -101,7 +102,7 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
     )
     history = branch["target"]["history"]
     parsed = nodes.select(
-        "request_id",
+        *request,
         "repo",
         status.alias("status"),
         F.when(missing, F.coalesce("error_type", F.lit("no data"))).alias("error"),
@@ -182,18 +183,24 @@ def _membership(members: DataFrame) -> DataFrame:
     return members.select("repo", "cohort", "panel_version")
 
 
-def repo_snapshots(activity: DataFrame, members: DataFrame, fetched_on: dt.date) -> DataFrame:
+def repo_snapshots(
+    activity: DataFrame, members: DataFrame, fetched_on: dt.date | None = None
+) -> DataFrame:
     """One row per fetched member, gone ones included: the attrition record.
 
     A repository that landed more than once counts once: an answer beats an error, then the
-    last request identifier wins.
+    last request identifier wins. Without a date the rows' own ``fetched_on`` tells fetches apart.
     """
+    if fetched_on is not None:
+        activity = activity.withColumn("fetched_on", F.lit(fetched_on))
     narrow = activity.withColumnRenamed("commits_total", "commits_total_since").drop(
         "commits", "pulls"
     )
-    best = Window.partitionBy("repo").orderBy(F.col("status") == "error", F.desc("request_id"))
+    best = Window.partitionBy("repo", "fetched_on").orderBy(
+        F.col("status") == "error", F.desc("request_id")
+    )
     landed = narrow.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
-    joined = landed.join(_membership(members), "repo").withColumn("fetched_on", F.lit(fetched_on))
+    joined = landed.join(_membership(members), "repo")
     return joined.select(*columns(PANEL_REPOS), "name_with_owner", "pulls_truncated")
 
 

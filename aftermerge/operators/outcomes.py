@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from aftermerge.functions import text
 from aftermerge.functions.patterns import own
 from aftermerge.operators.barrier import with_struct
+from aftermerge.operators.asof import asof_join
 from aftermerge.operators.joins import HOT_ROWS, lookup_join
+from aftermerge.operators.lineage import with_repo_key
 
 SHORT_SHA = 7
 """Shortest abbreviated SHA a revert message may name; the join key of revert linkage."""
@@ -39,17 +41,20 @@ CHANGE_COLUMNS = (
 ).split()
 
 
-def changes(judged: DataFrame) -> DataFrame:
+def changes(judged: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
     """Narrow, de-duplicated change table from attributed commits.
 
     Needs ``repo, sha, at, message, event_id, agent_id`` (and keeps ``pr_number`` if the
     source knows it, else reads it from the subject). The message is parsed and dropped
     before the first shuffle. Worth staging: every outcome reads it several times.
+
+    ``repo_key`` is the lower-cased name or, with the table of
+    :func:`aftermerge.operators.lineage.canonical_repos`, the repository the name meant at the
+    commit's time, so that what follows sees through renames.
     """
     known = F.col("pr_number") if "pr_number" in judged.columns else pr_number("message")
     parsed = judged.select(
         "repo",
-        F.lower("repo").alias("repo_key"),
         F.lower("sha").alias("sha"),
         "at",
         "event_id",
@@ -67,25 +72,31 @@ def changes(judged: DataFrame) -> DataFrame:
         F.col("_u.reverted_sha").alias("target_sha"),
         F.col("_u.original_pr_number").alias("target_pr"),
     )
-    return dedupe_commits(flat, ["at", *CHANGE_COLUMNS])
+    return dedupe_commits(with_repo_key(flat, lineage), ["at", *CHANGE_COLUMNS])
 
 
 def dedupe_commits(commits: DataFrame, order: Sequence[str] = ("at", "event_id")) -> DataFrame:
     """One row per (repo, sha) without case: the first in ``order``, i.e. the earliest push.
 
-    The rank filter runs before the shuffle as well (a map task passes on one row per key),
+    A ``repo_key`` of the rows stands in for the name. The rank filter runs before the shuffle as well (a map task passes on one row per key),
     so copies of one commit never pile up in a task. ``order`` should decide every tie.
     """
-    first = Window.partitionBy(F.lower("repo"), F.lower("sha")).orderBy(*order, "repo")
+    repo = F.col("repo_key") if "repo_key" in commits.columns else F.lower("repo")
+    first = Window.partitionBy(repo, F.lower("sha")).orderBy(*order, "repo")
     return commits.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
-def latest_pulls(pulls: DataFrame) -> DataFrame:
-    """The newest observation of each pull request across fetches."""
-    newest = Window.partitionBy(F.lower("repo"), "number").orderBy(
+def latest_pulls(pulls: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
+    """The newest observation of each pull request across fetches.
+
+    With a ``lineage`` also across the names of its repository, whose ``repo_key`` is added.
+    """
+    keyed = with_repo_key(pulls, lineage, at="fetched_on")
+    newest = Window.partitionBy("repo_key", "number").orderBy(
         F.desc("fetched_on"), F.desc("updated_at"), "repo"
     )
-    return pulls.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+    kept = keyed.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+    return kept if lineage is not None else kept.drop("repo_key")
 
 
 def push_coverage(commits: DataFrame) -> DataFrame:
@@ -579,6 +590,19 @@ def size_class(stars: Column) -> Column:
     )
 
 
+def with_snapshot(rows: DataFrame, snapshots: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
+    """Changes with ``language`` and ``stargazers`` of their repository as last fetched before them.
+
+    ``rows`` has ``repo_key`` and ``at``; ``snapshots`` are the stored ones of all fetches. Fetches
+    without an answer say nothing. Changes before the first fetch get NULLs.
+    """
+    answered = with_repo_key(snapshots.where("status = 'ok'"), lineage, at="fetched_on")
+    states = answered.select(
+        "repo_key", "fetched_on", F.col("primary_language").alias("language"), "stargazers"
+    )
+    return asof_join(rows, states, ["repo_key"], "at", "fetched_on")
+
+
 def week_of(at: Column) -> Column:
     """Monday of the ISO week, as a DATE."""
     return F.date_trunc("week", at).cast("date")
@@ -615,10 +639,16 @@ def attrition(snapshots: DataFrame) -> DataFrame:
     return counted.withColumn("attrition", rate(F.col("gone"), F.col("members")))
 
 
-def first_loss(snapshots: DataFrame) -> DataFrame:
-    """Per member ever gone: the first fetch that missed it and the last that found it."""
+def first_loss(snapshots: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
+    """Per member ever gone: the first fetch that missed it and the last that found it.
+
+    With a ``lineage`` members are repositories (``repo_key``): one that is found under a later
+    name after its old name was lost has been found.
+    """
     gone = F.col("status") == "not_found"
-    seen = snapshots.groupBy("repo", "cohort").agg(
+    member = "repo" if lineage is None else "repo_key"
+    rows = snapshots if lineage is None else with_repo_key(snapshots, lineage, at="fetched_on")
+    seen = rows.groupBy(member, "cohort").agg(
         F.min(F.when(gone, F.col("fetched_on"))).alias("first_lost_on"),
         F.max(F.when(~gone, F.col("fetched_on"))).alias("last_found_on"),
     )
@@ -697,6 +727,42 @@ def compare_versions(judged: DataFrame) -> DataFrame:
     return verdicts.withColumn("change", change)
 
 
+VERDICT_COLUMNS = "repo sha at event_id agent_id".split()
+
+
+def compare_runs(old: DataFrame, new: DataFrame) -> DataFrame:
+    """How verdicts changed between two stored runs, commit by commit.
+
+    Each side holds one version's stored rows (``repo, sha, at, event_id, agent_id``); copies are
+    folded on each side as :func:`dedupe_commits` does. Both are then dealt out by the same key,
+    so the full outer join needs no further shuffle. ``change`` is ``same``, ``gained``, ``lost``
+    or ``changed``; a run need not have kept a commit that the other kept, which ``in_old`` and
+    ``in_new`` tell.
+    """
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        keyed = rows.select(*VERDICT_COLUMNS).withColumns(
+            {"repo_key": F.lower("repo"), "sha": F.lower("sha")}
+        )
+        order = Window.partitionBy("repo_key", "sha").orderBy("at", "event_id", "agent_id", "repo")
+        first = keyed.withColumn("_n", F.row_number().over(order)).where("_n = 1")
+        return first.select(
+            "repo_key", "sha", F.col("agent_id").alias(f"{name}_agent"), F.lit(True).alias(f"in_{name}")
+        )
+
+    both = side(old, "old").join(side(new, "new"), ["repo_key", "sha"], "full_outer")
+    before, after = F.col("old_agent"), F.col("new_agent")
+    change = (
+        F.when(before.eqNullSafe(after), "same")
+        .when(before.isNull(), "gained")
+        .when(after.isNull(), "lost")
+        .otherwise("changed")
+    )
+    return both.withColumns(
+        {**{c: F.coalesce(c, F.lit(False)) for c in ("in_old", "in_new")}, "change": change}
+    )
+
+
 def revert_survival(outcomes: DataFrame, data_end: Column, by: Sequence[str] = ("agent_id",)) -> DataFrame:
     """Kaplan-Meier share of commits not yet reverted, per day of age.
 

@@ -24,12 +24,14 @@ from aftermerge.operators.prefilter import prefilter_flags
 from aftermerge.operators.rules import Rule, compile_rules, fingerprint, rules_version
 from aftermerge.sources.readers import read_push_events, scan_budget, skipped_days
 from aftermerge.sources.sinks import (
+    CENSUS_ORDER,
     CENSUS_PARTITIONS,
     clear_absent,
+    in_ranges,
     stage,
     staging_folder,
     write_json,
-    write_partitions,
+    write_ordered,
 )
 
 
@@ -110,10 +112,11 @@ def run_census(
     pushes = read_push_events(spark, path, wanted)
     rows = staged_judgement(pushes, compiled, folder, strict_reference=strict_reference)
     judged = stage(rows, folder, "judged")
-    stored = flatten_observation(judged.where("reject_reason is null"), version)
+    ranges = in_ranges(judged.where("reject_reason is null"), ["day", *CENSUS_ORDER])
+    stored = flatten_observation(ranges, version)
     if redact_emails:
         stored = redact_person_emails(stored)
-    write_partitions(stored, f"{out}/observations", CENSUS_PARTITIONS)
+    write_ordered(stored, f"{out}/observations", CENSUS_PARTITIONS, CENSUS_ORDER)
     keys = [(d, version, CENSUS_METHOD) for d in wanted]
     clear_absent(stored, f"{out}/observations", CENSUS_PARTITIONS, keys)
     asked = spark.createDataFrame([(d,) for d in wanted], "day date")

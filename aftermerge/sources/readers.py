@@ -68,9 +68,13 @@ def skipped_days(spark: SparkSession, days: Iterable[dt.date]) -> DataFrame:
     return asked.withColumn("status", day_status(F.col("day"))).where("status <> 'ok'")
 
 
-def read_observations(spark: SparkSession, root: str) -> DataFrame:
-    """All census days under ``root``; an empty sink reads as an empty table."""
-    return spark.read.schema(CENSUS).parquet(root).select(*columns(CENSUS))
+def read_observations(
+    spark: SparkSession, root: str, *, registry_version: int | None = None
+) -> DataFrame:
+    """All census days under ``root``, of one rule version or all; an empty sink reads as an empty
+    table. The version prunes partitions."""
+    stored = spark.read.schema(CENSUS).parquet(root).select(*columns(CENSUS))
+    return stored if registry_version is None else stored.where(F.col("registry_version") == registry_version)
 
 
 def read_panel_table(spark: SparkSession, root: str, table: str) -> DataFrame:

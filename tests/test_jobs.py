@@ -6,7 +6,9 @@ import datetime as dt
 import json
 import re
 import tempfile
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from aftermerge.plans.census import OverBudgetError, UnreadableDayError, judged_
 from aftermerge.plans.panel import run_build, run_panel
 from aftermerge.schemas import CENSUS, PANEL_MEMBERS, PUSH_EVENTS, RESPONSES, columns
 from aftermerge.sources import readers
-from aftermerge.sources.sinks import SNAPSHOT_PARTITIONS, clear_absent, write_partitions
+from aftermerge.sources.sinks import SNAPSHOT_PARTITIONS, clear_absent, in_ranges, write_ordered, write_partitions
 from workload import views as V
 from workload.rules import RULES_V1, RULES_V2, compiled
 
@@ -286,3 +288,27 @@ def test_rejected_and_redacted(spark: SparkSession) -> None:
     assert [r["sha"] for r in C.valid_commits(df).collect()] == ["a" * 40]
     text = C.redact_person_emails(df).where("sha = 'x'").first()["message"]
     assert "@" not in text and text.startswith("Add retry\n\nCo-Authored-By: Heron <")
+
+
+def test_ordered_store_holds_disjoint_ranges(spark: SparkSession, tmp_path: Path) -> None:
+    """Files are sorted and don't overlap, so a range of time touches few of them."""
+    rows = [(f"e{i}", f"{i % 97:040x}", dt.datetime(2025, 9, 1) + dt.timedelta(seconds=i * 7919 % 86400)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "event_id string, sha string, pushed_at timestamp")
+    df = df.withColumns({"day": F.col("pushed_at").cast("date"), "registry_version": F.lit(1)})
+    order = ("pushed_at", "event_id", "sha")
+    write_ordered(in_ranges(df.repartition(5), ["day", *order], 6), str(tmp_path / "out"), ["day", "registry_version"], order)
+    files = sorted((tmp_path / "out").rglob("part-*.parquet"))
+    assert len(files) > 3
+    stored = [pq.read_table(f, partitioning=None).select(order).to_pylist() for f in files]
+    keys = [[tuple(r[c] for c in order) for r in part] for part in stored]
+    assert [k for part in keys for k in part] == sorted(k for part in keys for k in part)
+    low, high = rows[100][2], rows[100][2] + dt.timedelta(minutes=10)
+    touched = [f for f in files if (s := pq.ParquetFile(f).metadata.row_group(0)) and _overlaps(s, low, high)]
+    assert 1 <= len(touched) <= 2
+
+
+def _overlaps(group, low: dt.datetime, high: dt.datetime) -> bool:
+    names = [group.column(i).path_in_schema for i in range(group.num_columns)]
+    stats = group.column(names.index("pushed_at")).statistics
+    first, last = (x.replace(tzinfo=None) for x in (stats.min, stats.max))
+    return first <= high and last >= low

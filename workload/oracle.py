@@ -7,7 +7,9 @@ out. Shared steps are CTEs put together by :func:`_with`.
 
 from __future__ import annotations
 
-from workload.views import duck_api, duck_commits, duck_pulls
+import re
+
+from workload.views import duck_api, duck_commits, duck_pulls, duck_repo_fetches, duck_sightings
 
 NL = "chr(10)"
 CUTOFF = "TIMESTAMP '2025-10-06 23:59:59'"
@@ -18,6 +20,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {}
 CTE["commits"] = ((), duck_commits())
 CTE["pulls"] = ((), duck_pulls())
 CTE["api"] = ((), duck_api())
+CTE["fetches"] = ((), duck_repo_fetches())
 
 # --- trailers of distinct messages -------------------------------------------------------
 _TRAILER_STEPS = """
@@ -280,13 +283,74 @@ CTE["prs"] = (
     ("pulls",),
     """prs AS (SELECT *, CASE WHEN author_login = 'kestrel-app[bot]' OR body <> '' THEN 'kestrel' END AS agent_id FROM pulls)""",
 )
-_NUM = "CAST(regexp_extract(repo, 'repo(\\d+)', 1) AS BIGINT)"
 CTE["dims"] = (
-    ("outcomes",),
-    f"""dims AS (
-  SELECT coalesce(agent_id, 'human') AS agent, ['Go', 'Python', 'Rust'][{_NUM} % 3 + 1] AS language,
-    CASE WHEN {_NUM} * {_NUM} >= 10000 THEN 'huge' WHEN {_NUM} * {_NUM} >= 1000 THEN 'large' WHEN {_NUM} * {_NUM} >= 100 THEN 'medium' ELSE 'small' END AS size,
-    CAST(date_trunc('week', seen) AS DATE) AS week, reverted FROM obsd)""",
+    ("outcomes", "fetches"),
+    """states AS (SELECT lower(repo) AS repo_key, fetched_on, language, stargazers FROM fetches WHERE status = 'ok'),
+dims AS (
+  SELECT coalesce(agent_id, 'human') AS agent, coalesce(language, 'unknown') AS language,
+    CASE WHEN stargazers >= 10000 THEN 'huge' WHEN stargazers >= 1000 THEN 'large' WHEN stargazers >= 100 THEN 'medium' WHEN stargazers >= 0 THEN 'small' ELSE 'unknown' END AS size,
+    CAST(date_trunc('week', seen) AS DATE) AS week, reverted
+  FROM obsd ASOF LEFT JOIN states ON obsd.repo_key = states.repo_key AND obsd.seen >= states.fetched_on)""",
+)
+CTE["lineage"] = (
+    (),
+    duck_sightings()
+    + """,
+named AS (
+  SELECT lower(asked) AS name, seen_on, repo_id, 0 AS w FROM sight UNION ALL SELECT lower(reported), seen_on, repo_id, 1 FROM sight),
+name_days AS (SELECT name, seen_on, repo_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY name, seen_on ORDER BY repo_id IS NULL, w, repo_id) AS k FROM named) WHERE k = 1),
+held AS (SELECT *, last_value(repo_id IGNORE NULLS) OVER (PARTITION BY name ORDER BY seen_on ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM name_days),
+placed AS (SELECT name, seen_on, repo_id, sum(CASE WHEN repo_id <> before THEN 1 ELSE 0 END) OVER (PARTITION BY name ORDER BY seen_on) AS tenure FROM held),
+tenures AS (SELECT name, tenure, '~' || name || '@' || CAST(tenure AS VARCHAR) AS v, min(seen_on) AS since, max(repo_id) AS repo_id FROM placed GROUP BY 1, 2),
+edges AS (
+  SELECT v AS a, '#' || CAST(repo_id AS VARCHAR) AS b FROM tenures WHERE repo_id IS NOT NULL
+  UNION SELECT '~' || p.name || '@' || CAST(p.tenure AS VARCHAR), '~' || q.name || '@' || CAST(q.tenure AS VARCHAR)
+    FROM sight s JOIN placed p ON p.name = lower(s.asked) AND p.seen_on = s.seen_on JOIN placed q ON q.name = lower(s.reported) AND q.seen_on = s.seen_on
+    WHERE s.repo_id IS NULL AND lower(s.asked) <> lower(s.reported)),
+sides AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (SELECT v AS a, v AS b FROM tenures UNION SELECT r.a, s.b FROM reach r JOIN sides s ON s.a = r.b),
+ids AS (SELECT a, min(TRY_CAST(b[2:] AS BIGINT)) FILTER (b[1] = '#') AS id, min(b) AS v, count(DISTINCT regexp_extract(b, '^~(.*)@', 1)) FILTER (b[1] = '~') AS names FROM reach GROUP BY a),
+lineage AS (
+  SELECT t.name, CASE WHEN t.tenure > 0 THEN t.since END AS valid_from, lead(t.since) OVER (PARTITION BY t.name ORDER BY t.tenure) AS valid_to,
+    CASE WHEN i.id IS NULL THEN i.v ELSE '#' || CAST(i.id AS VARCHAR) END AS repo_key, i.id AS repo_id,
+    i.names > 1 OR max(t.tenure) OVER (PARTITION BY t.name) > 0 AS needed
+  FROM tenures t JOIN ids i ON i.a = t.v)""",
+)
+CTE["members_drawn"] = (
+    ("members",),
+    """drawn AS (SELECT lower(repo) AS repo, cohort, CASE cohort WHEN 'treated' THEN 0.5 ELSE 0.25 END AS f FROM members)""",
+)
+
+
+def _renamed(text: str, names: str) -> str:
+    """A CTE's text over other tables: every one of ``names`` gets the prefix ``p_``."""
+    return re.sub(rf"\b({'|'.join(names.split())})\b", r"p_\1", text)
+
+
+CTE["panel_outcomes"] = (
+    ("activity",),
+    """p_ded AS (SELECT lower(repo) AS repo_key, repo, sha, committed_at AS seen, agent_id, associated_pr_number AS pr, is_revert AS is_undo, is_reapply,
+  reverted_sha AS target_sha, original_pr_number AS target_pr FROM crow),
+"""
+    + _renamed(CTE["links"][1], "ded pairs resolved undone netted byname bypr links")
+    + """,
+p_obsd AS (
+  SELECT d.*, coalesce(l.reverted_at <= d.seen + INTERVAL 30 DAY, false) AS reverted FROM p_ded d LEFT JOIN p_links l ON l.repo_key = d.repo_key AND l.sha = d.sha
+  WHERE NOT d.is_undo AND d.seen + INTERVAL 30 DAY <= TIMESTAMP '2026-03-02 00:00:00')""",
+)
+
+_MSG_HIT_2 = (
+    "regexp_matches(message, '(?im)^Co\\-Authored\\-By\\s*:[^\\n]*bot@heron\\.example|"
+    "generated with heron|^Task\\-Link\\s*:[^\\n]*kestrel\\.example/tasks/')"
+)
+CTE["census2"] = (
+    ("census", "evidence2"),
+    f"""scanned2 AS (SELECT *, {_MSG_HIT_2} OR author_email_hit OR author_name_hit OR pusher_login_hit OR regexp_matches(coalesce(pusher_login, ''), '(?i)^dodo$') AS any2 FROM scanned),
+cands2 AS (SELECT DISTINCT day, repo FROM scanned2 WHERE any2),
+obs2 AS (
+  SELECT s.day, s.repo, lower(s.sha) AS sha, s.pushed_at, s.event_id, v.agent_id FROM scanned2 s LEFT JOIN cands2 c USING (day, repo) LEFT JOIN verdict2 v USING (rid)
+  WHERE (c.repo IS NOT NULL OR s.revert_hit) AND {_OK_SHA.replace('sha', 's.sha')} AND {_OK_REPO.replace('repo', 's.repo')})""",
 )
 CTE["history"] = (
     ("members",),
@@ -296,7 +360,10 @@ CTE["history"] = (
 
 
 def _with(needs: str, body: str) -> str:
-    """``body`` preceded by the CTEs it names (space separated), dependencies first."""
+    """``body`` preceded by the CTEs it names (space separated), dependencies first.
+
+    A body that starts with a comma has further CTEs of its own.
+    """
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -307,7 +374,7 @@ def _with(needs: str, body: str) -> str:
 
     for name in needs.split():
         visit(name)
-    return "WITH " + ",\n".join(CTE[name][1] for name in order) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(CTE[name][1] for name in order) + ("" if body.startswith(",") else "\n") + body
 
 
 def _wilson(sign: str) -> str:
@@ -337,6 +404,37 @@ JOIN (SELECT c.agent_id, count(*) AS baseline_units, CAST(median(b.v) AS DOUBLE)
   FROM (SELECT DISTINCT agent_id, cell FROM {rows} WHERE agent_id IS NOT NULL) c JOIN {rows} b ON b.cell = c.cell AND b.agent_id IS NULL GROUP BY 1) USING (agent_id)"""
 
 
+def _weighted(source: str, hit: str, by: str = "agent_id") -> str:
+    """Design-weighted share with the variance of residuals over all members."""
+    group = by or "0"
+    return f""",
+pr AS (SELECT {group} AS g, lower(repo) AS repo, count(*) AS n, count(*) FILTER ({hit}) AS y FROM {source} GROUP BY 1, 2),
+share AS (SELECT g, sum(y / f) / sum(n / f) AS p, sum(n / f) AS total, count(*) AS repos, sum(n) AS units, sum(y) AS hits FROM pr JOIN drawn USING (repo) GROUP BY g),
+resid AS (SELECT s.g, d.cohort, d.f, coalesce(pr.y - s.p * pr.n, 0) AS e FROM share s CROSS JOIN drawn d LEFT JOIN pr ON pr.repo = d.repo AND pr.g IS NOT DISTINCT FROM s.g),
+errs AS (SELECT g, sqrt(sum(v)) AS e FROM (SELECT g, cohort, (1 - f) / (f * f) * count(*) * var_samp(e) AS v FROM resid GROUP BY g, cohort, f) GROUP BY g)
+SELECT {'s.g AS ' + by + ', ' if by else ''}repos, CAST(units AS BIGINT) AS units, CAST(hits AS BIGINT) AS hits, round(p, 6) AS rate, round(e / total, 6) AS std_error,
+  round(greatest(p - {_Z} * e / total, 0), 6) AS ci_low, round(least(p + {_Z} * e / total, 1), 6) AS ci_high
+FROM share s JOIN errs x ON x.g IS NOT DISTINCT FROM s.g"""
+
+
+_Z = "1.959963984540054"
+
+
+def _median_bounds(source: str, value: str) -> str:
+    return f""",
+src AS (SELECT agent_id, lower(repo) AS repo, {value} AS v FROM {source}),
+med AS (SELECT agent_id, median(v) AS m, count(*) AS n FROM src GROUP BY 1),
+cl AS (SELECT s.agent_id, s.repo, count(*) AS n, count(*) FILTER (s.v <= m.m) AS y FROM src s JOIN med m ON m.agent_id IS NOT DISTINCT FROM s.agent_id GROUP BY 1, 2),
+tot AS (SELECT agent_id, count(*) AS clusters, sum(n) AS n, sum(y) / sum(n) AS p FROM cl GROUP BY 1),
+half AS (SELECT t.agent_id, {_Z} * sqrt(sum((c.y - t.p * c.n) * (c.y - t.p * c.n)) * any_value(t.clusters) / (any_value(t.clusters) - 1)) AS h
+  FROM cl c JOIN tot t ON t.agent_id IS NOT DISTINCT FROM c.agent_id GROUP BY 1),
+ord AS (SELECT agent_id, v, row_number() OVER (PARTITION BY agent_id ORDER BY v) AS k FROM src)
+SELECT t.agent_id, t.clusters, CAST(t.n AS BIGINT) AS units, CAST(any_value(m.m) AS DOUBLE) AS median,
+  max(o.v) FILTER (o.k = greatest(floor(t.n / 2 - h.h), 1)) AS median_low, max(o.v) FILTER (o.k = least(ceil(1 + t.n / 2 + h.h), t.n)) AS median_high
+FROM tot t JOIN med m ON m.agent_id IS NOT DISTINCT FROM t.agent_id JOIN half h ON h.agent_id IS NOT DISTINCT FROM t.agent_id JOIN ord o ON o.agent_id IS NOT DISTINCT FROM t.agent_id
+GROUP BY t.agent_id, t.clusters, t.n"""
+
+
 _DOC_BODY = "rtrim(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), ' ' || chr(9) || chr(10))"
 _API_DEDUP = f"SELECT repo, page_no, oid AS sha, {_EP} + INTERVAL '1' MINUTE * minutes AS committed_at FROM api_commits"
 _COUNT_MAP = "'{{' || coalesce(string_agg('\"' || {k} || '\":' || CAST(n AS VARCHAR), ',' ORDER BY {k}) FILTER ({k} IS NOT NULL AND n > 0), '') || '}}'"
@@ -666,4 +764,80 @@ LEFT JOIN pulls n ON lower(n.repo) = c.repo_key AND n.number = c.pr WHERE coales
   FROM valid c JOIN (SELECT v.*, rev.reverted_sha FROM valid v JOIN rev USING (rid) WHERE NOT is_reapply AND reverted_sha IS NOT NULL) r
   ON lower(c.repo) = lower(r.repo) AND starts_with(c.sha, r.reverted_sha) AND r.pushed_at BETWEEN c.pushed_at AND c.pushed_at + INTERVAL 30 DAY WHERE c.sha <> r.sha) WHERE k = 1""",
     ),
+    "snapshots_as_of": _with(
+        "dedup dims",
+        """SELECT d.repo_key, language, count(*) AS commits, CAST(sum(stargazers) AS BIGINT) AS stars
+FROM ded d ASOF LEFT JOIN states s ON d.repo_key = s.repo_key AND d.seen >= s.fetched_on GROUP BY 1, 2""",
+    ),
+    "canonical_repos": _with("lineage", "SELECT name, valid_from, valid_to, repo_key, repo_id FROM lineage WHERE needed"),
+    "revert_links_renamed": _with(
+        "links",
+        "SELECT * REPLACE (CASE WHEN CAST(regexp_extract(repo_key, '/repo(\\d+)$', 1) AS BIGINT) % 4 = 0 THEN '#' || regexp_extract(repo_key, '/repo(\\d+)$', 1) ELSE repo_key END AS repo_key) FROM links",
+    ),
+    "latest_pulls_renamed": _with(
+        "pulls",
+        """SELECT CASE WHEN number % 4 = 0 THEN '#' || CAST(number % 240 AS VARCHAR) ELSE lower(repo) END AS repo_key,
+  CASE WHEN number % 3 <> 0 THEN DATE '2026-03-01' ELSE DATE '2022-03-01' END AS fetched_on, CASE WHEN number % 3 <> 0 THEN state ELSE 'OPEN' END AS state, count(*) AS pulls FROM pulls GROUP BY 1, 2, 3""",
+    ),
+    "first_loss_renamed": _with(
+        "lineage",
+        """SELECT repo_key, 'treated' AS cohort, min(fetched_on) FILTER (gone) AS first_lost_on, max(fetched_on) FILTER (NOT gone) AS last_found_on FROM (
+  SELECT coalesce(l.repo_key, f.repo) AS repo_key, f.fetched_on, f.gone FROM (
+    SELECT lower(asked) AS repo, seen_on AS fetched_on, false AS gone FROM sight WHERE lower(asked) = lower(reported)
+    UNION ALL SELECT lower(asked), DATE '2026-02-02', true FROM sight WHERE seen_on = DATE '2026-01-26') f
+  LEFT JOIN (SELECT * FROM lineage WHERE needed) l ON l.name = f.repo AND (l.valid_from IS NULL OR f.fetched_on >= l.valid_from) AND (l.valid_to IS NULL OR f.fetched_on < l.valid_to))
+GROUP BY 1 HAVING bool_or(gone)""",
+    ),
+    "panel_acceptance_weighted": _with(
+        "activity members_drawn", _weighted("(SELECT * FROM prow WHERE state <> 'OPEN')", "state = 'MERGED'")
+    ),
+    "panel_adoption_weighted": _with(
+        "activity members_drawn", _weighted("(SELECT repo, count(agent_id) AS a FROM crow GROUP BY repo)", "a > 0", "")
+    ),
+    "panel_revert_rate_weighted": _with("panel_outcomes members_drawn", _weighted("p_obsd", "reverted")),
+    "panel_time_to_merge": _with(
+        "activity", _median_bounds("prow WHERE merged_at IS NOT NULL", "date_diff('second', created_at, merged_at)")
+    ),
+    "panel_review_load": _with("activity", _median_bounds("prow", "review_count + comment_count + review_thread_count")),
+    "revert_logrank": _with(
+        "outcomes",
+        f""",
+g AS (SELECT repo_key, agent_id, reverted_at, greatest(date_diff('day', CAST(seen AS DATE), CAST(coalesce(reverted_at, {CUTOFF}) AS DATE)), 0) AS age FROM outc WHERE seen <= {CUTOFF}),
+cells AS (SELECT DISTINCT agent_id, repo_key FROM g WHERE agent_id IS NOT NULL AND repo_key IN (SELECT repo_key FROM g WHERE agent_id IS NULL)),
+r AS (SELECT c.agent_id AS a, g.repo_key, g.age, g.agent_id IS NOT NULL AS own, g.reverted_at FROM cells c JOIN g ON g.repo_key = c.repo_key AND (g.agent_id IS NULL OR g.agent_id = c.agent_id)),
+t AS (SELECT a, repo_key, age, count(reverted_at) AS d, count(reverted_at) FILTER (own) AS d1, count(*) AS l, count(*) FILTER (own) AS l1 FROM r GROUP BY 1, 2, 3),
+u AS (SELECT *, sum(l) OVER w AS n, sum(l1) OVER w AS n1 FROM t WINDOW w AS (PARTITION BY a, repo_key ORDER BY age DESC)),
+z AS (SELECT a, count(DISTINCT repo_key) AS repos, sum(l1) AS commits, sum(d1) AS reverted, sum(d * n1 / n) AS e,
+  sum(CASE WHEN n > 1 THEN d * (n1 / n) * (1 - n1 / n) * (n - d) / (n - 1) ELSE 0 END) AS v FROM u GROUP BY 1)
+SELECT a AS agent_id, repos, CAST(commits AS BIGINT) AS commits, CAST(reverted AS BIGINT) AS reverted, round(e, 4) AS expected, round(v, 4) AS variance,
+  round(CASE WHEN v > 0 THEN (reverted - e) * (reverted - e) / v END, 4) AS statistic FROM z""",
+    ),
+    "compare_stored_runs": _with(
+        "census2",
+        """,
+o1 AS (SELECT * FROM (SELECT lower(repo) AS repo_key, sha, agent_id, row_number() OVER (PARTITION BY lower(repo), sha ORDER BY pushed_at, event_id, agent_id NULLS FIRST, repo) AS k FROM obs) WHERE k = 1),
+o2 AS (SELECT * FROM (SELECT lower(repo) AS repo_key, sha, agent_id, row_number() OVER (PARTITION BY lower(repo), sha ORDER BY pushed_at, event_id, agent_id NULLS FIRST, repo) AS k FROM obs2) WHERE k = 1)
+SELECT CASE WHEN a.agent_id IS NOT DISTINCT FROM b.agent_id THEN 'same' WHEN a.agent_id IS NULL THEN 'gained' WHEN b.agent_id IS NULL THEN 'lost' ELSE 'changed' END AS change,
+  a.agent_id AS old_agent, b.agent_id AS new_agent, a.k IS NOT NULL AS in_old, b.k IS NOT NULL AS in_new, count(*) AS commits
+FROM o1 a FULL JOIN o2 b ON a.repo_key = b.repo_key AND a.sha = b.sha GROUP BY 1, 2, 3, 4, 5""",
+    ),
+    "stored_versions": _with(
+        "census2",
+        """SELECT 1 AS registry_version, 'census-spark-1' AS methodology_version, count(*) AS commits, count(agent_id) AS attributed FROM obs
+UNION ALL SELECT 2, 'census-spark-1', count(*), count(agent_id) FROM obs2""",
+    ),
+    "census_time_range": _with(
+        "census",
+        "SELECT pushed_at, event_id, sha, repo, agent_id FROM obs WHERE pushed_at BETWEEN TIMESTAMP '2021-03-01 06:00:00' AND TIMESTAMP '2021-06-30 18:00:00'",
+    ),
+    "archive_scan": _with(
+        "commits",
+        """SELECT CAST(date_trunc('month', day) AS DATE) AS day, count(*) AS pushes FROM commits
+WHERE push_size % 10 <> 7 AND date_trunc('month', day) BETWEEN DATE '2011-02-12' AND DATE '2025-10-06' GROUP BY 1""",
+    ),
+    "scan_budget": _with("commits", "SELECT DISTINCT CAST(date_trunc('year', day) AS DATE) AS day, true AS ample, false AS none FROM commits"),
+    "distinct_repos_weekly": _with(
+        "valid evidence",
+        "SELECT CAST(date_trunc('week', day) AS DATE) AS week, agent_id, count(*) AS commits, count(DISTINCT lower(repo)) AS repos FROM valid LEFT JOIN verdict USING (rid) GROUP BY 1, 2",
+    ),
 }

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from aftermerge.functions import identity, text
 from aftermerge.operators import activity as A
 from aftermerge.operators import census as C
+from aftermerge.operators import estimates as E
+from aftermerge.operators import lineage as L
 from aftermerge.operators import outcomes as O
 from aftermerge.operators import panel as P
 from aftermerge.operators import rules as R
+from aftermerge.operators import sketches as K
 from aftermerge.operators.attribution import (
     PULL_INPUTS,
     agent_ids,
@@ -30,7 +33,15 @@ from aftermerge.operators.barrier import with_struct
 from aftermerge.operators.prefilter import any_hit, prefilter_audit, prefilter_flags
 from aftermerge.plans.census import judged_commits, staged_judgement
 from aftermerge.schemas import CENSUS_NULLABLE
-from aftermerge.sources.sinks import shared_folder, stage
+from aftermerge.sources.readers import read_observations, read_push_events, scan_budget
+from aftermerge.sources.sinks import (
+    CENSUS_ORDER,
+    in_ranges,
+    shared_folder,
+    stage,
+    write_ordered,
+    write_partitions,
+)
 from aftermerge.streaming import jobs as S
 from workload import views as V
 from workload.rules import RULES_V1, RULES_V2, compiled
@@ -667,17 +678,24 @@ def review_load_with_baseline(spark: SparkSession, sf: str) -> DataFrame:
     return O.median_with_baseline(_attributed_pulls(spark, sf), load, O.period_of("created_at"))
 
 
+def _repo_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored snapshots of the pushed repositories, of all their fetches."""
+    parsed = A.parse_activity(V.repo_fetches(spark, sf), since=SINCE)
+    members = parsed.select("repo").distinct().selectExpr("repo", "'treated' AS cohort", "1 AS panel_version")
+    return A.repo_snapshots(parsed.withColumn("fetched_on", F.col("fetched_at").cast("date")), members)
+
+
 def _by_dims(spark: SparkSession, sf: str) -> DataFrame:
-    """Outcomes with language and size class of their (derived) repository."""
-    rows = _outcomes(spark, sf).where("followed_up")
-    number = F.regexp_extract("repo", r"repo(\d+)", 1).cast("bigint")
-    return rows.withColumns(
-        {
-            "agent": F.coalesce("agent_id", F.lit("human")),
-            "language": F.element_at(F.array(F.lit("Go"), F.lit("Python"), F.lit("Rust")), (number % 3 + 1).cast("int")),
-            "size": O.size_class(number * number),
-            "week": O.week_of(F.col("at")),
-        }
+    """Outcomes with language and size class of their repository as of the commit's time."""
+    rows = _outcomes(spark, sf).where("followed_up").select("repo_key", "at", "agent_id", "reverted")
+    rows = stage(rows, _folder(spark), "observed")
+    dated = O.with_snapshot(rows, stage(_repo_history(spark, sf), _folder(spark), "history"))
+    return dated.select(
+        F.coalesce("agent_id", F.lit("human")).alias("agent"),
+        F.coalesce("language", F.lit("unknown")).alias("language"),
+        O.size_class(F.col("stargazers")).alias("size"),
+        O.week_of(F.col("at")).alias("week"),
+        "reverted",
     )
 
 
@@ -691,6 +709,204 @@ def cube_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return O.rollup_outcomes(_by_dims(spark, sf), ["agent", "language", "size"], "reverted", cube=True)
 
 
+@query
+def snapshots_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Per repository and language as of the push: commits and the stars they were pushed under."""
+    rows = _changes(spark, sf).select("repo_key", "sha", "at")
+    dated = O.with_snapshot(rows, stage(_repo_history(spark, sf), _folder(spark), "history"))
+    return dated.groupBy("repo_key", "language").agg(
+        F.count("*").alias("commits"), F.sum("stargazers").alias("stars")
+    )
+
+
+# --- identity through renames -----------------------------------------------------------
+
+
+def _lineage(spark: SparkSession, seen: DataFrame) -> DataFrame:
+    folder = _folder(spark)
+    return L.canonical_repos(seen, lambda df, name: stage(df, folder, name))
+
+
+@query
+def canonical_repos(spark: SparkSession, sf: str) -> DataFrame:
+    return _lineage(spark, V.sightings(spark, sf))
+
+
+def _renamed_changes(spark: SparkSession, sf: str) -> DataFrame:
+    lineage = stage(_lineage(spark, V.renamed_sightings(spark, sf)), _folder(spark), "lineage")
+    rows = attribute(C.valid_commits(V.renamed_commits(spark, sf)), compiled())
+    changed = O.changes(rows.withColumnRenamed("pushed_at", "at"), lineage)
+    return stage(changed, _folder(spark), "changes")
+
+
+@query
+def revert_links_renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Reverts of commits that were pushed under the repository's earlier name."""
+    return O.revert_links(_renamed_changes(spark, sf))
+
+
+@query
+def latest_pulls_renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two fetches per pull request, the second under the repository's new name."""
+    lineage = stage(_lineage(spark, V.renamed_sightings(spark, sf)), _folder(spark), "lineage")
+    pulls = V.pulls(spark, sf).select("repo", "number", "state", "updated_at")
+    early, late = (F.lit(dt.date(y, 3, 1)) for y in (2022, 2026))
+    first = pulls.withColumns({"fetched_on": early, "state": F.lit("OPEN")})
+    renamed = F.when(F.col("number") % 4 == 0, F.concat(F.lit("Moved/repo"), F.col("number") % 240))
+    second = pulls.where("number % 3 <> 0").withColumns(
+        {"fetched_on": late, "repo": F.coalesce(renamed, "repo")}
+    )
+    latest = O.latest_pulls(first.unionByName(second), lineage)
+    return latest.groupBy("repo_key", "fetched_on", "state").agg(F.count("*").alias("pulls"))
+
+
+@query
+def first_loss_renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Members that were lost under every name they had; those found under a later one are not."""
+    seen = V.sightings(spark, sf)
+    lineage = stage(_lineage(spark, seen), _folder(spark), "lineage")
+    found = seen.where("asked = reported").select(
+        F.col("asked").alias("repo"), F.col("seen_on").alias("fetched_on"), F.lit("ok").alias("status")
+    )
+    # The week after, each name asked for last is gone.
+    lost = seen.where("seen_on = DATE'2026-01-26'").select(
+        F.col("asked").alias("repo"), F.lit(dt.date(2026, 2, 2)).alias("fetched_on"), F.lit("not_found").alias("status")
+    )
+    rows = found.unionByName(lost).withColumn("cohort", F.lit("treated"))
+    return O.first_loss(rows, lineage)
+
+
+# --- estimates on the panel -------------------------------------------------------------
+
+
+@query
+def panel_acceptance_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    decided = _panel_pulls(spark, sf).where("state <> 'OPEN'").select("repo", "agent_id", "state")
+    decided = stage(decided, _folder(spark), "decided")
+    return E.panel_rate(decided, _members(spark, sf), F.col("state") == "MERGED", ["agent_id"])
+
+
+@query
+def panel_adoption_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of repositories with commits that have an attributed one."""
+    per_repo = _panel_commits(spark, sf).groupBy("repo").agg(F.count("agent_id").alias("attributed"))
+    rows = stage(per_repo, _folder(spark), "per_repo")
+    return E.panel_rate(rows, _members(spark, sf), F.col("attributed") > 0)
+
+
+PANEL_END = "2026-03-02 00:00:00"
+
+
+@query
+def panel_revert_rate_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of the panel's commits reverted within 30 days."""
+    rows = _panel_commits(spark, sf).withColumns({"at": utc("committed_at"), "event_id": F.col("sha")})
+    changed = stage(
+        O.changes(rows.withColumnRenamed("associated_pr_number", "pr_number")), _folder(spark), "panel_changes"
+    )
+    end = F.lit(PANEL_END).cast("timestamp_ntz")
+    outcomes = O.commit_outcomes(changed, O.revert_links(changed), data_end=end).where("followed_up")
+    observed = stage(outcomes.select("repo", "agent_id", "reverted"), _folder(spark), "observed")
+    return E.panel_rate(observed, _members(spark, sf), F.col("reverted"), ["agent_id"])
+
+
+@query
+def panel_time_to_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Median seconds to merge on the panel, with bounds."""
+    merged = _panel_pulls(spark, sf).where("merged_at IS NOT NULL")
+    rows = stage(merged.select("repo", "agent_id", "created_at", "merged_at"), _folder(spark), "merged")
+    return E.median_interval(rows, O.seconds_to_merge(), ["agent_id"])
+
+
+@query
+def panel_review_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Median reviews, comments and threads together on the panel, with bounds."""
+    load = F.col("review_count") + F.col("comment_count") + F.col("review_thread_count")
+    rows = _panel_pulls(spark, sf).select("repo", "agent_id", load.alias("load"))
+    return E.median_interval(stage(rows, _folder(spark), "load"), F.col("load"), ["agent_id"])
+
+
+@query
+def revert_logrank(spark: SparkSession, sf: str) -> DataFrame:
+    """Do attributed commits last as long as others of the same repositories."""
+    return E.stratified_logrank(_outcomes(spark, sf).where(F.col("at") <= data_end()), data_end())
+
+
+# --- stored runs ------------------------------------------------------------------------
+
+
+def _stored_runs(spark: SparkSession, sf: str) -> str:
+    """The census of both rule versions, each stored as its own partition."""
+    folder = _folder(spark)
+    for version, document in ((1, RULES_V1), (2, RULES_V2)):
+        judged = staged_judgement(V.push_events(spark, sf), compiled(document), f"{folder}/v{version}")
+        rows = C.flatten_observation(judged.where("reject_reason is null"), version)
+        write_partitions(rows, f"{folder}/observations", ["registry_version"])
+    return f"{folder}/observations"
+
+
+@query
+def compare_stored_runs(spark: SparkSession, sf: str) -> DataFrame:
+    root = _stored_runs(spark, sf)
+    old, new = (
+        read_observations(spark, root, registry_version=v).withColumnRenamed("pushed_at", "at") for v in (1, 2)
+    )
+    return O.compare_runs(old, new).groupBy("change", "old_agent", "new_agent", "in_old", "in_new").agg(
+        F.count("*").alias("commits")
+    )
+
+
+@query
+def stored_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """What the versioned store holds after two runs."""
+    rows = read_observations(spark, _stored_runs(spark, sf))
+    return rows.groupBy("registry_version", "methodology_version").agg(
+        F.count("*").alias("commits"), F.count("agent_id").alias("attributed")
+    )
+
+
+@query
+def census_time_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of time read back from an ordered store, in the census order."""
+    folder = _folder(spark)
+    judged = stage(_judged(spark, sf).where("reject_reason is null"), folder, "judged")
+    rows = C.flatten_observation(in_ranges(judged, ["day", *CENSUS_ORDER]), 1)
+    write_ordered(rows, f"{folder}/observations", ["registry_version"], ["day", *CENSUS_ORDER])
+    stored = read_observations(spark, f"{folder}/observations", registry_version=1)
+    low, high = "2021-03-01 06:00:00", "2021-06-30 18:00:00"
+    wanted = stored.where(F.col("pushed_at").between(F.lit(low).cast("timestamp"), F.lit(high).cast("timestamp")))
+    return wanted.select("pushed_at", "event_id", "sha", "repo", "agent_id").withColumn("pushed_at", utc("pushed_at"))
+
+
+@query
+def archive_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Pushes per readable day of a stored archive, whose events lie in a folder per day."""
+    folder = _folder(spark)
+    events = V.push_events(spark, sf)
+    month = F.date_trunc("month", "day").cast("date")  # days are gathered, to keep folders few
+    write_partitions(events.withColumn("day", month), f"{folder}/archive", ["day"])
+    return read_push_events(spark, f"{folder}/archive").groupBy("day").agg(F.count("*").alias("pushes"))
+
+
+@query
+def scan_budget_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Which days of that archive are within a budget that all of them keep, and one that none does."""
+    folder = _folder(spark)
+    events = V.push_events(spark, sf).withColumn("day", F.date_trunc("year", "day").cast("date"))
+    write_partitions(events, f"{folder}/archive", ["day"])
+    sized = [scan_budget(spark, f"{folder}/archive", ceiling) for ceiling in (2**50, 1)]
+    ample, none = (s.select("day", F.col("within_budget").alias(n)) for s, n in zip(sized, ("ample", "none"), strict=True))
+    return ample.join(none, "day").select(F.col("day").cast("date").alias("day"), "ample", "none")
+
+
+@query
+def distinct_repos_weekly(spark: SparkSession, sf: str) -> DataFrame:
+    """Different repositories per week and agent, merged from daily sketches."""
+    rows = attribute(C.valid_commits(V.commits(spark, sf)), compiled())
+    stored = stage(K.repo_sketches(rows), _folder(spark), "sketches")
+    return K.distinct_repos(stored, [O.week_of(F.col("day")).alias("week"), "agent_id"])
+
+
 def _snapshot_history(spark: SparkSession, sf: str) -> DataFrame:
     """Three fetches of the derived panel in which members disappear one after another."""
     members = _members(spark, sf).withColumn("k", identity.sample_key("repo"))

@@ -356,3 +356,91 @@ api_commits AS (
 api_pulls AS (
   SELECT repo, ok, ck, i, status, {p} FROM (
     SELECT r.*, UNNEST(generate_series(1, 1 + ok % 2)) AS i FROM api_repos r WHERE status = 'ok'))"""
+
+
+# --- fetches of the pushed repositories, over time ----------------------------------------
+# Each order is one fetch of one repository that commits are pushed to, on a day of its own.
+
+FETCH_DAY = "CAST('2019-01-01' AS DATE) + CAST(ok * 37 % 2500 AS INT)"
+FETCH_LANGUAGE = "CASE ok {DIV} 240 % 4 WHEN 0 THEN 'Go' WHEN 1 THEN 'Python' WHEN 2 THEN 'Rust' END"
+
+
+def repo_fetches(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed responses, one repository each."""
+    language = _dialect(FETCH_LANGUAGE, SPARK)
+    node = f"""to_json(named_struct('nameWithOwner', concat('org', ok % 60, '/repo', ok % 240), 'databaseId', ok % 240,
+        'isFork', false, 'stargazerCount', price % 20000,
+        'primaryLanguage', if(({language}) IS NULL, NULL, named_struct('name', {language})),
+        'pullRequests', named_struct('totalCount', 0, 'nodes', array()),
+        'defaultBranchRef', named_struct('name', 'main', 'target', named_struct('history', named_struct('totalCount', 1)))))"""
+    orders = wide_enough(spark, table(spark, sf, "orders").selectExpr(*_select(_ORDER_KEYS, SPARK)))
+    return orders.selectExpr(
+        "concat('b', ok) AS request_id",
+        f"CAST({FETCH_DAY} AS TIMESTAMP_NTZ) AS fetched_at",
+        "'batch' AS kind",
+        "array(concat('org', ok % 60, '/repo', ok % 240)) AS repos",
+        "0 AS page_no",
+        f"""if(ok % 12 = 0, '{{"data":{{"r0":null}},"errors":[{{"type":"NOT_FOUND","path":["r0"]}}]}}', concat('{{"data":{{"r0":', {node}, '}}}}')) AS body""",
+    )
+
+
+def duck_repo_fetches() -> str:
+    """Stored snapshots of those fetches as a DuckDB CTE named ``fetches``."""
+    keys = ", ".join(_select(_ORDER_KEYS, DUCK))
+    return f"""base_f AS (SELECT {keys} FROM orders),
+fetches AS (SELECT repo, fetched_on, status, language, stargazers FROM (
+  SELECT 'org' || CAST(ok % 60 AS VARCHAR) || '/repo' || CAST(ok % 240 AS VARCHAR) AS repo, CAST({FETCH_DAY} AS DATE) AS fetched_on,
+    CASE WHEN ok % 12 = 0 THEN 'not_found' ELSE 'ok' END AS status, {_dialect(FETCH_LANGUAGE, DUCK)} AS language, price % 20000 AS stargazers,
+    row_number() OVER (PARTITION BY repo, fetched_on ORDER BY 'b' || CAST(ok AS VARCHAR) DESC) AS k FROM base_f) WHERE k = 1)"""
+
+
+# --- names that move ----------------------------------------------------------------------
+# Each customer is a repository seen by four weekly fetches: it keeps its name, is renamed twice,
+# swaps names with its neighbour, or leaves a name that the neighbour takes.
+
+_P = _s("ck {DIV} 6")
+SIGHTINGS = {
+    "asked": f"""CASE ck % 6 WHEN 0 THEN 'own' || {_s('ck')} WHEN 1 THEN 'a' || {_s('ck')}
+        WHEN 2 THEN CASE WHEN d < 2 THEN 'x' ELSE 'y' END || {_P} WHEN 3 THEN CASE WHEN d < 2 THEN 'y' ELSE 'x' END || {_P}
+        WHEN 4 THEN CASE WHEN d < 2 THEN 'z' ELSE 'zz' END || {_P} ELSE CASE WHEN d < 3 THEN 'w' ELSE 'z' END || {_P} END || '/app'""",
+    "reported": f"""CASE ck % 6 WHEN 0 THEN 'Own' || {_s('ck')} WHEN 1 THEN CASE WHEN d < 2 THEN 'a' WHEN d = 2 THEN 'B' ELSE 'c' END || {_s('ck')}
+        WHEN 2 THEN CASE WHEN d < 2 THEN 'X' ELSE 'y' END || {_P} WHEN 3 THEN CASE WHEN d < 2 THEN 'y' ELSE 'x' END || {_P}
+        WHEN 4 THEN CASE WHEN d < 2 THEN 'z' ELSE 'zz' END || {_P} ELSE CASE WHEN d < 2 THEN 'w' ELSE 'Z' END || {_P} END || '/App'""",
+    "repo_id": "CASE WHEN ck % 7 = 3 AND d = 1 OR ck % 6 = 1 AND ck % 5 = 2 AND d >= 1 OR ck % 6 = 1 AND ck % 35 = 0 THEN NULL ELSE ck END",
+    "seen_on": "CAST('2026-01-05' AS DATE) + CAST(7 * d AS INT)",
+}
+
+
+def sightings(spark: SparkSession, sf: str) -> DataFrame:
+    """What those fetches saw."""
+    repos = table(spark, sf, "customer").selectExpr("c_custkey AS ck", "explode(array(0, 1, 2, 3)) AS d")
+    flat = repos.selectExpr(*_select(SIGHTINGS, SPARK))
+    return flat.withColumns({c: F.lower(c) for c in ("asked", "reported")})
+
+
+def duck_sightings() -> str:
+    cols = ", ".join(_select(SIGHTINGS, DUCK))
+    return f"sight AS (SELECT {cols} FROM (SELECT c_custkey AS ck, UNNEST([0, 1, 2, 3]) AS d FROM customer))"
+
+
+RENAMED_FROM = "2022-06-01"
+"""The day from which every fourth repository of the commits is pushed to under another name."""
+
+
+def renamed_commits(spark: SparkSession, sf: str) -> DataFrame:
+    """The commits as if every fourth repository had been renamed on :data:`RENAMED_FROM`."""
+    number = F.regexp_extract("repo", "/repo([0-9]+)$", 1).cast("bigint")
+    moved = (number % 4 == 0) & (F.col("pushed_at") >= F.lit(RENAMED_FROM).cast("timestamp_ntz"))
+    renamed = F.when(moved & F.col("repo").rlike("(?i)^org"), F.concat(F.lit("moved/repo"), number))
+    return commits(spark, sf).withColumn("repo", F.coalesce(renamed, "repo"))
+
+
+def renamed_sightings(spark: SparkSession, sf: str) -> DataFrame:
+    """What fetches of those repositories saw: the old name leads to the new one after the day."""
+    orders = table(spark, sf, "orders").selectExpr(*_select(_ORDER_KEYS, SPARK))
+    return orders.selectExpr(
+        "concat('org', ok % 60, '/repo', ok % 240) AS asked",
+        f"if(ok % 4 = 0 AND {FETCH_DAY} >= DATE'{RENAMED_FROM}', concat('moved/repo', ok % 240), concat('org', ok % 60, '/repo', ok % 240)) AS reported",
+        "ok % 240 AS repo_id",
+        f"{FETCH_DAY} AS seen_on",
+    )
