@@ -19,10 +19,13 @@ null; an empty table gives an empty result; other columns are not read, whatever
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterable, Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import stage
+from aftermerge.llm.common import CACHED_WORDS, byte_level, stage
 
 #: Bytes of text aligned at a time, unless one text is longer.
 BATCH_BYTES = 1 << 20
@@ -59,14 +62,33 @@ _ENCODED = pa.schema(
 )
 
 
-def byte_level() -> dict[str, int]:
-    """The character that stands for each byte in a byte-level vocabulary, as character to byte.
+# Fixed value: how byte-level vocabularies cut a text before merging (public format).
+BYTE_LEVEL_CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The quick way recurses over white space; a text with a longer run takes the other.
+LONG_SPACE = re.compile(r"\s{256}")
 
-    Printable characters of Latin-1 stand for themselves, the other bytes for U+0100 and on.
+
+def ranked(document: dict, spelled: list[bytes]) -> dict[bytes, int] | None:
+    """Ids by their bytes, if the vocabulary is plain: cut as above, and merged in the order of ids.
+
+    Merging the pair that makes the least id is then the same as following the list of merges.
     """
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+    model, cut = document["model"], document["pre_tokenizer"] or {}
+    plain = (
+        (model["type"], cut.get("type"), cut.get("use_regex")) == ("BPE", "ByteLevel", True)
+        and not cut["add_prefix_space"]
+        and not document["normalizer"]
+        and not model.get("ignore_merges")
+    )
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    ids = [model["vocab"]["".join(pair)] for pair in pairs] if plain else [0]
+    if ids != [*range(256, 256 + len(ids))] or len(model["vocab"]) != 256 + len(ids):
+        return None
+    return {spelled[i]: i for i in model["vocab"].values()}
+
+
+def _joined(table: list[bytes], ids: list[int]) -> bytes:
+    return b"".join(map(table.__getitem__, ids))
 
 
 class ByteSide:
@@ -83,63 +105,172 @@ class ByteSide:
         for entry, i in self.tokenizer.get_vocab().items():
             known = all(c in back for c in entry)
             self.bytes[i] = bytes(map(back.__getitem__, entry)) if known else entry.encode()
+        with open(path, encoding="utf-8") as file:
+            ranks = ranked(json.load(file), self.bytes)
+        self.quick = None
+        if ranks:
+            import tiktoken
+
+            self.quick = tiktoken.Encoding(
+                "a", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens={}
+            )
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         spaced = [" " + t for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch(spaced, add_special_tokens=False)]
+        if self.quick is None:
+            return [e.ids for e in self.tokenizer.encode_batch(spaced, add_special_tokens=False)]
+        return [
+            self.tokenizer.encode(t, add_special_tokens=False).ids
+            if LONG_SPACE.search(t)
+            else self.quick.encode_ordinary(t)
+            for t in spaced
+        ]
+
+    def spells(self, text: str, ids: list[int]) -> bool:
+        """Whether the ids' bytes are those of space + text; plain merging keeps all bytes."""
+        return self.quick is not None or _joined(self.bytes, ids) == b" " + text.encode()
+
+
+def piece_ranks(model) -> tuple[dict[bytes, int], list[tuple[int, ...]]]:
+    """A sentencepiece model's merges over bytes: ranks by bytes, and the ids that each rank stands for.
+
+    A space is one byte here. Bytes come first, then what joins them to the characters that have a
+    piece, then the longer pieces by falling score, which is the order they are merged in. What is
+    left of a character without a piece stands for its bytes' ids. Pieces of several spaces are
+    left out: their scores tie.
+    """
+    n = model.get_piece_size()
+    byte_ids, pieces = {}, {}
+    for i in range(n):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            byte_ids[int(piece[3:5], 16)] = i
+        elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and "▁▁" not in piece:
+            pieces[piece.replace("▁", " ")] = i
+    ranks = {bytes([b]): b for b in range(256)}
+    ids: list[tuple[int, ...]] = [(pieces.get(chr(b)) if b < 128 and chr(b) in pieces else byte_ids[b],) for b in range(256)]
+    chars = {c.encode(): i for c, i in pieces.items() if len(c) == 1 and not c.isascii()}
+    for size in (2, 3, 4):
+        for part in sorted({c[:size] for c in chars if len(c) >= size}):
+            ranks[part] = len(ids)
+            ids.append((chars[part],) if part in chars else tuple(byte_ids[b] for b in part))
+    longer = [(piece, i) for piece, i in pieces.items() if len(piece) > 1]
+    for piece, i in sorted(longer, key=lambda x: (-model.get_score(x[1]), x[1])):
+        ranks[piece.encode()] = len(ids)
+        ids.append((i,))
+    return ranks, ids
 
 
 class PieceSide:
-    """A sentencepiece model (B), which adds the space itself, and the bytes of every id."""
+    """A sentencepiece model (B), which adds the space itself, and the bytes of every id.
+
+    Where no piece has a space after another character, merges never cross from a word to the
+    space after it, so a text's ids are those of its words, each with the spaces before it; the
+    ids of words met before are remembered (a bounded cache).
+    """
 
     def __init__(self, path: str) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = self.model.get_piece_size()
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [
-            bytes([int(piece[3:5], 16)])
-            if self.model.is_byte(i)
-            else piece.replace("▁", " ").encode()
-            for i, piece in ((i, self.model.id_to_piece(i)) for i in range(n))
+            bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
+            for i, piece in enumerate(pieces)
         ]
+        self.by_word = not any("▁" in piece.lstrip("▁") for piece in pieces)
+        self.cache: dict[str, list[int]] = {}
+        self.merge = self._merging(pieces) if self.by_word else None
+        #: Words met whose ids don't spell them.
+        self.changed: set[str] = set()
+
+    def _merging(self, pieces: list[str]):
+        """Words to ids by plain merging, if that gives the model's own ids for its pieces."""
+        import tiktoken
+
+        try:
+            ranks, ids = piece_ranks(self.model)
+        except KeyError:  # no bytes to fall back on
+            return None
+        made = tiktoken.Encoding("b", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+        single = made._core_bpe.encode_single_piece
+        merge = lambda word: [i for rank in single(word.encode()) for i in ids[rank]]
+        some = [p[1:] for p in pieces[::7] if p.startswith("▁") and len(p.strip("▁")) == len(p) - 1]
+        some += ["é" + p for p in some] + [p + "中🎉" for p in some]
+        return merge if self.model.encode(some) == [merge(" " + p) for p in some] else None
+
+    #: A word with the spaces before it; spaces alone at the end. Long words aren't remembered.
+    WORD = re.compile(" +[^ ]*")
+    LONGEST = 64
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        if not self.by_word:
+            return self.model.encode(texts, num_threads=1)
+        cut = [self.WORD.findall(" " + t) for t in texts]
+        if len(self.cache) > CACHED_WORDS:
+            self.cache.clear()
+        new = {*chain.from_iterable(cut)}.difference(self.cache)
+        met = {}
+        if self.merge is not None:
+            met = {w: self.merge(w) for w in new if len(w) > 1 and w[1] != " " and "▁" not in w}
+        # The model adds a word's first space, but not to nothing.
+        whole = [w for w in new if len(w) > 1 and w not in met]
+        met.update(zip(whole, self.model.encode([w[1:] for w in whole], num_threads=1), strict=True))
+        if " " in new:
+            met[" "] = [self.model.piece_to_id("▁")]
+        self.changed.update(w for w, ids in met.items() if _joined(self.bytes, ids) != w.encode())
+        self.cache.update(met)
+        out = [[*chain.from_iterable(map(self.cache.__getitem__, words))] for words in cut]
+        for word in met:
+            if len(word) > self.LONGEST:
+                del self.cache[word]
+        return out
+
+    def spells(self, text: str, ids: list[int]) -> bool:
+        """Whether the ids' bytes are those of space + text; for texts just encoded."""
+        if self.by_word and (not self.changed or self.changed.isdisjoint(self.WORD.findall(" " + text))):
+            return True
+        return _joined(self.bytes, ids) == b" " + text.encode()
 
 
-def align(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The groups of two rising arrays of ends whose last elements are equal.
 
-    Returns, for every group, how many tokens of ``a`` and of ``b`` lie before its end.
+    Returns, for every group, how many tokens of either side lie before its end.
     """
+    a, b = (np.asarray(x, np.int64) for x in (ends_a, ends_b))
+    # Windows are compared as memory, 8 bytes for each end.
+    raw_a, raw_b, list_a, list_b = a.tobytes(), b.tobytes(), a.tolist(), b.tolist()
     i = j = 0
-    n = len(a)
+    n = len(list_a)
     # Where the shift changes: groups after a change are one-to-one up to the next irregular one.
     left, right, upto = [0], [0], []
     while i < n:
-        width = 1
-        while width and a[i : i + width] == b[j : j + width]:  # probe ahead at this shift
+        width = 2
+        while raw_a[8 * i : 8 * (i + width)] == raw_b[8 * j : 8 * (j + width)]:  # ahead at this shift
             i += width
             j += width
-            width = 2 * width if i < n else 0
-        i = min(i, n)  # both sides ended within the window
-        while width > 1:  # the first difference lies within the window
-            width >>= 1
-            if a[i : i + width] == b[j : j + width]:
-                i += width
-                j += width
+            if i >= n:  # both sides ended within the window
+                i = n
+                break
+            width *= 2
+        else:
+            while width > 1:  # the first difference lies within the window
+                width >>= 1
+                if raw_a[8 * i : 8 * (i + width)] == raw_b[8 * j : 8 * (j + width)]:
+                    i += width
+                    j += width
         upto.append(i)
         if i >= n:
             break
-        x, y = a[i], b[j]
+        x, y = list_a[i], list_b[j]
         while x != y:  # an irregular group: whichever side is behind steps on
             if x < y:
                 i += 1
-                x = a[i]
+                x = list_a[i]
             else:
                 j += 1
-                y = b[j]
+                y = list_b[j]
         i += 1
         j += 1
         left.append(i)
@@ -147,7 +278,7 @@ def align(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
         if i >= n:
             upto.append(i)
     starts, shift = np.array(left), np.array(right) - np.array(left)
-    sizes = np.array(upto[: len(left)], np.int64) - starts
+    sizes = np.array(upto, np.int64) - starts
     # A stretch gives an end after each of its tokens; an irregular group one, where the next starts.
     run = np.repeat(np.arange(len(starts)), sizes + 1)
     ends = np.arange(len(run)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1) + starts[run]
@@ -161,8 +292,11 @@ def _spans(sizes: np.ndarray) -> np.ndarray:
 
 def linked(
     a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, doc: np.ndarray
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(document, id of A, id of B, times) of the links of groups; a pair can come several times."""
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(document, id of A, id of B, times) of the links of groups; a pair can come several times.
+
+    Without times each row is one link; with times the rows are different pairs, in order.
+    """
     start_a, start_b = np.append(0, ends_a[:-1]), np.append(0, ends_b[:-1])
     p, q = ends_a - start_a, ends_b - start_b
     small = np.flatnonzero(p * q <= GROUP_LINKS)
@@ -178,7 +312,7 @@ def linked(
         # ... beside the group's tokens of B.
         other = np.repeat(np.repeat(start_b[some], p[some]), width) + _spans(width)
         owner = np.repeat(doc[some], p[some] * q[some])
-        yield owner, a[row], b[other], np.ones(len(row), np.int64)
+        yield owner, a[row], b[other], None
     for g in np.flatnonzero(p * q > GROUP_LINKS):
         one, m = np.unique(a[start_a[g] : ends_a[g]], return_counts=True)
         two, k = np.unique(b[start_b[g] : ends_b[g]], return_counts=True)
@@ -205,7 +339,7 @@ class Aligner:
         self.n_b = len(self.len_b)
         # The strings that a listing of the groups is joined from: an id and what follows it.
         self.words = [
-            f"{i}{mark}" for n, marks in ((len(self.len_a), ",|"), (self.n_b, ",;")) for mark in marks for i in range(n)
+            f"{i}{mark}".encode() for n, marks in ((len(self.len_a), ",|"), (self.n_b, ",;")) for mark in marks for i in range(n)
         ]
 
     def batch(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
@@ -215,11 +349,7 @@ class Aligner:
         ids_b = self.b.encode([texts[i] for i in full])
         good = []
         for k, i in enumerate(full):
-            want = b" " + texts[i].encode("utf-8", "surrogatepass")
-            if all(
-                b"".join(map(side.bytes.__getitem__, ids[k])) == want
-                for side, ids in ((self.a, ids_a), (self.b, ids_b))
-            ):
+            if self.a.spells(texts[i], ids_a[k]) and self.b.spells(texts[i], ids_b[k]):
                 good.append(k)
         none = (0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
         found = dict(zip((full[k] for k in good), self._aligned(ids_a, ids_b, good), strict=True))
@@ -229,9 +359,10 @@ class Aligner:
     def _aligned(self, ids_a: list[list[int]], ids_b: list[list[int]], good: list[int]) -> Iterator[tuple]:
         if not good:
             return
-        a = np.concatenate([np.array(ids_a[k], np.int64) for k in good])
-        b = np.concatenate([np.array(ids_b[k], np.int64) for k in good])
-        ends_a, ends_b = align(np.cumsum(self.len_a[a]).tolist(), np.cumsum(self.len_b[b]).tolist())
+        a, b = (
+            np.fromiter(chain.from_iterable(ids[k] for k in good), np.int64) for ids in (ids_a, ids_b)
+        )
+        ends_a, ends_b = align(np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b]))
         # Texts end where both tokenizers do, so no group spans two texts.
         last_a = np.fromiter(accumulate(len(ids_a[k]) for k in good), np.int64, len(good))
         last_b = np.fromiter(accumulate(len(ids_b[k]) for k in good), np.int64, len(good))
@@ -257,13 +388,14 @@ class Aligner:
 
     def _distinct(self, a, b, ends_a, ends_b, doc) -> tuple[np.ndarray, np.ndarray]:
         """Document and pair as one code, sorted, and how often the document links the pair."""
-        keys, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        parts = []
         for owner, x, y, n in linked(a, b, ends_a, ends_b, doc):
-            code, back = np.unique((owner * len(self.len_a) + x) * self.n_b + y, return_inverse=True)
-            keys.append(code)
-            times.append(np.bincount(back, n, len(code)).astype(np.int64))
-        code, back = np.unique(np.concatenate(keys), return_inverse=True)
-        return code, np.bincount(back, np.concatenate(times), len(code)).astype(np.int64)
+            code = (owner * len(self.len_a) + x) * self.n_b + y
+            parts.append(np.unique(code, return_counts=True) if n is None else (code, n))
+        if len(parts) == 1:
+            return parts[0]
+        code, back = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        return code, np.bincount(back, np.concatenate([n for _, n in parts]), len(code)).astype(np.int64)
 
     def _digests(self, a, b, ends_a, ends_b, last: np.ndarray) -> list[str]:
         """Per text the hash of its groups' ids, listed one group after the other."""
@@ -278,11 +410,17 @@ class Aligner:
         listed[np.arange(len(b)) + ends_a[in_b]] = 2 * n_a + b + self.n_b * closes_b
         out = []
         for low, high in zip(np.append(0, last[:-1]), last, strict=True):
-            line = "".join(map(self.words.__getitem__, listed[low:high].tolist()))
-            out.append(hashlib.sha256(line[:-1].encode()).hexdigest())
+            line = b"".join(map(self.words.__getitem__, listed[low:high].tolist()))
+            out.append(hashlib.sha256(line[:-1]).hexdigest())
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def aligner_of(path_a: str, path_b: str) -> Aligner:
+    """Both tokenizers, kept by a worker from task to task."""
+    return Aligner(path_a, path_b)
+
+
 def _small(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str | None]]]:
     """Ids and texts, a bounded number of bytes at a time."""
     for batch in batches:
@@ -338,7 +476,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_pairs: int = CHUNK_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         chunk = (context.partitionId() if context else 0) << 32
-        aligner = Aligner(path_a, path_b)
+        aligner = aligner_of(path_a, path_b)
         held: list[tuple] = []
         size = 0
         for ids, texts in _small(batches):

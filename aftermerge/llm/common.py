@@ -45,9 +45,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+def row_key(doc_id: Column | str = "doc_id", text: Column | str = "text") -> Column:
     """One long per (doc_id, text), nulls included; repeated rows share theirs."""
-    return F.xxhash64(F.col(doc_id), F.col(text), F.col(text).isNull())
+    doc_id, text = (F.col(c) if isinstance(c, str) else c for c in (doc_id, text))
+    return F.xxhash64(doc_id, text, text.isNull())
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns in one struct ``doc``, so that no name an operator adds can clash with theirs."""
+    return docs.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("doc"))
+
+
+def unpacked(whole: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """These columns of ``doc``, under their own names."""
+    return whole.select(*(F.col("doc").getField(c).alias(c) for c in columns))
 
 
 #: Multiplier of the word hash and its inverse modulo 2**64.
@@ -181,6 +192,16 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
 
 
+def byte_level() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary, as character to byte.
+
+    Printable characters of Latin-1 stand for themselves, the other bytes for U+0100 and on.
+    """
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in small slices, so that what is derived from one stays small too."""
     for batch in batches:

@@ -112,6 +112,23 @@ def test_alignment_matches_brute_force(
     assert got == want
 
 
+def test_quick_ways_give_the_tokenizers_ids() -> None:
+    """Of every kind of character, beside letters, digits, spaces and itself."""
+    aligner = alignment.Aligner(A, B)
+    assert aligner.a.quick is not None and aligner.b.merge is not None
+    kinds = [c for c in map(chr, [*range(0x3000), *range(0x3000, 0x30000, 97), 0x1F389]) if not "\ud800" <= c <= "\udfff"]
+    texts = [f"a{c}b {c}1{c}{c} \n{c}! {c}" for c in kinds]
+    rng = random.Random(7)
+    texts += ["".join(rng.choices("aZé'’1中 \t\n.,!|<>\u0301\u00a0\u3000🎉'st'll", k=rng.randint(1, 80))) for _ in range(3000)]
+    texts += [" " * 100_000, "a" * 100_000, "\n" * 5000 + "x", "x " * 400 + " " * 300 + "y", "1" * 5000]
+    spaced = [" " + t for t in texts]
+    whole = [e.ids for e in aligner.a.tokenizer.encode_batch(spaced, add_special_tokens=False)]
+    assert aligner.a.encode(texts) == whole
+    plain = [t for t in texts if "▁" not in t]  # which B reads as a space
+    for _ in range(2):  # also from the cache
+        assert aligner.b.encode(plain) == aligner.b.model.encode(plain)
+
+
 def test_small_links_are_laid_out_alike(monkeypatch: pytest.MonkeyPatch) -> None:
     rng = np.random.default_rng(2)
     p, q = rng.integers(1, 9, 50), rng.integers(1, 9, 50)
@@ -121,7 +138,8 @@ def test_small_links_are_laid_out_alike(monkeypatch: pytest.MonkeyPatch) -> None
     def counted() -> Counter:
         out: Counter = Counter()
         for owner, x, y, n in alignment.linked(a, b, ends_a, ends_b, doc):
-            for key, m in zip(zip(owner.tolist(), x.tolist(), y.tolist(), strict=True), n.tolist(), strict=True):
+            times = [1] * len(x) if n is None else n.tolist()
+            for key, m in zip(zip(owner.tolist(), x.tolist(), y.tolist(), strict=True), times, strict=True):
                 out[key] += m
         return out
 
