@@ -5,26 +5,43 @@ so a window still matches when an ignored token was substituted. Windows of the
 the documents are joined on their hashes; around each hit the two token sequences are compared
 in place, without gaps, and the longest stretch that tolerates few substitutions is kept.
 
-The benchmark is taken in blocks of at most ``BLOCK_TOKENS`` tokens, one pass over the documents
-each, so what a task holds is bounded whatever the benchmark's size. Documents are not shuffled.
+Both sides are cut into tokens by the same code, in tasks. Documents are read once: a filter of
+bounded size, made of the benchmark's hashes, lets through the windows that may match, and only
+documents with such windows are written on, with their text. The rest is joins over those: hits
+meet the benchmark's windows by hash, and pairs of a document and an item fetch both texts to be
+verified. Equal windows in a row, as of one word repeated, are one row with a length, and a pair
+of such rows is a range of shifts. Nothing of the benchmark passes through the driver but the
+filter.
 
 Defined cases: null and empty texts and items match nothing; an item shorter than the shortest
-overlap is compared whole, its first and last tokens too may differ; repeated rows give a row each; an empty table on
-either side gives an empty result; items are told apart by item_id, and equal item_ids are one
-item's parts; other columns are not read.
+overlap is compared whole, its first and last tokens too may differ; Unicode white space cuts
+tokens as ASCII white space does; repeated rows (same doc_id and text) count as one; an empty table
+on either side gives an empty result; items are told apart by item_id, and equal item_ids are one
+item's parts; other columns are not read, or pass through ``drop_contaminated`` untouched,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import mix, row_key, slices, token_codes
+from aftermerge.llm.common import (
+    TOKEN_ENDS,
+    lower_ascii,
+    mix,
+    packed,
+    raw_text,
+    row_key,
+    slices,
+    stage,
+    unpacked,
+    word_codes,
+)
 
 #: An overlap counts from this many tokens (or the whole item if it is shorter) ...
 LEAST_TOKENS = 13
@@ -36,12 +53,9 @@ MOST_DIFFERENT = 0.2
 #: longer stretch can be cut into such ones, of which one differs in a fifth at most.
 MASKS = ("1111111", "11110111", "110011111", "11101001011", "1110100010011", "1001001010111")
 
-#: Tokens of the benchmark that one pass over the documents holds.
-BLOCK_TOKENS = 1_000_000
-
-SCHEMA = (
-    "doc_id long, __row long, item_id long, doc_start long, item_start long, tokens long, different long"
-)
+#: Bits of the filter for each window of the benchmark, and at most (32 MB). Beyond that it lets
+#: more windows through, which costs time and changes nothing.
+BITS_PER_WINDOW, MOST_BITS = 32, 1 << 28
 
 #: The same for whole items of fewer tokens, by their number; below five none may differ.
 SHORT_MASKS = {
@@ -56,6 +70,11 @@ SHORT_MASKS = {
 }
 
 
+SCHEMA = (
+    "doc_id long, row long, item_id long, doc_start long, item_start long, tokens long, different long"
+)
+
+
 def window_hashes(codes: np.ndarray, mask: str) -> np.ndarray:
     """A hash per window of ``codes``, over the positions that ``mask`` keeps."""
     n = len(codes) - len(mask) + 1
@@ -88,47 +107,157 @@ def short_seeds(n: int, share: float) -> tuple[str, ...]:
     return (run_mask(n, share),)
 
 
-class SeedIndex:
-    """The windows of a block of items, by hash, for every mask."""
-
-    def __init__(
-        self, items: list[tuple[int | None, str]], least: int = LEAST_TOKENS, share: float = MOST_DIFFERENT
-    ) -> None:
-        names, texts = zip(*items, strict=True)
-        tokens = list(zip(names, token_codes(pa.array(texts, pa.string())), strict=True))
-        self.items = [x for x in tokens if len(x[1])]
-        self.tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
-        alike = defaultdict(list)
-        for k, (_, c) in enumerate(self.items):
-            for mask in seeds(least, share) if len(c) >= least else short_seeds(len(c), share):
-                alike[mask].append(k)
-        for mask, members in alike.items():
-            parts = [(window_hashes(self.items[k][1], mask), k) for k in members]
-            hashes = np.concatenate([h for h, _ in parts])
-            owner = np.concatenate([np.full(len(h), k, np.int64) for h, k in parts])
-            place = np.concatenate([np.arange(len(h)) for h, _ in parts])
-            order = np.argsort(hashes, kind="stable")
-            self.tables.append((mask, hashes[order], owner[order], place[order]))
-
-    def hits(self, codes: np.ndarray, starts: np.ndarray) -> set[tuple[int, int, int]]:
-        """(document, item, shift) of windows that match; documents lie in a row in ``codes``."""
-        found: set[tuple[int, int, int]] = set()
-        for mask, hashes, owner, place in self.tables:
-            own = window_hashes(codes, mask)
-            if not len(own):
-                continue
-            low = np.searchsorted(hashes, own, "left")
-            at = np.flatnonzero(hashes[np.minimum(low, len(hashes) - 1)] == own)
-            if not len(at):
+def plain_spaces(data: np.ndarray) -> np.ndarray:
+    """UTF-8 with the white space beyond ASCII replaced by as many ASCII spaces as it has bytes."""
+    # The white space characters of Unicode, by their first bytes.
+    two = {0xC2: (0x85, 0xA0)}
+    three = {0xE1: (0x9A80,), 0xE2: (*range(0x8080, 0x808B), 0x80A8, 0x80A9, 0x80AF, 0x819F), 0xE3: (0x8080,)}
+    out = data
+    for lead, rest in (*two.items(), *three.items()):
+        wide = 2 if lead in two else 3
+        at = np.flatnonzero(data[: len(data) - wide + 1] == lead)
+        if not len(at):
+            continue
+        value = data[at + 1].astype(np.int64)
+        if wide == 3:
+            value = value << 8 | data[at + 2]
+        at = at[np.isin(value, rest)]
+        if len(at):
+            out = data.copy() if out is data else out
+            out[(at[:, None] + np.arange(wide)).ravel()] = 0x20
+    return out
+
+
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all tokens of the texts in a row, and where each text's begin (the last: end)."""
+    data, starts = raw_text(column)
+    codes, first = word_codes(lower_ascii(plain_spaces(data)), starts, TOKEN_ENDS)
+    return codes, np.searchsorted(first, starts)
+
+
+def windows(
+    codes: np.ndarray, starts: np.ndarray, masks: Sequence[str], lets: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per mask (text, hash, place, length) of the windows of texts in a row.
+
+    Equal windows one after the other are one, of that ``length``. ``lets``: a filter's words.
+    """
+    for mask in masks:
+        own = window_hashes(codes, mask)
+        own ^= mix(np.uint64([int("1" + mask, 2)]))
+        at = np.arange(len(own)) if lets is None else passing(own, lets)
+        text = np.searchsorted(starts, at, "right") - 1
+        inside = at + len(mask) <= starts[text + 1]
+        at, text = at[inside], text[inside]
+        if not len(at):
+            continue
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 1) | (own[at[1:]] != own[at[:-1]]) | (text[1:] != text[:-1])
+        head = np.flatnonzero(new)
+        yield text[head], own[at[head]], at[head] - starts[text[head]], np.diff(np.append(head, len(at)))
+
+
+def probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The three bits of each hash in a filter of ``bits``, a power of two."""
+    for turn in range(3):
+        yield mix(hashes + np.uint64(turn)) & np.uint64(bits - 1)
+
+
+def passing(hashes: np.ndarray, lets: np.ndarray) -> np.ndarray:
+    """Places of the hashes that the filter lets through."""
+    at = np.arange(len(hashes))
+    for turn in range(3):
+        bit = mix(hashes[at] + np.uint64(turn)) & np.uint64(64 * len(lets) - 1)
+        at = at[(lets[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) != 0]
+    return at
+
+
+def filter_of(made: DataFrame) -> np.ndarray:
+    """A filter that lets every hash ``h`` of ``made`` through, as 64-bit words."""
+    want = max(1, made.count()) * BITS_PER_WINDOW
+    bits = min(MOST_BITS, max(1 << 16, 1 << (want - 1).bit_length()))
+
+    def set_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(0).to_numpy().view(np.uint64)
+            for bit in probes(hashes, bits):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(bit).view(np.int64))], names=["bit"])
+
+    def block(table: pa.Table) -> pa.Table:
+        flags = np.zeros(1 << 16, np.uint8)
+        bit = table["bit"].to_numpy()
+        flags[bit & 0xFFFF] = 1
+        raw = np.packbits(flags, bitorder="little").tobytes()
+        return pa.table({"block": pa.array([int(bit[0]) >> 16]), "bits": pa.array([raw], pa.binary())})
+
+    places = made.select("h").mapInArrow(set_bits, "bit long").distinct()
+    blocks = places.groupBy(F.shiftright("bit", 16).alias("block")).applyInArrow(block, "block long, bits binary")
+    lets = np.zeros(bits // 64, np.uint64)
+    for row in blocks.toLocalIterator():  # 8 KB each, at most MOST_BITS together
+        lets[row["block"] << 10 : (row["block"] + 1) << 10] = np.frombuffer(row["bits"], "<u8")
+    return lets
+
+
+def item_windows(benchmark: DataFrame, least: int, share: float) -> DataFrame:
+    """The windows of the items: ``h``, ``item_row``, ``place``, ``length`` and the item's ``tokens``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            rows = batch.column(0).to_numpy()
+            codes, starts = tokens(batch.column(1))
+            sizes = np.diff(starts)
+            for n in np.unique(np.minimum(sizes, least)).tolist():
+                masks = seeds(least, share) if n >= least else short_seeds(n, share) if n else ()
+                for text, h, place, length in windows(codes, starts, masks):
+                    of = np.minimum(sizes[text], least) == n
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(h[of].view(np.int64)),
+                            pa.array(rows[text[of]]),
+                            pa.array(place[of].astype(np.int32)),
+                            pa.array(length[of].astype(np.int32)),
+                            pa.array(np.minimum(sizes[text[of]], least).astype(np.int32)),
+                        ],
+                        names=["h", "item_row", "place", "length", "tokens"],
+                    )
+
+    items = benchmark.where("text IS NOT NULL").select(F.xxhash64("item_id", "text").alias("item_row"), "text")
+    schema = "h long, item_row long, place int, length int, tokens int"
+    return items.dropDuplicates(["item_row"]).mapInArrow(run, schema)
+
+
+def hit_documents(docs: DataFrame, lets: np.ndarray, masks: Sequence[str]) -> DataFrame:
+    """Documents with windows that the filter lets through: ``row``, ``doc_id``, ``text``, ``hits``."""
+    shared = docs.sparkSession.sparkContext.broadcast(lets)
+    kind = pa.struct([("h", pa.int64()), ("place", pa.int32()), ("length", pa.int32())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            codes, starts = tokens(batch.column(2))
+            found = [*windows(codes, starts, masks, shared.value)]
+            if not found:
                 continue
-            doc = np.searchsorted(starts, at, "right") - 1
-            inside = at + len(mask) <= starts[doc + 1]
-            at, doc = at[inside], doc[inside]
-            high = np.searchsorted(hashes, own[at], "right")
-            for a, d, lo, hi in zip(at, doc, low[at], high, strict=True):
-                for j in range(lo, hi):
-                    found.add((int(d), int(owner[j]), int(a - starts[d] - place[j])))
-        return found
+            text, h, place, length = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(text, kind="stable")
+            which, first = np.unique(text[order], return_index=True)
+            hits = pa.StructArray.from_arrays(
+                [
+                    pa.array(h[order].view(np.int64)),
+                    pa.array(place[order].astype(np.int32)),
+                    pa.array(length[order].astype(np.int32)),
+                ],
+                fields=[*kind],
+            )
+            cuts = pa.array(np.append(first, len(order)).astype(np.int32))
+            some = batch.take(pa.array(which))
+            yield pa.RecordBatch.from_arrays(
+                [*some.columns, pa.ListArray.from_arrays(cuts, hits)], names=["row", "doc_id", "text", "hits"]
+            )
+
+    narrow = docs.select(row_key().alias("row"), "doc_id", "text")
+    return narrow.mapInArrow(
+        run, "row long, doc_id long, text string, hits array<struct<h: long, place: int, length: int>>"
+    )
 
 
 def tolerant_overlap(
@@ -170,22 +299,22 @@ def whole_overlap(doc: np.ndarray, item: np.ndarray, shift: int, share: float =
     return (0, len(item), wrong) if wrong <= share * len(item) + 1e-9 else (0, 0, 0)
 
 
-def _blocks(benchmark: DataFrame, block_tokens: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The benchmark's items in blocks of bounded size; only one block is held at a time."""
-    block: list[tuple[int | None, str]] = []
-    size = 0
-    for row in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
-        words = row["text"].split()
-        # An item that is larger than a block is cut, its parts overlapping by the shortest overlap.
-        for start in range(0, max(len(words), 1), block_tokens):
-            part = words[max(0, start - 2 * LEAST_TOKENS) : start + block_tokens]
-            if block and size + len(part) > block_tokens:
-                yield block
-                block, size = [], 0
-            block.append((row["item_id"], " ".join(part)))
-            size += len(part)
-    if block:
-        yield block
+def longest_overlap(
+    doc: np.ndarray, item: np.ndarray, shifts: np.ndarray, least: int, share: float
+) -> tuple[int, int, int, int] | None:
+    """Where the longest overlap over some shifts lies in both, its length and differences.
+
+    Of equally long ones that of the least shift; None if none is long enough.
+    """
+    compare = tolerant_overlap if len(item) >= least else whole_overlap
+    best = None
+    for shift in np.unique(shifts).tolist():
+        at, length, wrong = compare(doc, item, shift, share)
+        if length >= min(least, len(item)) and (best is None or length > best[2]):
+            best = (at + shift, at, length, wrong)
+            if length == len(item):  # none is longer
+                break
+    return best
 
 
 def overlaps(
@@ -193,42 +322,66 @@ def overlaps(
     benchmark: DataFrame,
     least_tokens: int = LEAST_TOKENS,
     most_different: float = MOST_DIFFERENT,
-    block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
-    """One row per document row and item that overlap: the longest overlap of the two."""
-    spark = docs.sparkSession
-    narrow = docs.select("doc_id", row_key().alias("__row"), "text")
-    found: DataFrame | None = None
-    for block in _blocks(benchmark, block_tokens):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = SeedIndex(shared.value, least_tokens, most_different)
-            for batch in slices(batches, 256):
-                texts = token_codes(batch.column(2))
-                starts = np.concatenate([[0], np.cumsum([len(c) for c in texts])])
-                codes = np.concatenate(texts) if texts else np.empty(0, np.uint64)
-                best: dict[tuple[int, int | None], tuple[int, int, int, int]] = {}
-                by_doc = defaultdict(list)
-                for d, k, shift in sorted(index.hits(codes, starts)):
-                    by_doc[d].append((k, shift))
-                for d, hits in by_doc.items():
-                    for k, shift in hits:
-                        item_id, item = index.items[k]
-                        compare = tolerant_overlap if len(item) >= least_tokens else whole_overlap
-                        at, length, wrong = compare(texts[d], item, shift, most_different)
-                        old = best.get((d, item_id), (0, 0, 0, 0))
-                        if length >= min(least_tokens, len(item)) and length > old[2]:
-                            best[d, item_id] = (at + shift, at, length, wrong)
-                ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                out = [(ids[d], rows[d], item_id, *v) for (d, item_id), v in best.items()]
-                columns = list(zip(*out, strict=True)) if out else [()] * 7
-                names = [f.split()[0] for f in SCHEMA.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-        part = narrow.mapInArrow(search, SCHEMA)
-        found = part if found is None else found.unionByName(part)
-    return spark.createDataFrame([], SCHEMA) if found is None else found
+    """One row per different document row and item that overlap: the longest overlap of the two."""
+    made = stage(item_windows(benchmark, least_tokens, most_different), "windows")
+    masks: dict[str, None] = dict.fromkeys(seeds(least_tokens, most_different))
+    # Lengths of short items: fewer than ``least_tokens`` values.
+    for n in sorted(r["tokens"] for r in made.select("tokens").distinct().collect()):
+        if n < least_tokens:
+            masks |= dict.fromkeys(short_seeds(n, most_different))
+    read = stage(hit_documents(docs, filter_of(made), [*masks]), "hit-documents")
+    one = read.groupBy("row").agg(*[F.first(c).alias(c) for c in ("doc_id", "text", "hits")])
+    hits = read.select("row", F.inline("hits")).distinct()
+    theirs = made.select("h", "item_row", F.col("place").alias("at"), F.col("length").alias("n"))
+    shifts = F.struct(
+        (F.col("place") - F.col("at") - F.col("n") + 1).alias("low"),
+        (F.col("place") + F.col("length") - 1 - F.col("at")).alias("high"),
+    )
+    pairs = (
+        hits.join(theirs, "h")
+        .groupBy("row", "item_row")
+        .agg(F.collect_set(shifts).alias("shifts"))
+    )
+    items = benchmark.where("text IS NOT NULL").select(
+        F.xxhash64("item_id", "text").alias("item_row"), "item_id", F.col("text").alias("item")
+    )
+    met = pairs.join(items.dropDuplicates(["item_row"]), "item_row").join(one.drop("hits"), "row")
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            (doc, cuts), (item, ends) = tokens(batch.column("text")), tokens(batch.column("item"))
+            ranges = batch.column("shifts")
+            flat, offsets = ranges.flatten(), np.append(0, np.cumsum(ranges.value_lengths().to_numpy()))
+            low, high = (flat.field(i).to_numpy() for i in (0, 1))
+            out, rows = [], []
+            for k in range(batch.num_rows):
+                own = slice(offsets[k], offsets[k + 1])
+                found = longest_overlap(
+                    doc[cuts[k] : cuts[k + 1]],
+                    item[ends[k] : ends[k + 1]],
+                    np.concatenate([np.arange(a, b + 1) for a, b in zip(low[own], high[own], strict=True)]),
+                    least_tokens,
+                    most_different,
+                )
+                if found:
+                    out.append(found)
+                    rows.append(k)
+            columns = zip(*out, strict=True) if out else [()] * 4
+            kept = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [kept.column(c) for c in ("doc_id", "row", "item_id")] + [pa.array(c, pa.int64()) for c in columns],
+                names=[f.split()[0] for f in SCHEMA.split(", ")],
+            )
+
+    names = ["doc_id", "row", "item_id", "shifts", "text", "item"]
+    found = met.select(*names).mapInArrow(verify, SCHEMA)
+    place = F.struct("doc_start", "item_start", "tokens", "different")
+    return (
+        found.groupBy("doc_id", "row", "item_id")
+        .agg(F.max_by(place, F.struct("tokens", -F.col("doc_start"), -F.col("item_start"))).alias("p"))
+        .select("doc_id", "row", "item_id", "p.*")
+    )
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -242,7 +395,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     return (
         overlaps(docs, benchmark)
-        .groupBy("doc_id", "__row")
+        .groupBy("doc_id", "row")
         .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), best.alias("best"))
         .select("doc_id", "item_ids", "best.*")
     )
@@ -250,5 +403,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any overlap, with their columns."""
-    bad = overlaps(docs, benchmark).select(F.col("__row").alias("__bad")).distinct()
-    return docs.join(bad, row_key() == F.col("__bad"), "left_anti")
+    bad = overlaps(docs, benchmark).select(F.col("row").alias("bad")).distinct()
+    whole = packed(docs)
+    key = row_key(F.col("doc")["doc_id"], F.col("doc")["text"])
+    return unpacked(whole.join(bad, key == F.col("bad"), "left_anti"), docs.columns)
