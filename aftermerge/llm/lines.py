@@ -11,12 +11,13 @@ line is removed if an earlier one, in the order of doc_id and line number, match
 4. Only sets with a partner left are joined to their words, and the pairs are verified. A set
    needs one earlier match, so no pair is ever a row: a task returns the lines that it removes.
 
-A word with many postings is dealt into blocks, known from a second table of fixed size that
-counts postings; every pair of blocks is a task, so no posting list is held whole.
+The postings of every word are counted, and a word with more than a block of them is dealt into
+blocks, of which every pair is a task: no posting list is held whole, and a posting of any other
+word is one row.
 
 Defined cases: lines without words are kept; a null text stays null; repeated rows (same doc_id
 and text) count as one document and are treated alike; documents without doc_id come last; an
-empty table gives an empty result; other columns pass through untouched, whatever their names.
+empty table gives an empty result; other columns pass through in ``doc``, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import by_group, mix, raw_text, row_key, slices, stage, word_codes
+from aftermerge.llm.common import by_group, mix, packed, raw_text, row_key, slices, stage, word_codes
 
 THRESHOLD = 0.8
 
@@ -62,10 +63,6 @@ def _buckets(codes: np.ndarray) -> np.ndarray:
     return (codes >> np.uint64(47)).astype(np.int64)
 
 
-def _ranks(words: np.ndarray) -> np.ndarray:
-    return (words >> np.uint64(30)).astype(np.int64)
-
-
 def _table(rows: DataFrame) -> np.ndarray:
     """Columns b and n as an array of ``BUCKETS`` numbers."""
     out = np.zeros(BUCKETS, np.int64)
@@ -213,29 +210,8 @@ def _prefixes(x: Lines, fresh: np.ndarray, t: float) -> np.ndarray:
     return np.flatnonzero(fresh[x.owner] & (at < prefix_length(x.size, t)[x.owner]))
 
 
-def posting_counts(docs: DataFrame, ranks: np.ndarray, t: float) -> np.ndarray:
-    """Postings by rank of their word."""
-
-    def make() -> Callable[..., Iterator[pa.RecordBatch]]:
-        state: dict[str, object] = {}
-
-        def give(batch: pa.RecordBatch | None, x: Lines | None) -> Iterator[pa.RecordBatch]:
-            counts = state.setdefault("n", np.zeros(BUCKETS, np.int64))
-            if batch is None:
-                yield _bars(counts)
-            else:
-                fresh = state.setdefault("f", _Fresh(t)).of(x)
-                counts += np.bincount(_ranks(x.words[_prefixes(x, fresh, t)]), minlength=BUCKETS)
-
-        return give
-
-    return _table(_mapped(docs, ranks, "b long, n long", make()))
-
-
-def postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, t: float, block: int) -> DataFrame:
-    """A row per set, word of its prefix and pair of blocks: task, s1, a sketch, and in ``meta`` the
-    set's size, the word's place in it and the side of the task."""
-    most = docs.sparkSession.sparkContext.broadcast(np.maximum(1, -(-counts // block)).astype(np.int64))
+def _posted(docs: DataFrame, ranks: np.ndarray, t: float, schema: str, columns: Callable) -> DataFrame:
+    """``columns(Lines, places of prefix words)`` for the sets that are new to a task."""
 
     def make() -> Callable[..., Iterator[pa.RecordBatch]]:
         state: dict[str, _Fresh] = {}
@@ -244,24 +220,51 @@ def postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, t: float, b
             if batch is None:
                 return
             put = _prefixes(x, state.setdefault("f", _Fresh(t)).of(x), t)
-            word, owner = x.words[put], x.owner[put]
-            blocks = most.value[_ranks(word)]
-            mine = (mix(x.s1[owner].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
-            copy = np.repeat(np.arange(len(put)), blocks)
-            other = np.arange(len(copy)) - (np.cumsum(blocks) - blocks)[copy]
-            mine, owner, word, put = mine[copy], owner[copy], word[copy], put[copy]
-            pair = np.minimum(mine, other) * np.int64(1 << 31) + np.maximum(mine, other)
-            task = mix(word ^ mix(pair.view(np.uint64))).view(np.int64)
-            at = np.minimum(put - x.low[owner], (1 << 30) - 1)
-            meta = (x.size[owner] << 31) | (at << 1) | (mine > other)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(task), pa.array(x.s1[owner]), *(pa.array(h[owner]) for h in x.sketch()), pa.array(meta)],
-                names=["task", "s1", "b0", "b1", "meta"],
-            )
+            names, arrays = zip(*columns(x, put).items(), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], names=list(names))
 
         return give
 
-    return _mapped(docs, ranks, "task long, s1 long, b0 long, b1 long, meta long", make())
+    return _mapped(docs, ranks, schema, make())
+
+
+def hot_words(docs: DataFrame, ranks: np.ndarray, t: float, block: int) -> DataFrame:
+    """Words with more postings than a block holds: ``word`` and its number of ``blocks``.
+
+    Postings are counted map-side; the words that are shuffled are the rarest of their lines.
+    """
+    words = _posted(docs, ranks, t, "word long", lambda x, put: {"word": x.words[put].view(np.int64)})
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    return counted.select("word", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+
+
+def postings(docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float) -> DataFrame:
+    """A row per set and word of its prefix, for hot words one for every pair of blocks: task, s1, a
+    sketch, and in ``meta`` the set's size, the word's place in it and the side of the task."""
+
+    def columns(x: Lines, put: np.ndarray) -> dict[str, np.ndarray]:
+        owner = x.owner[put]
+        at = np.minimum(put - x.low[owner], (1 << 30) - 1)
+        b0, b1 = (h[owner] for h in x.sketch())
+        meta = (x.size[owner] << 31) | (at << 1)
+        return {"word": x.words[put].view(np.int64), "s1": x.s1[owner], "b0": b0, "b1": b1, "meta": meta}
+
+    posted = _posted(docs, ranks, t, "word long, s1 long, b0 long, b1 long, meta long", columns)
+    mine = F.pmod(F.xxhash64("s1", F.lit(3)), F.col("blocks").cast("long")).cast("int")
+    dealt = (
+        posted.join(hot, "word", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    )
+    side = (F.col("mine") > F.col("other")).cast("long")
+    return dealt.select(
+        F.xxhash64("word", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"),
+        "s1",
+        "b0",
+        "b1",
+        F.col("meta").bitwiseOR(side).alias("meta"),
+    )
 
 
 class Meeting:
@@ -418,37 +421,59 @@ def _with_words(docs: DataFrame, ranks: np.ndarray, alive: DataFrame, firsts: Da
 
 
 def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """Per document row that keeps lines with words their numbers: ``row`` and ``kept``."""
+    """Per document row with lines that are the first of their set: ``row``, the numbers of those
+    lines (``firsts``), and of lines that match an earlier one (``gone``)."""
     ranks = rarity(docs)
-    counts = posting_counts(docs, ranks, threshold)
+    hot = stage(hot_words(docs, ranks, threshold, block), "hot-words")
     firsts = stage(first_lines(docs, ranks), "lines")
-    alive = stage(_alive(postings(docs, ranks, counts, threshold, block), threshold), "alive")
+    alive = stage(_alive(postings(docs, ranks, hot, threshold), threshold), "alive")
     gone = _later_matches(_with_words(docs, ranks, alive, firsts), threshold)
     marked = firsts.select("row", "line", F.lit(True).alias("first")).unionByName(
         gone.select("row", "line", F.lit(False).alias("first"))
     )
-    by_row = marked.groupBy("row").agg(
+    return marked.groupBy("row").agg(
         F.collect_list(F.when(F.col("first"), F.col("line"))).alias("firsts"),
         F.collect_set(F.when(~F.col("first"), F.col("line"))).alias("gone"),
     )
-    return by_row.select("row", F.array_except("firsts", "gone").alias("kept"))
 
 
-def _stays(kept: Column, lines: Column) -> Column:
-    return F.filter(
-        lines, lambda x, i: F.coalesce(F.array_contains(kept, i), F.lit(False)) | ~x.rlike(_NO_WORD)
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """Per row the input's columns as ``doc``, the kept lines as ``text``, and the numbers of lines
+    ``n_lines`` and ``n_removed``."""
+    whole = packed(docs).withColumn("key", row_key(F.col("doc")["doc_id"], F.col("doc")["text"]))
+    kept = _flags(kept_lines(docs, threshold, block))
+    joined = whole.join(kept, F.col("key") == F.col("row"), "left")
+    lines = F.split(F.col("doc")["text"], "\n")
+    # A line's flag is read by its number, so a text's lines cost one step each.
+    left = F.filter(lines, lambda x, i: F.coalesce(F.get(F.col("stays"), i), F.lit(False)) | ~x.rlike(_NO_WORD))
+    return joined.withColumn("left", left).select(
+        "doc",
+        F.array_join("left", "\n").alias("text"),
+        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size(lines) - F.size("left"), F.lit(0)).alias("n_removed"),
     )
 
 
-def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """``docs`` with the columns ``__text`` (kept lines), ``__lines`` and ``__removed`` (counts)."""
-    kept = kept_lines(docs, threshold, block).select(F.col("row").alias("__row"), F.col("kept").alias("__kept"))
-    joined = docs.withColumn("__key", row_key()).join(kept, F.col("__key") == F.col("__row"), "left")
-    lines = F.split("text", "\n")
-    left = joined.withColumn("__left", _stays(F.col("__kept"), lines))
-    return left.select(
-        *docs.columns,
-        F.array_join("__left", "\n").alias("__text"),
-        F.coalesce(F.size(lines), F.lit(0)).alias("__lines"),
-        F.coalesce(F.size(lines) - F.size("__left"), F.lit(0)).alias("__removed"),
-    )
+def _flags(kept: DataFrame) -> DataFrame:
+    """Line numbers as an array that holds, for each line up to the last first one, whether it stays."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1024):
+            firsts, gone = batch.column(1), batch.column(2)
+            many, less = (c.value_lengths().to_numpy() for c in (firsts, gone))
+            # Lines of a batch lie in a row, each document's up to its last.
+            line, lost = firsts.flatten().to_numpy(), gone.flatten().to_numpy()
+            owner, loser = (np.repeat(np.arange(len(n)), n) for n in (many, less))
+            size = np.zeros(len(many), np.int64)
+            np.maximum.at(size, owner, line.astype(np.int64) + 1)
+            np.maximum.at(size, loser, lost.astype(np.int64) + 1)
+            start = np.append(0, np.cumsum(size))
+            flags = np.zeros(start[-1], bool)
+            flags[start[owner] + line] = True
+            flags[start[loser] + lost] = False
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(flags))],
+                names=["row", "stays"],
+            )
+
+    return kept.mapInArrow(run, "row long, stays array<boolean>")

@@ -62,12 +62,7 @@ def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its text after the removal of repeated lines."""
     deduped = lines.dedup_lines(table(spark, sf, "documents"))
-    return deduped.select(
-        "doc_id",
-        F.col("__lines").alias("n_lines"),
-        F.col("__removed").alias("n_removed"),
-        F.col("__text").alias("text"),
-    )
+    return deduped.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", "text")
 
 
 def op6_url_filters(spark: SparkSession, sf: str) -> DataFrame:
