@@ -2,9 +2,13 @@
 
 A document is the set of its shingles of five words. Every tree of the forest is a trie of
 signatures of ``DEPTH`` MinHash values; documents meet in a trie node if they share the prefix
-that leads to it. All trees are matched at the longest prefix with which even a pair right at the
-threshold is met with the wanted chance, whatever the corpus, and every candidate is verified on
-its shingles.
+that leads to it. Matching begins with whole signatures, the deepest nodes. Every pair that meets is
+verified on its shingles, so the links found and their similarities are known exactly, and with
+them how many links the prefixes are expected to have missed: a link of similarity s is met at
+depth d with the chance 1 - (1 - s^d)^trees, so it stands for one over that many. While the
+expected recall is below the target, all prefixes are shortened by a value and only pairs that
+newly meet are verified; at the latest it ends where even a pair right at the threshold is met
+with the wanted chance.
 
 Equal shingle sets are one set throughout, so copies are never expanded. Nodes with the same
 members are kept once. A large node is dealt into blocks, and every pair of blocks is a task
@@ -26,16 +30,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import block_tasks, by_group, mix, row_key, shingles, slices, stage, text_codes
+from aftermerge.llm.common import (
+    block_tasks,
+    by_group,
+    mix,
+    packed,
+    row_key,
+    shingles,
+    slices,
+    stage,
+    text_codes,
+    unpacked,
+)
 
 WIDTH = 5
 THRESHOLD = 0.8
 TREES = 24
-DEPTH = 5
+DEPTH = 6
 RECALL = 0.99999
 
+#: Bins of similarity that links are counted in.
+BINS = 200
+
 #: Sets of a node that meet in one block; candidate pairs looked at together.
-BLOCK = 512
+BLOCK = 1024
 PAIRS = 1 << 16
 
 #: Buckets of the filter that spares most documents the join with candidates.
@@ -168,10 +186,15 @@ def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
 class _Task:
     """The sets of one task, and which pairs of them are its own to verify."""
 
-    def __init__(self, sets: list[np.ndarray], side: np.ndarray, tree: int, depth: int) -> None:
+    def __init__(
+        self, sets: list[np.ndarray], side: np.ndarray, tree: int, depth: int, first: bool = True
+    ) -> None:
         self.sets, self.side, self.tree = sets, side, tree
         self.size = np.array([len(s) for s in sets])
-        self.node = prefixes(np.stack([signature(s) for s in sets]), depth)
+        signs = np.stack([signature(s) for s in sets])
+        self.node = prefixes(signs, depth)
+        #: The nodes one value deeper, where pairs met in an earlier round.
+        self.deeper = None if first else prefixes(signs, depth + 1)
 
     def pairs(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Candidate pairs, at most about ``PAIRS`` at a time."""
@@ -190,6 +213,8 @@ class _Task:
             i, j = i[ok], j[ok]
             same = self.node[i] == self.node[j]
             ok = same.argmax(1) == self.tree
+            if self.deeper is not None:
+                ok[ok] = ~(self.deeper[i[ok]] == self.deeper[j[ok]]).any(1)
             if ok.any():
                 yield i[ok], j[ok]
 
@@ -230,8 +255,9 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _verified(tasks: DataFrame, depth: int, threshold: float) -> DataFrame:
-    """Per task and linked set: the root of its component there and its number of linked texts."""
+def _verified(tasks: DataFrame, depth: int, threshold: float, first: bool) -> DataFrame:
+    """Per task and linked set the root of its component there and its number of linked texts; and,
+    with ``bin`` set, how many links the task found of a similarity."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_group(batches, "task"):
@@ -243,27 +269,34 @@ def _verified(tasks: DataFrame, depth: int, threshold: float) -> DataFrame:
                 if len(side) < 2 or side.min() == 1:
                     continue
                 found = [shingles(c, WIDTH) for c in text_codes(part["text"].combine_chunks())]
-                group = _Task(found, side, int(part["tree"][0].as_py()), depth)
+                group = _Task(found, side, int(part["tree"][0].as_py()), depth, first)
                 names, texts = part["k1"].to_numpy(), part["texts"].to_numpy()
                 left, right = [], []
+                alike = np.zeros(BINS + 1, np.int64)
                 for i, j in group.pairs(threshold):
                     both = group.shared(i, j)
-                    good = both >= threshold * (group.size[i] + group.size[j] - both) - 1e-9
+                    either = group.size[i] + group.size[j] - both
+                    good = both >= threshold * either - 1e-9
                     left.append(i[good])
                     right.append(j[good])
+                    alike += np.bincount(BINS * both[good] // either[good], minlength=BINS + 1)
                 if not sum(map(len, left)):
                     continue
                 i, j = np.concatenate(left), np.concatenate(right)
                 n = len(names)
                 links = (np.bincount(i, texts[j], n) + np.bincount(j, texts[i], n)).astype(np.int64)
-                at = np.flatnonzero(links)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[at]), pa.array(names[_roots(n, i, j)[at]]), pa.array(links[at])],
-                    names=["k1", "root", "links"],
-                )
+                at, bins = np.flatnonzero(links), np.flatnonzero(alike)
+                none = pa.nulls(len(bins), pa.int64())
+                for columns in (
+                    (names[at], names[_roots(n, i, j)[at]], links[at], pa.nulls(len(at), pa.int64())),
+                    (none, none, alike[bins], bins),
+                ):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in columns], names=["k1", "root", "links", "bin"]
+                    )
 
     parts = tasks.repartition("task").sortWithinPartitions("task")
-    return parts.mapInArrow(run, "k1 long, root long, links long")
+    return parts.mapInArrow(run, "k1 long, root long, links long, bin long")
 
 
 def last_depth(threshold: float, recall: float) -> int:
@@ -272,21 +305,14 @@ def last_depth(threshold: float, recall: float) -> int:
     return max(good, default=1)
 
 
-def matching_depth(agreements: np.ndarray, threshold: float, recall: float) -> int:
-    """The longest prefix expected to find this share of the pairs at the threshold or above.
+def expected_recall(alike: np.ndarray, threshold: float, depth: int) -> float:
+    """The share of all links that was found, from the similarities (by bin) of those found.
 
-    ``agreements``: how many neighbours agree in each number of values. An estimate that ``link_sets``
-    does not rest on, as neighbours favour very similar families.
+    A link counts as no more similar than its bin begins, and as no less than the threshold.
     """
-    alike = np.arange(len(agreements)) / (len(agreements) - 1)
-    # Neighbours met because their first DEPTH values agree; the others show their similarity.
-    alike = np.clip((alike * TREES - 1) / (TREES - 1), 1e-3, 1)
-    stands = np.where(alike >= threshold - 0.05, agreements * alike**-DEPTH, 0)
-    alike = np.maximum(alike, threshold)
-    depth, last = DEPTH, last_depth(threshold, recall)
-    while depth > last and not stands.sum() * recall <= (stands * chance(alike, depth)).sum() > 0:
-        depth -= 1
-    return depth
+    similarity = np.maximum(np.arange(len(alike)) / BINS, threshold)
+    stands_for = (alike / chance(similarity, depth)).sum()
+    return float(alike.sum() / stands_for) if stands_for else 1.0
 
 
 def link_sets(
@@ -296,11 +322,26 @@ def link_sets(
     recall: float = RECALL,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Links of the distinct sets, task by task: k1, root and links."""
-    depth = last_depth(threshold, recall)
-    tasks = stage(_meetings(sets, depth, block), "nodes")
-    texts = _texts(docs, sets, tasks.select("k1").distinct())
-    return _verified(tasks.join(texts, "k1"), depth, threshold)
+    """Links of the distinct sets, task by task: k1, root and links.
+
+    The prefixes of all trees are shortened until the expected recall reaches ``recall``.
+    """
+    floor = last_depth(threshold, recall)
+    alike = np.zeros(BINS + 1, np.int64)
+    rounds: list[DataFrame] = []
+    for depth in range(DEPTH, 0, -1):
+        tasks = stage(_meetings(sets, depth, block), "nodes")
+        texts = _texts(docs, sets, tasks.select("k1").distinct())
+        made = stage(_verified(tasks.join(texts, "k1"), depth, threshold, not rounds), "links")
+        rounds.append(made.where("bin IS NULL").select("k1", "root", "links"))
+        counted = made.where("bin IS NOT NULL").groupBy("bin").agg(F.sum("links").alias("n")).toArrow()
+        np.add.at(alike, counted["bin"].to_numpy(), counted["n"].to_numpy())  # at most a row per bin
+        if depth <= floor or expected_recall(alike, threshold, depth) >= recall:
+            break
+    found = rounds[0]
+    for more in rounds[1:]:
+        found = found.unionByName(more)
+    return found
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -387,7 +428,9 @@ def keep_one(
     Documents without words are no one's duplicates and stay.
     """
     _, classes = _classes(docs, threshold, recall, block)
-    heads = classes.select(F.col("class_row").alias("__head")).distinct()
-    worded = docs.where(_has_words(F.col("text"))).withColumn("__row", row_key())
-    stay = worded.join(heads, F.col("__row") == F.col("__head"), "left_semi").dropDuplicates(["__row"])
-    return stay.drop("__row").unionByName(docs.where(~_has_words(F.col("text"))))
+    heads = classes.select(F.col("class_row").alias("head")).distinct()
+    text = F.col("doc")["text"]
+    whole = packed(docs).withColumn("row", row_key(F.col("doc")["doc_id"], text))
+    worded = whole.where(_has_words(text))
+    stay = worded.join(heads, F.col("row") == F.col("head"), "left_semi").dropDuplicates(["row"])
+    return unpacked(stay.unionByName(whole.where(~_has_words(text))), docs.columns)
