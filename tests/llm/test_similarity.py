@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import SparkSession
 
-from aftermerge.llm import common, decontaminate, lines, near_duplicates
+from aftermerge.llm import common, decontaminate, lines, near_duplicates, quality
 
+SF = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, lang string, row long, word string"
 
 
@@ -82,8 +85,8 @@ def test_line_dedup(spark: SparkSession, block: int) -> None:
     got = lines.dedup_lines(spark.createDataFrame(rows, COLUMNS).repartition(3), block=block).collect()
     want = removed_by_hand(rows)
     assert len(got) == len(rows)
-    assert all(r["__text"] == want[r["doc_id"], r["text"]] for r in got)
-    assert all(r["__removed"] >= 0 for r in got) and sum(r["__removed"] for r in got) > 50
+    assert all(r["text"] == want[r["doc"]["doc_id"], r["doc"]["text"]] for r in got)
+    assert all(r["n_removed"] >= 0 for r in got) and sum(r["n_removed"] for r in got) > 50
 
 
 def test_line_dedup_of_nothing(spark: SparkSession) -> None:
@@ -130,18 +133,55 @@ def test_near_duplicates(spark: SparkSession, block: int, recall: float) -> None
         assert any(v[1] > 1 for v in want.values())
 
 
-def test_prefixes_are_shortened_to_the_recall() -> None:
+def test_expected_recall() -> None:
     near = near_duplicates
     floor = near.last_depth(0.8, 0.99999)
     assert near.chance(0.8, floor) >= 0.99999 > near.chance(0.8, floor + 1)
-    full = near.TREES * near.DEPTH
-    seen = np.zeros(full + 1)
-    assert near.matching_depth(seen, 0.8, 0.99999) == floor
-    seen[full] = 100
-    assert near.matching_depth(seen, 0.8, 0.99999) == near.DEPTH
-    seen[int(0.83 * full)] = 100
-    assert near.matching_depth(seen, 0.8, 0.99999) == floor
-    assert near.matching_depth(seen, 0.8, 0.999) > floor
+    alike = np.zeros(near.BINS + 1)
+    assert near.expected_recall(alike, 0.8, near.DEPTH) == 1
+    alike[near.BINS] = 1000
+    assert near.expected_recall(alike, 0.8, near.DEPTH) == 1
+    alike[int(0.8 * near.BINS)] = 1000
+    got = near.expected_recall(alike, 0.8, near.DEPTH)
+    assert got == pytest.approx(2000 / (1000 + 1000 / near.chance(0.8, near.DEPTH)))
+    assert got < 0.99999 <= near.expected_recall(alike, 0.8, floor)
+
+
+def made_pairs(rng: random.Random, many: int, low: float, high: float) -> list[tuple]:
+    """Pairs of documents whose similarity lies in a range: shingles that begin or end differently."""
+    rows = []
+    for k in range(many):
+        words = [f"p{k}x{j}" for j in range(rng.randint(60, 200))]
+        shared, goal = len(words) - 4, rng.uniform(low, high)
+        extra = round(shared * (1 / goal - 1))
+        while extra and shared / (shared + extra) < low:
+            extra -= 1
+        rows += [(2 * k, " ".join(words), "", 1, ""), (2 * k + 1, " ".join([*words, *(f"e{k}x{j}" for j in range(extra))]), "", 1, "")]
+    return rows
+
+
+def test_recall_on_made_pairs(spark: SparkSession) -> None:
+    """3,000 pairs between 0.8 and 0.95, which brute force would link one and all."""
+    rows = made_pairs(random.Random(12), 3000, 0.8, 0.95)
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(4)
+    got = near_duplicates.near_duplicates(docs).where("class_id % 2 = 0").collect()
+    found = sum(r["doc_id"] % 2 == 1 and r["class_id"] == r["doc_id"] - 1 for r in got)
+    assert found >= 2999
+    assert all(r["class_id"] // 2 == r["doc_id"] // 2 for r in got)
+
+
+@pytest.mark.parametrize(("low", "high", "depths"), [(0.93, 0.99, [6]), (0.8, 0.82, [6, 5, 4])])
+def test_prefixes_are_shortened_only_as_far_as_needed(
+    spark: SparkSession, monkeypatch: pytest.MonkeyPatch, low: float, high: float, depths: list[int]
+) -> None:
+    near = near_duplicates
+    used = []
+    meet = near._meetings
+    monkeypatch.setattr(near, "_meetings", lambda sets, depth, block: used.append(depth) or meet(sets, depth, block))
+    docs = spark.createDataFrame(made_pairs(random.Random(3), 150, low, high), COLUMNS)
+    got = near.near_duplicates(docs).collect()
+    assert all((r["class_id"], r["n_links"]) == (r["doc_id"] // 2 * 2, 1) for r in got)
+    assert used == depths
 
 
 def test_near_duplicates_keeps_one(spark: SparkSession) -> None:
@@ -156,23 +196,10 @@ def test_near_duplicates_keeps_one(spark: SparkSession) -> None:
 def test_lines_of_few_words_at_lower_thresholds(spark: SparkSession) -> None:
     docs = spark.createDataFrame([(1, "ab cd ef", "", 1, ""), (2, "ab cd ef gh\nij kl", "", 1, "")], COLUMNS)
     for threshold, left in [(0.7, "ij kl"), (0.8, "ab cd ef gh\nij kl")]:
-        got = {r["doc_id"]: r["__text"] for r in lines.dedup_lines(docs, threshold=threshold).collect()}
+        got = {r["doc"]["doc_id"]: r["text"] for r in lines.dedup_lines(docs, threshold=threshold).collect()}
         assert got == {1: "ab cd ef", 2: left}, threshold
 
 
-def test_depth_does_not_follow_the_corpus(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
-    near = near_duplicates
-    used = []
-    meet = near._meetings
-    monkeypatch.setattr(near, "_meetings", lambda sets, depth, block: used.append(depth) or meet(sets, depth, block))
-    # Families that are all but equal say nothing about pairs at the threshold.
-    rows = [(i, " ".join(f"w{i // 4}x{j}" for j in range(400)) + f" end{i}", "", 1, "") for i in range(24)]
-    got = near.near_duplicates(spark.createDataFrame(rows, COLUMNS)).collect()
-    assert {(r["doc_id"], r["class_id"]) for r in got} == {(i, i // 4 * 4) for i in range(24)}
-    assert used == [near.last_depth(near.THRESHOLD, near.RECALL)]
-    assert near.chance(near.THRESHOLD, used[0]) >= near.RECALL
-
-
 def overlap_by_hand(doc: list[int], item: list[int]) -> int:
     """The longest stretch without gaps that starts and ends equal and differs in a fifth at most."""
     best = 0
@@ -211,14 +238,87 @@ def test_seeds_miss_no_pattern() -> None:
             assert not missed(decontaminate.seeds(least, share), n, int(share * n)), (least, share, n)
 
 
-def test_every_substitution_is_found() -> None:
-    for n, different in [(13, 2), (15, 3), (16, 3)]:
-        item = [f"w{i}" for i in range(n)]
-        index = decontaminate.SeedIndex([(1, " ".join(item))])
-        code = dict(zip(item, index.items[0][1], strict=True))
+def test_every_substitution_is_found(spark: SparkSession) -> None:
+    rows, items, want = [], [], set()
+    for n, different in [(13, 2), (15, 3)]:
+        item = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
         for places in itertools.combinations(range(1, n - 1), different):
-            doc = np.array([1, 2, *(3 if i in places else code[w] for i, w in enumerate(item)), 4], np.uint64)
-            assert (0, 0, 2) in index.hits(doc, np.array([0, len(doc)])), places
+            text = " ".join(["a", "b", *("other" if i in places else w for i, w in enumerate(item)), "c"])
+            want.add((len(rows), n, 2, n, different))
+            rows.append((len(rows), text, "", 1, ""))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.overlaps(spark.createDataFrame(rows, COLUMNS).repartition(3), bench)
+    columns = ("doc_id", "item_id", "doc_start", "tokens", "different")
+    assert {tuple(r[c] for c in columns) for r in got.collect()} == want
+
+
+def overlaps_by_hand(rows: list[tuple], items: list[tuple]) -> dict[tuple, int]:
+    """The longest overlap of every document and item, over all shifts."""
+
+    def cut(text: str | None) -> list[str]:
+        return re.findall("[^\\s\"'`.,;:!?()\\[\\]{}<>*#$%&|/\\\\_~^=+@-]+", (text or "").lower())
+
+    codes: dict[str, int] = {}
+    coded = lambda text: np.array([codes.setdefault(w, len(codes)) for w in cut(text)], np.int64)
+    out: dict[tuple, int] = {}
+    for doc_id, text, *_ in rows:
+        for item_id, passage in items:
+            doc, item = coded(text), coded(passage)
+            shifts = np.arange(-len(item), len(doc) + 1)
+            found = decontaminate.longest_overlap(doc, item, shifts, 13, 0.2) if len(item) and len(doc) else None
+            if found and (len(item) >= 5 or found[3] == 0):
+                out[doc_id, item_id] = max(found[2], out.get((doc_id, item_id), 0))
+    return out
+
+
+def test_overlaps_match_all_shifts(spark: SparkSession) -> None:
+    """Whole and partial copies with substitutions, one token repeated, and items in several parts."""
+    rng = random.Random(11)
+    word = lambda: rng.choice(["the", "of", *(f"t{i}" for i in range(60))])
+    items = [(i % 9, " ".join(word() for _ in range(rng.choice([1, 3, 7, 12, 13, 14, 30, 80])))) for i in range(14)]
+    items += [(20, "echo " * 40), (21, "echo " * 9 + "stop"), (22, "echo " * 15), (3, None), (None, "lone item of five words here")]
+    rows = []
+    for i in range(60):
+        passage = [*rng.choice(items[:14])[1].split()]
+        low = rng.randint(0, len(passage))
+        part = passage if rng.random() < 0.5 else passage[low : low + rng.randint(1, 30)]
+        part = [word() if rng.random() < 0.15 else w for w in part]
+        text = " ".join([*(word() for _ in range(rng.randint(0, 30))), *part, *(word() for _ in range(5))])
+        rows.append((i, text, "", 1, ""))
+    rows += [(100, "echo " * 300, "", 1, ""), (101, "a " + "echo " * 14 + "b", "", 1, ""), (102, None, "", 1, ""), (103, "Lone item, of five words: here!", "", 1, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    got = decontaminate.overlaps(spark.createDataFrame(rows, COLUMNS).repartition(3), bench)
+    assert {(r["doc_id"], r["item_id"]): r["tokens"] for r in got.collect()} == overlaps_by_hand(rows, items)
+
+
+def test_a_full_filter_changes_nothing(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    rng = random.Random(2)
+    items = [(i, " ".join(f"q{rng.randint(0, 500)}" for _ in range(40))) for i in range(60)]
+    rows = [(i, f"start {items[i % 60][1]} end", "", 1, "") for i in range(90)] + [(99, "q1 q2 q3 " * 20, "", 1, "")]
+    docs, bench = spark.createDataFrame(rows, COLUMNS), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: {(r["doc_id"], *r["item_ids"], r["tokens"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    whole = found()
+    assert len(whole) == 90
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 1 << 16)
+    monkeypatch.setattr(decontaminate, "BITS_PER_WINDOW", 1)
+    assert found() == whole
+
+
+@pytest.mark.parametrize("space", ["\u00a0", "\u3000", "\u2028", "\u0085", "\u2009", "\u202f", "\u205f", "\u1680"])
+def test_white_space_beyond_ascii_cuts_tokens(spark: SparkSession, space: str) -> None:
+    words = [f"w{i}" for i in range(40)]
+    items = [(1, space.join(words)), (2, f"x{space}y z k l m n o p q r s t u"), (3, "é ß à ø å æ ü ö ä ñ ç ò ù ì")]
+    rows = [
+        (1, "before " + items[0][1] + " after", "", 1, ""),  # letter for letter
+        (2, "before " + " ".join(words) + " after", "", 1, ""),  # with plain spaces
+        (3, items[1][1], "", 1, ""),
+        (4, "nothing of " + space + " this \u00e9" + space, "", 1, ""),
+        (5, items[2][1].replace(" ", space), "", 1, ""),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(rows, COLUMNS), bench).collect()
+    assert {(r["doc_id"], r["item_ids"][0], r["tokens"]) for r in got} == {(1, 1, 40), (2, 1, 40), (3, 2, 14), (5, 3, 14)}
 
 
 def test_short_items_with_substitutions(spark: SparkSession) -> None:
@@ -264,7 +364,78 @@ def test_decontamination(spark: SparkSession) -> None:
     assert (got[1]["tokens"], got[1]["different"], got[1]["doc_start"]) == (30, 2, 50)
     stay = decontaminate.drop_contaminated(docs, bench)
     assert stay.columns == docs.columns and sorted(r["doc_id"] for r in stay.collect()) == [2, 4, 5, 6]
-    parts = decontaminate.overlaps(docs, bench, block_tokens=25)
-    assert {r["doc_id"] for r in parts.collect()} == {0, 1, 3}
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+
+
+CLASH = (
+    "doc_id long, text string, `doc` string, `key` string, `row` string, `__key` string, `__row` string, `__kept` string,"
+    " `__text` string, `__rejected` string, `__head` string, `__bad` string, `head` int, `bad` int, `rejected` int,"
+    " `left` int, `stays` int, `n_lines` int, `n_removed` int, `a.b` int, `x``y` int, `n_chars` long"
+)
+
+
+def test_columns_of_any_name_pass_through(spark: SparkSession) -> None:
+    names = [c.split("` ")[0].strip("` ") for c in CLASH.split(", ")][2:-1]
+    texts = [" ".join(f"v{i}x{j}" for j in range(60)) for i in range(4)]
+    item = " ".join(f"bench{j}" for j in range(20))
+    texts += [texts[0], texts[1] + " " + item, "few words", None]
+    rows = []
+    for i, text in enumerate(texts):
+        rows.append((i, text, *(f"{i}{k}" for k in range(10)), *(i * 100 + k for k in range(9)), 7))
+    docs = spark.createDataFrame(rows, CLASH)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    given = {r["doc_id"]: tuple(r) for r in docs.collect()}
+    for made, left in (
+        (quality.filter_quality(docs), {0, 1, 2, 3, 4, 5}),
+        (near_duplicates.keep_one(docs), {0, 1, 2, 3, 5, 6, 7}),
+        (decontaminate.drop_contaminated(docs, bench), {0, 1, 2, 3, 4, 6, 7}),
+    ):
+        assert made.columns == docs.columns
+        assert {r["doc_id"]: tuple(r) for r in made.collect()} == {k: given[k] for k in left}
+    deduped = {r["doc"]["doc_id"]: r for r in lines.dedup_lines(docs).collect()}
+    assert {k: tuple(r["doc"]) for k, r in deduped.items()} == given and len(names) == 19
+    assert (deduped[0]["n_removed"], deduped[4]["n_removed"], deduped[7]["text"]) == (0, 1, None)
+
+
+def test_the_pipeline_passes_columns_of_any_name(spark: SparkSession) -> None:
+    import corpus_pipeline as pipeline
+
+    texts = [" ".join(f"v{i}x{j}" for j in range(60)) + f"\nsame line of every document here\nline {i}" for i in range(4)]
+    rows = [(i, t, *(f"{i}{k}" for k in range(10)), *(i * 100 + k for k in range(9)), 7) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, CLASH)
+    given = {r["doc_id"]: tuple(r)[2:-1] for r in docs.collect()}
+    for _, stage in pipeline.STAGES[:4]:
+        docs = stage(spark, docs, SF)
+        got = {r["doc_id"]: r for r in docs.collect()}
+        assert docs.columns == [c.name for c in spark.createDataFrame([], CLASH).schema]
+        assert {k: tuple(r)[2:-1] for k, r in got.items()} == given
+        assert all(r["n_chars"] in (7, len(r["text"])) for r in got.values())
+    assert sorted(r["text"].count("same line") for r in got.values()) == [0, 0, 0, 1]
+    without = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    assert pipeline.line_dedup(spark, without, SF).first()["text"] == texts[0]
+
+
+def test_postings_of_rare_words_are_not_copied(spark: SparkSession) -> None:
+    """However many words share a bucket of the counts, only a word that is hot itself is dealt out."""
+    rows = [(i, "\n".join(f"only{i}a{j} two{i}b{j} common{j % 3}" for j in range(30)), "", 1, "") for i in range(60)]
+    rows += [(100 + i, "\n".join(f"hot u{i}x{j}" for j in range(3)), "", 1, "") for i in range(20)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    ranks = lines.rarity(docs)
+    hot = lines.hot_words(docs, ranks, 0.5, 40)
+    plain = lines.postings(docs, ranks, hot.limit(0), 0.5).count()
+    dealt = lines.postings(docs, ranks, hot, 0.5).count()
+    assert hot.count() <= 4 and plain <= dealt < 1.2 * plain
+
+
+def test_many_lines_cost_in_proportion(spark: SparkSession) -> None:
+    def seconds(n: int) -> float:
+        text = "\n".join(f"a{i} b{i} c{i % 7} d" for i in range(n)) + "\na1 b1 c1 d"
+        docs = spark.createDataFrame([(1, text, "", 1, "")], COLUMNS)
+        started = time.perf_counter()
+        (row,) = lines.dedup_lines(docs).collect()
+        assert (row["n_lines"], row["n_removed"]) == (n + 1, 1)
+        return time.perf_counter() - started
+
+    seconds(100)
+    assert seconds(80_000) < 2.5 * max(seconds(40_000), 2.0)
