@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from aftermerge.llm.common import as_bytes, slices
-from aftermerge.llm.tokens import END, WordIds
+from aftermerge.llm.tokens import END, word_ids
 
 SCHEMA = pa.schema(
     [
@@ -138,7 +138,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << 32
-        words, packer = WordIds(tokenizer), SquaresPacker(size)
+        words, packer = word_ids(tokenizer), SquaresPacker(size)
         end = np.array([END], "<u4").tobytes()
 
         def out() -> pa.RecordBatch:
