@@ -26,6 +26,7 @@ from aftermerge.schemas import (
     RATE_LIMIT,
     REPOSITORY_NODE,
     RESPONSE_BODY,
+    SNAPSHOT_NODE,
     columns,
 )
 
@@ -62,9 +63,13 @@ def _commits(nodes: str) -> Column:
     return F.expr(f"coalesce({listed}, CAST(array() AS array<{COMMIT}>))").alias("commits")
 
 
-def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int = 50) -> DataFrame:
+def parse_activity(
+    responses: DataFrame, *, since: dt.datetime, prs_first: int = 50, nodes: bool = True
+) -> DataFrame:
     """One row per requested repository: status, metadata and its commit and pull arrays.
 
+    Without ``nodes`` the arrays are left out, and bodies are parsed only as far as snapshots need.
+
     Arrays hold one response page each (the API caps a page at 100 entries). Pull requests
     older than ``since`` are left out; a full page with none left out is marked truncated.
     """
@@ -84,12 +89,16 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
         first.isNotNull(),
         F.coalesce(F.nullif(first["type"], F.lit("")), F.nullif(first["message"], F.lit("")), F.lit("ERROR")),
     )
-    nodes = asked.select(
+    found = asked.select(
         *request,
         "repo",
         error.alias("error_type"),
         F.explode(
-            F.array(F.from_json(F.try_element_at(F.col("b.data"), alias), REPOSITORY_NODE))
+            F.array(
+                F.from_json(
+                    F.try_element_at(F.col("b.data"), alias), REPOSITORY_NODE if nodes else SNAPSHOT_NODE
+                )
+            )
         ).alias("n"),
     )
     missing = F.col("n").isNull()
@@ -101,7 +110,8 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
         .otherwise("ok")
     )
     history = branch["target"]["history"]
-    parsed = nodes.select(
+    pull = _PULL if nodes else "struct(try_to_timestamp(n.updatedAt) AS updated_at)"
+    parsed = found.select(
         *request,
         "repo",
         status.alias("status"),
@@ -114,16 +124,17 @@ def parse_activity(responses: DataFrame, *, since: dt.datetime, prs_first: int =
         branch["name"].alias("default_branch"),
         history["totalCount"].alias("commits_total"),
         F.coalesce(history["pageInfo"]["hasNextPage"], F.lit(False)).alias("commits_truncated"),
-        _commits("n.defaultBranchRef.target.history.nodes"),
-        F.expr(f"transform(n.pullRequests.nodes, n -> {_PULL})").alias("all_pulls"),
+        *([_commits("n.defaultBranchRef.target.history.nodes")] if nodes else []),
+        F.expr(f"transform(n.pullRequests.nodes, n -> {pull})").alias("all_pulls"),
     )
     recent = F.filter("all_pulls", lambda p: p["updated_at"] >= F.lit(since))
     page = F.coalesce(F.size("all_pulls"), F.lit(0))
-    return parsed.withColumn("pulls", recent).select(
+    whole = parsed.withColumn("pulls", recent).select(
         *[c for c in parsed.columns if c != "all_pulls"],
         "pulls",
         ((page >= prs_first) & (F.size("pulls") == page)).alias("pulls_truncated"),
     )
+    return whole if nodes else whole.drop("pulls")
 
 
 def history_pages(responses: DataFrame) -> DataFrame:

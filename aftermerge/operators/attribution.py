@@ -41,13 +41,34 @@ _TRAILER_FIELD = {
 def _evidence_sql(rules: Sequence[Rule], inputs: Mapping[str, str]) -> str:
     keys = sorted({r.trailer_key.lower() for r in rules if r.type in TRAILER_TYPES and r.trailer_key})
     usable = [r for r in rules if r.type in inputs or (r.type in TRAILER_TYPES and "message" in inputs)]
-    entries = ", ".join(let(_match_sql(r, inputs), "m", _entry_sql(r)) for r in usable)
-    found = f"CAST(array_compact(array({entries})) AS {EVIDENCE})"
+    if any(r.requires for r in usable):
+        found = _conjunctive_sql(usable, inputs)
+    else:
+        entries = ", ".join(let(_match_sql(r, inputs), "m", _entry_sql(r)) for r in usable)
+        found = f"CAST(array_compact(array({entries})) AS {EVIDENCE})"
     if any(r.type in TRAILER_TYPES for r in usable):
         return let(_people_sql(inputs["message"], keys), "people", found)
     return found
 
 
+def _conjunctive_sql(usable: Sequence[Rule], inputs: Mapping[str, str]) -> str:
+    """The same where signals require others: all are matched once, then each looks at its own.
+
+    What a signal requires is complete (see ``required_signals``), so one pass decides all. A signal
+    that requires one these inputs cannot show never matches.
+    """
+    place = {(r.agent_id, r.signal_id): i for i, r in enumerate(usable)}
+    matches = ", ".join(f"{_match_sql(r, inputs)} AS m{i}" for i, r in enumerate(usable))
+    entries = []
+    for i, rule in enumerate(usable):
+        needed = [place.get((rule.agent_id, signal)) for signal in rule.requires]
+        if None in needed:
+            continue
+        met = " AND ".join(f"ms.m{k} IS NOT NULL" for k in (i, *needed))
+        entries.append(let(f"CASE WHEN {met} THEN ms.m{i} END", "m", _entry_sql(rule)))
+    return let(f"struct({matches})", "ms", f"CAST(array_compact(array({', '.join(entries)})) AS {EVIDENCE})")
+
+
 def _people_sql(message: str, keys: list[str]) -> str:
     """Trailers some rule asks for, each with its name and e-mail part."""
     listed = ", ".join(quote(k) for k in keys)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 """Rows of one key that a single task is expected to handle."""
 
+HOT_KEYS = 50_000
+"""Keys that are salted at most, the largest first: what bounds the broadcast of the salt table."""
+
 
 def lookup_join(
     rows: DataFrame,
@@ -17,13 +20,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to few ``lookup`` rows per key, splitting hot keys over many tasks.
 
     A key with ``n >= hot_rows`` rows is given ``ceil(n / hot_rows)`` salts: its rows are
     spread over them by a hash of the whole row, and its lookup rows are copied to each.
-    There are at most ``count(rows) / hot_rows`` such keys, which bounds the broadcast of the
-    salt table. Keys are counted after map-side combination. Rows with a NULL key match
+    At most :data:`HOT_KEYS` keys are salted, those with the most rows; any other holds less than
+    that part of all rows, which the engine splits at run time. Keys are counted after map-side
+    combination, on ``counted`` where the same keys are at hand without the joins behind ``rows``. Rows with a NULL key match
     nothing and are spread as well. Results are those of a plain equi-join.
 
     Only ``left``, ``inner``, ``left_semi`` and ``left_anti`` keep their meaning when the
@@ -33,9 +38,12 @@ def lookup_join(
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(on)
     hot = (
-        rows.groupBy(*keys)
+        (rows if counted is None else counted)
+        .groupBy(*keys)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") >= hot_rows)
+        .orderBy(F.desc("_n"), *keys)
+        .limit(HOT_KEYS)
         .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_splits"))
     )
     spread = F.xxhash64(*[F.col(c) for c in rows.columns])

@@ -51,6 +51,8 @@ def changes(judged: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
     ``repo_key`` is the lower-cased name or, with the table of
     :func:`aftermerge.operators.lineage.canonical_repos`, the repository the name meant at the
     commit's time, so that what follows sees through renames.
+
+    A ``matched_prefilter`` of the rows is kept: whether any copy of the commit matched.
     """
     known = F.col("pr_number") if "pr_number" in judged.columns else pr_number("message")
     parsed = judged.select(
@@ -62,6 +64,7 @@ def changes(judged: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
         known.alias("pr_number"),
         is_fix("message").alias("is_fix"),
         F.struct(text.revert("message")).alias("_r"),
+        *(F.col(c) for c in ("matched_prefilter",) if c in judged.columns),
     )
     names = [c for c in parsed.columns if c != "_r"]
     undo = with_struct(parsed, F.col("_r"), ["_u"])
@@ -72,7 +75,13 @@ def changes(judged: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
         F.col("_u.reverted_sha").alias("target_sha"),
         F.col("_u.original_pr_number").alias("target_pr"),
     )
-    return dedupe_commits(with_repo_key(flat, lineage), ["at", *CHANGE_COLUMNS])
+    keyed = with_repo_key(flat, lineage)
+    if "matched_prefilter" not in judged.columns:
+        return dedupe_commits(keyed, ["at", *CHANGE_COLUMNS])
+    # The first copy and what any copy showed, in one aggregation.
+    first = F.min(F.struct("at", *CHANGE_COLUMNS, "repo")).alias("_first")
+    folded = keyed.groupBy("repo_key", "sha").agg(first, F.max("matched_prefilter").alias("matched_prefilter"))
+    return folded.select("repo_key", "sha", "_first.*", "matched_prefilter")
 
 
 def dedupe_commits(commits: DataFrame, order: Sequence[str] = ("at", "event_id")) -> DataFrame:
@@ -810,7 +819,7 @@ def link_commits_to_pulls(
         F.col("number").alias("number_pull"),
     )
     merged = rows.join(by_merge, ["repo_key", "sha"], "left")
-    linked = lookup_join(merged, numbers, ["repo_key", "pr_number"], "left", hot_rows)
+    linked = lookup_join(merged, numbers, ["repo_key", "pr_number"], "left", hot_rows, counted=rows)
     how = F.when(F.col("merge_pull").isNotNull(), "merge_commit").when(
         F.col("number_pull").isNotNull(), "number"
     )

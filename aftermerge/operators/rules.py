@@ -42,6 +42,8 @@ class Rule:
     pattern: str
     confidence: str
     case_sensitive: bool
+    requires: tuple[str, ...] = ()
+    """Signals of the same agent that must match too, those that they require included."""
 
     @property
     def java(self) -> str:
@@ -87,8 +89,12 @@ def rules_from_mapping(document: Mapping[str, Any]) -> list[dict[str, Any]]:
                 signal,
                 place,
                 ("id", "type", "pattern", "confidence"),
-                ("trailer_key", "case_sensitive", "evidence", "notes"),
+                ("trailer_key", "case_sensitive", "evidence", "notes", "requires"),
             )
+            requires = signal.get("requires")
+            if requires is not None and not (isinstance(requires, list) and all(map(_text, requires))):
+                problems.append(f"{place}.requires: must be a list of signal ids")
+                requires = None
             rows.append(
                 {
                     "registry_version": version if isinstance(version, int) else None,
@@ -106,6 +112,7 @@ def rules_from_mapping(document: Mapping[str, Any]) -> list[dict[str, Any]]:
                     "case_sensitive": bool(signal.get("case_sensitive", False)),
                     "evidence": signal.get("evidence"),
                     "notes": signal.get("notes"),
+                    "requires": requires,
                 }
             )
     if problems:
@@ -132,6 +139,28 @@ def rules_frame(spark: SparkSession, rows: Iterable[Mapping[str, Any]]) -> DataF
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], RULES)
 
 
+def required_signals(requires: Mapping[str, Iterable[str]]) -> dict[str, tuple[str, ...]]:
+    """Per signal all that must match with it: what it requires, what that requires, and so on.
+
+    Signals are taken in the order of their dependencies.
+
+    Raises:
+        RuleError: when a required signal is unknown or requirements run in a circle.
+    """
+    full: dict[str, set[str]] = {}
+    left = {name: set(needed) for name, needed in requires.items()}
+    if unknown := sorted({n for needed in left.values() for n in needed} - set(left)):
+        raise RuleError(f"requires an unknown signal: {', '.join(unknown)}")
+    while left:
+        ready = [name for name, needed in left.items() if needed <= full.keys()]
+        if not ready:
+            raise RuleError(f"requires itself in a circle: {', '.join(sorted(left))}")
+        for name in ready:
+            needed = left.pop(name)
+            full[name] = needed.union(*(full[n] for n in needed))
+    return {name: tuple(sorted(needed)) for name, needed in full.items()}
+
+
 def compile_rules(
     rules: DataFrame | Iterable[Mapping[str, Any]],
     *,
@@ -163,6 +192,13 @@ def compile_rules(
     if problems:
         raise RuleError("; ".join(f"{where}: {text}" for where, text in problems))
     active = [r for r in rows if r["status"] != "deprecated"]
+    needed: dict[tuple[str, str], tuple[str, ...]] = {}
+    for agent in {r["agent_id"] for r in active}:
+        own = {r["signal_id"]: r.get("requires") or () for r in active if r["agent_id"] == agent}
+        try:
+            needed |= {(agent, signal): full for signal, full in required_signals(own).items()}
+        except RuleError as error:
+            raise RuleError(f"{agent}: {error}") from None
     active.sort(
         key=lambda r: (-CONFIDENCE_RANK[r["confidence"]], r["agent_order"], r["signal_order"])
     )
@@ -176,6 +212,7 @@ def compile_rules(
             pattern=r["pattern"],
             confidence=r["confidence"],
             case_sensitive=bool(r["case_sensitive"]),
+            requires=needed[r["agent_id"], r["signal_id"]],
         )
         for r in active
     )
@@ -282,7 +319,35 @@ def validate_rules(rules: DataFrame) -> DataFrame:
             F.lit("duplicate agent id").alias("problem"),
         )
     )
-    return per_row.unionByName(patterns).unionByName(same_signal).unionByName(same_agent)
+    found = per_row.unionByName(patterns).unionByName(same_signal).unionByName(same_agent)
+    return found.unionByName(requirement_problems(rules)) if "requires" in rules.columns else found
+
+
+def requirement_problems(rules: DataFrame) -> DataFrame:
+    """Signals that require one their agent doesn't have, or that lead into a circle."""
+    keys = ["registry_version", "agent_id"]
+    edges = rules.select(*keys, "signal_id", F.explode("requires").alias("needs")).distinct()
+    known = rules.select(*keys, F.col("signal_id").alias("needs")).distinct()
+    unknown = edges.join(known, [*keys, "needs"], "left_anti").select(
+        *keys, "signal_id", F.lit("requires an unknown signal").alias("problem")
+    )
+    # An agent's requirements are configuration: a handful of rows.
+    circles = edges.groupBy(*keys).applyInPandas(
+        _circles, "registry_version int, agent_id string, signal_id string, problem string"
+    )
+    return unknown.distinct().unionByName(circles)
+
+
+def _circles(edges: pd.DataFrame) -> pd.DataFrame:
+    left: dict[str, set[str]] = {}
+    for signal, needs in zip(edges["signal_id"], edges["needs"], strict=True):
+        left.setdefault(signal, set()).add(needs)
+    while ready := [s for s, needs in left.items() if not needs & left.keys()]:
+        for signal in ready:
+            del left[signal]
+    rows = [(edges["registry_version"].iloc[0], edges["agent_id"].iloc[0], signal) for signal in sorted(left)]
+    found = pd.DataFrame(rows, columns=["registry_version", "agent_id", "signal_id"], dtype=object)
+    return found.assign(problem=pd.Series("requires itself in a circle", found.index, dtype=object))
 
 
 def _pattern_problems(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
@@ -299,8 +364,13 @@ def fingerprint(rules: DataFrame) -> DataFrame:
     Row digests are added up, so rows combine in any order and no version's rows are gathered
     in one place.
     """
-    texts = [F.col(c).cast("string") for c in columns(RULES)]
+    # Requirements came later: a row without any has the hash it had before there were some.
+    plain = [c for c in columns(RULES) if c != "requires"]
+    texts = [F.col(c).cast("string") for c in plain]
     marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    if "requires" in rules.columns:
+        listed = F.array_join("requires", ",")
+        marked.append(F.coalesce(F.concat(F.length(listed).cast("string"), F.lit(":"), listed), F.lit("")))
     row = F.sha2(F.concat(*marked), 256)
     parts = [
         F.sum(F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(38,0)")).cast("string")

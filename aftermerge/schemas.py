@@ -65,6 +65,14 @@ REPOSITORY_NODE = f"""
         reviewThreads: {_COUNT}, mergeCommit: STRUCT<oid: STRING>>>>,
     defaultBranchRef {_BRANCH}
 """
+# What a snapshot needs of the same node: no commits, and of pull requests their times only.
+SNAPSHOT_NODE = """
+    nameWithOwner STRING, databaseId BIGINT, isFork BOOLEAN, stargazerCount BIGINT,
+    primaryLanguage STRUCT<name: STRING>,
+    pullRequests STRUCT<totalCount: BIGINT, nodes: ARRAY<STRUCT<updatedAt: STRING>>>,
+    defaultBranchRef STRUCT<name: STRING, target: STRUCT<history: STRUCT<
+        totalCount: BIGINT, pageInfo: STRUCT<hasNextPage: BOOLEAN, endCursor: STRING>>>>
+"""
 HISTORY_PAGE_NODE = f"defaultBranchRef {_BRANCH}"
 RATE_LIMIT = "cost BIGINT, remaining BIGINT, resetAt STRING"
 
@@ -97,7 +105,8 @@ PANEL_PULLS = f"""
 RULES = """
     registry_version INT, agent_order INT, agent_id STRING, name STRING, vendor STRING,
     status STRING, signal_order INT, signal_id STRING, type STRING, trailer_key STRING,
-    pattern STRING, confidence STRING, case_sensitive BOOLEAN, evidence STRING, notes STRING
+    pattern STRING, confidence STRING, case_sensitive BOOLEAN, evidence STRING, notes STRING,
+    requires ARRAY<STRING>
 """
 
 EVIDENCE = (

@@ -98,6 +98,16 @@ CTE["evidence2"] = (
 verdict2 AS (SELECT rid, arg_min(agent_id, ord) AS agent_id FROM found2 GROUP BY rid)""",
 )
 
+CTE["evidence3"] = (
+    ("evidence",),
+    """found3 AS (
+  SELECT f.* FROM found f WHERE f.signal_id NOT IN ('heron-name', 'heron-hint', 'kestrel-author')
+    OR f.signal_id = 'heron-name' AND f.rid IN (SELECT rid FROM found WHERE signal_id = 'heron-mail')
+    OR f.signal_id = 'heron-hint' AND f.rid IN (SELECT a.rid FROM found a JOIN found b USING (rid) WHERE a.signal_id = 'heron-mail' AND b.signal_id = 'heron-name')
+    OR f.signal_id = 'kestrel-author' AND f.rid IN (SELECT rid FROM found WHERE signal_id = 'kestrel-mail')),
+evid3 AS (SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY ord) - 1 AS INT) AS rank FROM found3)""",
+)
+
 _HEAD = f"'^(Revert|Reapply)\\s+\"(.*)\"(?:\\s+\\(#(\\d+)\\))?$'"
 CTE["reverts"] = (
     ("commits",),
@@ -340,6 +350,16 @@ p_obsd AS (
   WHERE NOT d.is_undo AND d.seen + INTERVAL 30 DAY <= TIMESTAMP '2026-03-02 00:00:00')""",
 )
 
+CTE["census_all"] = (
+    ("flags", "evidence", "reverts"),
+    _renamed(
+        CTE["census"][1].replace(
+            CTE["census"][1][: CTE["census"][1].index("\ntotals")], "scanned AS (SELECT * FROM flags),"
+        ),
+        "scanned totals cands kept judged ejson obs",
+    ),
+)
+
 _MSG_HIT_2 = (
     "regexp_matches(message, '(?im)^Co\\-Authored\\-By\\s*:[^\\n]*bot@heron\\.example|"
     "generated with heron|^Task\\-Link\\s*:[^\\n]*kestrel\\.example/tasks/')"
@@ -840,4 +860,45 @@ WHERE push_size % 10 <> 7 AND date_trunc('month', day) BETWEEN DATE '2011-02-12'
         "valid evidence",
         "SELECT CAST(date_trunc('week', day) AS DATE) AS week, agent_id, count(*) AS commits, count(DISTINCT lower(repo)) AS repos FROM valid LEFT JOIN verdict USING (rid) GROUP BY 1, 2",
     ),
+    "stream_census_observations": _with("census_all", "SELECT * FROM p_obs"),
+    "stream_standing_reverts": _with(
+        "valid reverts",
+        f""",
+every AS (
+  SELECT lower(v.repo) AS repo_key, v.sha, v.pushed_at AS t, CAST(nullif(regexp_extract({_SUBJ}, '\\(#(\\d+)\\)$', 1), '') AS BIGINT) AS pr,
+    r.rid IS NOT NULL AS is_undo, r.is_reapply, r.reverted_sha AS target, r.original_pr_number AS target_pr FROM valid v LEFT JOIN rev r USING (rid)),
+named AS (
+  SELECT c.repo_key, c.sha, c.t AS committed_at, u.sha AS undo_sha, u.t AS undone_at, u.is_reapply, u.target FROM every c JOIN every u
+  ON u.repo_key = c.repo_key AND starts_with(c.sha, u.target) AND u.t BETWEEN c.t AND c.t + INTERVAL 30 DAY WHERE u.is_undo AND c.sha <> u.sha),
+clear AS (SELECT repo_key, target FROM named GROUP BY 1, 2 HAVING count(DISTINCT sha) = 1),
+resolved AS (SELECT * FROM named JOIN clear USING (repo_key, target)),
+numbered AS (
+  SELECT c.repo_key, c.sha, c.t AS committed_at, u.sha AS undo_sha, u.t AS undone_at, u.is_reapply FROM every c JOIN every u
+  ON u.repo_key = c.repo_key AND c.pr = u.target_pr AND u.t BETWEEN c.t AND c.t + INTERVAL 30 DAY WHERE u.is_undo AND c.sha <> u.sha),
+undone AS (SELECT repo_key, sha, max(undone_at) AS taken_back_at FROM resolved GROUP BY 1, 2),
+either AS (SELECT repo_key, sha, committed_at, undo_sha, undone_at, is_reapply, 0 AS w FROM resolved UNION ALL SELECT *, 1 FROM numbered)
+SELECT repo_key, sha, committed_at, revert_sha, reverted_at, CASE w WHEN 0 THEN 'sha' ELSE 'pr' END AS linked_by FROM (
+  SELECT e.repo_key, e.sha, e.committed_at, e.undo_sha AS revert_sha, e.undone_at AS reverted_at, e.w,
+    row_number() OVER (PARTITION BY e.repo_key, e.sha ORDER BY e.undone_at, e.undo_sha, e.w, e.committed_at) AS k
+  FROM either e LEFT JOIN undone d ON d.repo_key = e.repo_key AND d.sha = e.undo_sha
+  WHERE NOT e.is_reapply AND (d.taken_back_at IS NULL OR d.taken_back_at < e.undone_at)) WHERE k = 1""",
+    ),
+    "evidence_conjunctive": _with(
+        "evidence3",
+        "SELECT repo, sha, event_id, rank, agent_id, signal_id, signal_type, confidence, matched FROM commits JOIN evid3 USING (rid)",
+    ),
+    "prefilter_audit_conjunctive": _with(
+        "flags evidence3",
+        f"SELECT agent_id, signal_id, count(*) AS attributed, count(*) FILTER (NOT {_ANY}) AS missed FROM flags JOIN evid3 USING (rid) WHERE rank = 0 AND confidence <> 'low' GROUP BY 1, 2",
+    ),
+    "validate_requirements": """WITH RECURSIVE r AS (
+  SELECT 'agent-' || CAST(p_partkey // 3 AS VARCHAR) AS agent_id, 's' || CAST(p_partkey % 3 AS VARCHAR) AS signal_id,
+    CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 17 = 4 THEN ['gone'] WHEN p_partkey % 3 < 2 THEN ['s' || CAST(p_partkey % 3 + 1 AS VARCHAR)]
+      WHEN p_partkey // 3 % 4 = 1 THEN ['s0', 's1'] END AS needs FROM part),
+e AS (SELECT DISTINCT agent_id, signal_id, UNNEST(needs) AS needs FROM r),
+reach AS (SELECT agent_id, signal_id AS a, needs AS b FROM e UNION SELECT x.agent_id, x.a, e.needs FROM reach x JOIN e ON e.agent_id = x.agent_id AND e.signal_id = x.b),
+loops AS (SELECT agent_id, a FROM reach WHERE a = b)
+SELECT 1 AS registry_version, agent_id, signal_id, 'requires an unknown signal' AS problem FROM e
+  WHERE (agent_id, needs) NOT IN (SELECT (agent_id, signal_id) FROM r)
+UNION SELECT 1, x.agent_id, x.a, 'requires itself in a circle' FROM reach x JOIN loops l ON l.agent_id = x.agent_id AND (l.a = x.b OR l.a = x.a)""",
 }

@@ -44,7 +44,7 @@ from aftermerge.sources.sinks import (
 )
 from aftermerge.streaming import jobs as S
 from workload import views as V
-from workload.rules import RULES_V1, RULES_V2, compiled
+from workload.rules import RULES_V1, RULES_V2, RULES_V3, compiled
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,6 +164,18 @@ def evidence_table_query(spark: SparkSession, sf: str) -> DataFrame:
     return evidence_table(V.commits(spark, sf), compiled(), ["repo", "sha", "event_id"])
 
 
+@query
+def evidence_conjunctive(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence where some signals count only together with others."""
+    return evidence_table(V.commits(spark, sf), compiled(RULES_V3), ["repo", "sha", "event_id"])
+
+
+@query
+def prefilter_audit_conjunctive(spark: SparkSession, sf: str) -> DataFrame:
+    """The flags still miss nothing that such rules attribute."""
+    return prefilter_audit(V.commits(spark, sf), compiled(RULES_V3))
+
+
 @query
 def agent_ids_query(spark: SparkSession, sf: str) -> DataFrame:
     """Agents named by the evidence, low-confidence evidence included."""
@@ -419,8 +431,8 @@ def _members(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _activity(spark: SparkSession, sf: str) -> DataFrame:
-    return A.parse_activity(V.responses(spark, sf), since=SINCE, prs_first=2)
+def _activity(spark: SparkSession, sf: str, nodes: bool = True) -> DataFrame:
+    return A.parse_activity(V.responses(spark, sf), since=SINCE, prs_first=2, nodes=nodes)
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -428,7 +440,7 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = A.with_history_flags(_activity(spark, sf), _pages(spark, sf))
+    flagged = A.with_history_flags(_activity(spark, sf, nodes=False), _pages(spark, sf))
     return A.repo_snapshots(flagged, _members(spark, sf), FETCHED_ON)
 
 
@@ -470,7 +482,7 @@ def history_stitched(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def renamed_repos(spark: SparkSession, sf: str) -> DataFrame:
-    return A.renamed_repos(_activity(spark, sf))
+    return A.renamed_repos(_activity(spark, sf, nodes=False))
 
 
 @query
@@ -534,6 +546,23 @@ def rule_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return R.fingerprint(_derived_rules(spark, sf))
 
 
+@query
+def validate_requirements(spark: SparkSession, sf: str) -> DataFrame:
+    """Signals in threes that require one another in a row, in a circle, or one that isn't there."""
+    needs = F.expr(
+        "CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 17 = 4 THEN array('gone')"
+        " WHEN p_partkey % 3 < 2 THEN array(concat('s', p_partkey % 3 + 1))"
+        " WHEN p_partkey div 3 % 4 = 1 THEN array('s0', 's1') END"
+    )
+    parts = V.table(spark, sf, "part").select(
+        F.lit(1).alias("registry_version"),
+        F.expr("concat('agent-', p_partkey div 3)").alias("agent_id"),
+        F.expr("concat('s', p_partkey % 3)").alias("signal_id"),
+        needs.alias("requires"),
+    )
+    return R.requirement_problems(parts)
+
+
 # --- outcomes ---------------------------------------------------------------------------
 
 
@@ -647,10 +676,9 @@ def outcomes_with_period_baseline(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def outcomes_with_unflagged_baseline(spark: SparkSession, sf: str) -> DataFrame:
     flagged = prefilter_flags(C.valid_commits(V.commits(spark, sf)), compiled())
-    flags = flagged.groupBy(F.lower("repo").alias("repo_key"), "sha").agg(
-        F.max(any_hit()).alias("matched_prefilter")
-    )
-    rows = _outcomes(spark, sf).where("followed_up").join(flags, ["repo_key", "sha"])
+    judged = attribute(flagged.withColumn("matched_prefilter", any_hit()), compiled())
+    changed = stage(O.changes(judged.withColumnRenamed("pushed_at", "at")), _folder(spark), "changes")
+    rows = O.commit_outcomes(changed, O.revert_links(changed), data_end=data_end()).where("followed_up")
     return O.with_baseline(
         rows.withColumnRenamed("is_undo", "is_revert"), "reverted", baseline="unflagged"
     )
@@ -680,7 +708,7 @@ def review_load_with_baseline(spark: SparkSession, sf: str) -> DataFrame:
 
 def _repo_history(spark: SparkSession, sf: str) -> DataFrame:
     """Stored snapshots of the pushed repositories, of all their fetches."""
-    parsed = A.parse_activity(V.repo_fetches(spark, sf), since=SINCE)
+    parsed = A.parse_activity(V.repo_fetches(spark, sf), since=SINCE, nodes=False)
     members = parsed.select("repo").distinct().selectExpr("repo", "'treated' AS cohort", "1 AS panel_version")
     return A.repo_snapshots(parsed.withColumn("fetched_on", F.col("fetched_at").cast("date")), members)
 
@@ -1007,3 +1035,38 @@ def stream_revert_links(spark: SparkSession, sf: str) -> DataFrame:
     pairs = S.revert_pairs(_line_stream(spark, sf), _line_stream(spark, sf))
     first = S.first_reverts(_drain(spark, pairs))
     return first.withColumns({c: utc(c) for c in ("committed_at", "reverted_at")})
+
+
+def _ticks(spark: SparkSession, sf: str, like: DataFrame) -> DataFrame:
+    """A pulse long after all pushes, as the next day's landing gives it: it closes every day."""
+    static = V.table(spark, sf, "region")
+    files = spark.readStream.schema(static.schema).option("pathGlobFilter", "region.parquet").parquet(sf)
+    tick = {
+        "pushed_at": F.lit("2100-01-01 00:00:00").cast("timestamp"),
+        "repo": F.lit("tick/tick"),
+        "sha": F.lit("0" * 40),
+        "message": F.lit(""),
+    }
+    return files.select(
+        *[tick.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in like.schema]
+    )
+
+
+@query
+def stream_census_observations(spark: SparkSession, sf: str) -> DataFrame:
+    """Pushed commits to the 25 stored columns, each repository-day judged as its day closes."""
+
+    def landed() -> DataFrame:
+        lines = _line_stream(spark, sf)
+        return lines.unionByName(_ticks(spark, sf, lines))
+
+    stored = _drain(spark, S.census_stream(landed(), landed(), compiled(), 1))
+    return stored.withColumn("pushed_at", utc("pushed_at"))
+
+
+@query
+def stream_standing_reverts(spark: SparkSession, sf: str) -> DataFrame:
+    """Reverts by SHA and by pull request that still stand, from pairs of a stream."""
+    pairs = _drain(spark, S.undo_pairs(_line_stream(spark, sf), _line_stream(spark, sf)))
+    found = S.standing_reverts(pairs)
+    return found.withColumns({c: utc(c) for c in ("committed_at", "reverted_at")})

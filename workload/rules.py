@@ -106,6 +106,22 @@ def _second_version() -> dict[str, Any]:
 RULES_V2 = _second_version()
 
 
+def _conjunctive_version() -> dict[str, Any]:
+    """A bare name counts only with the address, a hint only with a name that counts, and a marked
+    author only with the agent's address."""
+    rules = copy.deepcopy(RULES_V1)
+    rules["version"] = 3
+    needs = {"heron-name": ["heron-mail"], "heron-hint": ["heron-name"], "kestrel-author": ["kestrel-mail"]}
+    for agent in rules["agents"]:
+        for signal in agent["signals"]:
+            if signal["id"] in needs:
+                signal["requires"] = needs[signal["id"]]
+    return rules
+
+
+RULES_V3 = _conjunctive_version()
+
+
 def compiled(document: dict[str, Any] = RULES_V1) -> tuple[Rule, ...]:
     """Rules ready to unroll."""
     return compile_rules(rules_from_mapping(document))
