@@ -2,10 +2,13 @@
 
 A host's labels are cut into words by unigram Viterbi: word counts come from the text of all
 pages, and only the substrings of hosts, at lengths that words have, are looked up in them, by a
-join. Multinomial naive Bayes is trained on the pages that a rule decides and on a small lexicon; its
+join. Multinomial naive Bayes is trained on the pages that rules decide and on a small lexicon; its
 counts are kept in a hashed table of fixed size. What rules are made of is no token: the top-level
-label and the words of the rules' paths, which would only teach where the rules hold. ``held_out``
-tells how well the rest carries over to hosts that were not learnt from.
+label and the words of the rules' paths, which would only teach where the rules hold. A host counts
+a word once for either kind, however many pages it has, and hosts are dealt into folds, each judged
+by what the other folds teach: that a rule blocks a part of a site says nothing about its other
+pages. Only odds beyond ``ODDS`` to one block. ``held_out`` tells how the pages that rules decide
+would be judged without them.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, no rule and no
 tokens, and is allowed; ties go to allow; repeated rows are judged each; empty pages give an
@@ -37,6 +40,11 @@ BLOCK_WORDS = ("adult", "bet", "casino", "cheap", "free", "loan", "pills", "poke
 ALLOW_WORDS = ("archive", "blog", "docs", "edu", "forum", "journal", "library", "m", "news", "wiki", "www")
 PSEUDO_COUNT = 20
 
+#: Parts that hosts are dealt into.
+FOLDS = 5
+#: Odds of block against allow that a page needs to be blocked without a rule.
+ODDS = 5
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -210,81 +218,68 @@ def log_odds(seen: np.ndarray, lexicon: Sequence[np.ndarray]) -> np.ndarray:
     return share[1] - share[0]
 
 
-def _counts(rows: DataFrame, fold: Column, folds: int) -> np.ndarray:
-    """Tokens of the decided pages by fold, class and bucket."""
+def fold_of(host: str = "host") -> Column:
+    return F.pmod(F.xxhash64(host, F.lit(11)), F.lit(FOLDS)).cast("int")
+
+
+def train(rows: DataFrame) -> np.ndarray:
+    """For each fold of hosts the log odds (block against allow) of each bucket, from other folds."""
     counted = (
         rows.where("decided IS NOT NULL")
-        .select(fold.alias("f"), (F.col("decided") == "block").cast("int").alias("y"), F.explode("tokens").alias("b"))
-        .groupBy("f", "y", "b")
+        .select("host", (F.col("decided") == "block").cast("int").alias("y"), F.explode("tokens").alias("b"))
+        .distinct()
+        .groupBy(fold_of().alias("f"), "y", "b")
         .agg(F.count(F.lit(1)).alias("n"))
         .toArrow()  # at most a row per fold, class and bucket
     )
-    seen = np.zeros((folds, 2, BUCKETS))
+    seen = np.zeros((FOLDS, 2, BUCKETS))
     np.add.at(seen, tuple(counted[c].to_numpy() for c in ("f", "y", "b")), counted["n"].to_numpy())
-    return seen
-
+    lexicon = _lexicon(rows.sparkSession)
+    return np.stack([log_odds(seen.sum(0) - own, lexicon) for own in seen])
 
-def train(rows: DataFrame) -> np.ndarray:
-    """The log odds (block against allow) of each bucket, from the pages that rules decided."""
-    return log_odds(_counts(rows, F.lit(0), 1)[0], _lexicon(rows.sparkSession))
 
-
-def _scores(batch_lists: pa.ListArray, odds: np.ndarray) -> np.ndarray:
-    flat = odds[batch_lists.flatten().to_numpy(zero_copy_only=False).astype(int)]
+def _scores(lists: pa.ListArray, fold: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(int)
+    flat = odds[np.repeat(fold, lengths), lists.flatten().to_numpy(zero_copy_only=False).astype(int)]
+    ends = np.append(0, np.cumsum(lengths))
     sums = np.append(0.0, np.cumsum(flat))
-    ends = np.append(0, np.cumsum(batch_lists.value_lengths().to_numpy(zero_copy_only=False))).astype(int)
     return sums[ends[1:]] - sums[ends[:-1]]
 
 
-def _tokens_of(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def scored(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Per page: page_id, host, path, rule, what a rule decided, and the classifier's log odds."""
     counts = stage(word_counts(pages), "page-words")
-    return stage(tokenised(apply_rules(pages, rules), counts, rules), "urls")
-
-
-def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Per page: page_id, host, path, rule, verdict (a rule's or the classifier's) and log odds."""
-    rows = _tokens_of(pages, rules)
+    rows = stage(tokenised(apply_rules(pages, rules), counts, rules), "urls")
     shared = pages.sparkSession.sparkContext.broadcast(train(rows))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = _scores(batch.column(5), shared.value)
-            verdict = [
-                d or ("block" if s > 1e-9 else "allow")
-                for d, s in zip(batch.column(4).to_pylist(), score.tolist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(4)), pa.array(verdict, pa.string()), pa.array(score)],
-                names=["page_id", "host", "path", "rule", "verdict", "log_odds"],
-            )
+            odds = _scores(batch.column(6), batch.column(5).to_numpy(), shared.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(odds)], names=[*names, "log_odds"])
 
-    return rows.mapInArrow(
-        run, "page_id long, host string, path string, rule string, verdict string, log_odds double"
+    names = ["page_id", "host", "path", "rule", "decided"]
+    return rows.select(*names, fold_of().alias("fold"), "tokens").mapInArrow(
+        run, "page_id long, host string, path string, rule string, decided string, log_odds double"
     )
 
 
-def held_out(pages: DataFrame, rules: Sequence[Rule] = RULES, folds: int = 5) -> DataFrame:
-    """How the classifier judges decided pages of hosts that it did not learn from.
+def _blocks() -> Column:
+    return F.col("log_odds") > math.log(ODDS)
 
-    Hosts are dealt into folds; each fold is judged by what the others teach. Per verdict of the
-    rules: ``pages``, and how many the classifier would have judged alike (``right``).
-    """
-    rows = _tokens_of(pages, rules)
-    fold = F.pmod(F.xxhash64("host", F.lit(11)), F.lit(folds)).cast("int")
-    seen = _counts(rows, fold, folds)
-    lexicon = _lexicon(pages.sparkSession)
-    odds = np.stack([log_odds(seen.sum(0) - own, lexicon) for own in seen])
-    shared = pages.sparkSession.sparkContext.broadcast(odds)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of = batch.column(1).to_numpy()
-            score = np.zeros(len(of))
-            for f in np.unique(of):
-                score[of == f] = _scores(batch.column(2), shared.value[f])[of == f]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score > 1e-9)], names=["decided", "block"])
-
-    judged = rows.where("decided IS NOT NULL").select("decided", fold.alias("f"), "tokens")
-    told = judged.mapInArrow(run, "decided string, block boolean")
-    right = (F.col("decided") == "block") == F.col("block")
+def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Per page: page_id, host, path, rule, verdict (a rule's or the classifier's) and log odds."""
+    own = F.when(_blocks(), "block").otherwise("allow")
+    return scored(pages, rules).select(
+        "page_id", "host", "path", "rule", F.coalesce("decided", own).alias("verdict"), "log_odds"
+    )
+
+
+def held_out(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """How the classifier, which never saw a page's own host, judges the pages that rules decide.
+
+    Per verdict of the rules: ``pages``, and how many it would have judged alike (``right``).
+    """
+    right = (F.col("decided") == "block") == _blocks()
+    told = scored(pages, rules).where("decided IS NOT NULL")
     return told.groupBy("decided").agg(F.count(F.lit(1)).alias("pages"), F.count_if(right).alias("right"))

@@ -289,13 +289,13 @@ def test_urls(spark: SparkSession) -> None:
     assert urls.judge_urls(pages.limit(0)).count() == 0
 
 
-def odds_by_hand(rows: list[tuple]) -> dict[int, float]:
+def odds_by_hand(rows: list[tuple], folds: dict[str, int]) -> dict[int, float]:
     """Naive Bayes over words as words, without buckets: page_id to log odds."""
     counts: Counter = Counter()
     for _, _, html in rows:
         counts.update(re.findall(r"[^\W\d_]+", re.sub(r"(?s)<[^>]*>", " ", html or "").lower()))
     total = sum(counts.values())
-    tokens, decided = {}, {}
+    tokens, learnt_from, of = {}, {}, {}
     for page, url, _ in rows:
         host, path = re.fullmatch(r"[a-z]+://([^/?#]*)([^?#]*).*", url).groups()
         found = []
@@ -304,22 +304,25 @@ def odds_by_hand(rows: list[tuple]) -> dict[int, float]:
             found += [("host", w) for w in urls.viterbi(piece, known, total)]
         runs = [t for t in re.split(r"[\W_]+", path.lower()) if t not in ("", "en", "de", "fr")]
         tokens[page] = found + [("path", "0" if t.isdigit() else t) for t in runs]
-        if host.endswith(".net"):
-            decided[page] = 1
-        elif host.endswith("example.com") and path.startswith("/de/"):
-            decided[page] = 1
-        elif host.endswith(".org") and path.startswith("/fr/"):
-            decided[page] = 0
-    seen = (Counter(), Counter())
-    for page, y in decided.items():
-        seen[y].update(tokens[page])
-    learnt = sum(map(sum, (c.values() for c in seen)))
-    weight = max(urls.PSEUDO_COUNT, 0.02 * learnt / len(urls.BLOCK_WORDS))
-    for y, words in enumerate((urls.ALLOW_WORDS, urls.BLOCK_WORDS)):
-        for w in words:
-            seen[y]["host", w] += weight
-    share = lambda y, t: np.log((seen[y][t] + 0.5) / (sum(seen[y].values()) + 0.5 * urls.BUCKETS))
-    return {page: sum(share(1, t) - share(0, t) for t in found) for page, found in tokens.items()}
+        of[page] = folds[host]
+        blocked = host.endswith(".net") or host.endswith("example.com") and path.startswith("/de/")
+        if blocked or host.endswith(".org") and path.startswith("/fr/"):
+            learnt_from.setdefault((host, int(blocked)), set()).update(tokens[page])
+    out = {}
+    for fold in range(urls.FOLDS):
+        seen = (Counter(), Counter())
+        for (host, y), found in learnt_from.items():  # once for a host, however many pages
+            if folds[host] != fold:
+                seen[y].update(found)
+        learnt = sum(map(sum, (c.values() for c in seen)))
+        weight = max(urls.PSEUDO_COUNT, 0.02 * learnt / len(urls.BLOCK_WORDS))
+        for y, words in enumerate((urls.ALLOW_WORDS, urls.BLOCK_WORDS)):
+            for w in words:
+                seen[y]["host", w] += weight
+        totals = [sum(c.values()) + 0.5 * urls.BUCKETS for c in seen]
+        share = lambda y, t: np.log((seen[y][t] + 0.5) / totals[y])  # noqa: B023, E731
+        out |= {page: sum(share(1, t) - share(0, t) for t in found) for page, found in tokens.items() if of[page] == fold}
+    return out
 
 
 def made_pages(seed: int, many: int) -> list[tuple]:
@@ -331,7 +334,7 @@ def made_pages(seed: int, many: int) -> list[tuple]:
         words = rng.choices(bad if unwanted else good, k=rng.randint(1, 2))
         suffix = rng.choice(["net", "example.com"] if unwanted else ["org", "example.com"])
         area = "de" if unwanted else "fr"
-        label = "".join(words) + rng.choice(["", "-x", "2"])
+        label = "".join(words) + rng.choice(["", "-x", "2"]) + f".{rng.choice('abcdefgh')}"
         path = rng.choice([f"/{area}/{rng.randint(1, 99)}/{rng.choice(words)}", f"/es/{rng.choice(words)}.html"])
         rows.append((i, f"https://{label}.{suffix}{path}?q", f"<p class='x'>{' '.join(words)} und {words[0]}</p>"))
     return rows
@@ -340,13 +343,14 @@ def made_pages(seed: int, many: int) -> list[tuple]:
 def test_url_odds_match_counts_by_hand(spark: SparkSession) -> None:
     rows = made_pages(4, 300)
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
-    want = odds_by_hand(rows)
+    hosts = urls.apply_rules(pages).select("host", urls.fold_of().alias("f")).distinct()
+    want = odds_by_hand(rows, {r["host"]: r["f"] for r in hosts.collect()})
     got = urls.judge_urls(pages).collect()
     assert len(got) == len(rows)
     for r in got:
         assert r["log_odds"] == pytest.approx(want[r["page_id"]], abs=1e-6), r
         if r["rule"] is None:
-            assert r["verdict"] == ("block" if want[r["page_id"]] > 1e-9 else "allow")
+            assert r["verdict"] == ("block" if want[r["page_id"]] > np.log(5) else "allow")
 
 
 def test_long_and_foreign_words_stay_whole(spark: SparkSession) -> None:
@@ -364,6 +368,17 @@ def test_what_is_learnt_carries_over_to_other_hosts(spark: SparkSession) -> None
     assert all(r["right"] >= 0.95 * r["pages"] > 50 for r in found.values())
 
 
+def test_a_site_with_a_blocked_part_is_not_blocked(spark: SparkSession) -> None:
+    rows = [(i, f"https://garten.example.com/{'de' if i % 4 == 0 else 'fr'}/{i}", None) for i in range(80)]
+    rows += [(100 + i, f"https://deal{i}.example.net/de/{i}", None) for i in range(40)]
+    rows += [(200, "https://cheap-pills.example.com/en/", None), (201, "https://deal.example.org/es/", None)]
+    rows += [(400 + i, f"https://seite{i}.example.org/fr/{i}", None) for i in range(40)]
+    rows += [(300 + i, f"https://cheap-bets.example.com/en/{i}", None) for i in range(60)]  # nor is a large one let off
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == ("block" if i % 4 == 0 else "allow") for i in range(80))
+    assert got[200] == got[201] == "block" and all(got[300 + i] == "block" for i in range(60))
+
+
 def test_the_words_of_rules_are_no_tokens(spark: SparkSession) -> None:
     """One host has its German pages blocked by a rule; that says nothing about its French ones."""
     rows = [(i, f"https://garten.example.com/de/{i}", None) for i in range(50)] + [(99, "https://bücher.example.org/fr/1", None)]
@@ -466,6 +481,45 @@ def test_toxicity_on_held_out_rows(spark: SparkSession) -> None:
 
 
 def test_toxicity_gradient() -> None:
+    """Every array's gradient against differences of the loss."""
+    rng = np.random.default_rng(3)
+    model = toxicity.Model.start()
+    model.table, model.out = model.table.astype(float), model.out.astype(float)
+    model.filters = [w.astype(float) for w in model.filters]
+    model.shifts = [rng.normal(size=len(s)) * 0.1 for s in model.shifts]
+    model.bias = 0.2
+    texts = pa.array(["a bb ccc dddd", "", "d e vile", None, "e f a a bb", "longer words here and there"], pa.string())
+    buckets, bounds = toxicity.features(texts)
+    labels = np.array([0, 1, 1, 0, 0, 1.0])
+
+    def loss() -> float:
+        z = model.logits(buckets, bounds)
+        return float(np.mean(np.log1p(np.exp(z)) - labels * z))
+
+    found = toxicity.gradients(model, buckets, bounds, labels)
+    arrays = {"out": model.out, **{f"w{k}": w for k, w in enumerate(model.filters)}, **{f"s{k}": s for k, s in enumerate(model.shifts)}}
+    whole = np.zeros_like(model.table)
+    whole[found["rows"]] = found["table"]
+    checked = 0
+    for value, grad in [*((arrays[n], found[n]) for n in arrays), (model.table, whole)]:
+        places = np.argwhere(grad != 0)
+        for place in rng.permutation(places)[:25]:
+            at, step = tuple(place), 1e-6
+            value[at] += step
+            up = loss()
+            value[at] -= 2 * step
+            down = loss()
+            value[at] += step
+            assert (up - down) / (2 * step) == pytest.approx(grad[at], abs=1e-6)
+            checked += 1
+    model.bias += 1e-6
+    up = loss()
+    model.bias -= 2e-6
+    assert (up - loss()) / 2e-6 == pytest.approx(found["bias"][0], abs=1e-6)
+    assert checked > 100
+
+
+def test_greatest_responses() -> None:
     """The greatest responses are those of a plain loop over windows, text ends included."""
     model = toxicity.Model.start()
     buckets, bounds = toxicity.features(pa.array(["a bb ccc", "", "d", None, "e f"], pa.string()))
