@@ -450,7 +450,8 @@ half AS (SELECT t.agent_id, {_Z} * sqrt(sum((c.y - t.p * c.n) * (c.y - t.p * c.n
   FROM cl c JOIN tot t ON t.agent_id IS NOT DISTINCT FROM c.agent_id GROUP BY 1),
 ord AS (SELECT agent_id, v, row_number() OVER (PARTITION BY agent_id ORDER BY v) AS k FROM src)
 SELECT t.agent_id, t.clusters, CAST(t.n AS BIGINT) AS units, CAST(any_value(m.m) AS DOUBLE) AS median,
-  max(o.v) FILTER (o.k = greatest(floor(t.n / 2 - h.h), 1)) AS median_low, max(o.v) FILTER (o.k = least(ceil(1 + t.n / 2 + h.h), t.n)) AS median_high
+  CAST(max(o.v) FILTER (o.k = greatest(floor(t.n / 2 - h.h), 1)) AS BIGINT) AS median_low,
+  CAST(max(o.v) FILTER (o.k = least(ceil(1 + t.n / 2 + h.h), t.n)) AS BIGINT) AS median_high
 FROM tot t JOIN med m ON m.agent_id IS NOT DISTINCT FROM t.agent_id JOIN half h ON h.agent_id IS NOT DISTINCT FROM t.agent_id JOIN ord o ON o.agent_id IS NOT DISTINCT FROM t.agent_id
 GROUP BY t.agent_id, t.clusters, t.n"""
 
