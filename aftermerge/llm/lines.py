@@ -39,6 +39,9 @@ BUCKETS = 1 << 17
 #: Sets of a posting list that meet in one block.
 BLOCK = 2048
 
+#: Hot words that are sent to all tasks (4 MB); more are joined.
+HOT_WORDS = 1 << 18
+
 #: Pairs looked at together.
 PAIRS = 1 << 19
 
@@ -76,8 +79,9 @@ def _bars(counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["b", "n"])
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """The place of each bucket of words in the order of rarity over all texts."""
+def rarity(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each bucket of words in the order of rarity over all texts; and how often the
+    words of the bucket at each place occur."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -88,8 +92,9 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
     counts = _table(docs.select("text").mapInArrow(count, "b long, n long"))
     ranks = np.empty(BUCKETS, np.uint64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
-    return ranks
+    order = np.argsort(counts, kind="stable")
+    ranks[order] = np.arange(BUCKETS, dtype=np.uint64)
+    return ranks, counts[order]
 
 
 class Lines:
@@ -162,28 +167,6 @@ def _mapped(
     return docs.select("doc_id", row_key().alias("row"), "text").mapInArrow(run, schema)
 
 
-def first_lines(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """The first line of every distinct set: s1, doc_id, row and line."""
-
-    def give(batch: pa.RecordBatch | None, x: Lines | None) -> Iterator[pa.RecordBatch]:
-        if batch is not None:
-            rows = pa.array(x.row)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(rows),
-                    batch.column(1).take(rows),
-                    pa.array(x.line),
-                    pa.array(x.s1),
-                    pa.array(x.s2),
-                ],
-                names=["doc_id", "row", "line", "s1", "s2"],
-            )
-
-    found = _mapped(docs, ranks, "doc_id long, row long, line int, s1 long, s2 long", give)
-    order = F.struct(F.col("doc_id").isNull().alias("m"), "doc_id", "row", "line")
-    return found.groupBy("s1", "s2").agg(F.min(order).alias("f")).select("s1", "f.doc_id", "f.row", "f.line")
-
-
 class _Fresh:
     """Which sets of a task's input are new to it, as far as a bounded memory tells."""
 
@@ -228,26 +211,65 @@ def _posted(docs: DataFrame, ranks: np.ndarray, t: float, schema: str, columns:
     return _mapped(docs, ranks, schema, make())
 
 
-def hot_words(docs: DataFrame, ranks: np.ndarray, t: float, block: int) -> DataFrame:
-    """Words with more postings than a block holds: ``word`` and its number of ``blocks``.
+def first_lines(
+    docs: DataFrame, ranks: np.ndarray, often: np.ndarray, t: float, block: int
+) -> tuple[DataFrame, DataFrame]:
+    """The first line of every distinct set (s1, doc_id, row and line), and the hot words: those with
+    more postings than a block holds (``word`` and its number of ``blocks``). One pass gives both.
 
-    Postings are counted map-side; the words that are shuffled are the rarest of their lines.
+    A word has no more postings than its bucket's words occur (``often``), so only words of buckets
+    beyond a block are counted, map-side, each for itself.
     """
-    words = _posted(docs, ranks, t, "word long", lambda x, put: {"word": x.words[put].view(np.int64)})
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-    return counted.select("word", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    shared = docs.sparkSession.sparkContext.broadcast(often > block)
+    names = ["posting", "k1", "k2", "doc_id", "row", "line"]
+
+    def make() -> Callable[..., Iterator[pa.RecordBatch]]:
+        state: dict[str, _Fresh] = {}
+
+        def give(batch: pa.RecordBatch | None, x: Lines | None) -> Iterator[pa.RecordBatch]:
+            if batch is None:
+                return
+            rows = pa.array(x.row)
+            of = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(x.line)]
+            keys = [pa.array(np.zeros(len(x.row), bool)), pa.array(x.s1), pa.array(x.s2)]
+            yield pa.RecordBatch.from_arrays([*keys, *of], names=names)
+            words = x.words[_prefixes(x, state.setdefault("f", _Fresh(t)).of(x), t)]
+            words = words[shared.value[(words >> np.uint64(30)).astype(np.int64)]].view(np.int64)
+            n = len(words)
+            keys = [pa.array(np.ones(n, bool)), pa.array(words), pa.array(np.zeros(n, np.int64))]
+            yield pa.RecordBatch.from_arrays([*keys, *(pa.nulls(n, c.type) for c in of)], names=names)
 
+        return give
 
-def postings(docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float) -> DataFrame:
+    schema = "posting boolean, k1 long, k2 long, doc_id long, row long, line int"
+    order = F.struct(F.col("doc_id").isNull().alias("m"), "doc_id", "row", "line")
+    found = (
+        _mapped(docs, ranks, schema, make())
+        .groupBy("posting", "k1", "k2")
+        .agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("n"))
+        .where(~F.col("posting") | (F.col("n") > block))
+    )
+    both = stage(found.select("posting", "k1", "f.doc_id", "f.row", "f.line", "n"), "lines")
+    firsts = both.where("NOT posting").select(F.col("k1").alias("s1"), "doc_id", "row", "line")
+    hot = both.where("posting").select(
+        F.col("k1").alias("word"), F.ceil(F.col("n") / block).cast("int").alias("blocks")
+    )
+    return firsts, hot
+
+
+def postings(
+    docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float, most: int = HOT_WORDS
+) -> DataFrame:
     """A row per set and word of its prefix, for hot words one for every pair of blocks: task, s1, a
-    sketch, and in ``meta`` the set's size, the word's place in it and the side of the task."""
+    sketch, and in ``meta`` the set's size, the word's place in it and the side of the task.
+
+    Up to ``most`` hot words are looked up where the postings are made; more are joined to them.
+    """
+    if hot.count() <= most:
+        return _dealt(docs, ranks, hot, t)
 
     def columns(x: Lines, put: np.ndarray) -> dict[str, np.ndarray]:
-        owner = x.owner[put]
-        at = np.minimum(put - x.low[owner], (1 << 30) - 1)
-        b0, b1 = (h[owner] for h in x.sketch())
-        meta = (x.size[owner] << 31) | (at << 1)
-        return {"word": x.words[put].view(np.int64), "s1": x.s1[owner], "b0": b0, "b1": b1, "meta": meta}
+        return {"word": x.words[put].view(np.int64), **_of_sets(x, put, x.owner[put])}
 
     posted = _posted(docs, ranks, t, "word long, s1 long, b0 long, b1 long, meta long", columns)
     mine = F.pmod(F.xxhash64("s1", F.lit(3)), F.col("blocks").cast("long")).cast("int")
@@ -267,6 +289,38 @@ def postings(docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float) -> Da
     )
 
 
+def _of_sets(x: Lines, put: np.ndarray, owner: np.ndarray) -> dict[str, np.ndarray]:
+    b0, b1 = (h[owner] for h in x.sketch())
+    at = np.minimum(put - x.low[owner], (1 << 30) - 1)
+    return {"s1": x.s1[owner], "b0": b0, "b1": b1, "meta": (x.size[owner] << 31) | (at << 1)}
+
+
+def _dealt(docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float) -> DataFrame:
+    found = hot.toArrow()
+    order = np.argsort(found["word"].to_numpy())
+    names = np.append(found["word"].to_numpy()[order], np.iinfo(np.int64).max)
+    numbers = np.append(found["blocks"].to_numpy()[order], 1).astype(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((names, numbers))
+
+    def columns(x: Lines, put: np.ndarray) -> dict[str, np.ndarray]:
+        names, numbers = shared.value
+        word, owner = x.words[put].view(np.int64), x.owner[put]
+        mine = other = np.zeros(len(put), np.int64)
+        if len(names) > 1:
+            at = np.searchsorted(names[:-1], word)
+            blocks = np.where(names[at] == word, numbers[at], 1)
+            mine = (mix(x.s1[owner].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+            copy = np.repeat(np.arange(len(put)), blocks)
+            other = np.arange(len(copy)) - (np.cumsum(blocks) - blocks)[copy]
+            mine, owner, word, put = mine[copy], owner[copy], word[copy], put[copy]
+        pair = np.minimum(mine, other) * np.int64(1 << 31) + np.maximum(mine, other)
+        task = mix(word.view(np.uint64) ^ mix(pair.view(np.uint64))).view(np.int64)
+        out = _of_sets(x, put, owner)
+        return {"task": task, **out, "meta": out["meta"] | (mine > other)}
+
+    return _posted(docs, ranks, t, "task long, s1 long, b0 long, b1 long, meta long", columns)
+
+
 class Meeting:
     """The postings of whole tasks, a row per set and task, ordered by task and size."""
 
@@ -423,9 +477,8 @@ def _with_words(docs: DataFrame, ranks: np.ndarray, alive: DataFrame, firsts: Da
 def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """Per document row with lines that are the first of their set: ``row``, the numbers of those
     lines (``firsts``), and of lines that match an earlier one (``gone``)."""
-    ranks = rarity(docs)
-    hot = stage(hot_words(docs, ranks, threshold, block), "hot-words")
-    firsts = stage(first_lines(docs, ranks), "lines")
+    ranks, often = rarity(docs)
+    firsts, hot = first_lines(docs, ranks, often, threshold, block)
     alive = stage(_alive(postings(docs, ranks, hot, threshold), threshold), "alive")
     gone = _later_matches(_with_words(docs, ranks, alive, firsts), threshold)
     marked = firsts.select("row", "line", F.lit(True).alias("first")).unionByName(

@@ -57,7 +57,7 @@ def test_codes_are_those_of_split_words() -> None:
     assert [f.tolist() for f in common.text_codes(cut)] == [f.tolist() for f in found[:4]]
 
 
-def removed_by_hand(rows: list[tuple]) -> dict[tuple, str | None]:
+def removed_by_hand(rows: list[tuple], threshold: float = 0.8) -> dict[tuple, str | None]:
     """The text of each document after line dedup, by comparing every line with all before it."""
     docs = sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0] is None, r[0] or 0))
     seen: list[set[bytes]] = []
@@ -72,7 +72,7 @@ def removed_by_hand(rows: list[tuple]) -> dict[tuple, str | None]:
             if not words:
                 kept.append(raw)
                 continue
-            if not any(5 * len(words & s) >= 4 * len(words | s) for s in seen):
+            if not any(len(words & s) >= threshold * len(words | s) - 1e-9 for s in seen):
                 kept.append(raw)
             seen.append(words)
         out[doc_id, text] = "\n".join(kept)
@@ -421,11 +421,23 @@ def test_postings_of_rare_words_are_not_copied(spark: SparkSession) -> None:
     rows = [(i, "\n".join(f"only{i}a{j} two{i}b{j} common{j % 3}" for j in range(30)), "", 1, "") for i in range(60)]
     rows += [(100 + i, "\n".join(f"hot u{i}x{j}" for j in range(3)), "", 1, "") for i in range(20)]
     docs = spark.createDataFrame(rows, COLUMNS)
-    ranks = lines.rarity(docs)
-    hot = lines.hot_words(docs, ranks, 0.5, 40)
+    ranks, often = lines.rarity(docs)
+    _, hot = lines.first_lines(docs, ranks, often, 0.5, 40)
+    _, every = lines.first_lines(docs, ranks, np.full_like(often, 10**9), 0.5, 40)
+    assert {tuple(r) for r in hot.collect()} == {tuple(r) for r in every.collect()}
     plain = lines.postings(docs, ranks, hot.limit(0), 0.5).count()
-    dealt = lines.postings(docs, ranks, hot, 0.5).count()
-    assert hot.count() <= 4 and plain <= dealt < 1.2 * plain
+    for most in (0, 1 << 18):  # joined to the postings, and looked up where they are made
+        dealt = lines.postings(docs, ranks, hot, 0.5, most).count()
+        assert hot.count() <= 4 and plain <= dealt < 1.2 * plain
+
+
+@pytest.mark.parametrize("most", [0, 1 << 18])
+def test_hot_words_are_dealt_alike(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, most: int) -> None:
+    rows = [(i, "\n".join(f"hot warm u{i % 40}x{j} v{j}" for j in range(6)), "", 1, "") for i in range(90)]
+    monkeypatch.setattr(lines.postings, "__defaults__", (most,))
+    got = lines.dedup_lines(spark.createDataFrame(rows, COLUMNS).repartition(3), 0.6, block=8).collect()
+    want = removed_by_hand(rows, 0.6)
+    assert all(r["text"] == want[r["doc"]["doc_id"], r["doc"]["text"]] for r in got)
 
 
 def test_many_lines_cost_in_proportion(spark: SparkSession) -> None:
