@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aftermerge import CENSUS_METHOD
@@ -234,6 +234,43 @@ def census_manifest(judged: DataFrame) -> DataFrame:
     )
 
 
+def manifest_metrics(days: Sequence[dt.date], agents: Sequence[str]) -> dict[str, Column]:
+    """The manifest's counts of judged rows as plain aggregates, for an observation: one per day and
+    class, and per day and agent. :func:`manifest_from_metrics` puts them together again."""
+    ok = F.col("reject_reason").isNull()
+    is_revert = F.col("revert").isNotNull()
+    classes = {
+        "total": ok,
+        "attributed": ok & F.col("agent_id").isNotNull(),
+        "reverts": ok & is_revert,
+        "baseline": ok & ~F.col("matched_prefilter") & ~is_revert,
+        "skipped_invalid": ~ok,
+        **{f"by_{k}": ok & (F.col("agent_id") == agent) for k, agent in enumerate(agents)},
+    }
+    return {
+        f"{d}_{name}": F.count_if((F.col("day") == F.lit(day)) & condition)
+        for d, day in enumerate(days)
+        for name, condition in classes.items()
+    }
+
+
+def manifest_from_metrics(
+    spark: SparkSession, found: Mapping[str, int], days: Sequence[dt.date], agents: Sequence[str]
+) -> DataFrame:
+    """The rows of :func:`census_manifest` from observed metrics; a day without rows has zeros."""
+    classes = ("total", "attributed", "reverts", "baseline", "skipped_invalid")
+    rows = [
+        (
+            day,
+            *(found[f"{d}_{name}"] for name in classes),
+            {agent: n for k, agent in enumerate(agents) if (n := found[f"{d}_by_{k}"])},
+        )
+        for d, day in enumerate(days)
+    ]
+    schema = "day date, " + ", ".join(f"{name} bigint" for name in classes) + ", by_agent map<string, bigint>"
+    return spark.createDataFrame(rows, schema)
+
+
 def count_map(key: Column, count: Column) -> Column:
     """Sorted ``map<key,count>`` of pre-aggregated rows; NULL keys and zero counts are left out."""
     entry = F.when(key.isNotNull() & (count > 0), F.struct(key, count))

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aftermerge import CENSUS_METHOD, __version__
@@ -17,6 +17,8 @@ from aftermerge.operators.census import (
     flatten_observation,
     judge_commits,
     kept_totals,
+    manifest_from_metrics,
+    manifest_metrics,
     redact_person_emails,
     select_observations,
 )
@@ -26,7 +28,7 @@ from aftermerge.sources.readers import read_push_events, scan_budget, skipped_da
 from aftermerge.sources.sinks import (
     CENSUS_ORDER,
     CENSUS_PARTITIONS,
-    clear_absent,
+    clear_partitions,
     in_ranges,
     stage,
     staging_folder,
@@ -35,6 +37,11 @@ from aftermerge.sources.sinks import (
 )
 
 
+MOST_METRICS = 500
+"""Counts that are observed while the census is written; a job of more days and agents counts the
+stored rows in a pass of its own."""
+
+
 class OverBudgetError(RuntimeError):
     """The scan would read more bytes than allowed; nothing was read."""
 
@@ -65,6 +72,18 @@ def staged_judgement(
     return judge_commits(select_observations(flagged, totals=totals), rules)
 
 
+def _counted(spark: SparkSession, judged: DataFrame, days: Sequence[dt.date]) -> DataFrame:
+    """The manifest of the wanted days from stored rows, with zeros for days without any."""
+    asked = spark.createDataFrame([(d,) for d in days], "day date")
+    counts = ("total", "attributed", "reverts", "baseline", "skipped_invalid")
+    found = asked.join(census_manifest(judged), "day", "left")
+    return found.select(
+        "day",
+        *(F.coalesce(name, F.lit(0)).alias(name) for name in counts),
+        F.coalesce("by_agent", F.expr("CAST(map() AS map<string, bigint>)")).alias("by_agent"),
+    )
+
+
 def run_census(
     spark: SparkSession,
     path: str,
@@ -79,8 +98,8 @@ def run_census(
 ) -> DataFrame:
     """Ingest the days and return the stored manifest rows.
 
-    See :func:`staged_judgement`. Judged rows are staged too, so observations and manifest
-    agree and nothing is judged twice.
+    See :func:`staged_judgement`. Judged rows are staged too, so nothing is judged twice, and the
+    manifest's counts are observed as the rows are written.
 
     A day without rows gets an empty file and a manifest row of zeros.
 
@@ -112,19 +131,29 @@ def run_census(
     pushes = read_push_events(spark, path, wanted)
     rows = staged_judgement(pushes, compiled, folder, strict_reference=strict_reference)
     judged = stage(rows, folder, "judged")
-    ranges = in_ranges(judged.where("reject_reason is null"), ["day", *CENSUS_ORDER])
-    stored = flatten_observation(ranges, version)
+    agents = sorted({rule.agent_id for rule in compiled})
+    metrics = manifest_metrics(wanted, agents)
+    # An empty input is optimised away, and what would observe it.
+    observe = len(metrics) <= MOST_METRICS and not judged.isEmpty()
+    observed = Observation("census") if observe else None
+    ranges = in_ranges(judged, ["day", *CENSUS_ORDER])
+    if observed is not None:
+        # Behind the shuffle, in the writing stage: every row is counted once, on its way out.
+        ranges = ranges.observe(observed, *(count.alias(name) for name, count in metrics.items()))
+    stored = flatten_observation(ranges.where("reject_reason is null"), version)
     if redact_emails:
         stored = redact_person_emails(stored)
     write_ordered(stored, f"{out}/observations", CENSUS_PARTITIONS, CENSUS_ORDER)
-    keys = [(d, version, CENSUS_METHOD) for d in wanted]
-    clear_absent(stored, f"{out}/observations", CENSUS_PARTITIONS, keys)
-    asked = spark.createDataFrame([(d,) for d in wanted], "day date")
-    counts = ("total", "attributed", "reverts", "baseline", "skipped_invalid")
-    manifest = asked.join(census_manifest(judged), "day", "left").withColumns(
+    if observed is not None:
+        counted = manifest_from_metrics(spark, observed.get, wanted, agents)
+    else:
+        counted = _counted(spark, judged, wanted)
+    # A row per wanted day.
+    rows = counted.collect()
+    empty = [(r["day"], version, CENSUS_METHOD) for r in rows if not r["total"]]
+    clear_partitions(stored, f"{out}/observations", CENSUS_PARTITIONS, empty)
+    manifest = spark.createDataFrame(rows, counted.schema).withColumns(
         {
-            **{name: F.coalesce(name, F.lit(0)) for name in counts},
-            "by_agent": F.coalesce("by_agent", F.expr("CAST(map() AS map<string, bigint>)")),
             "registry_version": F.lit(version),
             "methodology_version": F.lit(CENSUS_METHOD),
             "software_version": F.lit(__version__),

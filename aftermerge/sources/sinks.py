@@ -79,10 +79,18 @@ def clear_absent(
     would keep the old rows there.
     """
     present = {tuple(map(str, r)) for r in df.select(*partitions).distinct().collect()}
-    for values in requested:
-        if tuple(map(str, values)) not in present:
-            parts = (f"{k}={quote(str(v))}" for k, v in zip(partitions, values, strict=True))
-            df.limit(0).drop(*partitions).write.mode("overwrite").parquet("/".join([path, *parts]))
+    missing = [values for values in requested if tuple(map(str, values)) not in present]
+    clear_partitions(df, path, partitions, missing)
+
+
+def clear_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str], values: Iterable[Sequence[Any]]
+) -> None:
+    """Leave an empty file with ``df``'s columns in each of these partitions."""
+    nothing = df.sparkSession.createDataFrame([], df.drop(*partitions).schema)
+    for one in values:
+        parts = (f"{k}={quote(str(v))}" for k, v in zip(partitions, one, strict=True))
+        nothing.write.mode("overwrite").parquet("/".join([path, *parts]))
 
 
 def write_json(df: DataFrame, path: str, partitions: Sequence[str]) -> None:

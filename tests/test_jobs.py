@@ -290,6 +290,31 @@ def test_rejected_and_redacted(spark: SparkSession) -> None:
     assert "@" not in text and text.startswith("Add retry\n\nCo-Authored-By: Heron <")
 
 
+def test_observed_counts_are_those_of_the_stored_rows(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    """The manifest is counted as rows are written; a job of many days counts the stored rows."""
+    days = [DAY, DAY + dt.timedelta(days=1), DAY + dt.timedelta(days=2)]
+    rows = []
+    for i in range(60):
+        message = [SIGNED, "Tidy", 'Revert "x"\n\nThis reverts commit ' + "a" * 40 + "."][i % 3]
+        c = {**commit("0", message), "sha": "short" if i % 10 == 7 else f"{i:040x}"}
+        rows.append(event(i, f"o/{'ab'[i % 2]}", [c], day=days[i % 2]))
+    archive = folder()
+    spark.createDataFrame(rows, PUSH_EVENTS).write.partitionBy("day").mode("overwrite").parquet(archive)
+
+    def manifest() -> dict:
+        out = folder()
+        found = {r["day"]: r.asDict() for r in run_census(spark, archive, days, rules(spark), out).collect()}
+        stored = readers.read_observations(spark, f"{out}/observations")
+        assert {r["day"]: r["count"] for r in stored.groupBy("day").count().collect()} == {d: m["total"] for d, m in found.items() if m["total"]}
+        return found
+
+    observed = manifest()
+    assert observed[days[2]]["total"] == 0 and observed[days[1]]["skipped_invalid"] > 0
+    assert sum(observed[days[0]]["by_agent"].values()) == observed[days[0]]["attributed"] > 0
+    monkeypatch.setattr("aftermerge.plans.census.MOST_METRICS", 0)
+    assert manifest() == observed
+
+
 def test_ordered_store_holds_disjoint_ranges(spark: SparkSession, tmp_path: Path) -> None:
     """Files are sorted and don't overlap, so a range of time touches few of them."""
     rows = [(f"e{i}", f"{i % 97:040x}", dt.datetime(2025, 9, 1) + dt.timedelta(seconds=i * 7919 % 86400)) for i in range(4000)]
