@@ -22,7 +22,7 @@ empty table gives an empty result; other columns pass through in ``doc``, whatev
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,12 @@ BLOCK = 2048
 #: Hot words that are sent to all tasks (4 MB); more are joined.
 HOT_WORDS = 1 << 18
 
+#: A posting's columns, how many a task holds before it hands them on, and the bytes that a bucket of
+#: them is meant to have.
+POSTING = ("task", "s1", "b0", "b1", "meta")
+HELD = 1 << 18
+BUCKET_BYTES = 1 << 22
+
 #: Pairs looked at together.
 PAIRS = 1 << 19
 
@@ -258,15 +264,17 @@ def first_lines(
 
 
 def postings(
-    docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float, most: int = HOT_WORDS
+    docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float, buckets: int = 1 << 10, most: int = HOT_WORDS
 ) -> DataFrame:
-    """A row per set and word of its prefix, for hot words one for every pair of blocks: task, s1, a
+    """A posting per set and word of its prefix, for hot words one for every pair of blocks: task, s1, a
     sketch, and in ``meta`` the set's size, the word's place in it and the side of the task.
 
-    Up to ``most`` hot words are looked up where the postings are made; more are joined to them.
+    Up to ``most`` hot words are looked up where the postings are made, and postings are handed on
+    many at a time, as the bytes of each ``bucket`` of tasks; more hot words are joined to postings,
+    a row each.
     """
     if hot.count() <= most:
-        return _dealt(docs, ranks, hot, t)
+        return _dealt(docs, ranks, hot, t, buckets)
 
     def columns(x: Lines, put: np.ndarray) -> dict[str, np.ndarray]:
         return {"word": x.words[put].view(np.int64), **_of_sets(x, put, x.owner[put])}
@@ -295,14 +303,14 @@ def _of_sets(x: Lines, put: np.ndarray, owner: np.ndarray) -> dict[str, np.ndarr
     return {"s1": x.s1[owner], "b0": b0, "b1": b1, "meta": (x.size[owner] << 31) | (at << 1)}
 
 
-def _dealt(docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float) -> DataFrame:
+def _dealt(docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float, buckets: int) -> DataFrame:
     found = hot.toArrow()
     order = np.argsort(found["word"].to_numpy())
     names = np.append(found["word"].to_numpy()[order], np.iinfo(np.int64).max)
     numbers = np.append(found["blocks"].to_numpy()[order], 1).astype(np.int64)
     shared = docs.sparkSession.sparkContext.broadcast((names, numbers))
 
-    def columns(x: Lines, put: np.ndarray) -> dict[str, np.ndarray]:
+    def made(x: Lines, put: np.ndarray) -> np.ndarray:
         names, numbers = shared.value
         word, owner = x.words[put].view(np.int64), x.owner[put]
         mine = other = np.zeros(len(put), np.int64)
@@ -314,24 +322,49 @@ def _dealt(docs: DataFrame, ranks: np.ndarray, hot: DataFrame, t: float) -> Data
             other = np.arange(len(copy)) - (np.cumsum(blocks) - blocks)[copy]
             mine, owner, word, put = mine[copy], owner[copy], word[copy], put[copy]
         pair = np.minimum(mine, other) * np.int64(1 << 31) + np.maximum(mine, other)
-        task = mix(word.view(np.uint64) ^ mix(pair.view(np.uint64))).view(np.int64)
         out = _of_sets(x, put, owner)
-        return {"task": task, **out, "meta": out["meta"] | (mine > other)}
+        out["meta"] |= mine > other
+        task = mix(word.view(np.uint64) ^ mix(pair.view(np.uint64))).view(np.int64)
+        return np.stack([task, *(out[n] for n in POSTING[1:])], 1)
+
+    def bytes_of(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate([np.empty((0, len(POSTING)), np.int64), *held])
+        bucket = (rows[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        which, first = np.unique(bucket[order], return_index=True)
+        raw, wide = rows[order].tobytes(), 8 * len(POSTING)
+        cuts = (np.append(first, len(rows)) * wide).tolist()
+        parts = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(which), pa.array(parts, pa.binary())], names=["bucket", "postings"]
+        )
 
-    return _posted(docs, ranks, t, "task long, s1 long, b0 long, b1 long, meta long", columns)
+    def make() -> Callable[..., Iterator[pa.RecordBatch]]:
+        fresh, held = _Fresh(t), []
+
+        def give(batch: pa.RecordBatch | None, x: Lines | None) -> Iterator[pa.RecordBatch]:
+            if batch is not None:
+                held.append(made(x, _prefixes(x, fresh.of(x), t)))
+            if held and (batch is None or sum(map(len, held)) >= HELD):
+                yield bytes_of(held)
+                held.clear()
+
+        return give
+
+    return _mapped(docs, ranks, "bucket int, postings binary", make())
 
 
 class Meeting:
     """The postings of whole tasks, a row per set and task, ordered by task and size."""
 
-    def __init__(self, table: pa.Table) -> None:
-        task, s1, meta = (table[n].to_numpy() for n in ("task", "s1", "meta"))
+    def __init__(self, of: Mapping[str, np.ndarray]) -> None:
+        task, s1, meta = (of[n] for n in ("task", "s1", "meta"))
         order = np.lexsort((s1, meta >> 31, task))
         new = np.ones(len(order), bool)  # another map task may have posted the same set
         new[1:] = (np.diff(task[order]) != 0) | (np.diff(s1[order]) != 0)
         self.order = order = order[new]
         self.task, self.s1 = task[order], s1[order]
-        self.bits = [table[n].to_numpy()[order].view(np.uint64) for n in ("b0", "b1")]
+        self.bits = [of[n][order].view(np.uint64) for n in ("b0", "b1")]
         meta = meta[order]
         self.size, self.at, self.side = meta >> 31, (meta >> 1) & ((1 << 30) - 1), meta & 1
         self.number = np.cumsum(np.concatenate([[0], np.diff(self.task) != 0]))
@@ -370,19 +403,36 @@ class Meeting:
 
 
 def _alive(rows: DataFrame, t: float) -> DataFrame:
-    """The postings that have a partner left in their task."""
+    """The postings that have a partner left in their task, a row each."""
+    key = rows.columns[0]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in by_group(batches, "task"):
-            x = Meeting(table)
-            hit = np.zeros(len(x.task), bool)
-            for i, j in x.pairs(t):
-                hit[i] = True
-                hit[j] = True
-            if hit.any():
-                yield from table.take(pa.array(np.sort(x.order[hit]))).combine_chunks().to_batches()
-
-    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, rows.schema)
+        for table in by_group(batches, key):
+            for part in _whole_tasks(table):
+                of = dict(zip(POSTING, part, strict=True))
+                x = Meeting(of)
+                hit = np.zeros(len(x.task), bool)
+                for i, j in x.pairs(t):
+                    hit[i] = True
+                    hit[j] = True
+                if hit.any():
+                    at = x.order[hit]
+                    yield pa.RecordBatch.from_arrays([pa.array(of[n][at]) for n in POSTING], names=list(POSTING))
+
+    schema = ", ".join(f"{n} long" for n in POSTING)
+    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
+
+
+def _whole_tasks(table: pa.Table) -> Iterator[list[np.ndarray]]:
+    """The columns of the postings in whole buckets, one after the other, or in rows as they are."""
+    if "postings" not in table.column_names:
+        yield [table[n].to_numpy() for n in POSTING]
+        return
+    bucket = table["bucket"].to_numpy()
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        raw = b"".join(table["postings"].slice(a, b - a).to_pylist())
+        yield [c.copy() for c in np.frombuffer(raw, np.int64).reshape(-1, len(POSTING)).T]
 
 
 def _shared(words: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -403,7 +453,7 @@ def _later_matches(rows: DataFrame, t: float) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_group(batches, "task"):
-            x = Meeting(table)
+            x = Meeting({n: table[n].to_numpy() for n in POSTING})
             part = table.take(pa.array(x.order))
             ids = part["doc_id"]
             order = np.lexsort(
@@ -479,7 +529,10 @@ def kept_lines(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
     lines (``firsts``), and of lines that match an earlier one (``gone``)."""
     ranks, often = rarity(docs)
     firsts, hot = first_lines(docs, ranks, often, threshold, block)
-    alive = stage(_alive(postings(docs, ranks, hot, threshold), threshold), "alive")
+    # A tenth of all words, or so, is posted; buckets are many enough to be small.
+    most = int(often.sum()) // 10 * 8 * len(POSTING) // BUCKET_BYTES
+    buckets = min(1 << 30, max(1 << 10, 1 << most.bit_length()))
+    alive = stage(_alive(postings(docs, ranks, hot, threshold, buckets), threshold), "alive")
     gone = _later_matches(_with_words(docs, ranks, alive, firsts), threshold)
     marked = firsts.select("row", "line", F.lit(True).alias("first")).unionByName(
         gone.select("row", "line", F.lit(False).alias("first"))

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from aftermerge.llm import common, decontaminate, lines, near_duplicates, quality
 
@@ -425,16 +426,18 @@ def test_postings_of_rare_words_are_not_copied(spark: SparkSession) -> None:
     _, hot = lines.first_lines(docs, ranks, often, 0.5, 40)
     _, every = lines.first_lines(docs, ranks, np.full_like(often, 10**9), 0.5, 40)
     assert {tuple(r) for r in hot.collect()} == {tuple(r) for r in every.collect()}
-    plain = lines.postings(docs, ranks, hot.limit(0), 0.5).count()
-    for most in (0, 1 << 18):  # joined to the postings, and looked up where they are made
-        dealt = lines.postings(docs, ranks, hot, 0.5, most).count()
-        assert hot.count() <= 4 and plain <= dealt < 1.2 * plain
+    wide = 8 * len(lines.POSTING)
+    many = lambda df: df.agg(F.sum(F.length("postings"))).first()[0] // wide
+    plain = many(lines.postings(docs, ranks, hot.limit(0), 0.5))
+    dealt = many(lines.postings(docs, ranks, hot, 0.5))
+    joined = lines.postings(docs, ranks, hot, 0.5, most=0).count()
+    assert hot.count() <= 4 and plain <= dealt == joined < 1.2 * plain
 
 
 @pytest.mark.parametrize("most", [0, 1 << 18])
 def test_hot_words_are_dealt_alike(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, most: int) -> None:
     rows = [(i, "\n".join(f"hot warm u{i % 40}x{j} v{j}" for j in range(6)), "", 1, "") for i in range(90)]
-    monkeypatch.setattr(lines.postings, "__defaults__", (most,))
+    monkeypatch.setattr(lines.postings, "__defaults__", (16, most))
     got = lines.dedup_lines(spark.createDataFrame(rows, COLUMNS).repartition(3), 0.6, block=8).collect()
     want = removed_by_hand(rows, 0.6)
     assert all(r["text"] == want[r["doc"]["doc_id"], r["doc"]["text"]] for r in got)
