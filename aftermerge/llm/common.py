@@ -51,6 +51,14 @@ def row_key(doc_id: Column | str = "doc_id", text: Column | str = "text") -> Col
     return F.xxhash64(doc_id, text, text.isNull())
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until it is none of the columns'."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """All columns in one struct ``doc``, so that no name an operator adds can clash with theirs."""
     return docs.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("doc"))

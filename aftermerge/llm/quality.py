@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aftermerge.llm.common import SPACES, let, once, packed, unpacked
+from aftermerge.llm.common import SPACES, free_name, let, once
 
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -215,8 +215,9 @@ def filter_quality(
 ) -> DataFrame:
     """The documents that no rule rejects, with their columns, in cascade order."""
     ordered = cascade_order(docs, rules, sample_rows)
-    judged = once(packed(docs), F.struct(cascade(ordered, F.col("doc")["text"]).alias("rejected")))
-    return unpacked(judged.where("NOT rejected"), docs.columns)
+    name = free_name(docs, "rejected")
+    judged = once(docs, F.struct(cascade(ordered, F.col("text")).alias(name)))
+    return judged.where(~F.col(name)).drop(name)
 
 
 def judge_quality(
