@@ -337,3 +337,27 @@ def _overlaps(group, low: dt.datetime, high: dt.datetime) -> bool:
     stats = group.column(names.index("pushed_at")).statistics
     first, last = (x.replace(tzinfo=None) for x in (stats.min, stats.max))
     return first <= high and last >= low
+
+
+def test_unstored_totals_are_not_sent_to_the_driver(spark: SparkSession) -> None:
+    pushes = V.push_events(spark, "/root/testdata/sf0.001")
+    plan = plan_of(judged_commits(pushes, compiled()))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_spread_rows_are_written_without_a_shuffle(spark: SparkSession) -> None:
+    from aftermerge.sources.sinks import write_partitions
+
+    root = folder()
+    rows = spark.range(0, 40, 1, 4).withColumn("v", F.lit(1))
+    write_partitions(rows, root, ["v"], spread=True)
+    assert sorted(r[0] for r in spark.read.parquet(root).select("id").collect()) == list(range(40))
+    assert len(spark.read.parquet(root).inputFiles()) == 4  # one a task
+
+
+def test_panel_candidates_are_listed_once(spark: SparkSession) -> None:
+    from workload import queries as Q
+
+    found = Q._candidates(spark, "/root/testdata/sf0.001")
+    plan = plan_of(Q._panel(spark, "/root/testdata/sf0.001", 1, 0.5, 0.3, found))
+    assert "lineitem" not in plan and "orders" not in plan
