@@ -13,18 +13,34 @@ from aftermerge.operators.joins import HOT_ROWS
 def time_blocks(times: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Blocks of time for keys with more than ``hot_rows`` rows: ``on...``, ``hour``, ``block``.
 
-    ``times`` has a row per input row with the key and its ``hour``. Rows are counted per hour
-    map-side; running totals over those counts cut a hot key into blocks of about ``hot_rows``
-    rows, each a stretch of whole hours. Other keys have no row: they are one block.
+    ``times`` has a row per input row with the key and its ``hour``. Rows are counted per key and,
+    only for hot keys, of which there is one for ``hot_rows`` rows at most, per hour; running totals
+    over those counts cut a hot key into blocks of about ``hot_rows`` rows, each a stretch of whole
+    hours. Other keys have no row: they are one block.
     """
+    hot = times.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    times = times.join(F.broadcast(hot.select(*on)), list(on), "left_semi")
     hours = times.groupBy(*on, "hour").agg(F.count(F.lit(1)).alias("_n"))
     upward = Window.partitionBy(*on).orderBy("hour")
     before = F.coalesce(F.sum("_n").over(upward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("_n").over(Window.partitionBy(*on))
-    placed = hours.select(*on, "hour", before.alias("_before"), total.alias("_total"))
-    return placed.where(F.col("_total") > hot_rows).select(
-        *on, "hour", F.floor(F.col("_before") / hot_rows).cast("int").alias("block")
-    )
+    placed = hours.select(*on, "hour", before.alias("_before"))
+    return placed.select(*on, "hour", F.floor(F.col("_before") / hot_rows).cast("int").alias("block"))
+
+
+def block_begins(blocks: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The blocks of :func:`time_blocks` as one row per hot key: ``on...`` and ``_begins``, the hours they
+    begin with, in order."""
+    begins = blocks.groupBy(*on, "block").agg(F.min("hour").alias("_begin"))
+    return begins.groupBy(*on).agg(F.sort_array(F.collect_list("_begin")).alias("_begins"))
+
+
+def block_at(at: Column) -> Column:
+    """How many of ``_begins`` lie at or before ``at``, by bisection; 0 without ``_begins``."""
+    count = F.size("_begins")
+    steps = F.transform(F.sequence(F.ceil(F.log2(count + 1)), F.lit(0)), lambda i: F.pow(F.lit(2), i).cast("int"))
+    reached = lambda n: (n <= count) & (F.get("_begins", n - 1) <= at)
+    found = F.aggregate(steps, F.lit(0), lambda n, step: F.when(reached(n + step), n + step).otherwise(n))
+    return F.when(F.col("_begins").isNull(), 0).otherwise(found)
 
 
 def asof_join(
@@ -72,22 +88,23 @@ def asof_join(
     both = side(can_match, at, 1, _row=row, _state=none_state).unionByName(
         side(set_states, since, 0, _row=none_row, _state=state)
     )
-    hour = F.date_trunc("hour", "_t")
-    blocks = time_blocks(both.select(*names, hour.alias("hour")), names, hot_rows)
-    blocked = (
-        both.withColumn("hour", hour)
-        .join(blocks, [*names, "hour"], "left")
-        .withColumn("block", F.coalesce("block", F.lit(0)))
-        .select(*names, "block", "_t", "_side", "_row", "_state")
-    )
+    hours = both.select(*names, F.date_trunc("hour", "_t").alias("hour"))
+    blocks = time_blocks(hours, names, hot_rows)
+    # About one begin for ``hot_rows`` rows: broadcast, so that rows are shuffled once, for the window.
+    begun = block_begins(blocks, names)
+    cuts = F.broadcast(begun)
+    block = block_at(F.col("_t")).alias("block")
+    blocked = both.join(cuts, names, "left").select(*names, block, "_t", "_side", "_row", "_state")
     # The state that holds when a later block of a hot key begins.
-    hot = side(set_states, since, 0, _state=state).withColumn("hour", hour)
     last = (
-        hot.join(blocks, [*names, "hour"])
+        side(set_states, since, 0, _state=state)
+        .join(cuts, names)
+        .select(*names, block, "_t", "_state")
         .groupBy(*names, "block")
         .agg(F.max(F.struct("_t", "_state")).alias("_last"))
     )
-    every = blocks.select(*names, "block").distinct().join(last, [*names, "block"], "left")
+    numbers = begun.select(*names, F.explode(F.sequence(F.lit(1), F.size("_begins"))).alias("block"))
+    every = numbers.join(last, [*names, "block"], "left")
     earlier = Window.partitionBy(*names).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = every.select(*names, "block", F.last("_last", ignorenulls=True).over(earlier).alias("_last"))
     begins = carried.where("_last is not null").select(

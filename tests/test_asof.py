@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
+from bisect import bisect_right
 
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from aftermerge.operators.asof import asof_join, time_blocks
+from aftermerge.operators.asof import asof_join, block_at, time_blocks
 
 START = dt.datetime(2026, 1, 1)
 
@@ -67,3 +70,25 @@ def test_several_keys_empty_sides_and_clashing_names(spark: SparkSession) -> Non
     assert asof_join(left.limit(0), right, keys, "at", "since").count() == 0
     with pytest.raises(ValueError, match="both sides"):
         asof_join(left, right.withColumnRenamed("stars", "id"), keys, "at", "since")
+
+
+def test_blocks_are_found_by_bisection(spark: SparkSession) -> None:
+    begins = [[START + dt.timedelta(hours=3 * k) for k in range(n)] for n in range(1, 20)]
+    times = [START + dt.timedelta(hours=h, minutes=m) for h in range(-2, 60) for m in (0, 1)]
+    rows = [(b, t) for b in begins for t in times] + [(None, START)]
+    found = spark.createDataFrame(rows, "_begins array<timestamp>, at timestamp").select("*", block_at(F.col("at")).alias("n"))
+    for row in found.collect():
+        assert row["n"] == (bisect_right(row["_begins"], row["at"]) if row["_begins"] else 0)
+
+
+def test_rows_are_shuffled_once_whatever_their_size(spark: SparkSession) -> None:
+    """Rows aren't dealt by hour to meet their blocks, nor counted per hour where no key is hot."""
+    left = spark.createDataFrame([(1, "a", START)], "id int, repo string, at timestamp")
+    right = spark.createDataFrame([("a", START, 5)], "repo string, since timestamp, stars int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = asof_join(left, right, ["repo"], "at", "since")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search(r"SortMergeJoin \[_k0#\d+, hour#\d+", plan)
+    assert re.search(r"BroadcastHashJoin \[_k0#\d+\], \[_k0#\d+\], LeftSemi", plan)

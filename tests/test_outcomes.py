@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 import statistics
 
 import pytest
@@ -61,6 +62,44 @@ def test_ambiguous_names_link_to_nothing(spark: SparkSession) -> None:
     assert links(spark, [change(1, 0), twin, change(2, 1, target=sha(1)[:7])]) == {}
 
 
+def test_commits_are_shuffled_once_to_meet_names(spark: SparkSession) -> None:
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    frame = spark.createDataFrame([change(1, 0), change(2, 1, target=sha(1))], CHANGE)
+    for name, value in confs.items():
+        spark.conf.set(name, value)
+    try:
+        plan = O.revert_links(frame)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in confs:
+            spark.conf.unset(name)
+    shuffled = re.findall(r"(Reused)?Exchange(?: \[[^\n]*\], Exchange)? hashpartitioning\(repo_key#\d+, key7#\d+", plan)
+    assert shuffled.count("") == 2  # names and commits
+
+
+def test_a_commit_undone_under_several_names_stands_by_the_last(spark: SparkSession) -> None:
+    rows = [
+        change(1, 0), change(2, 3, target=sha(1)),
+        change(3, 2, target=sha(2)[:8], reapply=True), change(4, 4, target=sha(2)[:9], reapply=True), change(5, 1, target=sha(2), reapply=True),
+    ]
+    frame = spark.createDataFrame(rows, CHANGE)
+    found = {r["revert_sha"]: r["reapplied_at"] for r in O.net_reapplies(frame, O.resolve_names(frame)).collect()}
+    assert found == {sha(2): T0 + 4 * DAY}
+    assert links(spark, rows) == {}
+
+
+def test_packed_shas(spark: SparkSession) -> None:
+    """Twenty bytes for a SHA; any other text comes back as it was and equals no other."""
+    texts = [
+        sha(1), sha(10**8 - 1), sha(1).replace("0", "a"), sha(1).replace("0", "A"), "", "a", "x" * 20, "\0" * 20, "\0" * 19, "\0" * 21,
+        "\0" * 21 + "x", "x" * 40, sha(1)[:39], sha(1) + "0", "0" * 64, "\u00e9" * 10, "f" * 38 + " 1", "not-a-sha", None,
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "sha string").select("sha", O.packed_sha("sha").alias("p"))
+    found = rows.select("sha", "p", O.unpacked_sha("p").alias("back")).collect()
+    assert all(r["back"] == r["sha"] for r in found)
+    assert len({None if r["p"] is None else bytes(r["p"]) for r in found}) == len(texts)
+    assert [r["sha"] for r in found if r["p"] is not None and len(r["p"]) == 20] == texts[:3]
+
+
 def test_window_and_follow_up(spark: SparkSession) -> None:
     rows = [change(1, 0, agent="a"), change(2, 30, target=sha(1)), change(3, 0, agent="a"), change(4, 30.5, target=sha(3)), change(5, 40)]
     frame = spark.createDataFrame(rows, CHANGE)
