@@ -169,7 +169,7 @@ def test_census_stream_meets_totals_of_its_own_day_only(spark: SparkSession, tmp
 
 
 SF = "/root/testdata/sf0.001"
-LANDED = "stream_revert_links".split()
+LANDED = "stream_revert_links stream_census_observations".split()
 
 
 @pytest.mark.parametrize("name", LANDED)
